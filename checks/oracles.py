@@ -274,7 +274,11 @@ union all select urn, 'access_duration_days', 'wrong_type' from requests
   where duration_raw is not null
     and not (seq % 2 = 0 and regexp_full_match(duration_raw, '-?[0-9.]+'))
 union all select urn, 'ticket', 'unknown_field' from requests where seq % 21 = 4""",
-    "q41_catchup": "select seq, urn, resolved_role, decision from decided",
+    "q41_catchup": """
+select seq, urn, decision,
+  case when decision in ('skip_provisioned', 'skip_failed') then nullif(snowflake_role, '')
+       else resolved_role end as resolved_role
+from decided""",
     "q41_catchup_latest": "select seq, urn, resolved_role, decision from decided_latest",
     "q43_last_writer": """
 select resolved_role as snowflake_role, snowflake_database,

@@ -30,6 +30,7 @@ from grantline.operators import (
 )
 from grantline.plans import approval, catchup, expiry, live
 from grantline.plans import sla as sla_plan
+from grantline.settings import Settings
 from grantline.sources import forms as form_source
 from grantline.sources import requests as request_source
 from grantline.sources.events import stream_events
@@ -63,22 +64,24 @@ def _state(spark: SparkSession, d: str) -> State:
 
 
 def _properties(spark: SparkSession, d: str) -> DataFrame:
-    return fx.view(spark, d, "user_properties")
+    return fx.user_properties(spark, d)
 
 
-def _decided(spark: SparkSession, d: str, settings=S) -> DataFrame:
+def _decided(
+    spark: SparkSession, d: str, settings: Settings = S, state: State | None = None
+) -> DataFrame:
     return approval.decide(
-        fx.flat_requests(spark, d), _state(spark, d), _properties(spark, d), settings
+        fx.flat_requests(spark, d), state or _state(spark, d), _properties(spark, d), settings
     )
 
 
-def _results(spark: SparkSession, d: str) -> DataFrame:
-    decided = _decided(spark, d)
+def _results(spark: SparkSession, d: str, state: State | None = None) -> DataFrame:
+    decided = _decided(spark, d, S, state)
     return approval.results(decided, fx.execute(approval.plan(decided, S)), S)
 
 
-def _settled(spark: SparkSession, d: str) -> approval.Settled:
-    return approval.settle_results(_results(spark, d), _state(spark, d), S, RUN)
+def _settled(spark: SparkSession, d: str, state: State | None = None) -> approval.Settled:
+    return approval.settle_results(_results(spark, d, state), S, RUN)
 
 
 def _live_decided(spark: SparkSession, d: str) -> DataFrame:
@@ -172,7 +175,7 @@ def q13_form_map(spark: SparkSession, d: str) -> DataFrame:
 
 def q15_duration(spark: SparkSession, d: str) -> DataFrame:
     raw = F.col("duration_raw")
-    return fx.view(spark, d, "requests").select(
+    return fx.flat_requests(spark, d).select(
         "urn",
         "duration_raw",
         forms.duration_days(raw).alias("days"),
@@ -198,7 +201,7 @@ def q16_flatten(spark: SparkSession, d: str) -> DataFrame:
 
 def q18_identity(spark: SparkSession, d: str) -> DataFrame:
     urn = F.col("requestor_urn")
-    return fx.view(spark, d, "requests").select(
+    return fx.flat_requests(spark, d).select(
         "urn",
         identity.username(urn).alias("username"),
         identity.username(urn, "email_local_part").alias("local_part"),
@@ -311,7 +314,7 @@ def q45_outcomes(spark: SparkSession, d: str) -> DataFrame:
 
 def q49_state_after(spark: SparkSession, d: str) -> DataFrame:
     state = _state(spark, d)
-    journal = state.journal.unionByName(_settled(spark, d).journal)
+    journal = state.journal.unionByName(_settled(spark, d, state).journal)
     due = expiry.expired(j.current_grants(journal), S)
     revoked = expiry.settle(due, fx.execute(expiry.plan(due, S)), S, RUN)
     return _grant_columns(j.current_grants(journal.unionByName(revoked.journal)))

@@ -55,7 +55,6 @@ def results(decided: DataFrame, outcome_rows: DataFrame, settings: Settings) ->
 def settle(
     decided: DataFrame,
     outcome_rows: DataFrame,
-    state: State,
     settings: Settings,
     run_id: str,
 ) -> Settled:
@@ -66,10 +65,10 @@ def settle(
     request comes up again in the next pass.
     """
     done = results(decided, outcome_rows, settings)
-    return settle_results(done, state, settings, run_id)
+    return settle_results(done, settings, run_id)
 
 
-def settle_results(done: DataFrame, state: State, settings: Settings, run_id: str) -> Settled:
+def settle_results(done: DataFrame, settings: Settings, run_id: str) -> Settled:
     granted = done.filter(F.col("outcome") == outcomes.GRANTED)
     # ``failed`` tells whether an error was on record before this pass.
     fresh = done.filter((F.col("outcome") == outcomes.PERMANENT) & ~F.col("failed"))

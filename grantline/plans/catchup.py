@@ -34,12 +34,11 @@ def approvals(
     decided = store.write(
         "decisions", approval.decide(flat, state, user_properties, settings), run_id, "approval"
     )
-    return settle_approvals(store, state, decided, settings, run_id, execute)
+    return settle_approvals(store, decided, settings, run_id, execute)
 
 
 def settle_approvals(
     store: StateStore,
-    state: State,
     decided: DataFrame,
     settings: Settings,
     run_id: str,
@@ -54,7 +53,7 @@ def settle_approvals(
         run_id,
         "approval",
     )
-    settled = approval.settle_results(done, state, settings, run_id)
+    settled = approval.settle_results(done, settings, run_id)
     written = store.write("journal", settled.journal, run_id, "approval")
     store.write("provisioning_errors", settled.errors, run_id, "approval")
     store.write("notifications", settled.notifications, run_id, "approval")

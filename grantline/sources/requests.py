@@ -21,108 +21,145 @@ def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def _at(path: str) -> Column:
-    return F.try_variant_get(F.col("_doc"), path, "variant")
+# The wire shape with untyped leaves, so that each leaf's own type can be checked.
+_WIRE = """
+urn variant, type variant, status variant, result variant, resultNote variant,
+entity struct<urn: variant>, assignedUsers variant, assignedGroups variant,
+created struct<time: variant, actor: struct<urn: variant>>, dueDate variant,
+params struct<workflowFormRequest: struct<fields: variant, access: struct<expiresAt: variant>>>,
+_corrupt string
+"""
+_FIELDS = "array<struct<id:variant,values:variant>>"
+_VALUES = "array<struct<stringValue:variant,numberValue:variant>>"
+_NUMBER = "^(BIGINT|DECIMAL|DOUBLE|FLOAT)"
 
 
-def _type_of(value: Column) -> Column:
-    """``STRING``, ``BIGINT``, ``OBJECT``, ...; null where the path does not exist."""
-    return F.regexp_extract(F.schema_of_variant(value), r"^[A-Z]+", 0)
+def _as(leaf: Column, type_name: str) -> Column:
+    return F.try_variant_get(leaf, "$", type_name)
 
 
-def _absent(path: str) -> Column:
-    found = _type_of(_at(path))
-    return found.isNull() | (found == "VOID")
+def _missing(leaf: Column) -> Column:
+    return leaf.isNull() | (F.schema_of_variant(leaf) == "VOID")
 
 
-def _is(path: str, kind: str) -> Column:
-    return F.coalesce(_type_of(_at(path)) == kind, F.lit(False))
+def _is_text(leaf: Column) -> Column:
+    return F.coalesce(F.schema_of_variant(leaf) == "STRING", F.lit(False))
 
 
-def _whole(path: str) -> Column:
-    """A number or numeric text without a fraction."""
-    as_double = F.try_variant_get(F.col("_doc"), path, "double")
-    scalar = _type_of(_at(path)).isin("BIGINT", "DECIMAL", "DOUBLE", "STRING")
-    return F.coalesce(scalar & (as_double == F.rint(as_double)), F.lit(False))
+def _is_number(leaf: Column) -> Column:
+    """A number, or text that reads as one."""
+    kind = F.schema_of_variant(leaf)
+    numeric = kind.rlike(_NUMBER) | ((kind == "STRING") & _as(leaf, "double").isNotNull())
+    return F.coalesce(numeric, F.lit(False))
 
 
-def _elements(path: str) -> Column:
-    found = F.try_variant_get(F.col("_doc"), path, "array<variant>")
-    return F.coalesce(found, F.array().cast("array<variant>"))
+def _is_whole(leaf: Column) -> Column:
+    number = _as(leaf, "double")
+    return _is_number(leaf) & (number == F.rint(number))
 
 
-def _inner(value: Column, path: str) -> Column:
-    return F.try_variant_get(value, path, "variant")
+def _is_list_of_text(leaf: Column) -> Column:
+    items = F.forall(_as(leaf, "array<variant>"), _is_text)
+    return F.coalesce(F.schema_of_variant(leaf).startswith("ARRAY") & items, F.lit(False))
 
 
-def _inner_ok(value: Column, path: str, kinds: list[str]) -> Column:
-    found = _type_of(_inner(value, path))
-    return found.isNull() | found.isin("VOID", *kinds)
-
-
-_FIELDS = "$.params.workflowFormRequest.fields"
-
-
-def _value_ok(value: Column) -> Column:
-    number = _inner(value, "$.numberValue")
-    is_number = _inner_ok(value, "$.numberValue", ["BIGINT", "DECIMAL", "DOUBLE", "FLOAT"])
-    as_text = F.try_variant_get(number, "$", "double").isNotNull()
+def _is_value(value: Column) -> Column:
     return (
-        (_type_of(value) == "OBJECT")
-        & _inner_ok(value, "$.stringValue", ["STRING"])
-        & (is_number | as_text)
+        value.isNotNull()
+        & (_missing(value["stringValue"]) | _is_text(value["stringValue"]))
+        & (_missing(value["numberValue"]) | _is_number(value["numberValue"]))
     )
 
 
-def _field_ok(field: Column) -> Column:
-    values = F.try_variant_get(field, "$.values", "array<variant>")
-    listed = F.coalesce(_type_of(_inner(field, "$.values")) == "ARRAY", F.lit(False))
-    missing = _type_of(_inner(field, "$.values")).isNull()
-    return (
-        F.coalesce(_type_of(_inner(field, "$.id")) == "STRING", F.lit(False))
-        & (listed | missing)
-        & F.coalesce(F.forall(values, lambda v: F.coalesce(_value_ok(v), F.lit(False))), F.lit(True))
-    )
+def _is_field(field: Column) -> Column:
+    values = F.forall(_as(field["values"], _VALUES), _is_value)
+    return _is_text(field["id"]) & (field["values"].isNull() | F.coalesce(values, F.lit(False)))
 
 
-def _reason() -> Column:
+def _reason(document: Column) -> Column:
     """First rule a document breaks, else null."""
-    reason = F.when(F.col("_doc").isNull(), F.lit("malformed_json")).when(
-        ~_is("$", "OBJECT"), F.lit("not_an_object")
-    )
+    doc = F.col("_doc")
+    form = doc["params"]["workflowFormRequest"]
+    corrupt = doc["_corrupt"].isNotNull()
+    unreadable = doc.isNull() | (corrupt & F.try_parse_json(document).isNull())
+    reason = F.when(unreadable, F.lit("malformed_json"))
+    reason = reason.when(
+        corrupt & ~F.startswith(F.ltrim(document), F.lit("{")), F.lit("not_an_object")
+    ).when(corrupt, F.lit("bad_type:structure"))
     for name in ("urn", "type", "status"):
-        reason = reason.when(_absent(f"$.{name}"), F.lit(f"missing:{name}")).when(
-            ~_is(f"$.{name}", "STRING"), F.lit(f"bad_type:{name}")
+        reason = reason.when(_missing(doc[name]), F.lit(f"missing:{name}")).when(
+            ~_is_text(doc[name]), F.lit(f"bad_type:{name}")
         )
-    reason = reason.when(_absent("$.created.time"), F.lit("missing:created.time")).when(
-        ~_whole("$.created.time"), F.lit("bad_type:created.time")
+    time = doc["created"]["time"]
+    reason = reason.when(_missing(time), F.lit("missing:created.time")).when(
+        ~_is_whole(time), F.lit("bad_type:created.time")
     )
     for name in ("result", "resultNote"):
         reason = reason.when(
-            ~_absent(f"$.{name}") & ~_is(f"$.{name}", "STRING"), F.lit(f"bad_type:{name}")
-        )
-    for name in ("entity", "created.actor"):
-        reason = reason.when(
-            ~_absent(f"$.{name}") & ~_is(f"$.{name}.urn", "STRING"), F.lit(f"bad_type:{name}")
+            ~(_missing(doc[name]) | _is_text(doc[name])), F.lit(f"bad_type:{name}")
         )
+    for name, ref in (("entity", doc["entity"]), ("created.actor", doc["created"]["actor"])):
+        reason = reason.when(ref.isNotNull() & ~_is_text(ref["urn"]), F.lit(f"bad_type:{name}"))
     for name in ("assignedUsers", "assignedGroups"):
-        listed = _is(f"$.{name}", "ARRAY") & F.forall(
-            _elements(f"$.{name}"), lambda v: _type_of(v) == "STRING"
-        )
-        reason = reason.when(
-            _type_of(_at(f"$.{name}")).isNotNull() & ~listed, F.lit(f"bad_type:{name}")
-        )
-    for name in ("dueDate", "params.workflowFormRequest.access.expiresAt"):
         reason = reason.when(
-            ~_absent(f"$.{name}") & ~_whole(f"$.{name}"), F.lit(f"bad_type:{name}")
+            doc[name].isNotNull() & ~_is_list_of_text(doc[name]), F.lit(f"bad_type:{name}")
         )
-    for name in ("params", "params.workflowFormRequest", "params.workflowFormRequest.access"):
-        reason = reason.when(
-            ~_absent(f"$.{name}") & ~_is(f"$.{name}", "OBJECT"), F.lit(f"bad_type:{name}")
-        )
-    has_fields = _type_of(_at(_FIELDS)).isNotNull()
-    reason = reason.when(has_fields & ~_is(_FIELDS, "ARRAY"), F.lit("bad_type:fields"))
-    return reason.when(~F.forall(_elements(_FIELDS), _field_ok), F.lit("bad_type:fields"))
+    for name, leaf in (("dueDate", doc["dueDate"]), ("expiresAt", form["access"]["expiresAt"])):
+        reason = reason.when(~(_missing(leaf) | _is_whole(leaf)), F.lit(f"bad_type:{name}"))
+    fields = F.forall(_as(form["fields"], _FIELDS), _is_field)
+    return reason.when(
+        form["fields"].isNotNull() & ~F.coalesce(fields, F.lit(False)), F.lit("bad_type:fields")
+    )
+
+
+def _typed() -> dict[str, Column]:
+    """The request's columns, from a document that passed the check."""
+    doc = F.col("_doc")
+    form = doc["params"]["workflowFormRequest"]
+    types = {f.name: f.dataType.simpleString() for f in schemas.ACTION_REQUESTS.fields}
+    fields_type = schemas.ACTION_REQUESTS["params"].dataType["workflowFormRequest"].dataType[
+        "fields"
+    ].dataType.simpleString()
+
+    def ref(outer: Column) -> Column:
+        return F.when(outer.isNotNull(), F.struct(_as(outer["urn"], "string").alias("urn")))
+
+    def listed(leaf: Column) -> Column:
+        return F.coalesce(_as(leaf, "array<string>"), F.array().cast("array<string>"))
+
+    access = form["access"]
+    columns = {
+        "urn": _as(doc["urn"], "string"),
+        "type": _as(doc["type"], "string"),
+        "status": _as(doc["status"], "string"),
+        "result": _as(doc["result"], "string"),
+        "resultNote": _as(doc["resultNote"], "string"),
+        "entity": ref(doc["entity"]),
+        "assignedUsers": listed(doc["assignedUsers"]),
+        "assignedGroups": listed(doc["assignedGroups"]),
+        "created": F.struct(
+            _as(doc["created"]["time"], "bigint").alias("time"),
+            ref(doc["created"]["actor"]).alias("actor"),
+        ),
+        "dueDate": _as(doc["dueDate"], "bigint"),
+        "params": F.when(
+            doc["params"].isNotNull(),
+            F.struct(
+                F.when(
+                    form.isNotNull(),
+                    F.struct(
+                        _as(form["fields"], fields_type).alias("fields"),
+                        F.when(
+                            access.isNotNull(),
+                            F.struct(_as(access["expiresAt"], "bigint").alias("expiresAt")),
+                        ).alias("access"),
+                    ),
+                ).alias("workflowFormRequest")
+            ),
+        ),
+    }
+    good = F.col("reason").isNull()
+    return {name: F.when(good, c).cast(types[name]) for name, c in columns.items()}
 
 
 def checked(raw: DataFrame, column: str = "value") -> DataFrame:
@@ -131,23 +168,10 @@ def checked(raw: DataFrame, column: str = "value") -> DataFrame:
     Each document is parsed once. A bad row does not take its neighbours along;
     other columns of ``raw`` (such as ``seq``) are kept.
     """
-    wire = T.StructType([f for f in schemas.ACTION_REQUESTS.fields if f.name != "seq"])
-    parsed = raw.withColumn("_doc", F.try_parse_json(F.col(column)))
-    return (
-        parsed.withColumn("reason", _reason())
-        .withColumn(
-            "_row",
-            F.when(
-                F.col("reason").isNull(),
-                F.try_variant_get(F.col("_doc"), "$", wire.simpleString()),
-            ),
-        )
-        .select(
-            *[c for c in raw.columns],
-            "reason",
-            *[F.col("_row")[f.name].alias(f.name) for f in wire.fields],
-        )
-    )
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    parsed = raw.withColumn("_doc", F.from_json(F.col(column), _WIRE, options))
+    judged = parsed.withColumn("reason", _reason(F.col(column)))
+    return judged.withColumns(_typed()).drop("_doc")
 
 
 def good_rows(rows: DataFrame, column: str = "value") -> DataFrame:

@@ -55,7 +55,7 @@ def handle_batch(
         run_id,
         "live",
     )
-    catchup.settle_approvals(store, state, decided, settings, run_id, execute)
+    catchup.settle_approvals(store, decided, settings, run_id, execute)
     mails = live.denials(decided, sent, settings)
     store.write("notifications", mails, run_id, "denial")
 
