@@ -81,7 +81,7 @@ def _results(spark: SparkSession, d: str, state: State | None = None) -> DataFra
 
 
 def _settled(spark: SparkSession, d: str, state: State | None = None) -> approval.Settled:
-    return approval.settle_results(_results(spark, d, state), S, RUN)
+    return approval.settle(_results(spark, d, state), S, RUN)
 
 
 def _live_decided(spark: SparkSession, d: str) -> DataFrame:
@@ -316,7 +316,8 @@ def q49_state_after(spark: SparkSession, d: str) -> DataFrame:
     state = _state(spark, d)
     journal = state.journal.unionByName(_settled(spark, d, state).journal)
     due = expiry.expired(j.current_grants(journal), S)
-    revoked = expiry.settle(due, fx.execute(expiry.plan(due, S)), S, RUN)
+    done = expiry.results(due, fx.execute(expiry.plan(due, S)))
+    revoked = expiry.settle(done, S, RUN)
     return _grant_columns(j.current_grants(journal.unionByName(revoked.journal)))
 
 
@@ -452,9 +453,8 @@ def q73_approval_pass(spark: SparkSession, d: str) -> DataFrame:
 
 def q74_expiry_pass(spark: SparkSession, d: str) -> DataFrame:
     due = expiry.expired(_state(spark, d).grants, S)
-    return _journal_columns(
-        expiry.settle(due, fx.execute(expiry.plan(due, S)), S, RUN).journal
-    )
+    done = expiry.results(due, fx.execute(expiry.plan(due, S)))
+    return _journal_columns(expiry.settle(done, S, RUN).journal)
 
 
 def q75_sla_pass(spark: SparkSession, d: str) -> DataFrame:

@@ -17,7 +17,6 @@ from grantline.state.store import State
 class Settled:
     """What an approval pass writes once the outcomes are known."""
 
-    results: DataFrame
     journal: DataFrame
     errors: DataFrame
     notifications: DataFrame
@@ -52,28 +51,17 @@ def results(decided: DataFrame, outcome_rows: DataFrame, settings: Settings) ->
     )
 
 
-def settle(
-    decided: DataFrame,
-    outcome_rows: DataFrame,
-    settings: Settings,
-    run_id: str,
-) -> Settled:
+def settle(done: DataFrame, settings: Settings, run_id: str) -> Settled:
     """State rows and mails that follow from the outcomes.
 
     Granted requests are recorded and mailed. A permanent failure is recorded and
     mailed unless one is on record. A transient failure leaves no trace: the
     request comes up again in the next pass.
     """
-    done = results(decided, outcome_rows, settings)
-    return settle_results(done, settings, run_id)
-
-
-def settle_results(done: DataFrame, settings: Settings, run_id: str) -> Settled:
     granted = done.filter(F.col("outcome") == outcomes.GRANTED)
     # ``failed`` tells whether an error was on record before this pass.
     fresh = done.filter((F.col("outcome") == outcomes.PERMANENT) & ~F.col("failed"))
     return Settled(
-        results=done,
         journal=j.grant_rows(granted, settings, run_id),
         errors=j.error_rows(fresh, settings),
         notifications=notices.approval(granted, settings).unionByName(

@@ -53,7 +53,7 @@ def settle_approvals(
         run_id,
         "approval",
     )
-    settled = approval.settle_results(done, settings, run_id)
+    settled = approval.settle(done, settings, run_id)
     written = store.write("journal", settled.journal, run_id, "approval")
     store.write("provisioning_errors", settled.errors, run_id, "approval")
     store.write("notifications", settled.notifications, run_id, "approval")
@@ -76,7 +76,8 @@ def expiries(
         "expired", expiry.expired(j.current_grants(journal), settings), run_id, "expiry"
     )
     planned = store.write("statements", expiry.plan(due, settings), run_id, "expiry")
-    revoked = expiry.settle(due, execute(planned), settings, run_id)
+    done = store.write("results", expiry.results(due, execute(planned)), run_id, "expiry")
+    revoked = expiry.settle(done, settings, run_id)
     written = store.write("journal", revoked.journal, run_id, "expiry")
     store.write("notifications", revoked.notifications, run_id, "expiry")
     return with_run(written, run_id)

@@ -32,18 +32,19 @@ def plan(due: DataFrame, settings: Settings) -> DataFrame:
     return statements.revoke_rows(due, settings)
 
 
-def settle(
-    due: DataFrame, outcome_rows: DataFrame, settings: Settings, run_id: str
-) -> Revoked:
-    """A grant is revoked when all its statements succeeded; others are tried again."""
+def results(due: DataFrame, outcome_rows: DataFrame) -> DataFrame:
+    """Grants to revoke with their outcome."""
     keyed = due.withColumn("urn", F.col("latest_action_request_urn")).withColumn(
         "snowflake_schema", schema_key(F.col("snowflake_schema"))
     )
-    done = outcomes.with_outcomes(
-        keyed, outcome_rows, F.size(statements.revoke_plan()), BY
-    ).filter(F.col("outcome") == outcomes.GRANTED)
-    mails = notices.revocation(done, settings)
+    return outcomes.with_outcomes(keyed, outcome_rows, F.size(statements.revoke_plan()), BY)
+
+
+def settle(done: DataFrame, settings: Settings, run_id: str) -> Revoked:
+    """A grant is revoked when all its statements succeeded; others are tried again."""
+    revoked = done.filter(F.col("outcome") == outcomes.GRANTED)
+    mails = notices.revocation(revoked, settings)
     return Revoked(
-        journal=j.revoke_rows(done, settings, run_id),
+        journal=j.revoke_rows(revoked, settings, run_id),
         notifications=mails if settings.revocation_notification else mails.limit(0),
     )

@@ -59,18 +59,23 @@ class StateStore:
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
+        self._ready = False
+        self._generation: int | None = None
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
     def ensure(self) -> StateStore:
         """Create the tables that do not exist yet, empty."""
+        if self._ready:
+            return self
         folders = {self.path(table): schema for table, schema in TABLES.items()}
         folders[f"{self.path('journal')}/gen=0"] = schemas.JOURNAL
         for folder, schema in folders.items():
             rows = self.spark.createDataFrame([], schema)
             rows = rows.drop("run_id") if "run_id" in rows.columns else rows
             rows.write.mode("ignore").parquet(f"{folder}/run_id=none/step=none")
+        self._ready = True
         return self
 
     def generation(self) -> int:
@@ -82,7 +87,9 @@ class StateStore:
         """Write one step of a run and return it as read back, its lineage cut."""
         folder = self.path(table)
         if table == "journal":
-            folder = f"{folder}/gen={self.generation()}"
+            if self._generation is None:
+                self._generation = self.generation()
+            folder = f"{folder}/gen={self._generation}"
         target = f"{folder}/run_id={run_id}/step={step}"
         kept = rows.drop("run_id") if "run_id" in rows.columns else rows
         kept.write.mode("overwrite").parquet(target)
@@ -127,7 +134,8 @@ class StateStore:
 
     def state(self, run_id: str | None = None, include_dry: bool = False) -> State:
         """State as ``run_id`` finds it: nothing of its own earlier attempts."""
-        journal, urns = self._all_changes(run_id, self.generation())
+        self._generation = self.generation()
+        journal, urns = self._all_changes(run_id, self._generation)
         return State(
             journal=j.in_force(journal, include_dry),
             granted_urns=j.in_force(urns, include_dry).select("urn").distinct(),
@@ -155,6 +163,7 @@ class StateStore:
         fresh.write.mode("overwrite").parquet(
             f"{self.path('journal')}/gen={gen + 1}/run_id=none/step=none"
         )
+        self._generation = None
         marker = self.spark.range(1).select(F.lit(gen + 1).alias("gen"))
         self.write("snapshots", marker, f"snapshot-{gen + 1:06d}", "compact")
 

@@ -1,0 +1,75 @@
+from pyspark.sql import functions as F
+
+from grantline.functions import clock, identity
+from tests.conftest import AS_OF_MS
+
+DAY = 86_400_000
+
+
+def evaluate(spark, values, build, kind="string"):
+    frame = spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"i int, v {kind}")
+    return [r.x for r in sorted(frame.select("i", build(F.col("v")).alias("x")).collect())]
+
+
+URNS = [
+    "urn:li:corpuser:john.doe@company.com",
+    "urn:li:corpuser:johndoe",
+    "urn:li:dataset:something",
+    "urn:li:corpuser:",
+    "urn:li:corpuser:@company.com",
+    "",
+    None,
+]
+
+
+def test_username_as_given(spark):
+    assert evaluate(spark, URNS, identity.username) == [
+        "john.doe@company.com", "johndoe", None, None, "@company.com", None, None,
+    ]
+
+
+def test_username_without_domain(spark):
+    found = evaluate(spark, URNS, lambda u: identity.username(u, "email_local_part"))
+    assert found == ["john.doe", "johndoe", None, None, None, None, None]
+
+
+def test_email_from_urn(spark):
+    assert evaluate(spark, URNS, identity.email_from_urn) == [
+        "john.doe@company.com", None, None, None, "@company.com", None, None,
+    ]
+
+
+def test_form_email_comes_first_and_empty_is_none(spark):
+    urn = F.lit("urn:li:corpuser:a@b.c")
+    found = evaluate(spark, ["x@y.z", "", None], lambda e: identity.resolved_email(e, urn))
+    assert found == ["x@y.z", "a@b.c", "a@b.c"]
+
+
+def test_expiry(spark):
+    found = evaluate(
+        spark, [30, 0, None, -1, 10**12], lambda d: clock.expiry_ms(AS_OF_MS, d), "bigint"
+    )
+    assert found == [AS_OF_MS + 30 * DAY, None, None, AS_OF_MS - DAY, None]
+
+
+def test_stored_times_have_seconds(spark):
+    found = evaluate(
+        spark,
+        [AS_OF_MS + 999, None],
+        lambda v: clock.timestamp_ms(clock.seconds_timestamp(v)),
+        "bigint",
+    )
+    assert found == [AS_OF_MS, None]
+
+
+def test_printed_hours_round_half_to_even(spark):
+    hours = [26.5, 27.5, 26.49, 80.0, 0.5]
+    found = evaluate(spark, hours, clock.whole_hours, "double")
+    assert found == [int(f"{h:.0f}") for h in hours]
+
+
+def test_plain_identifiers(spark):
+    found = evaluate(
+        spark, ["ANALYST", "a_1$", "1A", "x; DROP", '"Q"', "", None], identity.plain_identifier
+    )
+    assert found == [True, True, False, False, False, False, None]
