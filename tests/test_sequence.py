@@ -1,0 +1,80 @@
+"""The set-based guard against a plain loop over the requests, in many small worlds."""
+
+import random
+
+from pyspark.sql import functions as F
+
+from grantline.operators import sequence
+
+
+def world(rng, case):
+    """Requests in listing order and the state rows they meet."""
+    keys = [f"c{case}-k{i}" for i in range(rng.randint(1, 4))]
+    urns = [f"c{case}-u{i}" for i in range(rng.randint(1, 7))]
+    requests = [
+        (urn, seq, rng.choice(keys), rng.random() < 0.85)
+        for seq, urn in enumerate(rng.sample(urns, len(urns)))
+    ]
+    state = {k: (rng.choice(urns), rng.random() < 0.8) for k in keys if rng.random() < 0.7}
+    return requests, state
+
+
+def loop(requests, state):
+    """Skipped URNs, one request after the other."""
+    rows = dict(state)
+    skipped = set()
+    for urn, _, key, ready in requests:
+        if any(latest == urn and active for latest, active in rows.values()):
+            skipped.add(urn)
+        elif ready:
+            rows[key] = (urn, True)
+    return skipped
+
+
+def as_key(name):
+    return F.struct(
+        F.lit("r").alias("role"), F.col(name).alias("database"), F.lit("").alias("schema")
+    )
+
+
+def guarded(spark, worlds):
+    requests = spark.createDataFrame(
+        [row for rs, _ in worlds for row in rs], "urn string, seq long, k string, ready boolean"
+    )
+    active = spark.createDataFrame(
+        [(k, urn) for _, state in worlds for k, (urn, on) in state.items() if on],
+        "h string, urn string",
+    )
+    found = sequence.already_latest(
+        requests.select("urn", "seq", as_key("k").alias("key"), "ready"),
+        active.select(as_key("h").alias("home"), "urn"),
+    )
+    return {r.urn for r in found.collect()}
+
+
+def test_guard_equals_the_loop(spark):
+    rng = random.Random(7)
+    worlds = [world(rng, case) for case in range(3000)]
+    expected = set().union(*(loop(rs, state) for rs, state in worlds))
+    assert guarded(spark, worlds) == expected
+
+
+def test_chain_of_moved_requests(spark):
+    """Each request sits in the row that the one before it overwrites."""
+    n = 6
+    state = {f"k{i}": (f"u{i}", True) for i in range(1, n)}
+    requests = [("new", 0, "k1", True)] + [(f"u{i}", i, f"k{i + 1}", True) for i in range(1, n)]
+    assert loop(requests, state) == set()
+    assert guarded(spark, [(requests, state)]) == set()
+    assert guarded(spark, [(requests[1:], state)]) == loop(requests[1:], state)
+
+
+def test_last_per_key(spark):
+    frame = spark.createDataFrame(
+        [("R", "D", None, 1), ("R", "D", "", 5), ("R", "D", "S", 2), ("r", "D", "", 9)],
+        "resolved_role string, snowflake_database string, snowflake_schema string, seq long",
+    )
+    found = sequence.last_per_key(frame).collect()
+    assert sorted(tuple(r) for r in found) == [
+        ("R", "D", "", 5), ("R", "D", "S", 2), ("r", "D", "", 9),
+    ]
