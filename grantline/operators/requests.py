@@ -134,4 +134,4 @@ def first_per_urn(requests: DataFrame) -> DataFrame:
     kept = requests.groupBy("urn").agg(
         F.min_by(F.struct(*rest), F.col("seq")).alias("_row")
     )
-    return kept.select("urn", *[F.col("_row")[c].alias(c) for c in rest])
+    return kept.select("urn", "_row.*")

@@ -26,7 +26,7 @@ EXPIRY_PHASE = 1
 
 
 def _shaped(rows: DataFrame) -> DataFrame:
-    return rows.select(*[F.col(f.name).cast(f.dataType) for f in schemas.JOURNAL.fields])
+    return rows.to(schemas.JOURNAL)
 
 
 def grant_rows(granted: DataFrame, settings: Settings, run_id: str) -> DataFrame:
@@ -42,7 +42,7 @@ def grant_rows(granted: DataFrame, settings: Settings, run_id: str) -> DataFrame
             F.col("resolved_email").alias("requestor_email"),
             now.alias("granted_at"),
             clock.seconds_timestamp(F.col("expires_at_ms")).alias("expires_at"),
-            F.lit(None).alias("revoked_at"),
+            F.lit(None).cast("timestamp").alias("revoked_at"),
             clock.as_of_exact(settings.as_of_ms).alias("at"),
             F.lit(APPROVAL_PHASE).alias("phase"),
             "seq",
@@ -65,7 +65,7 @@ def revoke_rows(revoked: DataFrame, settings: Settings, run_id: str) -> DataFram
             clock.as_of(settings.as_of_ms).alias("revoked_at"),
             clock.as_of_exact(settings.as_of_ms).alias("at"),
             F.lit(EXPIRY_PHASE).alias("phase"),
-            F.lit(0).alias("seq"),
+            F.lit(0).cast("bigint").alias("seq"),
             F.lit(settings.dry_run).alias("dry_run"),
             F.lit(run_id).alias("run_id"),
         )
@@ -87,7 +87,7 @@ def journal_of(grants: DataFrame, run_id: str = "") -> DataFrame:
             "revoked_at",
             F.timestamp_millis(F.lit(0)).alias("at"),
             F.lit(APPROVAL_PHASE).alias("phase"),
-            F.lit(0).alias("seq"),
+            F.lit(0).cast("bigint").alias("seq"),
             F.lit(False).alias("dry_run"),
             F.lit(run_id).alias("run_id"),
         )
@@ -109,12 +109,7 @@ def latest_rows(journal: DataFrame, also_by: Sequence[str] = ()) -> DataFrame:
     latest = journal.groupBy(*keys).agg(
         F.max_by(F.struct(*rest), F.struct("at", "run_id", "phase", "seq")).alias("_row")
     )
-    return latest.select(
-        *[
-            F.col(name) if name in keys else F.col("_row")[name].alias(name)
-            for name in schemas.JOURNAL.names
-        ]
-    )
+    return latest.select(*keys, "_row.*").select(*schemas.JOURNAL.names)
 
 
 def current_grants(journal: DataFrame) -> DataFrame:

@@ -12,6 +12,10 @@ def spark(tmp_path_factory):
         SparkSession.builder.master("local[4]")
         .appName("tests")
         .config("spark.sql.shuffle.partitions", "4")
+        # Tiny inputs: adapting and compiling the plans would take longer than running them.
+        .config("spark.sql.adaptive.enabled", "false")
+        .config("spark.sql.codegen.wholeStage", "false")
+        .config("spark.sql.codegen.factoryMode", "NO_CODEGEN")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "6g")

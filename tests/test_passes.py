@@ -23,6 +23,13 @@ def run(store, requests, settings, run_id, execute=outcomes.all_ok):
     return catchup.run(store, requests, props(store.spark), settings, run_id, execute)
 
 
+def approve(store, requests, settings, run_id, execute=outcomes.all_ok):
+    """Only the approval step of a run."""
+    state = store.state(run_id, settings.count_dry_runs)
+    catchup.approvals(store, state, requests, props(store.spark), settings, run_id, execute)
+    return store.state(None, settings.count_dry_runs)
+
+
 def decisions(store, run_id):
     frame = store.spark.read.parquet(f"{store.path('decisions')}/run_id={run_id}/step=approval")
     return rows_of(frame, "urn", "decision")
@@ -72,7 +79,7 @@ def test_decisions_of_a_first_run(spark, settings, store):
         flat_row("default role", 6, snowflake_role="", requestor_urn="urn:li:corpuser:bob"),
         flat_row("denied", 7, result="REJECTED"),
     )
-    run(store, requests, settings, "r1")
+    approve(store, requests, settings, "r1")
     assert decisions(store, "r1") == [
         ("default role", "provision"),
         ("failed", "skip_failed"),
@@ -122,16 +129,16 @@ def test_a_repeated_run_replaces_itself(spark, settings, store):
 def test_competing_requests_for_one_key(spark, settings, store, tmp_path):
     """The ledger grants each once; the latest-URN guard grants both on every pass."""
     requests = flat(spark, flat_row("a", 1), flat_row("b", 2))
-    run(store, requests, settings, "r1")
-    run(store, requests, later(settings), "r2")
+    approve(store, requests, settings, "r1")
+    approve(store, requests, later(settings), "r2")
     assert decisions(store, "r1") == [("a", "provision"), ("b", "provision")]
     assert decisions(store, "r2") == [("a", "skip_provisioned"), ("b", "skip_provisioned")]
     assert [r[0] for r in rows_of(store.state().grants, "latest_action_request_urn")] == ["b"]
 
     other = StateStore(spark, str(tmp_path / "latest")).ensure()
     latest = replace(settings, guard="latest")
-    for n in range(3):
-        run(other, requests, later(latest, n), f"r{n}")
+    for n in range(2):
+        approve(other, requests, later(latest, n), f"r{n}")
         assert decisions(other, f"r{n}") == [("a", "provision"), ("b", "provision")]
 
 
@@ -180,7 +187,7 @@ def test_failures(spark, settings, store):
         flat_row("silent", 4, snowflake_role="D", requestor_email=None),
     )
     execute = failing({"permanent": 2003, "transient": 604, "silent": 2001})
-    run(store, requests, settings, "r1", execute)
+    approve(store, requests, settings, "r1", execute)
     assert sent(store, "r1", "approval") == ["ok"]
     assert sent(store, "r1", "failure") == ["permanent", "silent"]
     errors = store.state().provisioning_errors
@@ -188,7 +195,7 @@ def test_failures(spark, settings, store):
         ("permanent", "2003", "it failed"),
         ("silent", "2001", "it failed"),
     ]
-    run(store, requests, later(settings), "r2")
+    approve(store, requests, later(settings), "r2")
     assert decisions(store, "r2") == [
         ("ok", "skip_provisioned"),
         ("permanent", "skip_failed"),
@@ -224,12 +231,12 @@ def test_dry_runs_leave_no_lasting_state(spark, settings, store, tmp_path):
     run(store, requests, dry, "r1")
     assert store.state().grants.count() == 0
     assert store.read("statements").filter("dry_run").count() == 8
-    run(store, requests, later(settings), "r2")
+    approve(store, requests, later(settings), "r2")
     assert decisions(store, "r2") == [("a", "provision")]
 
     counting = StateStore(spark, str(tmp_path / "counting")).ensure()
-    run(counting, requests, replace(dry, count_dry_runs=True), "r1")
-    run(counting, requests, replace(later(settings), count_dry_runs=True), "r2")
+    approve(counting, requests, replace(dry, count_dry_runs=True), "r1")
+    approve(counting, requests, replace(later(settings), count_dry_runs=True), "r2")
     assert decisions(counting, "r2") == [("a", "skip_provisioned")]
 
 
@@ -237,7 +244,7 @@ def test_unsafe_identifiers_can_be_held_back(spark, settings, store):
     requests = flat(
         spark, flat_row("a", 1, snowflake_schema="S; DROP ROLE X"), flat_row("b", 2)
     )
-    run(store, requests, replace(settings, check_identifiers=True), "r1")
+    approve(store, requests, replace(settings, check_identifiers=True), "r1")
     assert decisions(store, "r1") == [("a", "skip_unsafe_identifier"), ("b", "provision")]
     assert rows_of(store.read("quarantine"), "urn", "reason") == [("a", "unsafe_identifier")]
 
@@ -246,18 +253,18 @@ def test_keys_differ_by_case(spark, settings, store):
     requests = flat(
         spark, flat_row("a", 1, snowflake_role="R"), flat_row("b", 2, snowflake_role="r")
     )
-    assert run(store, requests, settings, "r1").grants.count() == 2
+    assert approve(store, requests, settings, "r1").grants.count() == 2
 
 
 def test_requests_outside_the_window_are_left_alone(spark, settings, store):
     requests = flat(spark, flat_row("old", 1, created_ms=AS_OF_MS - 91 * DAY))
-    assert run(store, requests, settings, "r1").grants.count() == 0
+    assert approve(store, requests, settings, "r1").grants.count() == 0
 
 
 def test_compaction_between_runs(spark, settings, store):
     requests = flat(spark, flat_row("a", 1), flat_row("b", 2, snowflake_role="OTHER"))
-    run(store, requests, settings, "r1")
+    approve(store, requests, settings, "r1")
     store.compact()
-    run(store, requests, later(settings), "r2")
+    approve(store, requests, later(settings), "r2")
     assert decisions(store, "r2") == [("a", "skip_provisioned"), ("b", "skip_provisioned")]
     assert store.state().grants.count() == 2

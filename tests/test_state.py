@@ -181,7 +181,7 @@ def test_state_tables_in_a_catalog(spark, settings):
                 spark.sql(statement)
         table = spark.table(config.state.qualified_grants_table)
         assert table.schema.names == schemas.GRANTS.names and table.count() == 0
-        assert len(spark.catalog.listTables("access_state")) == 3
+        assert spark.sql("SHOW TABLES IN access_state").count() == 3
     finally:
         spark.sql("DROP DATABASE access_state CASCADE")
 

@@ -135,14 +135,9 @@ def test_stream_equals_one_batch(spark, settings, store, tmp_path):
     folder = tmp_path / "events"
     frame.repartitionByRange(3, "event_id").write.parquet(str(folder))
     run_stream(spark, store, folder, settings)
-    decided = live.decide(frame, requests(spark), store.state("none").__class__(
-        journal=store.state().journal.limit(0),
-        granted_urns=store.state().granted_urns.limit(0),
-        sla_notifications=store.state().sla_notifications,
-        provisioning_errors=store.state().provisioning_errors,
-    ), props(spark), settings)
-    kinds = {"provision": "provision", "deny": "deny"}
-    batch = [(u, kinds[d]) for u, d in rows_of(decided, "urn", "decision") if d in kinds]
+    before = StateStore(spark, str(tmp_path / "before")).ensure().state()
+    decided = live.decide(frame, requests(spark), before, props(spark), settings)
+    batch = [(u, d) for u, d in rows_of(decided, "urn", "decision") if d in ("provision", "deny")]
     assert actions(store) == batch
 
 
