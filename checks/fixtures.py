@@ -330,6 +330,36 @@ def nested_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(flat_requests(spark, sf_dir)).select(*schemas.ACTION_REQUESTS.names)
 
 
+@staged
+def product_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests for new data products, one per part, in the nested wire shape."""
+    size = F.col("p_size")
+    priority = (
+        F.when(size <= 10, F.lit("Low — nice to have"))
+        .when(size <= 20, F.lit("High — blocking current work"))
+        .when(size <= 30, F.lit("Urgent"))
+    )
+    text = {
+        "product_name": F.col("p_name"),
+        "business_domain": F.col("p_brand"),
+        "use_case": F.when(size != 7, F.col("p_type")),
+        "priority": priority,
+    }
+    fields = [
+        _field(name, F.filter(F.array(_value(v)), lambda x: x["stringValue"].isNotNull()))
+        for name, v in text.items()
+    ]
+    mail = _field("requestor_email", F.array(_value(number=F.col("p_retailprice"))))
+    form = F.struct(
+        F.struct(
+            F.array(*fields, mail).alias("fields"),
+            F.lit(None).cast("struct<expiresAt:bigint>").alias("access"),
+        ).alias("workflowFormRequest")
+    )
+    urn = F.concat(F.lit("urn:li:actionRequest:part"), F.col("p_partkey").cast("string"))
+    return view(spark, sf_dir, "part").select(urn.alias("urn"), form.alias("params"))
+
+
 @staged
 def json_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(seq, value)``: requests as JSON text, some of them damaged."""

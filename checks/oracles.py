@@ -184,8 +184,7 @@ _LIVE_ACTIONS = """
 select urn, decision as action from live where decision in ('provision', 'deny')
 """
 
-# A dropped-out watermark keeps the earlier granted rows out of the way of nothing
-# else: both stream queries end with the decisions of one batch.
+# Both stream queries end with the decisions of one batch.
 _SELECTS: dict[str, str] = {
     "q01_approved_scan": "select seq, urn, created_ms, requestor_urn from approved",
     "q02_pending_scan": """
@@ -274,6 +273,15 @@ union all select urn, 'access_duration_days', 'wrong_type' from requests
   where duration_raw is not null
     and not (seq % 2 = 0 and regexp_full_match(duration_raw, '-?[0-9.]+'))
 union all select urn, 'ticket', 'unknown_field' from requests where seq % 21 = 4""",
+    "q40_product_conformance": """
+select 'urn:li:actionRequest:part' || p_partkey as urn, 'use_case' as field_id,
+  'missing_required' as rule from part where p_size = 7 or p_type is null
+union all select 'urn:li:actionRequest:part' || p_partkey, 'priority', 'missing_required'
+from part where p_size > 30
+union all select 'urn:li:actionRequest:part' || p_partkey, 'priority', 'not_allowed'
+from part where p_size > 20 and p_size <= 30
+union all select 'urn:li:actionRequest:part' || p_partkey, 'requestor_email', 'wrong_type'
+from part where p_retailprice is not null""",
     "q41_catchup": """
 select seq, urn, decision,
   case when decision in ('skip_provisioned', 'skip_failed') then nullif(snowflake_role, '')

@@ -284,6 +284,12 @@ def q40_conformance(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def q40_product_conformance(spark: SparkSession, d: str) -> DataFrame:
+    return conformance.violations(
+        fx.product_requests(spark, d), form_source.product_request_specs()
+    )
+
+
 def q41_catchup(spark: SparkSession, d: str) -> DataFrame:
     return _decided(spark, d).select("seq", "urn", "resolved_role", "decision")
 

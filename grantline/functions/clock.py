@@ -33,12 +33,12 @@ def as_of_exact(as_of_ms: int) -> Column:
 def expiry_ms(as_of_ms: int, days: Column) -> Column:
     """``as_of + days``. No days or zero days mean no expiry; a negative value lies in the past."""
     reach = (_LAST_MS - as_of_ms) // DAY_MS
-    in_range = (days != 0) & (F.abs(days) <= reach)
+    in_range = (days != 0) & days.between(-reach, reach)
     return F.when(in_range, F.lit(as_of_ms).cast("bigint") + days.cast("bigint") * F.lit(DAY_MS))
 
 
 def pending_hours(as_of_ms: int, created_ms: Column) -> Column:
-    return (F.lit(as_of_ms).cast("bigint") - created_ms).cast("double") / F.lit(float(HOUR_MS))
+    return (F.lit(float(as_of_ms)) - created_ms.cast("double")) / F.lit(float(HOUR_MS))
 
 
 def whole_hours(hours: Column) -> Column:

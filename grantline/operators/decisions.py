@@ -67,6 +67,7 @@ def _active_homes(grants: DataFrame) -> DataFrame:
 
 def _resolve_and_flag(
     candidates: DataFrame,
+    eligible: Column,
     grants: DataFrame,
     granted_urns: DataFrame,
     errors: DataFrame,
@@ -75,16 +76,20 @@ def _resolve_and_flag(
     respect_failures: bool,
     counted: DataFrame,
 ) -> DataFrame:
-    """Adds the resolved columns and the flags ``provisioned`` and ``failed``."""
+    """Adds the resolved columns and the flags ``provisioned`` and ``failed``.
+
+    Only ``eligible`` rows may be provisioned. The candidates are shuffled by URN
+    once, for both flags; ``counted`` serves to find very frequent requestors.
+    """
     default_roles = roles.default_roles(user_properties)
     flagged = guards.flag(candidates, _error_urns(errors), "failed")
-    may_go = ~F.col("failed") if respect_failures else F.lit(True)
+    may_go = eligible & ~F.col("failed") if respect_failures else eligible
     if settings.guard == "ledger":
         flagged = guards.flag(flagged, granted_urns, "provisioned")
         needed = may_go & ~F.col("provisioned")
         return roles.resolve_roles(flagged, default_roles, settings, needed, counted)
-    resolved = roles.resolve_roles(flagged, default_roles, settings, None, counted)
-    turns = resolved.select(
+    resolved = roles.resolve_roles(flagged, default_roles, settings, eligible, counted)
+    turns = resolved.filter(eligible).select(
         "urn",
         "seq",
         sequence.key_struct("resolved_role", "snowflake_database", "snowflake_schema").alias(
@@ -124,6 +129,7 @@ def catchup_decisions(
     approved = requests.approved_requests(flat, settings)
     resolved = _resolve_and_flag(
         requests.first_per_urn(requests.slim(approved)),
+        F.lit(True),
         grants,
         granted_urns,
         errors,
@@ -149,11 +155,9 @@ def live_decisions(
     ``matched`` holds the current requests of the events' URNs, one row each, with
     ``seq`` in event order.
     """
-    approved = matched.filter(requests.is_workflow() & requests.is_approved())
-    others = matched.filter(
-        ~F.coalesce(requests.is_workflow() & requests.is_approved(), F.lit(False))
-    )
+    approved = F.coalesce(requests.is_workflow() & requests.is_approved(), F.lit(False))
     resolved = _resolve_and_flag(
+        matched,
         approved,
         grants,
         granted_urns,
@@ -161,19 +165,13 @@ def live_decisions(
         user_properties,
         settings,
         settings.check_failures_live,
-        approved,
-    )
-    decided = _with_expiry(
-        resolved.withColumn(
-            "decision", _approved_decision(settings, settings.check_failures_live)
-        ),
-        settings,
+        matched,
     )
-    rest = others.withColumn(
-        "decision",
+    decision = (
         F.when(~requests.is_workflow(), F.lit(IGNORE_TYPE))
+        .when(approved, _approved_decision(settings, settings.check_failures_live))
         .when(requests.is_denied(), F.lit(DENY))
-        .otherwise(F.lit(IGNORE_STATUS)),
+        .otherwise(F.lit(IGNORE_STATUS))
     )
-    return decided.unionByName(rest, allowMissingColumns=True)
+    return _with_expiry(resolved.withColumn("decision", decision), settings)
 

@@ -29,14 +29,10 @@ def changed_urns(routed: DataFrame) -> DataFrame:
 def matched_requests(changed: DataFrame, flat: DataFrame) -> DataFrame:
     """Current requests of the changed URNs, ``seq`` replaced by the event order.
 
-    An inner join: the changed URNs of one batch are the small side.
+    One inner join: the changed URNs of a batch are unique and the small side.
     """
-    current = first_per_urn(slim(flat).join(changed.select("urn"), "urn", "left_semi"))
-    return (
-        current.join(changed, "urn")
-        .withColumn("seq", F.col("first_event"))
-        .drop("first_event")
-    )
+    found = first_per_urn(slim(flat).join(changed, "urn"))
+    return found.withColumn("seq", F.col("first_event")).drop("first_event")
 
 
 def unmatched_urns(changed: DataFrame, flat: DataFrame) -> DataFrame:

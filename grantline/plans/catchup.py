@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grantline.operators import outcomes, quarantine
+from grantline.operators import metrics, outcomes, quarantine
 from grantline.plans import approval, expiry, sla
 from grantline.settings import Settings
 from grantline.state import journal as j
@@ -44,8 +44,9 @@ def settle_approvals(
     run_id: str,
     execute: Execute,
 ) -> DataFrame:
-    """Statements, outcomes, journal, errors and mails of written decisions."""
+    """Metrics, statements, journal, errors and mails of written decisions."""
     store.write("quarantine", quarantine.quarantined(decided), run_id, "approval")
+    store.write("metrics", metrics.decision_counts(decided, settings), run_id, "approval")
     planned = store.write("statements", approval.plan(decided, settings), run_id, "approval")
     done = store.write(
         "results",

@@ -165,6 +165,14 @@ QUARANTINE = T.StructType(
     ]
 )
 
+METRICS = T.StructType(
+    [
+        T.StructField("decision", T.StringType()),
+        T.StructField("requests", T.LongType()),
+        T.StructField("statements", T.LongType()),
+    ]
+)
+
 FORM_SPECS = T.StructType(
     [
         T.StructField("workflow", T.StringType()),

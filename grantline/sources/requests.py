@@ -55,7 +55,8 @@ def _is_number(leaf: Column) -> Column:
 
 def _is_whole(leaf: Column) -> Column:
     number = _as(leaf, "double")
-    return _is_number(leaf) & (number == F.rint(number))
+    whole = (number == F.rint(number)) & _as(leaf, "bigint").isNotNull()
+    return _is_number(leaf) & F.coalesce(whole, F.lit(False))
 
 
 def _is_list_of_text(leaf: Column) -> Column:

@@ -30,6 +30,7 @@ TABLES: dict[str, T.StructType] = {
     "statements": schemas.STATEMENTS,
     "notifications": schemas.NOTIFICATIONS,
     "quarantine": schemas.QUARANTINE,
+    "metrics": schemas.METRICS,
     "snapshots": _SNAPSHOTS,
 }
 

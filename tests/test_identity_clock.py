@@ -47,9 +47,9 @@ def test_form_email_comes_first_and_empty_is_none(spark):
 
 def test_expiry(spark):
     found = evaluate(
-        spark, [30, 0, None, -1, 10**12], lambda d: clock.expiry_ms(AS_OF_MS, d), "bigint"
+        spark, [30, 0, None, -1, 10**12, -(2**63)], lambda d: clock.expiry_ms(AS_OF_MS, d), "bigint"
     )
-    assert found == [AS_OF_MS + 30 * DAY, None, None, AS_OF_MS - DAY, None]
+    assert found == [AS_OF_MS + 30 * DAY, None, None, AS_OF_MS - DAY, None, None]
 
 
 def test_stored_times_have_seconds(spark):
@@ -62,6 +62,16 @@ def test_stored_times_have_seconds(spark):
     assert found == [AS_OF_MS, None]
 
 
+def test_pending_hours_of_any_number(spark):
+    found = evaluate(
+        spark,
+        [AS_OF_MS - 5_400_000, -(2**63), None],
+        lambda v: clock.pending_hours(AS_OF_MS, v),
+        "bigint",
+    )
+    assert found[0] == 1.5 and found[1] > 1e12 and found[2] is None
+
+
 def test_printed_hours_round_half_to_even(spark):
     hours = [26.5, 27.5, 26.49, 80.0, 0.5]
     found = evaluate(spark, hours, clock.whole_hours, "double")

@@ -92,6 +92,12 @@ def test_decisions_of_a_first_run(spark, settings, store):
         ("no database", "missing_database"),
         ("no role", "missing_role"),
     ]
+    assert rows_of(store.read("metrics"), "decision", "requests", "statements") == [
+        ("provision", 2, 8),
+        ("skip_failed", 1, 0),
+        ("skip_missing_fields", 2, 0),
+        ("skip_provisioned", 1, 0),
+    ]
     statements = store.read("statements").filter("urn = 'default role'")
     assert statements.count() == 4
     assert statements.filter("statement like '%TO ROLE BOBS_ROLE'").count() == 4

@@ -1,0 +1,67 @@
+"""Plans as they look when no side is small enough to broadcast."""
+
+import re
+
+import pytest
+
+from checks import fixtures, queries
+
+SF = "/root/testdata/sf0.001"
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "Window", "Python")
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield spark
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.fixture(scope="module")
+def tables(spark, tmp_path_factory):
+    """The derived tables as files, so that plans show the operators only."""
+    folder = tmp_path_factory.mktemp("tables")
+    for name, build in fixtures.STAGED.items():
+        build(spark, SF).write.parquet(f"{folder}/{name}")
+    return str(folder)
+
+
+def plan(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize(
+    "name",
+    [n for n in queries.all_queries() if n[:3] not in ("q43", "q76", "q77", "q79")],
+)
+def test_no_operator_that_does_not_scale(no_broadcast, tables, name):
+    text = plan(queries.all_queries()[name](no_broadcast, tables))
+    assert [bad for bad in FORBIDDEN if bad in text] == []
+
+
+def test_filters_reach_the_nested_scan(spark, tables):
+    from grantline.operators import requests
+
+    frame = requests.approved_requests(
+        requests.flatten(fixtures.nested_requests(spark, tables), fixtures.SETTINGS),
+        fixtures.SETTINGS,
+    ).select("urn", "snowflake_role")
+    text = plan(frame)
+    assert "IsNotNull(created.time)" in text and "EqualTo(type,WOR" in text
+    schema = re.search(r"ReadSchema: (.*)", text).group(1)
+    assert "resultNote" not in schema and "entity" not in schema
+
+
+def test_requests_are_shuffled_by_urn_once(no_broadcast, tables):
+    """Dedup and both state guards share one partitioning of the requests."""
+    text = plan(queries.q41_catchup(no_broadcast, tables))
+    spine = [line for line in text.splitlines() if "Exchange hashpartitioning(urn#" in line]
+    # One for the requests, one each for the failed and the granted URNs.
+    assert len(spine) == 3
+
+
+def test_only_hot_keys_are_broadcast(no_broadcast, tables):
+    text = plan(queries.q41_catchup(no_broadcast, tables))
+    assert text.count("BroadcastExchange") == 1
+    assert ">= 1000000" in text

@@ -123,6 +123,7 @@ def test_each_fault_has_its_reason(spark):
         (changed("created.time", None), "missing:created.time"),
         (changed("created.time", 1.5), "bad_type:created.time"),
         (changed("created.time", "soon"), "bad_type:created.time"),
+        (changed("created.time", "1e400"), "bad_type:created.time"),
         ({**GOOD, "result": 3}, "bad_type:result"),
         ({**GOOD, "entity": {}}, "bad_type:entity"),
         ({**GOOD, "entity": []}, "bad_type:structure"),
