@@ -6,21 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from grantline.functions.identity import non_empty
-
-
-def _text(template: str, **parts: Column) -> Column:
-    """``concat`` of a template whose ``{name}`` marks stand for columns."""
-    pieces: list[Column] = []
-    rest = template
-    while rest:
-        head, brace, tail = rest.partition("{")
-        if head:
-            pieces.append(F.lit(head))
-        if not brace:
-            break
-        name, _, rest = tail.partition("}")
-        pieces.append(parts[name])
-    return F.concat(*pieces)
+from grantline.functions.text import fill
 
 
 # The statements the target warehouse understands.
@@ -49,14 +35,14 @@ def _branch(
 ) -> Column:
     parts = {"d": database, "s": schema, "r": role}
     return F.when(
-        non_empty(schema).isNotNull(), F.array(*[_text(t, **parts) for t in with_schema])
-    ).otherwise(F.array(*[_text(t, **parts) for t in without_schema]))
+        non_empty(schema).isNotNull(), F.array(*[fill(t, **parts) for t in with_schema])
+    ).otherwise(F.array(*[fill(t, **parts) for t in without_schema]))
 
 
 def _with_warehouse(statements: Column, role: Column, warehouse: str | None) -> Column:
     if not warehouse:
         return statements
-    extra = _text(GRANT_WAREHOUSE, w=F.lit(warehouse), r=role)
+    extra = fill(GRANT_WAREHOUSE, w=F.lit(warehouse), r=role)
     return F.concat(statements, F.array(extra))
 
 
@@ -110,4 +96,4 @@ def revoke_report(role: Column, database: Column, schema: Column) -> Column:
 
 
 def role_grant_statement(target_role: Column, grantee_role: Column) -> Column:
-    return _text(GRANT_ROLE, a=target_role, b=grantee_role)
+    return fill(GRANT_ROLE, a=target_role, b=grantee_role)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grantline.operators.requests import first_per_urn, slim
+from grantline.operators.requests import first_per_urn, lookup, slim
+from grantline.operators.skew import spread_join
 from grantline.settings import CHANGE_ASPECT, CHANGE_ENTITY_TYPE, CHANGE_EVENT_TYPE
 
 
@@ -29,13 +30,14 @@ def changed_urns(routed: DataFrame) -> DataFrame:
 def matched_requests(changed: DataFrame, flat: DataFrame) -> DataFrame:
     """Current requests of the changed URNs, ``seq`` replaced by the event order.
 
-    One inner join: the changed URNs of a batch are unique and the small side.
+    One join, the changed URNs of a batch being the small side; if the listing holds
+    copies of a request they are spread, and collapse before they are shuffled.
     """
-    found = first_per_urn(slim(flat).join(changed, "urn"))
+    found = first_per_urn(spread_join(slim(flat), changed, "urn", F.col("seq")))
     return found.withColumn("seq", F.col("first_event")).drop("first_event")
 
 
 def unmatched_urns(changed: DataFrame, flat: DataFrame) -> DataFrame:
     """Changed URNs without a request."""
-    known = flat.join(changed.select("urn"), "urn", "left_semi").select("urn")
+    known = lookup(flat, changed).select("urn").distinct()
     return changed.join(known, "urn", "left_anti")

@@ -7,9 +7,18 @@ from pyspark.sql import functions as F
 
 from grantline.functions import clock
 from grantline.functions.identity import non_empty
+from grantline.functions.text import fill
 from grantline.operators import statements
 from grantline.settings import ESCALATION, WARNING, Settings
 
+# Subjects, with the names of the two systems and the hours filled in.
+APPROVAL_SUBJECT = "✅ Your {catalog} access request has been approved"
+DENIAL_SUBJECT = "❌ Your {catalog} access request has been denied"
+WARNING_SUBJECT = "⚠️ Action required: access request pending for {hours}h"
+ESCALATION_SUBJECT = "🚨 Escalation: access request pending {hours}h — immediate action required"
+FAILURE_SUBJECT = "⚠️ {catalog} access request could not be provisioned"
+REVOCATION_SUBJECT = "🔒 Your {target} access has expired and been revoked"
+
 # What mails show where a value is missing.
 NOTHING = "—"
 ALL_SCHEMAS_TEXT = "(all schemas)"
@@ -60,7 +69,7 @@ def approval(granted: DataFrame, settings: Settings) -> DataFrame:
         granted,
         F.lit("approval"),
         "requestor_email",
-        F.lit(f"✅ Your {settings.catalog_name} access request has been approved"),
+        F.lit(APPROVAL_SUBJECT.format(catalog=settings.catalog_name)),
         {
             "resource": _or("resource", NOTHING),
             "database": _or("snowflake_database", NOTHING),
@@ -78,7 +87,7 @@ def denial(denied: DataFrame, settings: Settings) -> DataFrame:
         denied,
         F.lit("denial"),
         "requestor_email",
-        F.lit(f"❌ Your {settings.catalog_name} access request has been denied"),
+        F.lit(DENIAL_SUBJECT.format(catalog=settings.catalog_name)),
         {"resource": _or("resource", NOTHING), "note": _or("note", NO_REASON)},
     )
 
@@ -88,15 +97,8 @@ def sla(breaches: DataFrame, settings: Settings) -> DataFrame:
     hours = clock.whole_hours(F.col("pending_hours")).cast("string")
     escalated = F.col("sla_class") == ESCALATION
     leads = F.array(*[F.lit(a) for a in settings.escalation_recipients]).cast("array<string>")
-    subject = F.when(
-        escalated,
-        F.concat(
-            F.lit("🚨 Escalation: access request pending "),
-            hours,
-            F.lit("h — immediate action required"),
-        ),
-    ).otherwise(
-        F.concat(F.lit("⚠️ Action required: access request pending for "), hours, F.lit("h"))
+    subject = F.when(escalated, fill(ESCALATION_SUBJECT, hours=hours)).otherwise(
+        fill(WARNING_SUBJECT, hours=hours)
     )
     return _notice(
         breaches,
@@ -118,7 +120,7 @@ def failure(failed: DataFrame, settings: Settings) -> DataFrame:
         failed,
         F.lit("failure"),
         "requestor_email",
-        F.lit(f"⚠️ {settings.catalog_name} access request could not be provisioned"),
+        F.lit(FAILURE_SUBJECT.format(catalog=settings.catalog_name)),
         {
             "resource": _or("resource", NOTHING),
             "database": _or("snowflake_database", NOTHING),
@@ -136,7 +138,7 @@ def revocation(revoked: DataFrame, settings: Settings) -> DataFrame:
         named,
         F.lit("revocation"),
         "requestor_email",
-        F.lit(f"🔒 Your {settings.target_name} access has expired and been revoked"),
+        F.lit(REVOCATION_SUBJECT.format(target=settings.target_name)),
         {
             "database": F.col("snowflake_database"),
             "schema": _or("snowflake_schema", ALL_SCHEMAS_TEXT),

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from grantline.functions import forms
+from grantline.operators.skew import spread_join
 from grantline.settings import (
     ACCEPTED,
     COMPLETED,
@@ -121,8 +122,9 @@ def pending_requests(flat: DataFrame) -> DataFrame:
 
 
 def lookup(requests: DataFrame, urns: DataFrame) -> DataFrame:
-    """Rows of the given URNs (a frame with a column ``urn``)."""
-    return requests.join(urns.select("urn"), "urn", "left_semi")
+    """Rows of the given URNs (a frame with a column ``urn``), copies included."""
+    wanted = urns.select("urn").distinct()
+    return spread_join(requests, wanted, "urn", F.col("seq"), "left_semi")
 
 
 def first_per_urn(requests: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from grantline import schemas
+from grantline.operators.requests import first_per_urn
 
 BUCKET = "urn_bucket"
 
@@ -193,14 +194,16 @@ def bucket_of(urn: Column, buckets: int) -> Column:
 
 
 def write_current_requests(requests: DataFrame, path: str, buckets: int) -> None:
-    """Current requests laid out for look-ups by URN.
+    """Current requests, one row per URN, laid out for look-ups by URN.
 
     Partitioned by a hash of the URN and range-split by URN inside, so that a large
     bucket is written by several tasks, a look-up reads one directory and few row
     groups, and a join with a small set of URNs prunes directories at run time.
     """
     (
-        requests.withColumn(BUCKET, bucket_of(F.col("urn"), buckets))
+        first_per_urn(requests)
+        .select(*schemas.ACTION_REQUESTS.names)
+        .withColumn(BUCKET, bucket_of(F.col("urn"), buckets))
         .repartitionByRange(BUCKET, "urn")
         .sortWithinPartitions(BUCKET, "urn")
         .write.mode("overwrite")

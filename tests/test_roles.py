@@ -3,7 +3,7 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from grantline.operators import roles
-from grantline.operators.skew import hot_keys, lookup_join
+from grantline.operators.skew import hot_keys, lookup_join, spread_join
 from tests.builders import flat, flat_row, properties, rows_of
 
 
@@ -126,3 +126,17 @@ def test_hot_rows_spread_over_the_partitions(spark):
         for name, value in before.items():
             spark.conf.set(name, value)
     assert len(sizes) == 4 and max(r["count"] for r in sizes) < 1500
+
+
+def test_spread_join_gives_what_a_join_gives(spark):
+    left = spark.range(2000).select(
+        F.col("id").alias("seq"),
+        F.when(F.col("id") % 3 == 0, F.lit("hot"))
+        .otherwise(F.concat(F.lit("k"), (F.col("id") % 90).cast("string")))
+        .alias("urn"),
+    )
+    right = spark.createDataFrame([("hot", 1), ("k1", 2), ("k2", 3), ("none", 4)], "urn string, n int")
+    for how, columns in (("inner", ("urn", "seq", "n")), ("left_semi", ("urn", "seq"))):
+        found = spread_join(left, right, "urn", F.col("seq"), how)
+        assert found.columns == list(columns)
+        assert rows_of(found, *columns) == rows_of(left.join(right, "urn", how), *columns)
