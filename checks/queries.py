@@ -476,7 +476,7 @@ def q75_sla_pass(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def _store(spark: SparkSession, d: str, name: str) -> StateStore:
+def state_store(spark: SparkSession, d: str, name: str) -> StateStore:
     store = StateStore(spark, scratch_path(spark, name)).ensure()
     store.import_state(
         fx.grants(spark, d), fx.sla_notifications(spark, d), fx.provisioning_errors(spark, d)
@@ -486,7 +486,7 @@ def _store(spark: SparkSession, d: str, name: str) -> StateStore:
 
 def q76_full_pass(spark: SparkSession, d: str) -> DataFrame:
     """Grants after a written run, repeated under its id and followed by a second run."""
-    store = _store(spark, d, "full")
+    store = state_store(spark, d, "full")
     for run_id in ("run-1", "run-1", "run-2"):
         state = catchup.run(
             store, fx.flat_requests(spark, d), _properties(spark, d), S, run_id, fx.execute
@@ -495,7 +495,7 @@ def q76_full_pass(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _stream(spark: SparkSession, d: str, dedup_within: str | None) -> DataFrame:
-    store = _store(spark, d, "live")
+    store = state_store(spark, d, "live")
     files = f"{store.root}/events"
     fx.change_events(spark, d).repartitionByRange(4, "event_id").write.parquet(files)
     current = f"{store.root}/current"

@@ -1,4 +1,4 @@
-"""Places that outlive an executor: reliable checkpoints and scratch tables."""
+"""Intermediate tables that outlive an executor."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_LOCAL: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -18,24 +19,22 @@ def shared_folder(spark: SparkSession) -> str:
     """
     named = spark.conf.get(_SETTING, None)
     if named:
-        return named
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {_SETTING} to a folder that all executors can reach")
-    current = context.getCheckpointDir()
-    if current:
-        return current.rsplit("/", 1)[0]
-    return tempfile.mkdtemp(prefix="grantline-")
-
-
-def checkpoint(frame: DataFrame) -> DataFrame:
-    """Materialise a frame reliably and cut its lineage."""
-    context = frame.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(shared_folder(frame.sparkSession))
-    return frame.checkpoint(eager=True)
+    if not _LOCAL:
+        _LOCAL.append(tempfile.mkdtemp(prefix="grantline-"))
+    return _LOCAL[0]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for a table that one job writes and the next reads."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def written(frame: DataFrame, name: str) -> DataFrame:
+    """Write a frame to a fresh table and read it back: computed once, lineage cut."""
+    spark = frame.sparkSession
+    path = scratch_path(spark, name)
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)

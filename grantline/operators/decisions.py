@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from grantline.checkpoints import written
 from grantline.functions import clock, identity
 from grantline.operators import guards, requests, roles, sequence
 from grantline.settings import Settings
@@ -88,7 +89,10 @@ def _resolve_and_flag(
         flagged = guards.flag(flagged, granted_urns, "provisioned")
         needed = may_go & ~F.col("provisioned")
         return roles.resolve_roles(flagged, default_roles, settings, needed, counted)
-    resolved = roles.resolve_roles(flagged, default_roles, settings, eligible, counted)
+    # Needed several times by the guard, so resolved once.
+    resolved = written(
+        roles.resolve_roles(flagged, default_roles, settings, eligible, counted), "resolved"
+    )
     turns = resolved.filter(eligible).select(
         "urn",
         "seq",

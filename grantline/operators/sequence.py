@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from grantline.checkpoints import checkpoint
+from grantline.checkpoints import written
 from grantline.functions.identity import non_empty
 
 KEY = ["snowflake_role", "snowflake_database", "snowflake_schema"]
@@ -50,17 +50,18 @@ def already_latest(requests: DataFrame, active: DataFrame) -> DataFrame:
     turns = held.join(
         sure.withColumnRenamed("key", "home"), "home", "left"
     ).withColumnRenamed("sure", "overwritten")
-    turns = checkpoint(turns)
+    turns = written(turns, "turns")
     moved = F.col("ready") & (F.col("key") != F.col("home"))
     following = not turns.filter(moved).isEmpty()
     while following:
         granted = _turns_per_urn(turns).filter(F.col("granted") & F.col("ready"))
         earlier = granted.groupBy(F.col("key").alias("home")).agg(F.min("seq").alias("by_move"))
-        followed = checkpoint(
+        followed = written(
             turns.join(earlier, "home", "left")
             .withColumn("before", F.col("overwritten"))
             .withColumn("overwritten", F.least("overwritten", "by_move"))
-            .drop("by_move")
+            .drop("by_move"),
+            "turns",
         )
         changed = ~F.col("before").eqNullSafe(F.col("overwritten"))
         following = not followed.filter(changed).isEmpty()

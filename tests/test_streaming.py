@@ -8,7 +8,7 @@ from grantline.plans import live
 from grantline.sources.events import stream_events
 from grantline.state.store import StateStore
 from grantline.streaming import live as stream
-from tests.builders import flat, flat_row, properties, rows_of
+from tests.builders import flat, flat_row, grants, no_errors, no_sla, properties, rows_of
 
 CHANGE = "MetadataChangeLogEvent_v1"
 STATUS = "actionRequestStatus"
@@ -86,6 +86,24 @@ def test_live_pass_consults_errors_only_when_asked(spark, settings, store):
         assert rows_of(decided, "urn", "decision") == [("approved", expected)]
 
 
+@pytest.mark.parametrize(
+    ("order", "first"),
+    [(("approved", "second"), "skip_provisioned"), (("second", "approved"), "provision")],
+)
+def test_latest_guard_follows_the_order_of_events(spark, settings, store, order, first):
+    """The row of "approved" is overwritten only if "second" comes before it."""
+    held = ("ANALYST_ROLE", "PROD", "SALES", "approved", None, 0, None, None)
+    store.import_state(grants(spark, held), no_sla(spark), no_errors(spark))
+    config = replace(settings, guard="latest")
+    frame = event_rows(spark, *order, "denied")
+    decided = live.decide(frame, requests(spark), store.state(), props(spark), config)
+    assert rows_of(decided, "urn", "decision") == [
+        ("approved", first),
+        ("denied", "deny"),
+        ("second", "provision"),
+    ]
+
+
 def run_stream(spark, store, folder, settings, **options):
     query = stream.start(
         stream_events(spark, str(folder), max_files_per_trigger=1),
