@@ -85,9 +85,10 @@ def _settled(spark: SparkSession, d: str, state: State | None = None) -> approva
 
 
 def _live_decided(spark: SparkSession, d: str) -> DataFrame:
+    changed = live.changes(fx.change_events(spark, d))
     return live.decide(
-        fx.change_events(spark, d),
-        fx.flat_requests(spark, d),
+        changed,
+        requests.lookup(fx.flat_requests(spark, d), changed),
         _state(spark, d),
         _properties(spark, d),
         S,
@@ -503,7 +504,9 @@ def _stream(spark: SparkSession, d: str, dedup_within: str | None) -> DataFrame:
     query = live_stream.start(
         stream_events(spark, files, max_files_per_trigger=2),
         store,
-        lambda: requests.flatten(request_source.read_current_requests(spark, current), S),
+        lambda changed: request_source.bucket_lookup(
+            request_source.read_current_requests(spark, current), changed, 8
+        ),
         _properties(spark, d),
         S,
         f"{store.root}/checkpoint",

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from grantline.operators.requests import first_per_urn, lookup, slim
-from grantline.operators.skew import spread_join
 from grantline.settings import CHANGE_ASPECT, CHANGE_ENTITY_TYPE, CHANGE_EVENT_TYPE
 
 
@@ -30,10 +29,9 @@ def changed_urns(routed: DataFrame) -> DataFrame:
 def matched_requests(changed: DataFrame, flat: DataFrame) -> DataFrame:
     """Current requests of the changed URNs, ``seq`` replaced by the event order.
 
-    One join, the changed URNs of a batch being the small side; if the listing holds
-    copies of a request they are spread, and collapse before they are shuffled.
+    Copies in a listing collapse before they are shuffled.
     """
-    found = first_per_urn(spread_join(slim(flat), changed, "urn", F.col("seq")))
+    found = first_per_urn(slim(flat)).join(changed, "urn")
     return found.withColumn("seq", F.col("first_event")).drop("first_event")
 
 

@@ -5,20 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grantline.operators import decisions, events, notices
+from grantline.operators import decisions, events, notices, requests
 from grantline.settings import Settings
 from grantline.state.store import State
 
 
+def changes(event_rows: DataFrame) -> DataFrame:
+    """``(urn, first_event, events)`` of the status changes among the events."""
+    return events.changed_urns(events.routed_events(event_rows))
+
+
 def decide(
-    event_rows: DataFrame,
-    flat: DataFrame,
+    changed: DataFrame,
+    found: DataFrame,
     state: State,
     user_properties: DataFrame,
     settings: Settings,
 ) -> DataFrame:
-    """One decision per changed request, however many events named it."""
-    changed = events.changed_urns(events.routed_events(event_rows))
+    """One decision per changed request, however many events named it.
+
+    ``found`` holds the current requests of those URNs, nested or flat; requests that
+    did not change are ignored. Looking them up before their forms are unpacked keeps
+    the work in proportion to the batch.
+    """
+    flat = requests.flatten(found, settings) if "params" in found.columns else found
     return decisions.live_decisions(
         events.matched_requests(changed, flat),
         state.grants,

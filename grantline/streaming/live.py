@@ -37,7 +37,7 @@ def batch_run_id(prefix: str, batch_id: int) -> str:
 def handle_batch(
     store: StateStore,
     batch: DataFrame,
-    read_current: Callable[[], DataFrame],
+    find: Callable[[DataFrame], DataFrame],
     user_properties: DataFrame,
     settings: Settings,
     run_id: str,
@@ -45,13 +45,16 @@ def handle_batch(
 ) -> None:
     """One micro-batch under one run id: a repeated batch replaces what it wrote.
 
-    ``read_current`` is called per batch so that the requests are those of now.
+    ``find`` gives the requests of the changed URNs as they are now, for example by
+    :func:`grantline.sources.requests.bucket_lookup`.
     """
+    # Written first: the micro-batch is computed once, whatever is done with it.
+    changed = store.write("changes", live.changes(batch), run_id, "live")
     state = store.state(run_id, settings.count_dry_runs)
     sent = store.earlier("notifications", run_id)
     decided = store.write(
         "decisions",
-        live.decide(batch, read_current(), state, user_properties, settings),
+        live.decide(changed, find(changed), state, user_properties, settings),
         run_id,
         "live",
     )
@@ -63,7 +66,7 @@ def handle_batch(
 def start(
     stream: DataFrame,
     store: StateStore,
-    read_current: Callable[[], DataFrame],
+    find: Callable[[DataFrame], DataFrame],
     user_properties: DataFrame,
     settings: Settings | Callable[[], Settings],
     checkpoint: str,
@@ -83,7 +86,7 @@ def start(
         handle_batch(
             store,
             batch,
-            read_current,
+            find,
             user_properties,
             now,
             batch_run_id(prefix, batch_id),

@@ -65,3 +65,16 @@ def test_only_hot_keys_are_broadcast(no_broadcast, tables):
     text = plan(queries.q41_catchup(no_broadcast, tables))
     assert text.count("BroadcastExchange") == 1
     assert ">= 1000000" in text
+
+
+def test_only_requests_of_the_batch_are_unpacked(no_broadcast, tables):
+    """The semi-join with the changed URNs lies below the unpacking of forms."""
+    from grantline.operators import requests
+    from grantline.plans import live
+
+    changed = live.changes(fixtures.change_events(no_broadcast, tables))
+    found = requests.lookup(fixtures.nested_requests(no_broadcast, tables), changed)
+    lines = plan(requests.flatten(found, fixtures.SETTINGS)).splitlines()
+    unpacking = max(i for i, line in enumerate(lines) if "lambdafunction" in line)
+    semi = min(i for i, line in enumerate(lines) if "LeftSemi" in line)
+    assert unpacking < semi

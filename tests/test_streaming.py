@@ -60,7 +60,7 @@ def test_live_decisions(spark, settings, store):
     frame = event_rows(
         spark, "second", "approved", "denied", "open", "other", "bare", "approved", "nowhere"
     )
-    decided = live.decide(frame, requests(spark), store.state(), props(spark), settings)
+    decided = live.decide(live.changes(frame), requests(spark), store.state(), props(spark), settings)
     assert rows_of(decided, "urn", "decision", "events", "seq") == [
         ("approved", "provision", 2, 1),
         ("bare", "skip_missing_fields", 1, 5),
@@ -82,7 +82,7 @@ def test_live_pass_consults_errors_only_when_asked(spark, settings, store):
     frame = event_rows(spark, "approved")
     for check, expected in ((False, "provision"), (True, "skip_failed")):
         config = replace(settings, check_failures_live=check)
-        decided = live.decide(frame, requests(spark), store.state(), props(spark), config)
+        decided = live.decide(live.changes(frame), requests(spark), store.state(), props(spark), config)
         assert rows_of(decided, "urn", "decision") == [("approved", expected)]
 
 
@@ -96,7 +96,7 @@ def test_latest_guard_follows_the_order_of_events(spark, settings, store, order,
     store.import_state(grants(spark, held), no_sla(spark), no_errors(spark))
     config = replace(settings, guard="latest")
     frame = event_rows(spark, *order, "denied")
-    decided = live.decide(frame, requests(spark), store.state(), props(spark), config)
+    decided = live.decide(live.changes(frame), requests(spark), store.state(), props(spark), config)
     assert rows_of(decided, "urn", "decision") == [
         ("approved", first),
         ("denied", "deny"),
@@ -108,7 +108,7 @@ def run_stream(spark, store, folder, settings, **options):
     query = stream.start(
         stream_events(spark, str(folder), max_files_per_trigger=1),
         store,
-        lambda: requests(spark),
+        lambda changed: requests(spark),
         props(spark),
         settings,
         str(folder) + "-checkpoint",
@@ -154,7 +154,7 @@ def test_stream_equals_one_batch(spark, settings, store, tmp_path):
     frame.repartitionByRange(3, "event_id").write.parquet(str(folder))
     run_stream(spark, store, folder, settings)
     before = StateStore(spark, str(tmp_path / "before")).ensure().state()
-    decided = live.decide(frame, requests(spark), before, props(spark), settings)
+    decided = live.decide(live.changes(frame), requests(spark), before, props(spark), settings)
     batch = [(u, d) for u, d in rows_of(decided, "urn", "decision") if d in ("provision", "deny")]
     assert actions(store) == batch
 
@@ -163,7 +163,7 @@ def test_a_repeated_batch_replaces_itself(spark, settings, store):
     batch = event_rows(spark, "approved", "denied")
     for _ in range(2):
         stream.handle_batch(
-            store, batch, lambda: requests(spark), props(spark), settings, "live-0"
+            store, batch, lambda changed: requests(spark), props(spark), settings, "live-0"
         )
         assert actions(store) == EXPECTED[:2]
         assert store.read("statements").count() == 4
@@ -185,10 +185,10 @@ def test_an_interrupted_batch_is_completed(spark, settings, store):
 
     store.write = broken
     with pytest.raises(Stop):
-        stream.handle_batch(store, batch, lambda: requests(spark), props(spark), settings, "b0")
+        stream.handle_batch(store, batch, lambda changed: requests(spark), props(spark), settings, "b0")
     store.write = write
     assert store.state().journal.count() == 1
-    stream.handle_batch(store, batch, lambda: requests(spark), props(spark), settings, "b0")
+    stream.handle_batch(store, batch, lambda changed: requests(spark), props(spark), settings, "b0")
     assert store.state().journal.count() == 1
     assert store.read("notifications").filter("type = 'approval'").count() == 1
 
@@ -198,6 +198,6 @@ def test_denials_can_be_mailed_for_every_event(spark, settings, store):
     batch = event_rows(spark, "denied", "denied", "denied")
     for run_id, config, total in (("b0", settings, 1), ("b1", settings, 1), ("b2", each, 4)):
         stream.handle_batch(
-            store, batch, lambda: requests(spark), props(spark), config, run_id, outcomes.all_ok
+            store, batch, lambda changed: requests(spark), props(spark), config, run_id, outcomes.all_ok
         )
         assert store.read("notifications").filter("type = 'denial'").count() == total
