@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grantline.llm import near_dedup, substring_dedup
+import public_tokenizers
+from grantline.llm import bpe, near_dedup, packing, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +17,28 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _tokenizer() -> str:
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = bpe.encode(docs, _tokenizer()).select("doc_id", "token_ids")
+    return bpe.decode(coded, _tokenizer()).select(
+        "doc_id",
+        F.expr("octet_length(token_ids) div 4").alias("n_tokens"),
+        F.sha2("token_ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return packing.pack(packing.pieces(docs, _tokenizer())).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+    )
+
+
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), shingle=4)
 
