@@ -8,7 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from grantline.llm import bpe, near_dedup, packing, substring_dedup
+from grantline.llm import (
+    bpe,
+    compression_quality,
+    near_dedup,
+    packing,
+    substring_dedup,
+    target_ratio,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +46,20 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = compression_quality.fit(docs, _table(spark, sf_dir, "labels"))
+    return compression_quality.score(docs, model)
+
+
+def op7_target_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    table = target_ratio.ratios(docs, _table(spark, sf_dir, "labels"))
+    return target_ratio.judged(docs, table).select(
+        "doc_id", *target_ratio.RESULTS, "base_failed", "kept", "target_score"
+    )
+
+
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), shingle=4)
 
