@@ -1,0 +1,189 @@
+"""Language-model scoring by cross-entropy difference.
+
+Method: two bigram models over one vocabulary, the target model from trusted documents, the
+background model from all documents, of the same order, size and smoothing. The score of a
+document is its loss per token under the target model less that under the background model;
+the lower, the more it reads like the target.
+
+The vocabulary has the ``WORDS`` most frequent words (A to Z lower-cased) of the corpus and
+``ENDINGS`` classes for all others, by their hash; how a rare word is spelt within its class
+costs the same in both models. With ``SYMBOLS`` symbols a model is an exact table of
+``SYMBOLS ** 2`` counts, whatever the corpus: tasks count whole partitions, and their
+compressed counts are added in groups of ``FAN_IN`` per band of the table, level by level.
+So neither a frequent word nor a long text loads one task, and the tables that are broadcast
+have a fixed size.
+
+The target is a bounded, documented sample of labelled rows: the ``TRUSTED`` smallest ids
+by hash among those labelled good. All other statistics cover every document.
+
+Defined results: null or empty texts have no tokens, losses of 0 and a score of 0. Rows
+that repeat are counted and scored each. A null id is never trusted. Without a target the
+target model is uniform. Only the id and text columns are read.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from grantline.checkpoints import written
+from grantline.llm import blocks, words
+
+WORDS = 1920
+ENDINGS = 127
+SYMBOLS = WORDS + ENDINGS + 1  # the last one begins a document
+TRUSTED = 20_000
+PRIOR = 20.0
+BANDS = 64
+FAN_IN = 64
+_CELLS = SYMBOLS * SYMBOLS
+
+
+def _flagged(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    good = labels.where("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
+    trusted = good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRUSTED)
+    return (
+        docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+        .join(F.broadcast(trusted), F.col("id") == F.col("doc_id"), "left")
+        .select("id", "text", F.col("doc_id").isNotNull().alias("trusted"))
+    )
+
+
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in words.slices(batch, "text"):
+            hashes = words.word_hashes(words.scan(part["text"], lower=True))
+            found, counts = np.unique(hashes, return_counts=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found.view(np.int64)), pa.array(counts.astype(np.int64))], ["word", "n"]
+            )
+
+
+def vocabulary(docs: DataFrame, text_col: str = "text") -> np.ndarray:
+    """Hashes of the most frequent words of all texts, sorted; ties by hash."""
+    counted = docs.select(F.col(text_col).alias("text")).mapInArrow(
+        _count_words, "word long, n long"
+    )
+    total = counted.groupBy("word").agg(F.sum("n").alias("n"))
+    top = total.orderBy(F.desc("n"), "word").limit(WORDS).collect()
+    return np.sort(np.array([r.word for r in top], np.int64).view(np.uint64))
+
+
+class _Symbols:
+    """Symbol numbers of the words of a slice, with the symbol before each."""
+
+    def __init__(self, texts: pa.ChunkedArray, vocabulary: np.ndarray):
+        scan = words.scan(texts, lower=True)
+        hashes = words.word_hashes(scan)
+        self.counts = scan.counts
+        self.owners = scan.owners()
+        current = WORDS + (hashes % np.uint64(ENDINGS)).astype(np.int64)
+        if len(vocabulary):
+            place = np.minimum(np.searchsorted(vocabulary, hashes), len(vocabulary) - 1)
+            known = vocabulary[place] == hashes
+            current[known] = place[known]
+        previous = np.empty_like(current)
+        previous[1:] = current[:-1]
+        previous[scan.first[:-1][self.counts > 0]] = SYMBOLS - 1
+        self.cells = previous * SYMBOLS + current
+
+
+def _counter(shared):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals = np.zeros((2, _CELLS), np.int64)
+        for batch in batches:
+            for part in words.slices(batch, "text"):
+                symbols = _Symbols(part["text"], shared.value)
+                trusted = part["trusted"].to_numpy()[symbols.owners]
+                totals[0] += np.bincount(symbols.cells[trusted], minlength=_CELLS)
+                totals[1] += np.bincount(symbols.cells, minlength=_CELLS)
+        if totals[1].any():
+            bands = np.split(totals.reshape(2, BANDS, -1), BANDS, axis=1)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(range(BANDS), pa.int64()),
+                    pa.array([blocks.packed(band.ravel()) for band in bands], pa.binary()),
+                ],
+                ["band", "counts"],
+            )
+
+    return count
+
+
+def _added(table: pa.Table) -> pa.Table:
+    total = np.zeros(2 * _CELLS // BANDS, np.int64)
+    for data in table["counts"].to_pylist():
+        total += blocks.unpacked(data, "<i8", len(total))
+    return pa.table(
+        {"band": table["band"][:1], "counts": pa.array([blocks.packed(total)], pa.binary())}
+    )
+
+
+def _tables(flagged: DataFrame, vocabulary: np.ndarray) -> np.ndarray:
+    """Counts of both models, added up band by band with a bounded fan-in."""
+    shared = flagged.sparkSession.sparkContext.broadcast(vocabulary)
+    parts = written(
+        flagged.select("text", "trusted").mapInArrow(_counter(shared), "band long, counts binary"),
+        "counts",
+    )
+    while (left := parts.count()) > BANDS:
+        groups = -(-left // (BANDS * FAN_IN))
+        dealt = parts.withColumn("g", F.pmod(F.xxhash64("counts"), F.lit(groups)))
+        parts = written(
+            dealt.groupBy("band", "g").applyInArrow(_added, "band long, counts binary"), "counts"
+        )
+    result = np.zeros((2, BANDS, _CELLS // BANDS), np.int64)
+    for row in parts.collect():
+        result[:, row.band] = blocks.unpacked(row.counts, "<i8", 2 * _CELLS // BANDS).reshape(2, -1)
+    return result.reshape(2, SYMBOLS, SYMBOLS)
+
+
+def _losses(counts: np.ndarray) -> np.ndarray:
+    """Negative log probability of each bigram; a Dirichlet prior mixes in the unigrams."""
+    unigrams = counts.sum(axis=0) + 1.0
+    unigrams /= unigrams.sum()
+    context = counts.sum(axis=1, keepdims=True)
+    return -np.log((counts + PRIOR * unigrams) / (context + PRIOR)).astype(np.float32)
+
+
+def score(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """One row per document: the id, ``n_tokens``, ``target_loss``, ``background_loss`` (nats
+    per token) and ``score``, their difference."""
+    context = docs.sparkSession.sparkContext
+    known = vocabulary(docs, text_col)
+    counts = _tables(_flagged(docs, labels, id_col, text_col), known)
+    model = context.broadcast((known, _losses(counts[0]).ravel(), _losses(counts[1]).ravel()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary, target, background = model.value
+        for batch in batches:
+            for part in words.slices(batch, "text"):
+                symbols = _Symbols(part["text"], vocabulary)
+                size = np.maximum(symbols.counts, 1)
+                means = [
+                    np.bincount(symbols.owners, t[symbols.cells], len(size)) / size
+                    for t in (target, background)
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part["id"].combine_chunks(),
+                        pa.array(symbols.counts, pa.int64()),
+                        pa.array(means[0], pa.float64()),
+                        pa.array(means[1], pa.float64()),
+                        pa.array(means[0] - means[1], pa.float64()),
+                    ],
+                    ["id", "n_tokens", "target_loss", "background_loss", "score"],
+                )
+
+    id_type = docs.schema[id_col].dataType.simpleString()
+    result = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
+        run,
+        f"id {id_type}, n_tokens long, target_loss double, background_loss double, score double",
+    )
+    return result.withColumnRenamed("id", id_col)

@@ -11,6 +11,8 @@ import public_tokenizers
 from grantline.llm import (
     bpe,
     compression_quality,
+    lm_difference,
+    max_score,
     near_dedup,
     packing,
     substring_dedup,
@@ -46,6 +48,11 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_max_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return max_score.top_k(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 def op6_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = compression_quality.fit(docs, _table(spark, sf_dir, "labels"))
@@ -71,10 +78,62 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_lm_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return lm_difference.score(docs, _table(spark, sf_dir, "labels"))
+
+
 def all_queries() -> dict[str, Query]:
     found = {n: v for n, v in globals().items() if n.startswith("op") and callable(v)}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
 
 
+#: Reference SQL on the given tables, where SQL can express the query.
+ORACLES = {
+    "op5_max_score": """
+        WITH v AS (
+          SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e
+          FROM embeddings
+          WHERE embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), s AS (
+          SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+          FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id
+        ), r AS (
+          SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+          FROM s
+        )
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10
+    """,
+    "op9_substring_dedup": """
+        WITH w AS (
+          SELECT doc_id,
+            regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words
+          FROM documents
+        ), s AS (
+          SELECT doc_id, unnest(range(1, len(words) - 11)) AS b, words FROM w
+        ), x AS (
+          SELECT doc_id, b, list_slice(words, b, b + 12) AS passage FROM s
+        ), f AS (
+          SELECT passage, min(doc_id) AS first_id FROM x GROUP BY passage
+        ), g AS (
+          SELECT DISTINCT doc_id, unnest(range(b, b + 13)) AS place
+          FROM x JOIN f USING (passage) WHERE first_id < doc_id
+        ), d AS (
+          SELECT doc_id, list(place) AS places FROM g GROUP BY doc_id
+        ), k AS (
+          SELECT doc_id, words,
+            list_filter(range(1, len(words) + 1),
+              lambda i: NOT coalesce(list_contains(places, i), false)) AS stay
+          FROM w LEFT JOIN d USING (doc_id)
+        )
+        SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words,
+          CAST(len(words) - len(stay) AS BIGINT) AS n_removed,
+          sha256(array_to_string(list_transform(stay, lambda i: words[i]), ' ')) AS kept_sha256
+        FROM k
+    """,
+}
+
+
 def all_oracles() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)
