@@ -17,6 +17,8 @@ from grantline.llm import (
     packing,
     substring_dedup,
     target_ratio,
+    url_rules,
+    warc_revisits,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +43,65 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _captures(pages: DataFrame) -> DataFrame:
+    """Two records for each page: a full response, and a later or (every eleventh) earlier
+    revisit, with validators that agree, differ or are missing."""
+    time = F.lit(1_700_000_000) + F.col("page_id") % 1000 * 3600 + F.col("page_id")
+    again = F.col("page_id") % 3 * 86_400 + 100
+    etag = F.concat(F.lit('"'), F.md5("html"), F.lit('"'))
+    day = F.when(F.col("page_id") % 5 != 0, F.concat(F.lit("day "), F.col("page_id") % 365))
+    full = pages.select(
+        (2 * F.col("page_id")).alias("record_id"),
+        "url",
+        time.alias("time"),
+        F.lit(False).alias("revisit"),
+        etag.alias("etag"),
+        day.alias("last_modified"),
+        F.md5("html").alias("digest"),
+        F.create_map(
+            F.lit("Content-Type"), F.lit("text/html"),
+            F.lit("Content-Length"), F.length("html").cast("string"),
+            F.lit("ETag"), etag,
+            F.lit("Cache-Control"), F.lit("max-age=60"),
+        ).alias("headers"),
+    )
+    revisit = pages.select(
+        (2 * F.col("page_id") + 1).alias("record_id"),
+        F.concat("url", F.lit("#again")).alias("url"),
+        F.when(F.col("page_id") % 11 == 0, time - 10_000_000).otherwise(time + again).alias("time"),
+        F.lit(True).alias("revisit"),
+        F.when(F.col("page_id") % 7 == 0, '"other"')
+        .when(F.col("page_id") % 5 != 1, F.concat(F.lit("W/"), etag))
+        .alias("etag"),
+        day.alias("last_modified"),
+        F.lit(None).cast("string").alias("digest"),
+        F.create_map(
+            F.lit("cache-control"), F.lit("max-age=600"),
+            F.lit("content-length"), F.lit("0"),
+            F.lit("Date"), F.concat(F.lit("d"), F.col("page_id")),
+        ).alias("headers"),
+    )
+    return full.unionByName(revisit)
+
+
+def op2_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = _captures(_table(spark, sf_dir, "pages").where("page_id IS NOT NULL"))
+    pairs = F.transform(
+        F.map_entries("headers"), lambda e: F.concat(e["key"], F.lit("="), e["value"])
+    )
+    return warc_revisits.resolve(records).withColumn(
+        "headers", F.array_join(F.array_sort(pairs), ";")
+    )
+
+
+def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    labelled = url_rules.labelled_pages(pages, _table(spark, sf_dir, "labels"))
+    return url_rules.judge(pages, url_rules.mine(labelled)).select(
+        "page_id", *url_rules.RESULTS
+    )
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return packing.pack(packing.pieces(docs, _tokenizer())).select(
@@ -89,7 +150,111 @@ def all_queries() -> dict[str, Query]:
 
 
 #: Reference SQL on the given tables, where SQL can express the query.
+_TOKENS = """
+    list_sort(list_filter([
+      'scheme:' || split_part(url, '://', 1),
+      'domain:' || array_to_string(list_slice(string_split(host, '.'), -2, -1), '.'),
+      CASE WHEN len(string_split(host, '.')) > 2 THEN 'sub:' || split_part(host, '.', 1) END,
+      CASE WHEN NOT regexp_matches(seg[1], '^[0-9]') THEN 'first:' || seg[1] END,
+      'depth:' || least(len(seg), 5),
+      CASE WHEN regexp_matches(path, '[0-9]') THEN 'number' END,
+      'ending:' || nullif(regexp_extract(path, '\\.(\\w+)$', 1), ''),
+      'key:' || nullif(regexp_extract(url, '\\?(\\w+)=', 1), ''),
+      CASE WHEN contains(url, '#') THEN 'fragment' END
+    ], lambda t: t IS NOT NULL))"""
+_SUBSETS = """
+    list_transform(range(1, CAST(1 << len(tokens) AS BIGINT)),
+      lambda m: list_filter(tokens, lambda t, i: (m >> (i - 1)) & 1 = 1))"""
+
 ORACLES = {
+    "op2_warc_revisits": """
+        WITH p AS (
+          SELECT page_id, md5(html) AS digest, length(html) AS size,
+            1700000000 + page_id % 1000 * 3600 + page_id AS t,
+            CASE WHEN page_id % 5 <> 0 THEN 'day ' || (page_id % 365) END AS day,
+            split_part(trim(url), '#', 1) AS bare
+          FROM pages WHERE page_id IS NOT NULL
+        ), u AS (
+          SELECT *, lower(split_part(bare, '://', 1)) AS scheme,
+            lower(regexp_extract(bare, '^[^:/?]+://([^/?]*)', 1)) AS h,
+            regexp_extract(bare, '^[^:/?]+://[^/?]*([^?]*)', 1) AS path,
+            array_to_string(list_sort(list_filter(
+              string_split(regexp_extract(bare, '\\?([\\s\\S]*)$', 1), '&'),
+              lambda k: k <> '' AND NOT regexp_matches(k, '^utm_'))), '&') AS query
+          FROM p
+        ), k AS (
+          SELECT *, scheme || '://'
+            || regexp_replace(h, CASE WHEN scheme = 'https' THEN ':443$' ELSE ':80$' END, '')
+            || CASE WHEN path = '' THEN '/' ELSE path END
+            || CASE WHEN query = '' THEN '' ELSE '?' || query END AS url_key
+          FROM u
+        ), v AS (
+          SELECT 2 * page_id + 1 AS record_id, page_id, url_key, day,
+            CASE WHEN page_id % 11 = 0 THEN t - 10000000
+              ELSE t + page_id % 3 * 86400 + 100 END AS t,
+            CASE WHEN page_id % 7 = 0 THEN '"other"'
+              WHEN page_id % 5 <> 1 THEN '"' || digest || '"' END AS etag
+          FROM k
+        ), m AS (
+          SELECT v.*, max({'t': k.t, 'id': 2 * k.page_id}) AS found
+          FROM v LEFT JOIN k ON k.url_key = v.url_key AND k.t < v.t
+          GROUP BY ALL
+        )
+        SELECT record_id, m.url_key, found.id AS response_id,
+          CASE WHEN found.id IS NULL THEN 'orphan'
+            WHEN coalesce(etag = '"' || f.digest || '"', m.day = f.day) THEN 'resolved'
+            WHEN coalesce(etag = '"' || f.digest || '"', m.day = f.day) IS NULL THEN 'unverified'
+            ELSE 'changed' END AS outcome,
+          CASE WHEN found.id IS NOT NULL THEN
+            'cache-control=max-age=600;content-length=' || f.size
+            || ';content-type=text/html;date=d' || m.page_id
+            || ';etag="' || f.digest || '"' END AS headers
+        FROM m LEFT JOIN k f ON 2 * f.page_id = found.id
+    """,
+    "op3_url_rules": f"""
+        WITH s AS (
+          SELECT page_id, url,
+            coalesce(translate(regexp_extract(url, '^[\\s\\S]*?://([^/?#]*)', 1),
+              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+            coalesce(regexp_extract(url, '^[\\s\\S]*?://[^/?#]*([^?#]*)', 1), '') AS path
+          FROM pages
+        ), t AS (
+          SELECT *, list_filter(string_split(path, '/'), lambda x: x <> '') AS seg FROM s
+        ), u AS (
+          SELECT *, CASE WHEN host <> '' THEN {_TOKENS} END AS tokens FROM t
+        ), l AS (
+          SELECT doc_id, max(quality = 0 OR coalesce(toxic = 1, false)) AS bad FROM labels
+          WHERE quality IS NOT NULL GROUP BY doc_id
+        ), b AS (
+          SELECT tokens, bad FROM u JOIN l ON doc_id =
+            try_cast(regexp_extract(path, '/([0-9]{{1,18}})(?:/|\\.\\w+)?$', 1) AS BIGINT)
+          WHERE tokens IS NOT NULL
+        ), c AS (
+          SELECT unnest({_SUBSETS}) AS part, bad FROM b
+        ), r AS (
+          SELECT part FROM c GROUP BY part
+          HAVING count(*) FILTER (bad) >= ceil((SELECT count(*) FROM b) * {url_rules.SUPPORT})
+            AND count(*) FILTER (bad) >= {url_rules.CONFIDENCE} * count(*)
+        ), x AS (
+          SELECT DISTINCT page_id FROM (SELECT page_id, unnest({_SUBSETS}) AS part FROM u)
+          JOIN r USING (part)
+        ), f AS (
+          SELECT u.*, CASE
+            WHEN (host = 'example.org' OR ends_with(host, '.example.org'))
+              AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+            WHEN (host = 'example.org' OR ends_with(host, '.example.org'))
+              AND starts_with(path, '/es/') THEN 'example.org/es/'
+            WHEN ends_with('.' || host, '.com') AND starts_with(path, '/fr/') THEN 'com/fr/'
+            WHEN ends_with('.' || host, '.com') AND starts_with(path, '/de/') THEN 'com/de/'
+            WHEN ends_with('.' || host, '.org') AND starts_with(path, '/') THEN 'org/'
+            END AS rule
+          FROM u
+        )
+        SELECT page_id, host, path, rule,
+          CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+            WHEN page_id IN (SELECT page_id FROM x) THEN 'block' ELSE 'allow' END AS verdict
+        FROM f
+    """,
     "op5_max_score": """
         WITH v AS (
           SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e
