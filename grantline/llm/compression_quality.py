@@ -163,6 +163,20 @@ def scores(model: Model, texts: list[bytes]) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x @ np.array(model.weights), -30, 30)))
 
 
+def keep(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, unchanged, that the model predicts to be good."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in words.slices(batch, text_col):
+                texts = [(t or "").encode() for t in part[text_col].to_pylist()]
+                good = scores(shared.value, texts) >= THRESHOLD
+                yield from part.filter(pa.array(good)).combine_chunks().to_batches()
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def score(
     docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:

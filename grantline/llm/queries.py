@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import public_tokenizers
+import corpus_pipeline
 from grantline.llm import (
     bpe,
     compression_quality,
@@ -146,7 +147,8 @@ def op10_lm_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_queries() -> dict[str, Query]:
     found = {n: v for n, v in globals().items() if n.startswith("op") and callable(v)}
-    return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
+    ordered = dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
+    return ordered | {"pipeline": corpus_pipeline.run}
 
 
 #: Reference SQL on the given tables, where SQL can express the query.
