@@ -10,12 +10,17 @@ of similarity 0.8 with a probability of 1 - 6e-6, and more similar ones nearly s
 Candidates are confirmed on full shingle sets, so a link is never wrong. How it runs:
 
 1. Rows with equal shingle sets are one class, led by its smallest id.
-2. Each leader meets the smallest leader with which it shares most keys. These stars are
-   confirmed; they connect a group of copies of any size without listing its pairs.
-3. Keys whose members are still in different components are compared completely, block by
-   block inside tasks. Only pairs of different components, whose signatures are near, leave
-   a task, and they are confirmed, too. No pair is dropped for the size of its group.
-4. Components by star contraction.
+2. Each leader meets one centre: of the leaders with which it shares keys, those that share
+   most keys with others stand for a group. These stars are confirmed; they connect most
+   copies of a group of any size without listing its pairs.
+3. Keys whose members are still in different components are compared completely, in cells of
+   bounded size. Of the pairs in different components with near signatures a task returns
+   a spanning forest only, so what it returns is linear in what it reads. Its trees are the
+   clusters within which all links still missing must lie.
+4. A cluster's texts meet in cells of bounded size, too: those outside its largest component
+   with all of them. A cell confirms near pairs, nearest first, until its components are
+   joined, and returns the links that join them. No pair is dropped for a group's size.
+5. Components by star contraction.
 
 Defined results: null or empty texts have no shingles, link with nothing and are kept. A
 text with fewer words than a shingle is one shingle of all its words. Rows that share an id
@@ -31,7 +36,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from grantline.checkpoints import written
@@ -41,12 +46,12 @@ from grantline.llm.components import components
 SHINGLE = 5
 SIMILARITY = 80  # per cent
 CHUNKS, CHUNK, ERRORS, BITS = 9, 5, 1, 16
-#: Signatures farther apart than this share of positions are not worth confirming: six
-#: standard deviations above what a pair of similarity 0.8 has.
-FAR = 0.56
-#: Members of a group that one task confirms or compares at a time.
-GROUP = 2000
-_LENGTH = CHUNKS * CHUNK
+#: More values that are compared but not indexed, and the share of differing ones above
+#: which a pair is not worth confirming: 5.5 standard deviations over similarity 0.8.
+MORE, FAR = 75, 0.4
+#: Members of a group, and shingles of them, that one task confirms or compares at a time.
+GROUP, GROUP_SHINGLES = 2000, 1_000_000
+_LENGTH = CHUNKS * CHUNK + MORE
 _RANDOM = np.random.default_rng(20240601)
 _FACTORS = _RANDOM.integers(0, 1 << 63, _LENGTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADDENDS = _RANDOM.integers(0, 1 << 63, _LENGTH, dtype=np.uint64)
@@ -132,11 +137,11 @@ def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _shared_keys(leaders: DataFrame) -> DataFrame:
-    """Rows ``key, id, first`` of the keys that several leaders have."""
+    """Rows ``key, id, members`` of the keys that several leaders have."""
     keyed = leaders.select("id", "signature").mapInArrow(_keyed, "id long, keys array<long>")
     rows = keyed.select("id", F.explode("keys").alias("key"))
-    several = rows.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last"))
-    return rows.join(several.where("first < last").select("key", "first"), "key")
+    several = rows.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
+    return rows.join(several, "key")
 
 
 def _similar(one: np.ndarray, other: np.ndarray, similarity: int) -> bool:
@@ -188,41 +193,59 @@ def _near(pairs: DataFrame, docs: DataFrame, leaders: DataFrame, shingle: int, s
 
 
 def _stars(shared: DataFrame) -> DataFrame:
-    """For each leader, the smallest leader with which it shares most keys."""
-    counted = shared.where("first < id").groupBy("id", "first").agg(F.count("*").alias("n"))
-    ranked = F.struct(F.col("n"), (-F.col("first")).alias("down"))
-    best = counted.groupBy("id").agg(F.max(ranked).alias("best"))
+    """For each leader the centre with which it shares most keys. A key's centre is the
+    member that meets most others over all its keys; ties to the smaller id."""
+    met = shared.groupBy("id").agg(F.sum("members").alias("met"))
+    rank = F.struct(F.col("met"), (-F.col("id")).alias("down"))
+    centres = shared.join(met, "id").groupBy("key").agg(F.max(rank).alias("best"))
+    pairs = shared.join(centres, "key").select("id", (-F.col("best.down")).alias("centre"))
+    counted = pairs.where("id <> centre").groupBy("id", "centre").agg(F.count("*").alias("n"))
+    often = F.struct(F.col("n"), (-F.col("centre")).alias("down"))
+    best = counted.groupBy("id").agg(F.max(often).alias("best"))
     stars = best.select((-F.col("best.down")).alias("a"), F.col("id").alias("b"))
     size = stars.groupBy("a").agg(F.ceil(F.count("*") / GROUP).alias("parts"))
     return stars.join(size, "a")
 
 
-def _compare(table: pa.Table) -> pa.Table:
-    """Pairs of one cell of a key's members that differ in component and have near signatures."""
-    ids = table["id"].to_numpy()
-    parts = table["part"].to_numpy()
-    component = table["component"].to_numpy()
+def _signature_matrix(table: pa.Table) -> np.ndarray:
     raw = b"".join(table["signature"].to_pylist())
-    values = np.frombuffer(raw, np.uint16).reshape(len(ids), _LENGTH)
+    return np.frombuffer(raw, np.uint16).reshape(table.num_rows, _LENGTH)
+
+
+def _cell_rows(table: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
+    """Each row of a cell's first part with the rows of the second that it has to meet."""
+    parts = table["part"].to_numpy()
     low, high = table["low"][0].as_py(), table["high"][0].as_py()
-    left = np.flatnonzero(parts == low)
-    right = left if low == high else np.flatnonzero(parts == high)
-    found_a, found_b = [], []
+    left, right = np.flatnonzero(parts == low), np.flatnonzero(parts == high)
     for i in left:
-        others = right[(component[right] != component[i])]
-        if low == high:
-            others = others[ids[others] > ids[i]]
+        yield i, right[right > i] if low == high else right
+
+
+def _forest(table: pa.Table) -> pa.Table:
+    """A spanning forest of the pairs that differ in component and have near signatures."""
+    ids, component = table["id"].to_numpy(), table["component"].to_numpy()
+    values = _signature_matrix(table)
+    tree = np.arange(len(ids))
+    edges = []
+    for i, others in _cell_rows(table):
+        others = others[(component[others] != component[i]) & (tree[others] != tree[i])]
         apart = np.count_nonzero(values[others] != values[i], axis=1)
-        hits = ids[others[apart <= FAR * _LENGTH]]
-        found_a.append(np.minimum(hits, ids[i]))
-        found_b.append(np.maximum(hits, ids[i]))
-    return pa.table({"a": np.concatenate(found_a), "b": np.concatenate(found_b)})
+        for j in others[apart <= FAR * _LENGTH]:
+            if tree[j] != tree[i]:
+                edges.append((ids[i], ids[j]))
+                tree[tree == tree[j]] = tree[i]
+    return pa.table({n: pa.array([e[k] for e in edges], pa.int64()) for k, n in enumerate("uv")})
+
 
+def _placed(frame: DataFrame, linked: DataFrame) -> DataFrame:
+    """``frame`` with the ``component`` of each id, itself where it has no link yet."""
+    joined = frame.join(linked, "id", "left")
+    return joined.withColumn("component", F.coalesce("component", "id"))
 
-def _rest(shared: DataFrame, leaders: DataFrame, linked: DataFrame) -> DataFrame:
-    """All candidate pairs that lie in different components so far."""
-    members = shared.select("key", "id").join(linked, "id", "left")
-    members = members.withColumn("component", F.coalesce("component", "id"))
+
+def _clusters(shared: DataFrame, leaders: DataFrame, linked: DataFrame) -> DataFrame:
+    """Edges ``u, v`` that span the near pairs in different components so far."""
+    members = _placed(shared.select("key", "id"), linked)
     mixed = (
         members.groupBy("key")
         .agg(
@@ -233,10 +256,14 @@ def _rest(shared: DataFrame, leaders: DataFrame, linked: DataFrame) -> DataFrame
         .where("x < y")
         .select("key", "parts")
     )
-    open_members = members.join(mixed, "key").join(leaders.select("id", "signature"), "id")
+    dealt = (
+        members.join(mixed, "key")
+        .join(leaders.select("id", "signature"), "id")
+        .withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
+    )
     # A key with many members is a triangle of cells, each with two parts of the members.
-    dealt = open_members.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
-    cells = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
+    cells = dealt.withColumn("other", other).select(
         "key",
         F.least("part", "other").alias("low"),
         F.greatest("part", "other").alias("high"),
@@ -245,8 +272,84 @@ def _rest(shared: DataFrame, leaders: DataFrame, linked: DataFrame) -> DataFrame
         "component",
         "signature",
     )
-    pairs = cells.groupBy("key", "low", "high").applyInArrow(_compare, "a long, b long").distinct()
-    return pairs.withColumn("parts", F.lit(1))
+    return cells.groupBy("key", "low", "high").applyInArrow(_forest, "u long, v long").distinct()
+
+
+def _settler(shingle: int, similarity: int):
+    def settle(table: pa.Table) -> pa.Table:
+        """Links that join components of a cell; near pairs are confirmed, nearest first."""
+        sets = list(_shingle_sets(table["text"], shingle))
+        wanted = table["digest"].to_pylist()
+        table = table.filter(pa.array([_digest(s) == w for s, w in zip(sets, wanted)]))
+        sets = [s for s, w in zip(sets, wanted) if _digest(s) == w]
+        ids, label = table["id"].to_numpy(), table["component"].to_numpy().copy()
+        values = _signature_matrix(table)
+        links = []
+        for i, others in _cell_rows(table) if table.num_rows else ():
+            others = others[label[others] != label[i]]
+            apart = np.count_nonzero(values[others] != values[i], axis=1)
+            for j in others[np.argsort(apart, kind="stable")][: (apart <= FAR * _LENGTH).sum()]:
+                if label[j] != label[i] and _similar(sets[i], sets[j], similarity):
+                    links.append((ids[i], ids[j]))
+                    label[label == label[j]] = label[i]
+        return pa.table(
+            {n: pa.array([x[k] for x in links], pa.int64()) for k, n in enumerate("uv")}
+        )
+
+    return settle
+
+
+def _settled(
+    clusters: DataFrame,
+    docs: DataFrame,
+    leaders: DataFrame,
+    linked: DataFrame,
+    shingle: int,
+    similarity: int,
+) -> DataFrame:
+    """Links within clusters (``id, cluster``) that join components."""
+    members = written(_placed(clusters.join(leaders, "id"), linked), "members")
+    sizes = members.groupBy("cluster", "component").agg(F.count("*").alias("n"))
+    largest = sizes.groupBy("cluster").agg(
+        F.max(F.struct(F.col("n"), (-F.col("component")).alias("down"))).alias("top")
+    )
+    sided = members.join(largest, "cluster").withColumn(
+        "minor", F.col("component") != -F.col("top.down")
+    )
+
+    def parts(side: Column) -> Column:
+        count, shingles = F.count_if(side), F.sum(F.when(side, F.col("n_shingles")))
+        wanted = F.greatest(count / GROUP, F.coalesce(shingles, F.lit(0)) / GROUP_SHINGLES)
+        return F.ceil(wanted)
+
+    # Parts are numbered through, those outside the largest component first.
+    shape = sided.groupBy("cluster").agg(
+        parts(F.col("minor")).alias("minors"), parts(~F.col("minor")).alias("majors")
+    )
+    place = F.when(F.col("minor"), F.pmod(F.xxhash64("id"), F.col("minors"))).otherwise(
+        F.col("minors") + F.pmod(F.xxhash64("id"), F.col("majors"))
+    )
+    met = F.when(F.col("minor"), F.col("minors") + F.col("majors")).otherwise(F.col("minors"))
+    cells = (
+        sided.join(shape, "cluster")
+        .withColumn("part", place)
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), met - 1)))
+        .select(
+            "cluster",
+            F.least("part", "other").alias("low"),
+            F.greatest("part", "other").alias("high"),
+            "part",
+            "id",
+            "component",
+            "digest",
+            "signature",
+        )
+    )
+    return (
+        cells.join(docs, "id")
+        .groupBy("cluster", "low", "high")
+        .applyInArrow(_settler(shingle, similarity), "u long, v long")
+    )
 
 
 def near_duplicates(
@@ -270,7 +373,11 @@ def near_duplicates(
     leaders = written(
         known.where("n_shingles > 0")
         .groupBy("digest")
-        .agg(F.min("id").alias("id"), F.first("signature").alias("signature")),
+        .agg(
+            F.min("id").alias("id"),
+            F.first("signature").alias("signature"),
+            F.first("n_shingles").alias("n_shingles"),
+        ),
         "leaders",
     )
     shared = written(_shared_keys(leaders), "shared_keys")
@@ -284,13 +391,12 @@ def near_duplicates(
         .distinct()
     )
     placed = written(components(links.unionByName(same)), "components")
-    pairs = written(_rest(shared, leaders, placed), "pairs")
-    if not pairs.isEmpty():
-        more = written(_near(pairs, named, leaders, shingle, similarity), "links")
-        joined = more.unionByName(
-            placed.select(F.col("id").alias("u"), F.col("component").alias("v"))
-        )
-        placed = written(components(joined), "components")
+    forest = written(_clusters(shared, leaders, placed), "forest")
+    if not forest.isEmpty():
+        clusters = components(forest).withColumnRenamed("component", "cluster")
+        more = _settled(clusters, named, leaders, placed, shingle, similarity)
+        so_far = placed.select(F.col("id").alias("u"), F.col("component").alias("v"))
+        placed = written(components(more.unionByName(so_far)), "components")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
     return features.join(placed, "id", "left").select(
         F.col("id").alias(id_col),
