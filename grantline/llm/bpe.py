@@ -37,8 +37,9 @@ REMEMBERED = 500_000
 #: Words of more symbols get a tree of their own.
 SHORT = 64
 _NONE = np.int64(np.iinfo(np.int64).max)
-#: Texts of these characters alone are split here; others go to the library's own splitter.
-_UNUSUAL = re.compile(r"[^\t-\r !-~\u00a1-\u024f]")
+#: Runs with other characters go to the library's own splitter. U+0130 is among them: its
+#: lower case is a letter and a mark.
+_UNUSUAL = re.compile(r"[^\t-\r !-~\u00a1-\u012f\u0131-\u024f]")
 #: What str.split() takes for white space and the pattern doesn't.
 _ODD_SPACE = re.compile(r"[\x1c-\x1f]")
 _SPACE = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
