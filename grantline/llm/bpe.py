@@ -22,6 +22,7 @@ import json
 import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,8 @@ from tokenizers import Tokenizer
 
 from grantline.llm import words
 
-#: Runs that a worker remembers before it starts afresh; about 300 bytes each.
+#: Words that a worker remembers before it starts afresh, and half as many runs; about 250
+#: bytes each.
 REMEMBERED = 500_000
 #: Words of more symbols get a tree of their own.
 SHORT = 64
@@ -82,6 +84,7 @@ class Vocabulary:
             p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"
         )
         self.pattern = regex.compile(split["pattern"]["Regex"])
+        self.pattern_or_line = regex.compile(split["pattern"]["Regex"] + r"|\n")
         self.specials = re.compile("|".join(f"({re.escape(s)})" for s in self.special) or "(?!)")
 
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -242,38 +245,54 @@ def merge_words(vocabulary: Vocabulary, texts: list[bytes]) -> list[bytes]:
 
 
 class Encoder:
-    """Encodes texts; remembers about ``REMEMBERED`` runs and their words."""
+    """Encodes texts; remembers about ``remembered`` words and half as many runs."""
 
-    def __init__(self, vocabulary: Vocabulary):
+    def __init__(self, vocabulary: Vocabulary, remembered: int = REMEMBERED):
         self.vocabulary = vocabulary
+        self.remembered = remembered
         self.runs: dict[str, bytes] = {}
         self.words: dict[bytes | str, bytes] = {}
-        self._forget()
+        self._forget_words()
 
-    def _forget(self) -> None:
-        self.runs.clear()
+    def _forget_words(self) -> None:
         self.words.clear()
         special = self.vocabulary.special.items()
         self.words.update((token, number.to_bytes(4, "little")) for token, number in special)
 
+    def _pieces(self, runs: list[str]) -> list[list[bytes | str]]:
+        """The words of each run; plain runs are split all at once."""
+        together = "\n".join(runs)
+        if _UNUSUAL.search(together) or any(s in together for s in self.vocabulary.special):
+            return [self.vocabulary.pieces(run) for run in runs]
+        found: list[list[bytes | str]] = [[]]
+        for word in self.vocabulary.pattern_or_line.findall(together.lower()):
+            if word == "\n":
+                found.append([])
+            else:
+                found[-1].append(word.encode())
+        return found if runs else []
+
     def _learn(self, runs: set[str]) -> None:
-        pieces = [self.vocabulary.pieces(run) for run in runs]
-        fresh = list({word for found in pieces for word in found}.difference(self.words))
-        self.words.update(zip(fresh, merge_words(self.vocabulary, fresh)))
+        letters = [run for run in runs if run.isalpha()]
+        if _UNUSUAL.search("".join(letters)):
+            letters = [run for run in letters if not _UNUSUAL.search(run)]
+        others = list(runs.difference(letters))
+        single = "\n".join(letters).lower().encode().split(b"\n") if letters else []
+        pieces = self._pieces(others)
+        fresh = set(chain(single, chain.from_iterable(pieces))).difference(self.words)
+        order = list(fresh)
+        self.words.update(zip(order, merge_words(self.vocabulary, order)))
         look = self.words.__getitem__
-        self.runs.update(
-            (run, look(found[0]) if len(found) == 1 else b"".join(map(look, found)))
-            for run, found in zip(runs, pieces)
-        )
+        self.runs.update(zip(letters, map(look, single)))
+        self.runs.update((run, b"".join(map(look, p))) for run, p in zip(others, pieces))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.runs) > REMEMBERED:
-            self._forget()
+        if len(self.words) > self.remembered:
+            self._forget_words()
+        if len(self.runs) > self.remembered // 2:
+            self.runs.clear()
         split = [_SPACE.split(t) if _ODD_SPACE.search(t) else t.split() for t in texts]
-        needed: set[str] = set()
-        for runs in split:
-            needed.update(runs)
-        needed.difference_update(self.runs)
+        needed = set(filterfalse(self.runs.__contains__, chain.from_iterable(split)))
         if needed:
             self._learn(needed)
         look = self.runs.__getitem__
@@ -281,13 +300,9 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def _encoder(source: str) -> Encoder:
-    return Encoder(Vocabulary(source))
-
-
-def encoder_of(source: str) -> Encoder:
+def encoder_of(source: str, remembered: int = REMEMBERED) -> Encoder:
     """The encoder that this process keeps for a vocabulary, given as the file's text."""
-    return _encoder(source)
+    return Encoder(Vocabulary(source), remembered)
 
 
 def read_vocabulary(path: str) -> str:

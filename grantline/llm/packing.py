@@ -32,6 +32,8 @@ from grantline.llm import bpe, words
 CAPACITY = 2048
 END_ID = 0
 SHARD = 6000
+#: Words that a worker remembers; no other stage shares its memory here.
+REMEMBERED = 900_000
 ISLANDS = 2
 EPOCHS = 2
 POPULATION = 4
@@ -56,7 +58,7 @@ def pieces(
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = bpe.encoder_of(shared.value)
+        encoder = bpe.encoder_of(shared.value, REMEMBERED)
         for batch in batches:
             for part in words.slices(batch, "text"):
                 rows, numbers, starts, lengths, sums, data = [], [], [], [], [], []
