@@ -25,7 +25,10 @@ from pyspark.sql import functions as F
 
 BUCKETS = 1 << 14
 TRUSTED = 20_000
-THRESHOLD = -0.2
+#: Weight of the raw distribution, as a count, in the target's: few trusted documents give
+#: ratios near 1, not chance verdicts.
+PRIOR = BUCKETS
+THRESHOLD = -0.45
 MIN_WORDS = 10
 MAX_REPEATED = 20  # per cent of the words
 WINDOW = 5
@@ -121,11 +124,16 @@ def ratios(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     grams = flagged.select(F.col("good_"), F.explode(_grams("words_")).alias("bucket"))
     counts = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.count("good_").alias("target"))
     found = {r.bucket: (r.target, r.raw) for r in counts.collect()}
-    all_target = sum(t for t, _ in found.values()) + BUCKETS
+    all_target = sum(t for t, _ in found.values())
     all_raw = sum(r for _, r in found.values()) + BUCKETS
-    shift = math.log(all_raw) - math.log(all_target)
-    pairs = (found.get(b, (0, 0)) for b in range(BUCKETS))
-    return [math.log(t + 1) - math.log(r + 1) + shift for t, r in pairs]
+
+    def ratio(bucket: int) -> float:
+        target, raw = found.get(bucket, (0, 0))
+        background = (raw + 1) / all_raw
+        mixed = (target + PRIOR * background) / (all_target + PRIOR)
+        return math.log(mixed) - math.log(background)
+
+    return [ratio(bucket) for bucket in range(BUCKETS)]
 
 
 def judged(
