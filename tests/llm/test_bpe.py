@@ -1,0 +1,75 @@
+import hashlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from grantline.llm import bpe
+from tests.llm import data
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+LIBRARY = Tokenizer.from_file(PATH)
+
+
+def ids(text):
+    return LIBRARY.encode(text or "", add_special_tokens=False).ids
+
+
+def encoded(text):
+    data = bpe.encoder_of(bpe.read_vocabulary(PATH)).encode([text])[0]
+    return np.frombuffer(data, "<u4").tolist()
+
+
+def test_every_text_encodes_and_decodes_as_the_library_does(spark):
+    coded = bpe.encode(data.clashing(data.frame(spark)), PATH)
+    found = bpe.decode(coded, PATH).collect()
+    assert len(found) == len(data.rows())
+    for row in found:
+        expected = ids(row.text)
+        assert np.frombuffer(row.token_ids, "<u4").tolist() == expected
+        assert row.decoded == LIBRARY.decode(expected, skip_special_tokens=False)
+        assert row.component == "clash"
+
+
+def test_null_ids_and_empty_tables(spark):
+    none = spark.createDataFrame([(None,), (b"",)], "token_ids binary")
+    assert {r.decoded for r in bpe.decode(none, PATH).collect()} == {None, ""}
+    empty = bpe.encode(data.frame(spark, []), PATH)
+    assert empty.columns == [*data.DOCS.names, "token_ids"]
+    assert empty.collect() == []
+
+
+def test_each_character_of_the_first_planes():
+    for start in range(0x20, 0x3100, 0x40):
+        text = " ".join(f"a{chr(c)}B{chr(c)}" for c in range(start, start + 0x40))
+        assert encoded(text) == ids(text), hex(start)
+
+
+@given(st.text(alphabet="abt he'.,1é́ΣσßA<|endoftx>\n 　\x1c", max_size=80))
+@settings(max_examples=300, deadline=None)
+def test_random_texts(text):
+    assert encoded(text) == ids(text)
+
+
+@pytest.mark.parametrize("word", ["a" * 4000, "ab" * 999 + "c", "the" * 300, "é" * 64, "!" * 65])
+def test_long_words_have_a_tree_of_their_own(word):
+    assert encoded(word) == ids(word)
+
+
+def test_what_is_remembered_is_bounded():
+    encoder = bpe.Encoder(bpe.Vocabulary(bpe.read_vocabulary(PATH)), 10)
+    for seed in range(5):
+        text = data.sentence(seed, 40)
+        assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == ids(text)
+        assert len(encoder.runs) <= 50
+
+
+def test_digests_are_native_and_agree(spark):
+    found = bpe.encode(data.frame(spark), PATH).select("text", F.sha2("token_ids", 256).alias("h"))
+    for row in found.collect():
+        expected = np.array(ids(row.text), "<u4").tobytes()
+        assert row.h == hashlib.sha256(expected).hexdigest()

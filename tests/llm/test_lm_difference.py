@@ -1,0 +1,93 @@
+import math
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from grantline.llm import lm_difference as lm
+from grantline.llm import words as w
+from tests.llm import data
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+UPPER = str.maketrans({c: c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"})
+
+
+def word_hash(word):
+    import pyarrow as pa
+
+    return int(w.word_hashes(w.scan(pa.array([word])))[0])
+
+
+def losses(rows, trusted, vocabulary):
+    """Mean losses of each text by both models, with plain counters."""
+
+    def symbols(text):
+        found = []
+        for word in WORD.findall((text or "").translate(UPPER)):
+            h = word_hash(word)
+            found.append(vocabulary[h] if h in vocabulary else lm.WORDS + h % lm.ENDINGS)
+        return found
+
+    def model(texts):
+        pairs, unigrams, context = Counter(), Counter(), Counter()
+        for text in texts:
+            previous = lm.SYMBOLS - 1
+            for s in symbols(text):
+                pairs[previous, s] += 1
+                unigrams[s] += 1
+                context[previous] += 1
+                previous = s
+        total = sum(unigrams.values()) + lm.SYMBOLS
+
+        def loss(text):
+            found, previous = [], lm.SYMBOLS - 1
+            for s in symbols(text):
+                prior = lm.PRIOR * (unigrams[s] + 1) / total
+                found.append(
+                    -math.log((pairs[previous, s] + prior) / (context[previous] + lm.PRIOR))
+                )
+                previous = s
+            return sum(found) / max(1, len(found))
+
+        return loss
+
+    target = model([t for i, t in rows if i in trusted])
+    background = model([t for _, t in rows])
+    return [(len(symbols(t)), target(t), background(t)) for _, t in rows]
+
+
+@pytest.mark.parametrize("fan_in", [2, 64])
+def test_against_counters(spark, monkeypatch, fan_in):
+    monkeypatch.setattr(lm, "FAN_IN", fan_in)
+    many = (50, " ".join(f"rare{i}" for i in range(2500)), "en", "s", 0)
+    every = [*data.rows(), many]
+    frame = data.clashing(data.frame(spark, every)).repartition(3)
+    labels = spark.createDataFrame([(0, 1, 0), (9, 1, 0), (11, 0, 0), (None, 1, 0)], data.LABELS)
+    rows = [(r[0], r[1]) for r in every]
+    known = {int(h): i for i, h in enumerate(lm.vocabulary(frame))}
+    assert len(known) == lm.WORDS
+    expected = losses(rows, {0, 9}, known)
+    found = lm.score(frame, labels).collect()
+    key = lambda r: repr((r[0], r[1]))
+    actual = sorted(((r.doc_id, r.n_tokens, r.target_loss, r.background_loss) for r in found), key=key)
+    wanted = sorted(((i, *e) for (i, _), e in zip(rows, expected)), key=key)
+    for a, b in zip(actual, wanted, strict=True):
+        assert a[:2] == b[:2] and a[2:] == pytest.approx(b[2:], rel=1e-4, abs=1e-5)
+    assert all(r.score == r.target_loss - r.background_loss for r in found)
+
+
+def test_texts_like_the_target_score_lower(spark):
+    good = [(i, data.sentence(i, 60)) for i in range(40)]
+    odd = [(100 + i, " ".join(f"q{i}{k} zz{k}" for k in range(30))) for i in range(40)]
+    frame = spark.createDataFrame(good + odd, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(20)], data.LABELS)
+    scores = {r.doc_id: r.score for r in lm.score(frame, labels).collect()}
+    assert max(scores[i] for i in range(20, 40)) < min(scores[i] for i in range(100, 140))
+
+
+def test_no_target_and_no_documents(spark):
+    none = spark.createDataFrame([], data.LABELS)
+    rows = lm.score(data.frame(spark), none).collect()
+    assert {r.target_loss for r in rows if r.n_tokens} and not any(np.isnan(r.score) for r in rows)
+    assert lm.score(data.frame(spark, []), none).collect() == []
