@@ -66,6 +66,7 @@ select o_orderkey as seq,
   case when o_orderkey % 9 = 0 then null when o_orderkey % 17 = 0 then 'not-a-number'
        when o_orderkey % 43 = 0 then '12.9' when o_orderkey % 47 = 0 then '-3'
        when o_orderkey % 53 = 0 then 'inf' when o_orderkey % 59 = 0 then '30d'
+       when o_orderkey % 67 = 0 then '10000000' when o_orderkey % 73 = 0 then '-10000000'
        else cast(o_orderkey % 61 as string) end as duration_raw,
   case when o_orderkey % 5 = 0 then null when o_orderkey % 23 = 0 then ''
        else concat('user', cast(c_custkey as string), '@example.com') end as requestor_email,
@@ -120,6 +121,7 @@ select event_id,
   case event_type when 'signup' then 'dataset' else 'actionRequest' end as entity_type,
   case event_type when 'view' then 'actionRequestInfo' else 'actionRequestStatus' end as aspect_name,
   case when event_id % 50 = 0 then null when event_id % 51 = 0 then ''
+       when event_id % 29 = 0 then concat('urn:li:actionRequest:none', cast(event_id % 7 as string))
        when event_id % 3 = 0 then 'urn:li:actionRequest:1'
        else concat('urn:li:actionRequest:', cast(event_id - event_id % 4 as string)) end as entity_urn,
   ts as event_ts
@@ -379,6 +381,9 @@ def json_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == 7, F.regexp_replace(v, '"time":([0-9]+)', '"time":"$1"'))
         .when(kind == 8, F.replace(v, F.lit('"id":"justification"'), F.lit('"id":5')))
         .when(kind == 9, F.replace(v, F.lit('"assignedUsers":['), F.lit('"assignedUsers":[7,')))
+        .when(kind == 11, F.replace(v, F.lit('"values":[{'), F.lit('"values":[{"numberValue":"30d"},{')))
+        .when(kind == 12, F.replace(v, F.lit('"values":[{'), F.lit('"values":[{"numberValue":"1.5"},{')))
+        .when(kind == 13, F.replace(v, F.lit('"values":[{'), F.lit('"values":[{"numberValue":true},{')))
         .otherwise(v)
         .alias("value"),
     )

@@ -29,7 +29,7 @@ resolved as (
          when r.default_role is not null then 'default_role' end as role_origin,
     coalesce(nullif(f.requestor_email, ''),
              case when contains(f.username, '@') then f.username end) as resolved_email,
-    case when days <> 0 then 996624000000 + days * 86400000 end as expires_ms
+    case when days <> 0 and abs(days) <= 2921362 then 996624000000 + days * 86400000 end as expires_ms
   from forms f
   left join default_roles r
     on r.username = f.username and (f.snowflake_role is null or f.snowflake_role = '')),
@@ -39,6 +39,7 @@ decided as (
     when urn in (select latest_action_request_urn from grants) then 'skip_provisioned'
     when urn in (select action_request_urn from provisioning_errors) then 'skip_failed'
     when resolved_role is null or snowflake_database is null then 'skip_missing_fields'
+    when abs(days) > 2921362 then 'skip_duration_out_of_range'
     else 'provision' end as decision
   from candidates),
 ready as (
@@ -47,6 +48,7 @@ ready as (
                        order by seq) as turn
   from candidates
   where resolved_role is not null and snowflake_database is not null
+    and coalesce(abs(days), 0) <= 2921362
     and urn not in (select action_request_urn from provisioning_errors)),
 held as (
   select r.urn from ready r join grants g
@@ -64,6 +66,7 @@ decided_latest as (
                             and r.schema_key = g.snowflake_schema and r.seq < candidates.seq))
            then 'skip_provisioned' else 'skip_failed' end
     when resolved_role is null or snowflake_database is null then 'skip_missing_fields'
+    when abs(days) > 2921362 then 'skip_duration_out_of_range'
     else 'provision' end as decision
   from candidates),
 provisioned as (select *, coalesce(snowflake_schema, '') as schema_key
@@ -95,6 +98,7 @@ live as (
     when status = 'COMPLETED' and result = 'ACCEPTED' then
       case when r.urn in (select latest_action_request_urn from grants) then 'skip_provisioned'
            when resolved_role is null or snowflake_database is null then 'skip_missing_fields'
+           when abs(days) > 2921362 then 'skip_duration_out_of_range'
            else 'provision' end
     when status = 'COMPLETED' and result = 'REJECTED' then 'deny'
     else 'ignore_status' end as decision
@@ -166,6 +170,14 @@ select snowflake_role, snowflake_database, snowflake_schema, urn, requestor_emai
 from merged
 """
 
+_SWITCHES = """
+select 'dry_run' as switch, 0 as granted, 0 as revoked, 0 as mails
+union all select 'expiry_off', (select count(*) from granted), 0, 0
+union all select 'mail_off', (select count(*) from granted),
+  (select count(*) from merged where expires_ms <= 996624000000 and revoked_ms is null
+    and (snowflake_schema = '' or cast(split_part(urn, ':', 4) as bigint) % 31 <> 0)), 0
+"""
+
 _MAIL = """'{kind}' as type, urn, coalesce(nullif(requestor_email, ''), '') as recipients,
   '' as copies, '{subject}' as subject, coalesce(requestor_email, '') <> '' as deliverable"""
 
@@ -203,7 +215,7 @@ select reason, count(*) as n,
 from (select *, case seq % 40
     when 1 then 'malformed_json' when 2 then 'not_an_object' when 3 then 'bad_type:status'
     when 4 then 'missing:status' when 5 then 'missing:created.time'
-    when 6 then 'bad_type:created.time' when 8 then 'bad_type:fields'
+    when 6 then 'bad_type:created.time' when 8 then 'bad_type:fields' when 11 then 'bad_type:fields'
     when 9 then 'bad_type:assignedUsers' else 'ok' end as reason
   from requests)
 group by reason""",
@@ -322,6 +334,8 @@ select urn, case when duration_raw = 'inf' then 'duration_not_finite' else 'dura
   duration_raw as detail
 from decided where duration_raw is not null and days is null
 union all
+select urn, 'duration_out_of_range', duration_raw from decided where abs(days) > 2921362
+union all
 select urn, case when resolved_role is null and snowflake_database is null then 'missing_role_and_database'
                  when resolved_role is null then 'missing_role' else 'missing_database' end,
   requestor_urn
@@ -364,7 +378,7 @@ from granted""",
     "q68_denial_mail": f"""
 select {_MAIL.format(kind="denial", subject="❌ Your data catalog access request has been denied")},
   coalesce(resource, '—') as p_resource, coalesce(nullif(note, ''), 'No reason provided.') as p_note
-from live where decision = 'deny'""",
+from live where decision = 'deny' and seq % 5 <> 0""",
     "q68_denial_mail_each": "select urn, events as mails from live where decision = 'deny'",
     "q69_sla_mail": """
 select sla_class as type, urn, coalesce(requestor_email, '') as recipients,
@@ -388,7 +402,8 @@ select 'revocation' as type, latest_action_request_urn as urn,
   requestor_email is not null as deliverable, snowflake_database as p_database,
   case when snowflake_schema = '' then '(all schemas)' else snowflake_schema end as p_schema,
   snowflake_role as p_role, latest_action_request_urn as p_request
-from active_expired""",
+from active_expired
+where snowflake_schema = '' or cast(split_part(latest_action_request_urn, ':', 4) as bigint) % 31 <> 0""",
     "q73_approval_pass": _JOURNAL_OF_GRANTED,
     "q74_expiry_pass": """
 select snowflake_role, snowflake_database, snowflake_schema, 'revoke' as op,
@@ -399,9 +414,17 @@ where snowflake_schema = '' or cast(split_part(latest_action_request_urn, ':', 4
     "q75_sla_pass": """
 select sla_class as type, urn, coalesce(requestor_email, '') <> '' as deliverable,
   996624000000 as sent_ms from due""",
+    "q28_event_envelopes": """
+select problem, event_id, entity_urn from (
+  select event_id, case when event_id % 10 = 3 then null else entity_urn end as entity_urn,
+    case when event_id % 10 = 3 then 'malformed_envelope' end as problem,
+    event_type = 'MetadataChangeLogEvent_v1' and entity_type = 'actionRequest'
+      and aspect_name = 'actionRequestStatus' and entity_urn <> '' as is_routed
+  from change_events)
+where problem is not null or is_routed""",
     "q77_stream_live": _LIVE_ACTIONS,
-    "q79_stream_dedup": _LIVE_ACTIONS,
-    "q80_residual_privileges": """
+    "q79_stream_redelivery": _LIVE_ACTIONS,
+    "q65p_residual_privileges": """
 select snowflake_role, snowflake_database, snowflake_schema,
   unnest(case when snowflake_schema = '' then [
     'GRANT USAGE ON ALL SCHEMAS IN DATABASE ' || snowflake_database || ' TO ROLE ' || snowflake_role,
@@ -418,4 +441,5 @@ def all_oracles() -> dict[str, str]:
     after = f"{head},\n{_STATE_AFTER.strip()}\n{_AFTER_EXPIRY.strip()}"
     found["q49_state_after"] = after
     found["q76_full_pass"] = after
+    found["q33_switches"] = f"{head},\n{_STATE_AFTER.strip()}\n{_SWITCHES.strip()}"
     return dict(sorted(found.items()))

@@ -12,6 +12,7 @@ from checks import fixtures as fx
 from grantline.checkpoints import scratch_path
 from grantline.functions import clock, forms, identity
 from grantline.functions import statements as texts
+from grantline.operators.skew import lookup_join
 from grantline.operators import (
     conformance,
     decisions,
@@ -31,6 +32,7 @@ from grantline.operators import (
 from grantline.plans import approval, catchup, expiry, live
 from grantline.plans import sla as sla_plan
 from grantline.settings import Settings
+from grantline.sources import events as event_source
 from grantline.sources import forms as form_source
 from grantline.sources import requests as request_source
 from grantline.sources.events import stream_events
@@ -230,6 +232,25 @@ def q28_event_filter(spark: SparkSession, d: str) -> DataFrame:
     return events.routed_events(fx.change_events(spark, d)).select("event_id", "entity_urn")
 
 
+def q28_event_envelopes(spark: SparkSession, d: str) -> DataFrame:
+    """Routed events read from JSON envelopes, and the envelopes that can't be read."""
+    rows = fx.change_events(spark, d)
+    inner = F.struct(
+        F.col("entity_type").alias("entityType"),
+        F.col("aspect_name").alias("aspectName"),
+        F.col("entity_urn").alias("entityUrn"),
+    )
+    text = F.to_json(F.struct("event_type", inner.alias("event")))
+    cut = F.when(F.col("event_id") % 10 == 3, F.substring(text, 1, 20)).otherwise(text)
+    raw = rows.select("event_id", "event_ts", cut.alias("value"))
+    parsed = event_source.from_envelopes(raw, F.col("event_id"), F.col("event_ts"))
+    good = events.routed_events(event_source.good_events(parsed))
+    bad = parsed.filter("problem is not null")
+    return good.select(F.lit(None).cast("string").alias("problem"), "event_id", "entity_urn").unionByName(
+        bad.select("problem", "event_id", "entity_urn")
+    )
+
+
 def q29_provisionable(spark: SparkSession, d: str) -> DataFrame:
     resolved = roles.resolve_roles(
         _approved(spark, d), roles.default_roles(_properties(spark, d)), S
@@ -387,7 +408,10 @@ def q66_role_grant(spark: SparkSession, d: str) -> DataFrame:
     user = identity.username(F.col("requestor_urn"))
     named = (
         fx.flat_requests(spark, d).filter("snowflake_role <> ''").withColumn("key", user)
-    ).join(found, "key")
+    )
+    named = lookup_join(
+        named, found, F.col("key"), "default_role", F.col("urn"), S.hot_key_rows
+    ).filter("default_role is not null")
     statement = texts.role_grant_statement(F.col("snowflake_role"), F.col("default_role"))
     return named.select("urn", statement.alias("statement"))
 
@@ -407,7 +431,9 @@ def q67_approval_mail(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q68_denial_mail(spark: SparkSession, d: str) -> DataFrame:
-    sent = spark.createDataFrame([], "type string, urn string")
+    """Every fifth request got its mail in an earlier run."""
+    sent = fx.flat_requests(spark, d).filter("seq % 5 = 0")
+    sent = sent.select(F.lit("denial").alias("type"), "urn")
     mails = live.denials(_live_decided(spark, d), sent, S)
     return _notice_columns(mails, "resource", "note")
 
@@ -434,9 +460,9 @@ def q71_failure_mail(spark: SparkSession, d: str) -> DataFrame:
 
 def q72_revocation_mail(spark: SparkSession, d: str) -> DataFrame:
     due = expiry.expired(_state(spark, d).grants, S)
-    return _notice_columns(
-        notices.revocation(due, S), "database", "schema", "role", "request"
-    )
+    done = expiry.results(due, fx.execute(expiry.plan(due, S)))
+    mails = expiry.settle(done, S, RUN).notifications
+    return _notice_columns(mails, "database", "schema", "role", "request")
 
 
 def _journal_columns(rows: DataFrame) -> DataFrame:
@@ -495,10 +521,43 @@ def q76_full_pass(spark: SparkSession, d: str) -> DataFrame:
     return _grant_columns(state.grants)
 
 
-def _stream(spark: SparkSession, d: str, dedup_within: str | None) -> DataFrame:
+def q33_switches(spark: SparkSession, d: str) -> DataFrame:
+    """What a written run leaves under each switch; a dry run must not execute anything."""
+
+    def refuse(_: DataFrame) -> DataFrame:
+        raise AssertionError("a dry run executes nothing")
+
+    cases = {
+        "dry_run": (replace(S, dry_run=True), refuse),
+        "expiry_off": (replace(S, expiry_enabled=False), fx.execute),
+        "mail_off": (replace(S, revocation_notification=False), fx.execute),
+    }
+    parts = []
+    for name, (settings, execute) in cases.items():
+        store = state_store(spark, d, name)
+        state = catchup.run(
+            store, fx.flat_requests(spark, d), _properties(spark, d), settings, RUN, execute
+        )
+        of_run = state.journal.filter(F.col("run_id") == RUN)
+        mails = store.read("notifications").filter("type = 'revocation'")
+        rows = of_run.select(F.col("op")).unionByName(mails.select(F.lit("mail").alias("op")))
+        parts.append(
+            rows.agg(
+                F.count_if(F.col("op") == j.GRANT).alias("granted"),
+                F.count_if(F.col("op") == j.REVOKE).alias("revoked"),
+                F.count_if((F.col("op") == "mail") & F.lit(not settings.dry_run)).alias("mails"),
+            ).select(F.lit(name).alias("switch"), "*")
+        )
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def _stream(spark: SparkSession, d: str, again: int) -> DataFrame:
     store = state_store(spark, d, "live")
     files = f"{store.root}/events"
-    fx.change_events(spark, d).repartitionByRange(4, "event_id").write.parquet(files)
+    for _ in range(again):
+        fx.change_events(spark, d).repartitionByRange(4, "event_id").write.mode(
+            "append"
+        ).parquet(files)
     current = f"{store.root}/current"
     request_source.write_current_requests(fx.nested_requests(spark, d), current, 8)
     query = live_stream.start(
@@ -511,7 +570,7 @@ def _stream(spark: SparkSession, d: str, dedup_within: str | None) -> DataFrame:
         S,
         f"{store.root}/checkpoint",
         "live",
-        dedup_within,
+        outcomes.all_ok,
     )
     query.awaitTermination()
     granted = store.state().journal.filter("run_id <> 'import'").select("urn")
@@ -523,15 +582,15 @@ def _stream(spark: SparkSession, d: str, dedup_within: str | None) -> DataFrame:
 
 def q77_stream_live(spark: SparkSession, d: str) -> DataFrame:
     """Requests acted on by a stream of event files: the live decisions of one batch."""
-    return _stream(spark, d, None)
+    return _stream(spark, d, 1)
 
 
-def q79_stream_dedup(spark: SparkSession, d: str) -> DataFrame:
-    """The same with repeats of an event id dropped inside a watermark."""
-    return _stream(spark, d, "60 days")
+def q79_stream_redelivery(spark: SparkSession, d: str) -> DataFrame:
+    """The same when every event arrives again in later batches, with its old time and id."""
+    return _stream(spark, d, 2)
 
 
-def q80_residual_privileges(spark: SparkSession, d: str) -> DataFrame:
+def q65p_residual_privileges(spark: SparkSession, d: str) -> DataFrame:
     revoked = _state(spark, d).grants.filter("revoked_at is not null")
     return privileges.residual_privileges(revoked, S)
 

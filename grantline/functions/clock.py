@@ -30,11 +30,20 @@ def as_of_exact(as_of_ms: int) -> Column:
     return F.timestamp_millis(F.lit(as_of_ms).cast("bigint"))
 
 
-def expiry_ms(as_of_ms: int, days: Column) -> Column:
-    """``as_of + days``. No days or zero days mean no expiry; a negative value lies in the past."""
+def has_expiry_date(as_of_ms: int, days: Column) -> Column:
+    """No days, or as many as lead to a date; others can be neither kept nor revoked in time."""
     reach = (_LAST_MS - as_of_ms) // DAY_MS
-    in_range = (days != 0) & days.between(-reach, reach)
-    return F.when(in_range, F.lit(as_of_ms).cast("bigint") + days.cast("bigint") * F.lit(DAY_MS))
+    return F.coalesce(days.between(-reach, reach), F.lit(True))
+
+
+def expiry_ms(as_of_ms: int, days: Column) -> Column:
+    """``as_of + days``. No days or zero days mean no expiry; a negative value lies in the past.
+
+    Days without a date give null, too: :func:`has_expiry_date` tells them apart, and a
+    request with such days is never provisioned.
+    """
+    dated = (days != 0) & has_expiry_date(as_of_ms, days)
+    return F.when(dated, F.lit(as_of_ms).cast("bigint") + days.cast("bigint") * F.lit(DAY_MS))
 
 
 def pending_hours(as_of_ms: int, created_ms: Column) -> Column:

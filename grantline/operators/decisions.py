@@ -15,6 +15,7 @@ SKIP_PROVISIONED = "skip_provisioned"
 SKIP_FAILED = "skip_failed"
 SKIP_MISSING = "skip_missing_fields"
 SKIP_IDENTIFIER = "skip_unsafe_identifier"
+SKIP_DURATION = "skip_duration_out_of_range"
 DENY = "deny"
 IGNORE_TYPE = "ignore_type"
 IGNORE_STATUS = "ignore_status"
@@ -47,10 +48,15 @@ def missing_reason() -> Column:
     )
 
 
+def _dated(settings: Settings) -> Column:
+    return clock.has_expiry_date(settings.as_of_ms, F.col("access_duration_days"))
+
+
 def can_provision(settings: Settings) -> Column:
+    ready = has_target() & _dated(settings)
     if settings.check_identifiers:
-        return has_target() & F.coalesce(safe_identifiers(), F.lit(False))
-    return has_target()
+        return ready & F.coalesce(safe_identifiers(), F.lit(False))
+    return ready
 
 
 def _error_urns(errors: DataFrame) -> DataFrame:
@@ -110,6 +116,7 @@ def _approved_decision(settings: Settings, respect_failures: bool) -> Column:
     if respect_failures:
         chain = chain.when(F.col("failed"), F.lit(SKIP_FAILED))
     chain = chain.when(~has_target(), F.lit(SKIP_MISSING))
+    chain = chain.when(~_dated(settings), F.lit(SKIP_DURATION))
     if settings.check_identifiers:
         chain = chain.when(~can_provision(settings), F.lit(SKIP_IDENTIFIER))
     return chain.otherwise(F.lit(PROVISION))

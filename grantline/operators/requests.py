@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from grantline.functions import forms
-from grantline.operators.skew import spread_join
 from grantline.settings import (
     ACCEPTED,
     COMPLETED,
@@ -123,17 +122,15 @@ def pending_requests(flat: DataFrame) -> DataFrame:
 
 def lookup(requests: DataFrame, urns: DataFrame) -> DataFrame:
     """Rows of the given URNs (a frame with a column ``urn``), copies included."""
-    wanted = urns.select("urn").distinct()
-    return spread_join(requests, wanted, "urn", F.col("seq"), "left_semi")
+    return requests.join(urns.select("urn").distinct(), "urn", "left_semi")
 
 
 def first_per_urn(requests: DataFrame) -> DataFrame:
-    """One row per URN, the one listed first.
+    """One row per URN, the one listed first; rows without a place come last.
 
     An aggregate, so that copies of one request collapse before the shuffle.
     """
     rest = [c for c in requests.columns if c != "urn"]
-    kept = requests.groupBy("urn").agg(
-        F.min_by(F.struct(*rest), F.col("seq")).alias("_row")
-    )
+    place = F.coalesce(F.col("seq"), F.lit(2**63 - 1))
+    kept = requests.groupBy("urn").agg(F.min_by(F.struct(*rest), place).alias("_row"))
     return kept.select("urn", "_row.*")

@@ -6,13 +6,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Keys that may be broadcast; further ones are looked up like any other.
+MOST_HOT_KEYS = 10_000
+
+
 def hot_keys(keys: DataFrame, hot_key_rows: int) -> DataFrame:
-    """Keys with at least ``hot_key_rows`` rows: never more than rows / hot_key_rows of them."""
+    """The most frequent keys with at least ``hot_key_rows`` rows, ``MOST_HOT_KEYS`` at most."""
     return (
         keys.filter(F.col("key").isNotNull())
         .groupBy("key")
         .agg(F.count("*").alias("n"))
         .filter(F.col("n") >= hot_key_rows)
+        .orderBy(F.desc("n"), "key")
+        .limit(MOST_HOT_KEYS)
         .select("key")
     )
 
@@ -58,24 +64,3 @@ def lookup_join(
     return joined.withColumn(value, F.coalesce("_hot_value", "_cold_value")).drop(
         "_key", "_hot_key", "_hot_value", "_is_hot", "_spread", "_cold_key", "_cold_value"
     )
-
-
-def spread_join(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    spread_by: Column,
-    how: str = "inner",
-    parts: int = 32,
-) -> DataFrame:
-    """Join with a small right side that has one row per ``key``.
-
-    Each right row is repeated ``parts`` times, so that the copies of one key on the
-    left fall into as many groups; groups that are still large can be split further
-    by adaptive execution, as nothing downstream relies on the join's partitioning.
-    """
-    salted = left.withColumn("_part", F.pmod(F.xxhash64(spread_by), F.lit(parts)))
-    repeated = right.withColumn(
-        "_part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(parts - 1).cast("bigint")))
-    )
-    return salted.join(repeated, [key, "_part"], how).drop("_part")

@@ -28,7 +28,7 @@ def approvals(
     user_properties: DataFrame,
     settings: Settings,
     run_id: str,
-    execute: Execute = outcomes.all_ok,
+    execute: Execute,
 ) -> DataFrame:
     """Approval step; returns the journal rows it wrote."""
     decided = store.write(
@@ -45,12 +45,14 @@ def settle_approvals(
     execute: Execute,
 ) -> DataFrame:
     """Metrics, statements, journal, errors and mails of written decisions."""
-    store.write("quarantine", quarantine.quarantined(decided), run_id, "approval")
+    stored = store.earlier("quarantine", run_id)
+    fresh = quarantine.not_stored(quarantine.quarantined(decided), stored)
+    store.write("quarantine", fresh, run_id, "approval")
     store.write("metrics", metrics.decision_counts(decided, settings), run_id, "approval")
     planned = store.write("statements", approval.plan(decided, settings), run_id, "approval")
     done = store.write(
         "results",
-        approval.results(decided, execute(planned), settings),
+        approval.results(decided, executed(planned, settings, execute), settings),
         run_id,
         "approval",
     )
@@ -61,6 +63,11 @@ def settle_approvals(
     return with_run(written, run_id)
 
 
+def executed(planned: DataFrame, settings: Settings, execute: Execute) -> DataFrame:
+    """Outcomes of the statements; a dry run executes none and takes all for done."""
+    return outcomes.all_ok(planned) if settings.dry_run else execute(planned)
+
+
 def with_run(rows: DataFrame, run_id: str) -> DataFrame:
     return rows.withColumn("run_id", F.lit(run_id))
 
@@ -70,14 +77,15 @@ def expiries(
     journal: DataFrame,
     settings: Settings,
     run_id: str,
-    execute: Execute = outcomes.all_ok,
+    execute: Execute,
 ) -> DataFrame:
     """Expiry step on a journal that holds this run's approvals already."""
     due = store.write(
         "expired", expiry.expired(j.current_grants(journal), settings), run_id, "expiry"
     )
     planned = store.write("statements", expiry.plan(due, settings), run_id, "expiry")
-    done = store.write("results", expiry.results(due, execute(planned)), run_id, "expiry")
+    outcome_rows = executed(planned, settings, execute)
+    done = store.write("results", expiry.results(due, outcome_rows), run_id, "expiry")
     revoked = expiry.settle(done, settings, run_id)
     written = store.write("journal", revoked.journal, run_id, "expiry")
     store.write("notifications", revoked.notifications, run_id, "expiry")
@@ -103,7 +111,7 @@ def run(
     user_properties: DataFrame,
     settings: Settings,
     run_id: str,
-    execute: Execute = outcomes.all_ok,
+    execute: Execute,
 ) -> State:
     """One scheduled run. ``execute`` turns statement rows into outcome rows.
 

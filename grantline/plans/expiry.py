@@ -25,7 +25,7 @@ class Revoked:
 def expired(grants: DataFrame, settings: Settings) -> DataFrame:
     """Grants to revoke; none where expiry is switched off."""
     rows = j.expired_grants(grants, settings)
-    return rows if settings.expiry_enabled else rows.limit(0)
+    return rows.filter(F.lit(settings.expiry_enabled))
 
 
 def plan(due: DataFrame, settings: Settings) -> DataFrame:
@@ -46,5 +46,5 @@ def settle(done: DataFrame, settings: Settings, run_id: str) -> Revoked:
     mails = notices.revocation(revoked, settings)
     return Revoked(
         journal=j.revoke_rows(revoked, settings, run_id),
-        notifications=mails if settings.revocation_notification else mails.limit(0),
+        notifications=mails.filter(F.lit(settings.revocation_notification)),
     )

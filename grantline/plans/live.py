@@ -29,11 +29,16 @@ def decide(
     the work in proportion to the batch.
     """
     flat = requests.flatten(found, settings) if "params" in found.columns else found
+    # Of the history only the batch's URNs matter; the semi-joins filter it first.
+    wanted = changed.select("urn")
+    errors = state.provisioning_errors.join(
+        wanted, F.col("action_request_urn") == F.col("urn"), "left_semi"
+    )
     return decisions.live_decisions(
         events.matched_requests(changed, flat),
         state.grants,
-        state.granted_urns,
-        state.provisioning_errors,
+        state.granted_urns.join(wanted, "urn", "left_semi"),
+        errors,
         user_properties,
         settings,
     )
@@ -48,6 +53,7 @@ def denials(decided: DataFrame, sent: DataFrame, settings: Settings) -> DataFram
     denied = decided.filter(F.col("decision") == decisions.DENY)
     if settings.dedup_denials:
         mailed = sent.filter(F.col("type") == "denial").select("urn")
-        return notices.denial(denied.join(mailed, "urn", "left_anti"), settings)
+        known = mailed.join(denied.select("urn"), "urn", "left_semi")
+        return notices.denial(denied.join(known, "urn", "left_anti"), settings)
     repeated = denied.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("events"))))
     return notices.denial(repeated, settings)

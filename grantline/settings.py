@@ -104,6 +104,8 @@ class Settings:
     state: StateNames = field(default_factory=StateNames)
 
     def __post_init__(self) -> None:
+        if self.hot_key_rows < 1:
+            raise ValueError(f"hot_key_rows must be positive, not {self.hot_key_rows!r}")
         if self.guard not in GUARDS:
             raise ValueError(f"guard must be one of {GUARDS}, not {self.guard!r}")
         if self.username_format not in USERNAME_FORMATS:

@@ -18,8 +18,12 @@ def read_requests(spark: SparkSession, path: str, source: str = "parquet") -> Da
 
 
 def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Raw listing, one JSON document per line, for :func:`checked`."""
-    return spark.read.text(path)
+    """Raw listing for :func:`checked`: ``seq`` and ``value``, a JSON document per line.
+
+    ``seq`` follows the lines within a file; files come in the order in which Spark
+    plans them. A listing with an order of its own brings its own ``seq``.
+    """
+    return spark.read.text(path).select(F.monotonically_increasing_id().alias("seq"), "value")
 
 
 # The wire shape with untyped leaves, so that each leaf's own type can be checked.
@@ -32,7 +36,9 @@ _corrupt string
 """
 _FIELDS = "array<struct<id:variant,values:variant>>"
 _VALUES = "array<struct<stringValue:variant,numberValue:variant>>"
-_NUMBER = "^(BIGINT|DECIMAL|DOUBLE|FLOAT)"
+_NUMBER = "^(BIGINT|DECIMAL|DOUBLE|FLOAT|BOOLEAN)"
+# A cast alone would take a type suffix, as in "30d", for part of the number.
+_NUMBER_TEXT = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 
 def _as(leaf: Column, type_name: str) -> Column:
@@ -48,9 +54,10 @@ def _is_text(leaf: Column) -> Column:
 
 
 def _is_number(leaf: Column) -> Column:
-    """A number, or text that reads as one."""
+    """A number, a truth value (1 or 0), or text that reads as a number."""
     kind = F.schema_of_variant(leaf)
-    numeric = kind.rlike(_NUMBER) | ((kind == "STRING") & _as(leaf, "double").isNotNull())
+    as_text = (kind == "STRING") & _as(leaf, "string").rlike(_NUMBER_TEXT)
+    numeric = kind.rlike(_NUMBER) | (as_text & _as(leaf, "double").isNotNull())
     return F.coalesce(numeric, F.lit(False))
 
 
@@ -84,7 +91,8 @@ def _reason(document: Column) -> Column:
     form = doc["params"]["workflowFormRequest"]
     corrupt = doc["_corrupt"].isNotNull()
     unreadable = doc.isNull() | (corrupt & F.try_parse_json(document).isNull())
-    reason = F.when(unreadable, F.lit("malformed_json"))
+    reason = F.when(F.col("seq").isNull(), F.lit("missing:seq"))
+    reason = reason.when(unreadable, F.lit("malformed_json"))
     reason = reason.when(
         corrupt & ~F.startswith(F.ltrim(document), F.lit("{")), F.lit("not_an_object")
     ).when(corrupt, F.lit("bad_type:structure"))
@@ -167,8 +175,8 @@ def _typed() -> dict[str, Column]:
 def checked(raw: DataFrame, column: str = "value") -> DataFrame:
     """Typed request columns plus ``reason``: null for a good row.
 
-    Each document is parsed once. A bad row does not take its neighbours along;
-    other columns of ``raw`` (such as ``seq``) are kept.
+    ``raw`` has the documents and their place ``seq`` in the listing. Each document is
+    parsed once. A bad row does not take its neighbours along; other columns are kept.
     """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
     parsed = raw.withColumn("_doc", F.from_json(F.col(column), _WIRE, options))

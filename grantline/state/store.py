@@ -8,6 +8,7 @@ one writer at a time.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,8 @@ _URNS = T.StructType(
     [T.StructField("urn", T.StringType()), T.StructField("dry_run", T.BooleanType())]
 )
 _SNAPSHOTS = T.StructType([T.StructField("gen", T.IntegerType())])
+#: What every file system takes as a folder name.
+_RUN_ID = "[A-Za-z0-9_.-]+"
 _RUN = [T.StructField("run_id", T.StringType()), T.StructField("step", T.StringType())]
 
 TABLES: dict[str, T.StructType] = {
@@ -91,6 +94,8 @@ class StateStore:
             if self._generation is None:
                 self._generation = self.generation()
             folder = f"{folder}/gen={self._generation}"
+        if not re.fullmatch(_RUN_ID, run_id):
+            raise ValueError(f"a run id is a folder name of {_RUN_ID}, not {run_id!r}")
         target = f"{folder}/run_id={run_id}/step={step}"
         kept = rows.drop("run_id") if "run_id" in rows.columns else rows
         kept.write.mode("overwrite").parquet(target)
@@ -115,10 +120,10 @@ class StateStore:
 
     def _journal(self, run_id: str | None, gen: int) -> DataFrame:
         fields = [f for f in schemas.JOURNAL.fields if f.name != "run_id"]
-        schema = T.StructType([*fields, T.StructField("gen", T.IntegerType()), *_RUN])
-        rows = self.spark.read.schema(schema).parquet(self.path("journal"))
-        rows = _others(rows.filter(F.col("gen") >= gen), run_id)
-        return rows.select(*schemas.JOURNAL.names)
+        schema = T.StructType([*fields, *_RUN])
+        # By path, not by a filter: older generations are not even listed.
+        rows = self.spark.read.schema(schema).parquet(f"{self.path('journal')}/gen={gen}")
+        return _others(rows, run_id).select(*schemas.JOURNAL.names)
 
     def _snapshot(self, part: str, gen: int, schema: T.StructType) -> DataFrame:
         return self.spark.read.schema(schema).parquet(f"{self.path(part)}/gen={gen}")
@@ -131,7 +136,7 @@ class StateStore:
             rows = self._snapshot("snapshot_rows", gen, schemas.JOURNAL)
             journal = rows.unionByName(journal)
             urns = self._snapshot("snapshot_urns", gen, _URNS).unionByName(urns)
-        return journal, urns.distinct()
+        return journal, urns
 
     def state(self, run_id: str | None = None, include_dry: bool = False) -> State:
         """State as ``run_id`` finds it: nothing of its own earlier attempts."""
@@ -139,14 +144,16 @@ class StateStore:
         journal, urns = self._all_changes(run_id, self._generation)
         return State(
             journal=j.in_force(journal, include_dry),
-            granted_urns=j.in_force(urns, include_dry).select("urn").distinct(),
+            granted_urns=j.in_force(urns, include_dry).select("urn"),
             sla_notifications=self.earlier("sla_notifications", run_id),
             provisioning_errors=self.earlier("provisioning_errors", run_id),
         )
 
-    def earlier(self, table: str, run_id: str | None) -> DataFrame:
-        """Rows of a table that other runs wrote."""
-        return _others(self.read(table), run_id).select(*TABLES[table].names)
+    def earlier(self, table: str, run_id: str | None, step: str | None = None) -> DataFrame:
+        """Rows of a table that other runs wrote, of one step or all; steps are folders."""
+        rows = _others(self.read(table), run_id)
+        rows = rows.filter(F.col("step") == step) if step else rows
+        return rows.select(*TABLES[table].names)
 
     def compact(self) -> None:
         """Fold the journal into a snapshot: latest row per key, and the granted URNs.
@@ -159,7 +166,9 @@ class StateStore:
         j.latest_rows(journal, ["dry_run"]).write.mode("overwrite").parquet(
             f"{self.path('snapshot_rows')}/gen={gen + 1}"
         )
-        urns.write.mode("overwrite").parquet(f"{self.path('snapshot_urns')}/gen={gen + 1}")
+        urns.distinct().write.mode("overwrite").parquet(
+            f"{self.path('snapshot_urns')}/gen={gen + 1}"
+        )
         fresh = self.spark.createDataFrame([], schemas.JOURNAL).drop("run_id")
         fresh.write.mode("overwrite").parquet(
             f"{self.path('journal')}/gen={gen + 1}/run_id=none/step=none"
@@ -169,6 +178,23 @@ class StateStore:
         self.write("snapshots", marker, f"snapshot-{gen + 1:06d}", "compact")
 
 
+    def drop_folded(self) -> None:
+        """Remove journal folders and snapshots of generations before the current one.
+
+        To be called when no reader of an older generation is left.
+        """
+        current = self.generation()
+        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path
+        configuration = self.spark._jsc.hadoopConfiguration()
+        for table in ("journal", "snapshot_rows", "snapshot_urns"):
+            folder = hadoop(self.path(table))
+            files = folder.getFileSystem(configuration)
+            for entry in files.listStatus(folder) if files.exists(folder) else ():
+                name = entry.getPath().getName()
+                if name.startswith("gen=") and int(name.removeprefix("gen=")) < current:
+                    files.delete(entry.getPath(), True)
+
+
 def _others(rows: DataFrame, run_id: str | None) -> DataFrame:
     return rows if run_id is None else rows.filter(F.col("run_id") != run_id)
 

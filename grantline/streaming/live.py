@@ -7,29 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.query import StreamingQuery
 
-from grantline.operators import outcomes
 from grantline.operators.events import routed_events
 from grantline.plans import catchup, live
 from grantline.settings import Settings
 from grantline.state.store import StateStore
 
 
-def routed_stream(stream: DataFrame, dedup_within: str | None = None) -> DataFrame:
-    """Routed events of a stream.
-
-    Redelivered events do no harm: the state guards against them in every batch.
-    ``dedup_within`` also drops repeats of an event id early; it keeps state for that
-    long and drops events that come later than that, so it must cover the longest
-    delay of the source.
-    """
-    routed = routed_events(stream)
-    if not dedup_within:
-        return routed
-    return routed.withWatermark("event_ts", dedup_within).dropDuplicatesWithinWatermark(
-        ["event_id"]
-    )
-
-
 def batch_run_id(prefix: str, batch_id: int) -> str:
     return f"{prefix}-{batch_id:010d}"
 
@@ -41,7 +24,7 @@ def handle_batch(
     user_properties: DataFrame,
     settings: Settings,
     run_id: str,
-    execute: Callable[[DataFrame], DataFrame] = outcomes.all_ok,
+    execute: Callable[[DataFrame], DataFrame],
 ) -> None:
     """One micro-batch under one run id: a repeated batch replaces what it wrote.
 
@@ -51,7 +34,7 @@ def handle_batch(
     # Written first: the micro-batch is computed once, whatever is done with it.
     changed = store.write("changes", live.changes(batch), run_id, "live")
     state = store.state(run_id, settings.count_dry_runs)
-    sent = store.earlier("notifications", run_id)
+    sent = store.earlier("notifications", run_id, "denial")
     decided = store.write(
         "decisions",
         live.decide(changed, find(changed), state, user_properties, settings),
@@ -71,11 +54,12 @@ def start(
     settings: Settings | Callable[[], Settings],
     checkpoint: str,
     prefix: str,
-    dedup_within: str | None = None,
-    execute: Callable[[DataFrame], DataFrame] = outcomes.all_ok,
+    execute: Callable[[DataFrame], DataFrame],
 ) -> StreamingQuery:
     """Handle everything that has arrived, then stop: one scheduled invocation.
 
+    Redelivered and late events do no harm and none is dropped: the state guards against
+    them in every batch.
     ``prefix`` names the runs of this stream: one for each checkpoint folder.
     ``settings`` may be a function, so that each batch gets the clock of its start.
     """
@@ -94,7 +78,7 @@ def start(
         )
 
     return (
-        routed_stream(stream, dedup_within)
+        routed_events(stream)
         .writeStream.foreachBatch(on_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

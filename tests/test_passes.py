@@ -274,3 +274,56 @@ def test_compaction_between_runs(spark, settings, store):
     approve(store, requests, later(settings), "r2")
     assert decisions(store, "r2") == [("a", "skip_provisioned"), ("b", "skip_provisioned")]
     assert store.state().grants.count() == 2
+
+
+def refuse(statements):
+    raise AssertionError("nothing may be executed")
+
+
+def test_a_dry_run_executes_nothing(spark, settings, store):
+    requests = flat(spark, flat_row("a", 1, duration_raw="-1"))
+    run(store, requests, replace(settings, dry_run=True), "r1", refuse)
+    assert store.read("statements").filter("dry_run").count() == 8
+
+
+def test_durations_beyond_the_calendar_are_held_back(spark, settings, store):
+    requests = flat(
+        spark,
+        flat_row("far", 1, duration_raw="10000000"),
+        flat_row("past", 2, duration_raw="-10000000"),
+        flat_row("ok", 3, duration_raw="30"),
+    )
+    for n in range(2):
+        approve(store, requests, later(settings, n), f"r{n}")
+    assert decisions(store, "r0") == [
+        ("far", "skip_duration_out_of_range"),
+        ("ok", "provision"),
+        ("past", "skip_duration_out_of_range"),
+    ]
+    assert {r.urn for r in store.read("statements").collect()} == {"ok"}
+    # Stored once, although the second run meets the same requests again.
+    assert rows_of(store.read("quarantine"), "urn", "reason", "run_id") == [
+        ("far", "duration_out_of_range", "r0"),
+        ("past", "duration_out_of_range", "r0"),
+    ]
+
+
+def test_folded_generations_are_neither_listed_nor_kept(spark, settings, store):
+    requests = flat(spark, flat_row("a", 1), flat_row("b", 2, snowflake_role="OTHER"))
+    sizes = []
+    for n in range(3):
+        approve(store, requests, later(settings, n), f"r{n}")
+        store.compact()
+        store.drop_folded()
+        sizes.append(len(store.state().journal.inputFiles()))
+        assert decisions(store, f"r{n}") == [
+            ("a", "provision" if n == 0 else "skip_provisioned"),
+            ("b", "provision" if n == 0 else "skip_provisioned"),
+        ]
+    assert sizes[1] == sizes[2]
+    assert store.state().grants.count() == 2
+
+
+def test_run_ids_are_folder_names(spark, settings, store):
+    with pytest.raises(ValueError, match="run id"):
+        store.write("metrics", store.read("metrics"), "2024-01-01T00:30", "approval")

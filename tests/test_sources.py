@@ -1,11 +1,19 @@
 import pytest
+from pyspark.sql import functions as F
 
 from grantline import schemas
 from grantline.checkpoints import scratch_path, shared_folder, written
 from grantline.settings import Settings
 from grantline.sources.events import read_events
 from grantline.sources.properties import read_user_properties
-from grantline.sources.requests import good_rows, checked, read_json_lines, read_requests
+from grantline.operators.requests import flatten
+from grantline.sources.requests import (
+    bad_rows,
+    checked,
+    good_rows,
+    read_json_lines,
+    read_requests,
+)
 from tests.builders import properties, rows_of
 from tests.conftest import AS_OF_MS
 from tests.test_forms import nested
@@ -30,6 +38,38 @@ def test_json_lines_from_files(spark, tmp_path):
     assert good_rows(rows).count() == 1
 
 
+def test_from_json_lines_to_decisions(spark, settings, tmp_path):
+    """A listing as text goes through check, flattening and decision without help."""
+    page = nested(spark).drop("seq").toJSON().collect()
+    (tmp_path / "page.json").write_text("\n".join([*page, "{broken"]) + "\n")
+    rows = checked(read_json_lines(spark, str(tmp_path / "page.json")))
+    flat = flatten(good_rows(rows), settings)
+    assert flat.count() == len(page) and flat.filter("seq is null").count() == 0
+    assert rows_of(bad_rows(rows), "reason") == [("malformed_json",)]
+
+
+def test_number_texts_and_missing_places(spark):
+    def document(number):
+        form = '{"fields":[{"id":"x","values":[{"numberValue":%s}]}]}' % number
+        head = '{"urn":"a","type":"T","status":"S","created":{"time":1},'
+        return head + '"params":{"workflowFormRequest":%s}}' % form
+
+    numbers = ['"30d"', '"30"', "true", "2.5", '"1e3"', '"f"']
+    texts = [(i, document(n)) for i, n in enumerate(numbers)] + [(None, document("1"))]
+    rows = checked(spark.createDataFrame(texts, "seq long, value string"))
+    value = F.get(F.get("params.workflowFormRequest.fields", F.lit(0))["values"], F.lit(0))
+    found = rows.select("seq", "reason", value["numberValue"].alias("n"))
+    assert rows_of(found, "seq", "reason", "n") == [
+        (0, "bad_type:fields", None),
+        (1, None, 30.0),
+        (2, None, 1.0),
+        (3, None, 2.5),
+        (4, None, 1000.0),
+        (5, "bad_type:fields", None),
+        (None, "missing:seq", None),
+    ]
+
+
 def test_events_and_properties_from_files(spark, tmp_path):
     event_rows(spark, "u").write.parquet(str(tmp_path / "events"))
     assert rows_of(read_events(spark, str(tmp_path / "events")), "entity_urn") == [("u",)]

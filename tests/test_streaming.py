@@ -1,3 +1,4 @@
+import re
 from dataclasses import replace
 
 import pytest
@@ -5,7 +6,12 @@ from pyspark.sql import functions as F
 
 from grantline.operators import events, outcomes
 from grantline.plans import live
-from grantline.sources.events import stream_events
+from grantline.sources.events import (
+    from_envelopes,
+    good_events,
+    rejected_envelopes,
+    stream_events,
+)
 from grantline.state.store import StateStore
 from grantline.streaming import live as stream
 from tests.builders import flat, flat_row, grants, no_errors, no_sla, properties, rows_of
@@ -104,7 +110,7 @@ def test_latest_guard_follows_the_order_of_events(spark, settings, store, order,
     ]
 
 
-def run_stream(spark, store, folder, settings, **options):
+def run_stream(spark, store, folder, settings):
     query = stream.start(
         stream_events(spark, str(folder), max_files_per_trigger=1),
         store,
@@ -113,7 +119,7 @@ def run_stream(spark, store, folder, settings, **options):
         settings,
         str(folder) + "-checkpoint",
         "live",
-        **options,
+        outcomes.all_ok,
     )
     query.awaitTermination()
     return query
@@ -130,21 +136,20 @@ def actions(store):
 EXPECTED = [("approved", "provision"), ("denied", "deny"), ("second", "provision")]
 
 
-@pytest.mark.parametrize("dedup_within", [None, "1 hour"])
-def test_stream_handles_redelivery_and_restart(spark, settings, store, tmp_path, dedup_within):
+def test_stream_handles_redelivery_and_restart(spark, settings, store, tmp_path):
     folder = tmp_path / "events"
     event_rows(spark, "approved", "denied", "open").coalesce(1).write.parquet(str(folder))
     event_rows(spark, "approved", "denied", start=10).coalesce(1).write.mode("append").parquet(
         str(folder)
     )
-    run_stream(spark, store, folder, settings, dedup_within=dedup_within)
+    run_stream(spark, store, folder, settings)
     assert actions(store) == EXPECTED[:2]
     event_rows(spark, "second", "approved", start=20).coalesce(1).write.mode("append").parquet(
         str(folder)
     )
-    run_stream(spark, store, folder, settings, dedup_within=dedup_within)
+    run_stream(spark, store, folder, settings)
     assert actions(store) == EXPECTED
-    run_stream(spark, store, folder, settings, dedup_within=dedup_within)
+    run_stream(spark, store, folder, settings)
     assert actions(store) == EXPECTED
 
 
@@ -163,7 +168,7 @@ def test_a_repeated_batch_replaces_itself(spark, settings, store):
     batch = event_rows(spark, "approved", "denied")
     for _ in range(2):
         stream.handle_batch(
-            store, batch, lambda changed: requests(spark), props(spark), settings, "live-0"
+            store, batch, lambda changed: requests(spark), props(spark), settings, "live-0", outcomes.all_ok
         )
         assert actions(store) == EXPECTED[:2]
         assert store.read("statements").count() == 4
@@ -185,10 +190,14 @@ def test_an_interrupted_batch_is_completed(spark, settings, store):
 
     store.write = broken
     with pytest.raises(Stop):
-        stream.handle_batch(store, batch, lambda changed: requests(spark), props(spark), settings, "b0")
+        stream.handle_batch(
+            store, batch, lambda changed: requests(spark), props(spark), settings, "b0", outcomes.all_ok
+        )
     store.write = write
     assert store.state().journal.count() == 1
-    stream.handle_batch(store, batch, lambda changed: requests(spark), props(spark), settings, "b0")
+    stream.handle_batch(
+        store, batch, lambda changed: requests(spark), props(spark), settings, "b0", outcomes.all_ok
+    )
     assert store.state().journal.count() == 1
     assert store.read("notifications").filter("type = 'approval'").count() == 1
 
@@ -201,3 +210,48 @@ def test_denials_can_be_mailed_for_every_event(spark, settings, store):
             store, batch, lambda changed: requests(spark), props(spark), config, run_id, outcomes.all_ok
         )
         assert store.read("notifications").filter("type = 'denial'").count() == total
+
+
+def test_envelopes(spark):
+    """The wire shape of an event; damaged ones become quarantine rows."""
+    texts = [
+        '{"event_type":"E","event":{"entityType":"t","aspectName":"a","entityUrn":"u"}}',
+        '{"event_type":"E","event":{"entityType":"t"}}',
+        '{"event":{"entityUrn":"u"}}',
+        '{"event_type":"E"}',
+        '{"event_type":',
+        "[]",
+        None,
+    ]
+    raw = spark.createDataFrame(list(enumerate(texts)), "offset long, value string")
+    parsed = from_envelopes(raw, F.col("offset"), F.timestamp_seconds(F.col("offset")))
+    assert rows_of(good_events(parsed), "event_id", "event_type", "entity_urn") == [
+        (0, "E", "u"),
+        (1, "E", None),
+    ]
+    assert rows_of(parsed.filter("problem is not null"), "event_id", "problem") == [
+        (2, "missing:event_type"),
+        (3, "missing:event"),
+        (4, "malformed_envelope"),
+        (5, "malformed_envelope"),
+        (6, "malformed_envelope"),
+    ]
+    assert rejected_envelopes(parsed).columns == ["urn", "reason", "detail"]
+
+
+def test_history_is_filtered_to_the_batch_before_anything_else(spark, settings, store):
+    """Semi-joins with the batch cut the history, and only denial folders are read."""
+    decided = live.decide(
+        live.changes(event_rows(spark, "approved")),
+        requests(spark),
+        store.state(),
+        props(spark),
+        settings,
+    )
+    mails = live.denials(decided, store.earlier("notifications", "b1", "denial"), settings)
+
+    def plan(frame):
+        return frame._jdf.queryExecution().optimizedPlan().toString()
+
+    assert "LeftSemi" in plan(decided.filter("provisioned"))
+    assert "LeftSemi" in plan(mails) and re.search(r"step#\d+ = denial", plan(mails))
