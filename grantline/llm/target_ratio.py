@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -72,20 +73,26 @@ def _repeat_words(words: str, windows: str) -> Column:
         END""")
 
 
+def _once(value: Column) -> Column:
+    """A value that later filters can't be rewritten to compute again for each use."""
+    return F.explode(F.array(value))
+
+
 def measured(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with the base counts, ``base_failed`` and an internal array of words."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     clean = docs.drop(*RESULTS, "base_failed", "kept", "target_score")
+    names = [F.col(f"`{c}`") for c in clean.columns]
     windows = F.expr(
         f"CASE WHEN size(words_) < {WINDOW} THEN cast(array() AS array<bigint>) ELSE "
         f"transform(sequence(1, size(words_) - {WINDOW - 1}), "
         f"i -> xxhash64(slice(words_, i, {WINDOW}))) END"
     )
     counted = (
-        clean.withColumn("words_", _words(text))
-        .withColumn("windows_", windows)
+        clean.select(*names, _once(_words(text)).alias("words_"))
+        .select(*names, "words_", _once(windows).alias("windows_"))
         .select(
-            *[F.col(f"`{c}`") for c in clean.columns],
+            *names,
             "words_",
             F.size("words_").cast("long").alias("n_words"),
             _without(text, _SPACE).cast("long").alias("word_chars"),
@@ -140,9 +147,10 @@ def judged(
     docs: DataFrame, table: list[float], text_col: str = "text", threshold: float = THRESHOLD
 ) -> DataFrame:
     """``docs`` with the base counts, ``base_failed``, ``target_score`` and ``kept``."""
-    # The table is one literal of fixed size, unpacked once when the plan is optimised.
-    looked_up = F.split(F.lit(",".join(map(repr, table))), ",").cast("array<double>")
-    scored = measured(docs, text_col).withColumn("grams_", _grams("words_"))
+    # The table is one literal of fixed size.
+    looked_up = F.lit(np.array(table))
+    base = measured(docs, text_col)
+    scored = base.select("*", _once(_grams("words_")).alias("grams_"))
     total = F.aggregate(
         "grams_", F.lit(0.0), lambda a, g: a + F.get(looked_up, g)
     ) / F.greatest(F.size("grams_"), F.lit(1))
