@@ -29,7 +29,7 @@ TRUSTED = 20_000
 #: Weight of the raw distribution, as a count, in the target's: few trusted documents give
 #: ratios near 1, not chance verdicts.
 PRIOR = BUCKETS
-THRESHOLD = -0.45
+THRESHOLD = -0.55
 MIN_WORDS = 10
 MAX_REPEATED = 20  # per cent of the words
 WINDOW = 5
