@@ -8,8 +8,6 @@ change event, so all of them grow with the given tables.
 from __future__ import annotations
 
 from collections.abc import Callable
-from pathlib import Path
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -144,7 +142,7 @@ def view_sql(name: str, order_ms: str) -> str:
 
 
 def staged(build: Callable[[SparkSession, str], DataFrame]):
-    """Let a table come from a folder of its name under ``sf_dir``, if there is one.
+    """Let a table come from a folder of its name, if :func:`use_staged` names ``sf_dir``.
 
     The bench writes the derived tables there first and so measures the operators.
     """
@@ -152,7 +150,7 @@ def staged(build: Callable[[SparkSession, str], DataFrame]):
 
     def read_or_build(spark: SparkSession, sf_dir: str) -> DataFrame:
         folder = f"{sf_dir}/{name}"
-        if Path(folder).is_dir():
+        if sf_dir in _STAGED_FOLDERS:
             return spark.read.parquet(folder)
         return build(spark, sf_dir)
 
@@ -161,6 +159,12 @@ def staged(build: Callable[[SparkSession, str], DataFrame]):
 
 
 STAGED: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_STAGED_FOLDERS: set[str] = set()
+
+
+def use_staged(folder: str) -> None:
+    """From now on read the derived tables from ``folder`` where it is given as ``sf_dir``."""
+    _STAGED_FOLDERS.add(folder)
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -24,6 +24,7 @@ def tables(spark, tmp_path_factory):
     folder = tmp_path_factory.mktemp("tables")
     for name, build in fixtures.STAGED.items():
         build(spark, SF).write.parquet(f"{folder}/{name}")
+    fixtures.use_staged(str(folder))
     return str(folder)
 
 
