@@ -254,6 +254,11 @@ class Encoder:
         self.words: dict[bytes | str, bytes] = {}
         self._forget_words()
 
+    def release(self) -> None:
+        """Give the memory back: workers live on, and other stages run in them."""
+        self.runs.clear()
+        self._forget_words()
+
     def _forget_words(self) -> None:
         self.words.clear()
         special = self.vocabulary.special.items()
@@ -327,6 +332,7 @@ def _mapped(
             for part in words.slices(batch, used):
                 values = pa.array(work(shared.value, part.column(place)), kind)
                 yield from part.append_column(name, values).combine_chunks().to_batches()
+        encoder_of(shared.value).release()
 
     spark_kind = T.BinaryType() if kind == pa.binary() else T.StringType()
     return kept.mapInArrow(run, _with_column(kept, name, spark_kind))

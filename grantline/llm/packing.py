@@ -32,8 +32,8 @@ from grantline.llm import bpe, words
 CAPACITY = 2048
 END_ID = 0
 SHARD = 6000
-#: Words that a worker remembers; no other stage shares its memory here.
-REMEMBERED = 900_000
+#: Words that a task remembers.
+REMEMBERED = 600_000
 ISLANDS = 2
 EPOCHS = 2
 POPULATION = 4
@@ -83,6 +83,7 @@ def pieces(
                 ]
                 names = ["id", "piece", "start", "length", "ids_crc32", "piece_ids"]
                 yield pa.RecordBatch.from_arrays(arrays, names)
+        encoder.release()
 
     cut_up = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
         cut,
