@@ -8,9 +8,11 @@ How it runs. Only documents longer than a sequence are cut. Pieces are dealt int
 about ``SHARD`` by a hash of their row; each shard has ``ISLANDS`` populations, one task
 each, and an epoch ends with the migration of elites through a shuffle. A shard whose best
 solution meets the lower bound, total length over capacity, evolves no further. Bins that a
-shard leaves poorly filled are opened again: their pieces make up the next level, with far
-fewer shards, until one shard is left; so the loss of dealing into shards stays below a
-sequence or so for each shard of the last levels. No task holds more than a shard.
+shard leaves poorly filled are opened again: their pieces make up the next level, dealt anew
+into fewer shards, until one shard is left or a level neither leaves clearly fewer pieces nor
+saves a sequence for each shard (pieces of more than half a sequence may never fill one);
+then its bins stay as they are. So the loss of dealing into shards stays below a sequence or
+so for each shard of the last levels. No task holds more than a shard.
 
 Defined results: a null text is an empty one and packs as the end id alone. Repeated rows
 are packed each. An empty table gives no rows.
@@ -40,6 +42,10 @@ POPULATION = 4
 GENERATIONS = 6
 #: Bins of a shard that are filled less than this are packed again on the next level.
 CLOSED = 0.985
+#: A level goes on to the next one if it leaves at most this share of its pieces.
+LEFT = 0.75
+#: Sequence ids hold the level in seven bits.
+LEVELS = 128
 
 
 def pieces(
@@ -244,7 +250,7 @@ def _epoch(table: pa.Table, known: list[bytes], capacity: int, number: int) -> p
 
 
 def _place(capacity: int):
-    """Bin, offset and fill of each item in the best solution of a shard."""
+    """Length, bin, offset and fill of each item in the best solution of a shard."""
 
     def run(table: pa.Table, known: pa.Table) -> pa.Table:
         uid, lengths = _items(table)
@@ -259,15 +265,15 @@ def _place(capacity: int):
         offset[order] = before - begin
         fill = np.bincount(bin_of, lengths).astype(np.int64)
         shard = np.full(len(uid), table["shard"][0].as_py(), np.int64)
-        columns = [shard, uid, bin_of, offset, fill[bin_of]]
-        return pa.table(dict(zip(("shard", "uid", "bin", "offset", "fill"), columns)))
+        columns = [shard, uid, lengths, bin_of, offset, fill[bin_of]]
+        return pa.table(dict(zip(("shard", "uid", "length", "bin", "offset", "fill"), columns)))
 
     return run
 
 
-def _solved(items: DataFrame, shards: int, capacity: int) -> DataFrame:
-    """Rows ``shard, uid, bin, offset, fill`` of a level."""
-    dealt = items.withColumn("shard", F.pmod(F.xxhash64("uid"), F.lit(shards)))
+def _solved(items: DataFrame, shards: int, capacity: int, level: int = 0) -> DataFrame:
+    """Rows ``shard, uid, length, bin, offset, fill`` of a level; each deals in its own way."""
+    dealt = items.withColumn("shard", F.pmod(F.xxhash64("uid", F.lit(level)), F.lit(shards)))
     islands = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(ISLANDS - 1).cast("long")))
     each = dealt.withColumn("island", islands).groupBy("shard", "island")
     known = written(each.applyInArrow(_first_epoch(capacity), _STATE), "population")
@@ -289,7 +295,8 @@ def _solved(items: DataFrame, shards: int, capacity: int) -> DataFrame:
         dealt.groupBy("shard")
         .cogroup(known.groupBy("shard"))
         .applyInArrow(
-            _place(capacity), "shard long, uid long, bin long, offset long, fill long"
+            _place(capacity),
+            "shard long, uid long, length long, bin long, offset long, fill long",
         )
     )
 
@@ -301,18 +308,28 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         cut.drop("sequence_id", "offset").withColumn("uid", F.monotonically_increasing_id()),
         "pieces",
     )
-    items, places, level = numbered.select("uid", "length"), [], 0
-    while True:
-        shards = max(1, -(-items.count() // SHARD))
-        solved = written(_solved(items, shards, capacity), "solved")
-        base = F.lit(level << 56) + F.shiftleft("shard", 20) + F.col("bin")
+    items, places, open_bins = numbered.select("uid", "length"), [], None
+    count = items.count()
+    for level in range(LEVELS):
+        shards = max(1, -(-count // SHARD))
+        solved = written(_solved(items, shards, capacity, level), "solved")
+        closed = F.col("fill") >= CLOSED * capacity
+        first = F.col("offset") == 0
+        found = solved.agg(
+            F.count_if(first).alias("bins"),
+            F.count_if(first & ~closed).alias("open_bins"),
+            F.count_if(~closed).alias("left"),
+        ).first()
+        saves = open_bins is None or open_bins - found.bins >= shards
         # With one shard left there is nothing to gain from another level.
-        done = F.lit(shards == 1) | (F.col("fill") >= CLOSED * capacity)
+        last = shards == 1 or level == LEVELS - 1 or not (saves or found.left <= LEFT * count)
+        base = F.lit(level << 56) + F.shiftleft("shard", 20) + F.col("bin")
+        done = F.lit(last) | closed
         places.append(solved.where(done).select("uid", base.alias("sequence_id"), "offset"))
-        if shards == 1:
+        if last or not found.left:
             break
-        items = solved.where(~done).select("uid").join(items, "uid")
-        level += 1
+        items = solved.where(~done).select("uid", "length")
+        count, open_bins = found.left, found.open_bins
     placed = places[0]
     for more in places[1:]:
         placed = placed.unionByName(more)

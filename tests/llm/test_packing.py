@@ -88,3 +88,21 @@ def test_simple_tables(spark, values):
     packed = packing.pack(lengths(spark, values)).collect()
     assert sorted(r.length for r in packed) == sorted(values)
     assert check(packed, 2048) == -(-sum(values) // 2048)
+
+
+@pytest.mark.parametrize("others", [[], [300] * 60 + list(range(1, 900, 9))])
+def test_more_shards_of_pieces_that_never_fill_a_sequence(spark, monkeypatch, others):
+    """Copies of more than half a sequence; the levels end though most bins stay open."""
+    solved, levels = packing._solved, []
+
+    def counted(*args):
+        levels.append(args)
+        assert len(levels) < 9
+        return solved(*args)
+
+    monkeypatch.setattr(packing, "SHARD", 50)
+    monkeypatch.setattr(packing, "_solved", counted)
+    values = [1100] * 160 + others
+    packed = packing.pack(lengths(spark, values)).collect()
+    assert sorted(r.doc_id for r in packed) == list(range(len(values)))
+    assert check(packed, 2048) <= 160 + len(others) // 20
