@@ -4,11 +4,15 @@ Method: two Zstandard dictionaries are built from good and bad labelled texts. A
 compressed with each; the normalised difference of the sizes, with the share of its length
 that a text shrinks to, becomes a calibrated score by logistic regression.
 
-The model is fitted on a bounded sample of labelled rows: at most ``SAMPLE`` rows of each
-class, picked by a hash of the id among the rows that are not held out, with texts of at
-most ``SAMPLE_TEXT`` bytes. One half of it builds the dictionaries, the other calibrates.
-Every document is then scored on its whole text, in Arrow batches, with no shuffle; the
-broadcast model has a fixed size.
+The model is fitted on a bounded sample of labelled rows of any length: at most ``SAMPLE``
+rows of each class, picked by a hash of the id among the rows that are not held out. A text
+of more than ``SAMPLE_TEXT`` bytes is cut into equal parts of at most that size, of which the
+hash picks one. One half of the sample builds the dictionaries, the other calibrates.
+
+What is scored is a part of a text no longer than most that were learned: a longer text is
+cut into equal parts, and its score is their mean by length, over the whole text. So no size
+is extrapolated. Documents are scored in Arrow batches, with no shuffle; the broadcast model
+has a fixed size.
 
 Defined results: null and empty texts are scored as empty ones. A null id is not held out.
 Labels that are null, that contradict each other or that name no document are not used. If
@@ -34,13 +38,18 @@ SAMPLE_TEXT = 16 << 10
 DICTIONARY = 112 << 10
 LEVEL = 5
 THRESHOLD = 0.3
+#: Share of the sampled texts that are no longer than the parts that are scored, and the
+#: least size of a part.
+PART_SHARE = 0.9
+LEAST_PART = 1 << 10
 FOLDS = 5
 _RIDGE = 1.0
 
 
 @dataclass(frozen=True)
 class Model:
-    """Dictionaries of both classes and the weights of the standardised features."""
+    """Dictionaries of both classes, the weights of the standardised features, and the size
+    of the parts that are scored."""
 
     good: bytes
     bad: bytes
@@ -48,6 +57,7 @@ class Model:
     scale: tuple[float, ...]
     weights: tuple[float, ...]
     share: float
+    part: int = SAMPLE_TEXT
 
 
 def held_out(id_col: Column) -> Column:
@@ -76,6 +86,13 @@ class _Sizes:
         return [(bad - good) / (bad + good), good / size, plain / size, np.log(size)]
 
 
+def _parts(text: bytes, size: int) -> list[bytes]:
+    """The whole text in equal parts of at most ``size`` bytes."""
+    count = max(1, -(-len(text) // size))
+    places = [len(text) * i // count for i in range(count + 1)]
+    return [text[a:b] for a, b in zip(places, places[1:])]
+
+
 def _expanded(features: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
     """Intercept, standardised features and their squares."""
     x = np.clip((features - mean) / scale, -6, 6)
@@ -118,16 +135,24 @@ def _sample(docs: DataFrame, labels: DataFrame, label: str) -> list[tuple[int, b
         agreed.where(F.col("quality") == q).orderBy("place", "doc_id").limit(SAMPLE) for q in (0, 1)
     ]
     picked = classes[0].unionByName(classes[1]).select("doc_id", "quality", "place")
+    # The part of a text that the hash picks; nearly all texts have one only.
+    size = F.octet_length("text").cast("long")
+    count = F.ceil(size / SAMPLE_TEXT)
+    number = F.pmod("place", count)
+    begin, end = (F.floor(size * n / count) for n in (number, number + 1))
+    data = F.col("text").cast("binary")
+    part = F.substring(data, (begin + 1).cast("int"), (end - begin).cast("int"))
     rows = (
-        docs.where(F.octet_length("text").between(1, SAMPLE_TEXT))
+        docs.where(F.octet_length("text") > 0)
         .join(F.broadcast(picked), "doc_id")
+        .select("doc_id", "quality", "place", part.alias("text"))
         .groupBy("doc_id", "quality", "place")
         .agg(F.min("text").alias("text"))
         .orderBy("place", "doc_id")
         .select("quality", "text")
         .limit(2 * SAMPLE)
     )
-    return [(r.quality, r.text.encode()) for r in rows.collect()]
+    return [(r.quality, bytes(r.text)) for r in rows.collect()]
 
 
 def fit(
@@ -145,22 +170,31 @@ def fit(
     if not all(by_class):
         return Model(b"", b"", (), (), (), share)
     bad, good = (_dictionary(texts[::2]) for texts in by_class)
-    rest = [(q, t) for q, texts in enumerate(by_class) for t in (texts[1::2] or texts)]
+    part = int(np.quantile([len(t) for _, t in sample], PART_SHARE))
+    part = min(max(part, LEAST_PART), SAMPLE_TEXT)
+    halves = [(q, t) for q, texts in enumerate(by_class) for t in (texts[1::2] or texts)]
+    rest = [(q, p) for q, t in halves for p in _parts(t, part)]
     sizes = _Sizes(good, bad)
     features = np.array([sizes.features(t) for _, t in rest])
     mean, scale = features.mean(axis=0), features.std(axis=0) + 1e-9
     target = np.array([q for q, _ in rest], float)
     weights = _logistic(_expanded(features, mean, scale), target)
-    return Model(good, bad, tuple(mean), tuple(scale), tuple(weights), share)
+    return Model(good, bad, tuple(mean), tuple(scale), tuple(weights), share, part)
 
 
 def scores(model: Model, texts: list[bytes]) -> np.ndarray:
     if not model.weights:
         return np.full(len(texts), model.share)
     sizes = _Sizes(model.good, model.bad)
-    features = np.array([sizes.features(t) for t in texts]).reshape(len(texts), -1)
+    parts = [_parts(t, model.part) for t in texts]
+    features = np.array([sizes.features(p) for ps in parts for p in ps])
+    features = features.reshape(-1, len(model.mean))
     x = _expanded(features, np.array(model.mean), np.array(model.scale))
-    return 1 / (1 + np.exp(-np.clip(x @ np.array(model.weights), -30, 30)))
+    good = 1 / (1 + np.exp(-np.clip(x @ np.array(model.weights), -30, 30)))
+    owners = np.repeat(np.arange(len(texts)), [len(ps) for ps in parts])
+    length = np.array([max(1, len(p)) for ps in parts for p in ps], float)
+    total = np.bincount(owners, good * length, len(texts))
+    return np.clip(total / np.maximum(np.bincount(owners, length, len(texts)), 1), 0, 1)
 
 
 def keep(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:

@@ -69,3 +69,32 @@ def test_contradictions_and_empty_tables(spark):
     assert cq.fit(data.frame(spark), labels).share == 0.5
     model = cq.fit(data.frame(spark, []), labels)
     assert cq.score(data.frame(spark, []), model).collect() == []
+
+
+def long_text(good, size):
+    texts = []
+    while sum(map(len, texts)) < size:
+        text = data.sentence(10_000 + len(texts), 40)
+        noisy = " ".join(w + "$$$###&&&"[i % 7 :][:3] for i, w in enumerate(text.split()))
+        texts.append(text if good else noisy)
+    return "\n".join(texts)
+
+
+@pytest.mark.parametrize("size", [100_000, 1_000_000, 2_500_000])
+def test_long_texts_are_judged_like_their_parts(learned, size):
+    good, bad = cq.scores(learned[1], [long_text(kind, size).encode() for kind in (True, False)])
+    assert good > 0.9 and bad < 0.1
+
+
+def test_labelled_texts_of_any_length_are_learned(spark):
+    docs = [(i, long_text(i % 2, 40_000 + 1000 * i)) for i in range(40)]
+    labels = [(i, i % 2, 0) for i in range(40)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    model = cq.fit(frame, spark.createDataFrame(labels, data.LABELS))
+    assert all(r.predicted == r.doc_id % 2 for r in cq.score(frame, model).collect())
+    whole = {i: t.encode() for i, t in docs}
+    sample = cq._sample(frame, spark.createDataFrame(labels, data.LABELS), "quality")
+    assert len(sample) > 20
+    for _, part in sample:
+        assert 8 << 10 < len(part) <= cq.SAMPLE_TEXT
+        assert any(part in cq._parts(t, cq.SAMPLE_TEXT) for t in whole.values())
