@@ -13,8 +13,7 @@ compressed counts are added in groups of ``FAN_IN`` per band of the table, level
 So neither a frequent word nor a long text loads one task, and the tables that are broadcast
 have a fixed size.
 
-The target is a bounded, documented sample of labelled rows: the ``TRUSTED`` smallest ids
-by hash among those labelled good. All other statistics cover every document.
+The target is every document whose id is labelled good; the background is every document.
 
 Defined results: null or empty texts have no tokens, losses of 0 and a score of 0. Rows
 that repeat are counted and scored each. A null id is never trusted. Without a target the
@@ -36,19 +35,18 @@ from grantline.llm import blocks, words
 WORDS = 1920
 ENDINGS = 127
 SYMBOLS = WORDS + ENDINGS + 1  # the last one begins a document
-TRUSTED = 20_000
 PRIOR = 20.0
 BANDS = 64
 FAN_IN = 64
 _CELLS = SYMBOLS * SYMBOLS
 
 
-def _flagged(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def flagged(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Rows ``id, text, trusted``; no broadcast is asked for, as good ids grow with the data."""
     good = labels.where("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
-    trusted = good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRUSTED)
     return (
         docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-        .join(F.broadcast(trusted), F.col("id") == F.col("doc_id"), "left")
+        .join(good, F.col("id") == F.col("doc_id"), "left")
         .select("id", "text", F.col("doc_id").isNotNull().alias("trusted"))
     )
 
@@ -123,11 +121,11 @@ def _added(table: pa.Table) -> pa.Table:
     )
 
 
-def _tables(flagged: DataFrame, vocabulary: np.ndarray) -> np.ndarray:
+def _tables(rows: DataFrame, vocabulary: np.ndarray) -> np.ndarray:
     """Counts of both models, added up band by band with a bounded fan-in."""
-    shared = flagged.sparkSession.sparkContext.broadcast(vocabulary)
+    shared = rows.sparkSession.sparkContext.broadcast(vocabulary)
     parts = written(
-        flagged.select("text", "trusted").mapInArrow(_counter(shared), "band long, counts binary"),
+        rows.select("text", "trusted").mapInArrow(_counter(shared), "band long, counts binary"),
         "counts",
     )
     while (left := parts.count()) > BANDS:
@@ -157,7 +155,7 @@ def score(
     per token) and ``score``, their difference."""
     context = docs.sparkSession.sparkContext
     known = vocabulary(docs, text_col)
-    counts = _tables(_flagged(docs, labels, id_col, text_col), known)
+    counts = _tables(flagged(docs, labels, id_col, text_col), known)
     model = context.broadcast((known, _losses(counts[0]).ravel(), _losses(counts[1]).ravel()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

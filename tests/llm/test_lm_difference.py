@@ -91,3 +91,14 @@ def test_no_target_and_no_documents(spark):
     rows = lm.score(data.frame(spark), none).collect()
     assert {r.target_loss for r in rows if r.n_tokens} and not any(np.isnan(r.score) for r in rows)
     assert lm.score(data.frame(spark, []), none).collect() == []
+
+
+def test_every_document_labelled_good_is_target(spark):
+    """More good ids than the 20,000 that were once the most."""
+    n = 21_000
+    frame = spark.range(n).selectExpr("id AS doc_id", "concat('the w', id) AS text")
+    labels = spark.range(n).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic")
+    rows = lm.flagged(frame, labels, "doc_id", "text")
+    assert rows.where("trusted").count() == n
+    # The target is the whole corpus, so both models are the same.
+    assert {r.score for r in lm.score(frame, labels).collect()} == {0.0}
