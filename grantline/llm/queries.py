@@ -12,7 +12,7 @@ import corpus_pipeline
 from grantline.llm import (
     bpe,
     compression_quality,
-    lm_difference,
+    lm_whole,
     max_score,
     near_dedup,
     packing,
@@ -142,7 +142,7 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_lm_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    return lm_difference.score(docs, _table(spark, sf_dir, "labels"))
+    return lm_whole.score(docs, _table(spark, sf_dir, "labels"))
 
 
 def all_queries() -> dict[str, Query]:

@@ -113,6 +113,11 @@ def word_hashes(words: Words) -> np.ndarray:
     return state
 
 
+def pair_hashes(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each ordered pair of word hashes."""
+    return _mixed(_mixed(np.full(len(first), _BASES[0], np.uint64), first), second)
+
+
 def _powers(base: int, n: int) -> np.ndarray:
     powers = np.full(n, base, np.uint64)
     if n:
