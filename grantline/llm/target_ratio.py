@@ -9,8 +9,8 @@ the same verdict beside the same corpus.
 
 Everything runs in DataFrame expressions. The counts of all documents meet per bucket after
 a map-side sum; the table of ratios has ``BUCKETS`` entries whatever the corpus. Scoring is
-local to a row: no shuffle, so neither long texts nor repeated ids matter. The trusted ids
-are a bounded, documented sample of the labelled rows: the ``TRUSTED`` smallest by hash.
+local to a row: no shuffle, so neither long texts nor repeated ids matter. The trusted
+documents are all those labelled good.
 
 Defined results: null and empty texts have no words, fail the base rules and score 0. A
 null id is never trusted. Input columns named like the results give way.
@@ -25,7 +25,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BUCKETS = 1 << 14
-TRUSTED = 20_000
 #: Weight of the raw distribution, as a count, in the target's: few trusted documents give
 #: ratios near 1, not chance verdicts.
 PRIOR = BUCKETS
@@ -118,16 +117,18 @@ def _grams(words: str) -> Column:
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
-    """At most ``TRUSTED`` ids labelled good."""
-    good = labels.where("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRUSTED)
+    """All ids labelled good."""
+    return labels.where("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
 
 
 def ratios(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text"):
     """Logarithm of target over raw probability of each bucket, as a list of ``BUCKETS``."""
     trusted = trusted_ids(labels).select(F.col("doc_id").alias("id_"), F.lit(1).alias("good_"))
-    words = _words(F.coalesce(F.col(text_col), F.lit(""))).alias("words_")
-    flagged = docs.select(F.col(id_col).alias("id_"), words).join(F.broadcast(trusted), "id_", "left")
+    texts = docs.select(F.col(id_col).alias("id_"), F.col(text_col).alias("text_"))
+    # The good ids grow with the corpus: they are shuffled, at every size.
+    flagged = texts.join(trusted.hint("merge"), "id_", "left").select(
+        "good_", _words(F.coalesce("text_", F.lit(""))).alias("words_")
+    )
     grams = flagged.select(F.col("good_"), F.explode(_grams("words_")).alias("bucket"))
     counts = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.count("good_").alias("target"))
     found = {r.bucket: (r.target, r.raw) for r in counts.collect()}

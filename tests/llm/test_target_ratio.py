@@ -100,3 +100,14 @@ def test_empty_table(spark):
     found = tr.ratios(data.frame(spark, []), none)
     assert found == [0.0] * tr.BUCKETS
     assert tr.judged(data.frame(spark, []), found).collect() == []
+
+
+def test_every_document_labelled_good_is_target(spark):
+    """More good ids than the 20,000 that were once the most: all documents are the target."""
+    n = 21_000
+    frame = spark.range(n).selectExpr("id AS doc_id", "concat('the w', id) AS text")
+    labels = spark.range(n).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic")
+    assert tr.trusted_ids(labels).count() == n
+    found = tr.ratios(frame, labels)
+    rows = [(i, f"the w{i}") for i in range(n)]
+    assert found == pytest.approx(table(rows, set(range(n))))
