@@ -42,10 +42,13 @@ def apply_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the smallest id, of each group of near-duplicates."""
+    """One document, the one with the smallest id, of each group of near-duplicates. Of rows
+    with one id, or none, and the same text one is left."""
     found = near_dedup.near_duplicates(docs)
     dropped = found.where("NOT kept").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    kept = docs.join(dropped, "doc_id", "left_anti")
+    digest = kept.withColumn("digest_", F.sha2("text", 256))
+    return digest.dropDuplicates(["doc_id", "digest_"]).select(docs.columns)
 
 
 def remove_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
