@@ -16,6 +16,7 @@ from grantline.llm import (
     max_score,
     near_dedup,
     packing,
+    piece_coding,
     substring_dedup,
     target_ratio,
     url_rules,
@@ -145,6 +146,19 @@ def op10_lm_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_whole.score(docs, _table(spark, sf_dir, "labels"))
 
 
+def op13_piece_coding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = piece_coding.encode(docs, path).select("doc_id", "token_ids")
+    decimal = F.array_join(F.col("token_ids").cast("array<string>"), ",")
+    return piece_coding.decode(coded, path).select(
+        "doc_id",
+        F.size("token_ids").cast("long").alias("n_tokens"),
+        F.sha2(decimal, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def all_queries() -> dict[str, Query]:
     found = {n: v for n, v in globals().items() if n.startswith("op") and callable(v)}
     ordered = dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
