@@ -16,6 +16,7 @@ from grantline.llm import (
     max_score,
     near_dedup,
     packing,
+    periodic_runs,
     piece_coding,
     substring_dedup,
     target_ratio,
@@ -146,6 +147,47 @@ def op10_lm_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_whole.score(docs, _table(spark, sf_dir, "labels"))
 
 
+def _with_planted_runs(docs: DataFrame) -> DataFrame:
+    """Every tenth text, by a checksum of its id, repeats a block of its words from some word
+    on; the words are joined by one space. Other texts, null ids included, stay as they are."""
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    check = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    chosen = F.coalesce(F.col("check_") % 10 == 0, F.lit(False))
+    rest = F.expr("slice(words_, start_ + 1, period_)")
+    times = F.expr("int(ceil((n_ - start_) / period_))")
+    repeated = F.concat(F.expr("slice(words_, 1, start_)"), F.flatten(F.array_repeat(rest, times)))
+    return (
+        docs.withColumn("check_", check)
+        .withColumn("words_", F.when(chosen, words))
+        .withColumn("n_", F.size("words_"))
+        .withColumn("g_", F.expr("check_ div 10"))
+        .withColumn("start_", F.when(F.col("n_") > 0, F.expr("int(g_ % n_)")))
+        .withColumn("period_", F.expr("int(1 + (n_ - start_) div (3 + g_ % 8))"))
+        .withColumn(
+            "text",
+            F.when(
+                F.col("n_") > 0, F.array_join(F.slice(repeated, F.lit(1), F.col("n_")), " ")
+            ).otherwise(F.col("text")),
+        )
+        .select(docs.columns)
+    )
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _with_planted_runs(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    line = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    lines = F.concat(F.array_join(line, "\n"), F.when(F.col("n_runs") > 0, "\n").otherwise(""))
+    exponent = F.expr("1000 * best.length div best.period")
+    return periodic_runs.find_runs(docs).select(
+        "doc_id",
+        "n_runs",
+        *[F.col(f"best.{name}").alias(name) for name in ("start", "length", "period")],
+        exponent.alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("collapsed_text", 256).alias("collapsed_sha256"),
+    )
+
+
 def op13_piece_coding(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("piece_bpe_32k.model")
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
