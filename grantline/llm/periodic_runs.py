@@ -237,8 +237,8 @@ def _collapsed(found: words.Words, keep: np.ndarray) -> list[str]:
     starts, ends = found.starts[keep], found.ends[keep]
     marks = np.zeros(len(found.data) + 2, np.int8)
     # Each word is taken with the separator after it, which becomes a space.
-    np.add.at(marks, starts, 1)
-    np.add.at(marks, ends + 1, -1)
+    marks[starts] += 1
+    marks[ends + 1] -= 1
     data = found.data.copy()
     data[ends] = 0x20
     joined = data[np.cumsum(marks[: len(data)]) > 0].tobytes()

@@ -12,6 +12,7 @@ import corpus_pipeline
 from grantline.llm import (
     bpe,
     compression_quality,
+    hard_negatives,
     lm_whole,
     max_score,
     near_dedup,
@@ -147,6 +148,12 @@ def op10_lm_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_whole.score(docs, _table(spark, sf_dir, "labels"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors, F.col("vec_id") % 50 == 0, moved)
+
+
 def _with_planted_runs(docs: DataFrame) -> DataFrame:
     """Every tenth text, by a checksum of its id, repeats a block of its words from some word
     on; the words are joined by one space. Other texts, null ids included, stay as they are."""
@@ -355,6 +362,33 @@ ORACLES = {
           sha256(array_to_string(list_transform(stay, lambda i: words[i]), ' ')) AS kept_sha256
         FROM k
     """,
+    "op11_hard_negatives": """
+        WITH v AS (
+          SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+            list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+          FROM embeddings
+          WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), s AS (
+          SELECT a.vec_id AS anchor_id, a.label = c.label AS same, c.vec_id,
+            CAST(list_dot_product(a.e, c.e) AS BIGINT) AS score
+          FROM v a JOIN v c ON a.vec_id % 50 = 0 AND c.vec_id <> a.vec_id
+        ), p AS (
+          SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS r
+          FROM s WHERE same
+        ), n AS (
+          SELECT anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id,
+            p.score AS positive_score, s.score AS negative_score,
+            row_number() OVER (
+              PARTITION BY anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id) AS rank
+          FROM p JOIN s USING (anchor_id)
+          WHERE r <= 5 AND NOT s.same
+            AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score
+        )
+        SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id,
+          positive_score, negative_score
+        FROM n WHERE rank <= 3
+    """,
 }
 
 

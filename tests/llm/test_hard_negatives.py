@@ -1,0 +1,169 @@
+"""Hard negatives against all scores of all rows."""
+
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from grantline.llm import hard_negatives
+
+SCHEMA = "vec_id long, embedding array<double>, label int"
+
+
+def expected(rows, anchors, positives=5, negatives=3, scale=256):
+    """Result rows by plain loops over exact integers."""
+    usable = []
+    for i, vector, label in rows:
+        if None in (i, vector, label) or any(x is None or not math.isfinite(x) for x in vector):
+            continue
+        usable.append((i, [math.floor(x * scale) for x in vector], label))
+
+    def score(a, b):
+        value = sum(x * y for x, y in zip(a, b))
+        return max(-(2**63), min(2**63 - 1, value))
+
+    found = []
+    for i, vector, label in usable:
+        if not anchors(i):
+            continue
+        scored = sorted((-score(vector, v), j, m) for j, v, m in usable if j != i)
+        best = [(-s, j) for s, j, m in scored if m == label][:positives]
+        for p, j in best:
+            fits = [
+                (-s, n) for s, n, m in scored if m != label and 50 * p <= 100 * -s <= 95 * p
+            ][:negatives]
+            found += [(i, j, r + 1, n, p, s) for r, (s, n) in enumerate(fits)]
+    return sorted(found)
+
+
+def mined(spark, rows, **options):
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    found = hard_negatives.mine(frame, F.col("vec_id") % 10 == 0, **options)
+    return sorted(tuple(r) for r in found.collect())
+
+
+def clustered(seed, count, width=12):
+    source = np.random.default_rng(seed)
+    centres = source.normal(size=(4, width))
+    rows = []
+    for i in range(count):
+        c = int(source.integers(4))
+        vector = centres[c] + 0.3 * source.normal(size=width)
+        rows.append((i, [float(x) for x in vector], int((c + source.integers(2)) % 4)))
+    return rows
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_every_negative_is_found(spark, seed, monkeypatch):
+    rows = clustered(seed, 300)
+    # Ties and copies: equal vectors under several ids.
+    rows += [(300 + i, rows[i % 5][1], i % 4) for i in range(40)]
+    wanted = expected(rows, lambda i: i % 10 == 0)
+    assert len(wanted) > 100
+    assert mined(spark, rows) == wanted
+
+
+def test_odd_rows(spark):
+    rows = clustered(7, 60)
+    nan, inf = float("nan"), float("inf")
+    odd = [
+        (None, rows[0][1], 1), (70, None, 1), (80, rows[0][1], None), (90, [nan] * 12, 1),
+        (100, [inf] * 12, 1), (110, [None] * 12, 1), (120, [], 1), (130, [1.0], 2),
+        (140, [0.0] * 12, 3), (150, rows[3][1] + [5.0], 0),
+    ]
+    assert mined(spark, rows + odd) == expected(rows + odd, lambda i: i % 10 == 0)
+
+
+def test_repeated_anchors_and_candidates(spark):
+    rows = clustered(8, 50)
+    rows += [rows[0], rows[10], rows[11], (20, rows[5][1], 2)]
+    wanted = expected(rows, lambda i: i % 10 == 0)
+    assert mined(spark, rows) == wanted
+
+
+@pytest.mark.parametrize("size", [1e5, 1e9, 1e30])
+def test_large_components_are_exact(spark, size):
+    source = random.Random(4)
+    rows = [
+        (i, [float(source.randint(1, 3)) * size + source.randint(0, 9) for _ in range(4)], i % 3)
+        for i in range(80)
+    ]
+    assert mined(spark, rows) == expected(rows, lambda i: i % 10 == 0)
+
+
+def test_small_cells_and_blocks_change_nothing(spark, monkeypatch):
+    monkeypatch.setattr(hard_negatives, "BLOCKS_A_CELL", 1)
+    monkeypatch.setattr(hard_negatives, "SHARDS_A_CELL", 1)
+    monkeypatch.setattr(hard_negatives, "SHARD", 50)
+    monkeypatch.setattr(hard_negatives, "BLOCK", 6)
+    rows = clustered(5, 250)
+    assert mined(spark, rows) == expected(rows, lambda i: i % 10 == 0)
+
+
+def test_empty_tables_and_clashing_columns(spark):
+    assert mined(spark, []) == []
+    rows = clustered(6, 80)
+    frame = spark.createDataFrame(rows, SCHEMA)
+    for name in ("id", "vector", "block", "rank", "score", "cell", "signs"):
+        frame = frame.withColumn(name, F.lit("clash"))
+    found = hard_negatives.mine(frame, F.col("vec_id") % 10 == 0)
+    assert sorted(tuple(r) for r in found.collect()) == expected(rows, lambda i: i % 10 == 0)
+
+
+def blocks_and_shards(rows):
+    import pyarrow as pa
+
+    def table(some):
+        return pa.table(
+            {"id": [r[0] for r in some], "label": [r[2] for r in some], "vector": [r[1] for r in some]}
+        )
+
+    anchors = hard_negatives._arrays(table(rows[:60]))
+    block = hard_negatives._row(anchors) | {
+        "parents": hard_negatives.spanning_tree(anchors["data"]).tobytes()
+    }
+    return anchors["data"], block, hard_negatives._row(hard_negatives._arrays(table(rows)))
+
+
+def test_the_tree_is_minimal_and_parents_come_first():
+    anchors, block, _ = blocks_and_shards(clustered(9, 60))
+    parents, order = hard_negatives.spanning_tree(anchors)
+    seen = set()
+    for a in order.tolist():
+        assert parents[a] == -1 or int(parents[a]) in seen
+        seen.add(a)
+    assert len(seen) == 60 and (parents == -1).sum() == 1
+    gaps = np.sqrt(((anchors[:, None] - anchors[None]) ** 2).sum(axis=2))
+    # Kruskal, by hand.
+    group, total = list(range(60)), 0.0
+    for d, a, b in sorted((gaps[a, b], a, b) for a in range(60) for b in range(a)):
+        if group[a] != group[b]:
+            old, new = group[a], group[b]
+            group = [new if g == old else g for g in group]
+            total += d
+    assert abs(total - sum(gaps[a, parents[a]] for a in range(60) if parents[a] >= 0)) < 1e-6
+
+
+def test_bounds_hold_and_spare_scores():
+    """Intervals hold the exact scores; asking for the best leaves most candidates unscored."""
+    source = np.random.default_rng(1)
+    centre = source.normal(size=(3, 8)) * 400
+    # Three tight groups, far apart.
+    rows = [
+        (i, [float(round(x)) for x in centre[i % 3] + source.normal(size=8)], i % 3)
+        for i in range(1500)
+    ]
+    anchors, block, shard = blocks_and_shards(rows)
+    pair = hard_negatives.Pair(block, shard)
+    true = pair.candidates @ pair.anchors.T
+
+    def wanted(anchor, low, high):
+        assert (low <= true[:, anchor]).all() and (true[:, anchor] <= high).all()
+        return high >= np.partition(true[:, anchor], -5)[-5]
+
+    for anchor, rows_, scores in pair.visit(wanted):
+        assert set(np.argsort(-true[:, anchor])[:3]) <= set(rows_.tolist())
+        assert (scores == true[rows_, anchor]).all()
+    assert pair.scored < 0.6 * true.size
