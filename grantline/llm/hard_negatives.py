@@ -12,11 +12,11 @@ Schwarz a candidate x whose score with the parent lies in [s, t] has one with th
 the worst positive so far or the windows, are scored; the others hand their interval on.
 
 How it runs. Anchors are sorted by their signs, range-partitioned, and cut into blocks of a
-fixed size; candidates are Arrow batches, cut into shards. Groups of blocks and groups of shards meet in
-the cells of a grid by a join on the cell's number: a cell holds a bounded number of either, so no
-key grows with the data. Spark broadcasts the blocks while they are below its own limit. A task
-keeps the best rows per anchor over all shards that it sees; a window merges the tasks' rows.
-One pass finds the positives, a second one the negatives.
+fixed size; candidates are Arrow batches, cut into shards. Groups of blocks and groups of shards
+meet in the cells of a grid, a cogroup on the cell's number: whole blocks and shards are dealt by
+hash, so a cell holds a bounded number of either, however often a row is repeated. A cell keeps
+the best rows per anchor over all its shards; a window merges the cells. One pass finds the
+positives, a second one the negatives.
 
 Defined results: rows with a null id, label or vector, or with null or non-finite components (also
 once scaled) take no part. An anchor's partners are rows of other ids; rows that repeat an id are
@@ -43,7 +43,7 @@ NEGATIVES = 3
 LOW, HIGH = 50, 95
 #: Anchors of a block, candidates of a shard, and how many of either share a cell.
 BLOCK, SHARD = 256, 4096
-BLOCKS_A_CELL, SHARDS_A_CELL = 16, 16
+BLOCKS_A_CELL, SHARDS_A_CELL = 16, 2
 #: Float sums of integers are exact up to here.
 _EXACT = 2.0**53
 _LONG = 2**63
@@ -58,6 +58,10 @@ _ARROW = pa.schema(
 )
 
 
+_FOUND = ("block", "anchor", "anchor_id", "positive_id", "positive_score")
+_MINED = ("block", "anchor", "positive_rank", "negative_id", "negative_score")
+
+
 def _usable(rows: DataFrame, id_col: str, vector_col: str, label: Column, scale: int) -> DataFrame:
     """Rows ``id, label, vector`` that take part; components are scaled doubles."""
     # Spark's floor gives a long; beyond its range a double has no fraction to cut.
@@ -239,14 +243,13 @@ def _leading(scores: np.ndarray, slack: np.ndarray, count: int) -> np.ndarray:
 
 
 def _positive_rows(count: int):
-    """The best rows of the anchors' labels among the shards of a task."""
+    """The best rows of the anchors' labels among the shards of a cell."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(blocks: pa.Table, shards: pa.Table) -> pa.Table:
         tops: dict[tuple[int, int], list[tuple[int, int]]] = {}
         anchor_ids: dict[tuple[int, int], int] = {}
-        for row in _rows(batches):
-            pair = Pair(row["anchors"], row["shard"])
-            block = row["block"]
+        for row, shard in _pairs(blocks, shards):
+            pair, block = Pair(row, shard), row["block"]
 
             def wanted(anchor: int, low: np.ndarray, high: np.ndarray) -> np.ndarray:
                 mine = (pair.labels == pair.anchor_labels[anchor]) & (
@@ -263,9 +266,9 @@ def _positive_rows(count: int):
                     exact = pair.exact(anchor, rows[some], scores[some])
                     fresh = list(zip(exact, pair.ids[rows[some]].tolist()))
                     tops[key] = _best(tops.get(key, []) + fresh, count)
-        yield from _emitted(
+        return _table(
             [(*key, anchor_ids[key], i, s) for key, top in tops.items() for s, i in top],
-            ("block", "anchor", "anchor_id", "positive_id", "positive_score"),
+            _FOUND,
         )
 
     return run
@@ -277,13 +280,12 @@ def _window(score: int) -> tuple[int, int]:
 
 
 def _negative_rows(count: int):
-    """The best rows of other labels in the windows, among the shards of a task."""
+    """The best rows of other labels in the windows, among the shards of a cell."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(blocks: pa.Table, shards: pa.Table) -> pa.Table:
         tops: dict[tuple[int, int, int], list[tuple[int, int]]] = {}
-        for row in _rows(batches):
-            pair = Pair(row["anchors"], row["shard"])
-            block = row["block"]
+        for row, shard in _pairs(blocks, shards):
+            pair, block = Pair(row, shard), row["block"]
             windows: dict[int, list[tuple[int, int, int]]] = {}
             for asked in row["asked"]:
                 low, high = _window(asked["positive_score"])
@@ -319,23 +321,22 @@ def _negative_rows(count: int):
                     fresh = [e for e in found if least <= e[0] <= most]
                     key = block, anchor, rank
                     tops[key] = _best(tops.get(key, []) + fresh, count)
-        yield from _emitted(
-            [(*key, i, s) for key, top in tops.items() for s, i in top],
-            ("block", "anchor", "positive_rank", "negative_id", "negative_score"),
-        )
+        return _table([(*key, i, s) for key, top in tops.items() for s, i in top], _MINED)
 
     return run
 
 
-def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-    for batch in batches:
-        for at in range(batch.num_rows):
-            yield batch.slice(at, 1).to_pylist()[0]
+def _pairs(blocks: pa.Table, shards: pa.Table) -> Iterator[tuple[dict, dict]]:
+    rows = blocks.to_pylist()
+    for at in range(len(shards)):
+        (shard,) = shards.slice(at, 1).to_pylist()
+        for row in rows:
+            yield row, shard
 
 
-def _emitted(rows: list[tuple], names: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
+def _table(rows: list[tuple], names: tuple[str, ...]) -> pa.Table:
     columns = list(zip(*rows)) if rows else [()] * len(names)
-    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], list(names))
+    return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(names, columns)})
 
 
 def _blocks(anchors: DataFrame, parts: int) -> DataFrame:
@@ -357,8 +358,11 @@ def _blocks(anchors: DataFrame, parts: int) -> DataFrame:
     )
 
 
-def _in_cells(blocks: DataFrame, shards: DataFrame, across: int, down: int) -> DataFrame:
-    """Every block with every shard: ``across`` groups of shards, ``down`` groups of blocks."""
+def _in_cells(
+    blocks: DataFrame, shards: DataFrame, across: int, down: int, work, names: tuple[str, ...]
+) -> DataFrame:
+    """What ``work`` finds for every block with every shard: ``across`` groups of shards meet
+    ``down`` groups of blocks, each two groups in a cell of their own."""
 
     def dealt(number: Column, groups: int) -> Column:
         return F.pmod(F.xxhash64(number), F.lit(groups))
@@ -372,11 +376,11 @@ def _in_cells(blocks: DataFrame, shards: DataFrame, across: int, down: int) -> D
     right = shards.withColumn("other_", every(down)).withColumn(
         "cell", F.col("other_") * across + dealt(F.col("ids"), across)
     )
-    vectors = [F.col(c) for c in ("ids", "labels", "width", "data")]
-    asked = ["asked"] if "asked" in blocks.columns else []
-    return left.select(
-        "cell", "block", F.struct(*vectors, "parents").alias("anchors"), *asked
-    ).join(right.select("cell", F.struct(*vectors).alias("shard")), "cell")
+    return (
+        left.groupBy("cell")
+        .cogroup(right.groupBy("cell"))
+        .applyInArrow(work, ", ".join(f"{n} long" for n in names))
+    )
 
 
 def mine(
@@ -402,10 +406,7 @@ def mine(
     across = max(1, -(-candidates // (SHARD * SHARDS_A_CELL)))
     blocks = _blocks(asking, max(1, -(-asked // (4 * BLOCK))))
     shards = usable.mapInArrow(_to_shards, _VECTORS)
-    found = _in_cells(blocks, shards, across, down).mapInArrow(
-        _positive_rows(positives),
-        "block long, anchor long, anchor_id long, positive_id long, positive_score long",
-    )
+    found = _in_cells(blocks, shards, across, down, _positive_rows(positives), _FOUND)
     order = Window.partitionBy("block", "anchor").orderBy(F.desc("positive_score"), "positive_id")
     best = written(
         found.withColumn("positive_rank", F.row_number().over(order).cast("long")).where(
@@ -416,10 +417,8 @@ def mine(
     questions = best.groupBy("block").agg(
         F.collect_list(F.struct("anchor", F.col("positive_rank").alias("rank"), "positive_score")).alias("asked")
     )
-    mined = _in_cells(blocks.join(questions, "block"), shards, across, down).mapInArrow(
-        _negative_rows(negatives),
-        "block long, anchor long, positive_rank long, negative_id long, negative_score long",
-    )
+    asked_blocks = blocks.join(questions, "block")
+    mined = _in_cells(asked_blocks, shards, across, down, _negative_rows(negatives), _MINED)
     key = ["block", "anchor", "positive_rank"]
     nearest = Window.partitionBy(*key).orderBy(F.desc("negative_score"), "negative_id")
     ranked = mined.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= negatives)
