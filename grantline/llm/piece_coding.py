@@ -5,11 +5,12 @@ model's compiled character map is replaced, or one character is kept; every byte
 out remembers the source byte at which its entry began. The normalised text is merged by the
 model's scores, best pair first, leftmost among equals. Piece ends are looked up in the
 alignment, which gives each piece its byte span in the source. Where the map is empty and
-only spaces are escaped, the alignment of many texts is computed at once.
+only spaces are escaped, each space mark stands for one byte, and the sizes of the pieces give
+the alignment of many texts at once.
 
-No piece of such a model has its space mark behind another character, so a text falls into
-units (space marks and what follows them) that are merged on their own; a worker remembers a
-bounded number of units. A model with other pieces is merged text by text.
+A text is cut into units where no piece reaches across, and units are merged on their own; a
+worker remembers a bounded number of units. If a piece has a space mark behind another
+character, texts are merged whole.
 
 Models: BPE with byte fallback, without user-defined or unused pieces; others are refused.
 
@@ -30,6 +31,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -50,6 +52,9 @@ CHARACTER_MAP, DUMMY_PREFIX, REMOVE_SPACES, ESCAPE_SPACES = 2, 3, 4, 5
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 BPE = 2
 
+#: Units merged together, and ids decoded together, about.
+_TOGETHER = 16_384
+_IDS = 1 << 20
 _NO_RANK = 1 << 60
 _INTS = pa.list_(pa.int32())
 
@@ -115,6 +120,40 @@ class CharacterMap:
         return length, self.texts[start : self.texts.index(b"\0", start)]
 
 
+def _unit_pattern(pieces: list[str]) -> str:
+    """A pattern that cuts texts only where no piece reaches across.
+
+    Two characters that are never next to each other in a piece can't be merged. Characters
+    are grouped by their neighbours in pieces; a unit holds space marks and then characters of
+    one group, and a character that no piece joins to another is a unit of its own.
+    """
+    if any(MARK in p.lstrip(MARK) for p in pieces):
+        return r"[\s\S]+"
+    group: dict[str, str] = {}
+
+    def root(char: str) -> str:
+        while group.setdefault(char, char) != char:
+            group[char] = char = group[group[char]]
+        return char
+
+    for piece in pieces:
+        chars = piece.lstrip(MARK)
+        for a, b in zip(chars, chars[:1] + chars):
+            group[root(a)] = root(b)
+    members: dict[str, list[str]] = {}
+    for char in sorted(group):
+        members.setdefault(root(char), []).append(char)
+    large = sorted((m for m in members.values() if len(m) > 1), key=len, reverse=True)
+    doubled = {p[i] for p in pieces for i in range(len(p) - 1) if p[i] == p[i + 1]}
+    single = [m[0] for m in members.values() if len(m) == 1]
+    repeated = [c for c in single if c in doubled]
+    alone = [c for c in single if c not in doubled]
+    parts = [f"[{re.escape(''.join(m))}]+" for m in large]
+    parts += [f"{re.escape(c)}+" for c in repeated]
+    parts += [f"[{re.escape(''.join(alone))}]"] if alone else []
+    return (f"{MARK}*(?:{'|'.join(parts)})|" if parts else "") + rf"{MARK}+|[\s\S]"
+
+
 class Model:
     """Pieces and settings of a model file, and the units remembered so far."""
 
@@ -138,6 +177,7 @@ class Model:
         self.numbers = {self.texts[i]: i for i in normal}
         ranks = {s: r for r, s in enumerate(sorted({scores[i] for i in normal}, reverse=True))}
         self.ranks = {self.texts[i]: ranks[scores[i]] for i in normal}
+        self.marks = np.array([t.count(MARK) for t in self.texts])
         self.lengths = np.array([len(t.encode()) for t in self.texts])
         self._tabulate()
         self.bytes = {int(self.texts[i][1:-1], 16): i for i, k in enumerate(self.kinds) if k == BYTE}
@@ -146,8 +186,7 @@ class Model:
         self.dummy = bool(normalizer.get(DUMMY_PREFIX, 1))
         self.remove = bool(normalizer.get(REMOVE_SPACES, 1))
         self.space = MARK if normalizer.get(ESCAPE_SPACES, 1) else " "
-        inside = any(MARK in t.lstrip(MARK) for t in self.numbers)
-        self.unit = re.compile(r"[\s\S]+" if inside else f"{MARK}*[^{MARK}]+|{MARK}+")
+        self.unit = re.compile(_unit_pattern(list(self.numbers)))
         surface = trainer.get(UNKNOWN_SURFACE, " ⁇ ".encode())
         self.surfaces = [
             bytes([int(t[1:-1], 16)]) if k == BYTE
@@ -156,6 +195,7 @@ class Model:
             else t.replace(MARK, " ").encode()
             for t, k in zip(self.texts, self.kinds)
         ]
+        self.has_text = np.isin(self.kinds, (NORMAL, BYTE))
         self.remembered = remembered
         self.units: dict[str, bytes] = {}
 
@@ -350,7 +390,9 @@ class Model:
     def coded(self, normal: list[str]) -> list[bytes]:
         """Pairs of id and byte length of the pieces of each normalised text."""
         split = [self.unit.findall(n) for n in normal]
-        self._learn(list(set(chain.from_iterable(split)).difference(self.units)))
+        fresh = list(set(chain.from_iterable(split)).difference(self.units))
+        for at in range(0, len(fresh), _TOGETHER):
+            self._learn(fresh[at : at + _TOGETHER])
         look = self.units.__getitem__
         return [b"".join(map(look, units)) for units in split]
 
@@ -371,12 +413,31 @@ class Model:
                     if self.remove and not parts[at]:
                         continue
                 break
-        if CONTROL not in map(self.kinds.__getitem__, known):
+        return self._repaired(known, parts)
+
+    def decoded(self, ids: np.ndarray, bounds: np.ndarray) -> list[str]:
+        """Texts of runs of ids; plain ones all at once."""
+        inside = (ids >= 0) & (ids < len(self.texts))
+        plain = inside & self.has_text[np.where(inside, ids, 0)]
+        odd = np.concatenate([[0], np.cumsum(~plain)])
+        odd = (odd[bounds[1:]] > odd[bounds[:-1]]).tolist()
+        look = self.surfaces.__getitem__
+        cuts = bounds.tolist()
+        strip = self.dummy and not self.remove
+        found = []
+        for strange, a, b in zip(odd, cuts, cuts[1:]):
+            numbers = ids[a:b].tolist()
+            if strange or self.remove:
+                found.append(self.decode(numbers))
+                continue
+            data = b"".join(map(look, numbers))
+            if strip and numbers and self.texts[numbers[0]].startswith(MARK):
+                data = data[1:]
             try:
-                return b"".join(parts).decode()
+                found.append(data.decode())
             except UnicodeDecodeError:
-                pass
-        return self._repaired(known, parts)
+                found.append(self.decode(numbers))
+        return found
 
     def _repaired(self, known: list[int], parts: list[bytes]) -> str:
         """Bytes between other pieces that are no character become a replacement character each."""
@@ -411,47 +472,56 @@ def read_model(path: str) -> bytes:
         return file.read()
 
 
-def _plain_alignment(model: Model, texts: list[str]) -> list[np.ndarray]:
-    """Source byte of each byte of the normalised texts and of their ends."""
-    sizes = [len(t.encode()) for t in texts]
-    data = np.frombuffer("".join(texts).encode(), np.uint8)
-    width = len(model.space.encode())
-    repeats = np.where(data == 0x20, width, 1)
-    bounds = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-    place = np.arange(len(data)) - np.repeat(bounds[:-1], sizes)
-    spread = np.repeat(place, repeats)
-    ends = np.concatenate([[0], np.cumsum(repeats)])[bounds]
-    front = np.zeros(width if model.dummy else 0, np.int64)
-    return [
-        np.concatenate([front, spread[a:b], [size]]) if size else np.zeros(1, np.int64)
-        for a, b, size in zip(ends[:-1], ends[1:], sizes)
-    ]
+def _spans(model: Model, text: str, ends: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Starts and ends in the source from those in the normalised text."""
+    aligned = model.normalised(text)[1]
+    begin = aligned[starts]
+    return np.stack([begin, np.maximum(aligned[ends], begin)])
 
 
 def encoded(model: Model, texts: list[str]) -> tuple[np.ndarray, list[np.ndarray]]:
     """For each text its number of pieces; then ids, starts and ends of all pieces."""
     model.tidy()
-    if model.plain:
-        front = model.space if model.dummy else ""
-        normal = [front + t.replace(" ", model.space) if t else "" for t in texts]
-        aligned = _plain_alignment(model, texts)
-    else:
-        pairs = [model.normalised(t) for t in texts]
-        normal, aligned = [p[0] for p in pairs], [p[1] for p in pairs]
-    pieces = [np.frombuffer(c, "<i4").reshape(-1, 2) for c in model.coded(normal)]
-    counts = np.array([len(p) for p in pieces], np.int64)
-    ids, starts, ends = [], [], []
-    for piece, source in zip(pieces, aligned):
-        end = np.cumsum(piece[:, 1])
-        ids.append(piece[:, 0])
-        starts.append(source[end - piece[:, 1]].astype(np.int32))
-        ends.append(np.maximum(source[end], starts[-1]).astype(np.int32))
-    empty = [np.zeros(0, np.int32)]
-    return counts, [np.concatenate(empty + part) for part in (ids, starts, ends)]
+    front = model.space if model.dummy else ""
+    # Where only spaces change, and each space mark stands for one, sizes alone give the source.
+    simple = [model.plain and MARK not in t for t in texts]
+    normal = [
+        (t and front + t.replace(" ", model.space)) if easy else model.normalised(t)[0]
+        for t, easy in zip(texts, simple)
+    ]
+    coded = model.coded(normal)
+    counts = np.array([len(c) // 8 for c in coded], np.int64)
+    both = np.frombuffer(b"".join(coded), "<i4").reshape(-1, 2)
+    ids, sizes = both[:, 0], both[:, 1].astype(np.int64)
+    source = sizes - (len(model.space.encode()) - 1) * model.marks[ids]
+    bounds = np.concatenate([[0], np.cumsum(counts)])
+    total = np.concatenate([[0], np.cumsum(source)])
+    ends = total[1:] - np.repeat(total[bounds[:-1]], counts) - len(front)
+    starts = np.maximum(ends - source, 0)
+    for i in np.flatnonzero(~np.array(simple, bool)):
+        own = slice(bounds[i], bounds[i + 1])
+        last = np.cumsum(sizes[own])
+        starts[own], ends[own] = _spans(model, texts[i], last, last - sizes[own])
+    return counts, [x.astype(np.int32) for x in (ids, starts, ends)]
+
+
+def _id_slices(table: pa.Table, column: str) -> Iterator[pa.Table]:
+    """Runs of rows with about ``_IDS`` ids, one row at least."""
+    sizes = pc.fill_null(pc.list_value_length(table[column]), 0).to_numpy().astype(np.int64)
+    filled, begin = np.cumsum(sizes), 0
+    while begin < len(sizes):
+        done = filled[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(filled, done + _IDS, side="right")))
+        yield table.slice(begin, end - begin)
+        begin = end
 
 
 def _mapped(
-    docs: DataFrame, used: str, results: dict[str, tuple[T.DataType, pa.DataType]], work: Callable
+    docs: DataFrame,
+    used: str,
+    results: dict[str, tuple[T.DataType, pa.DataType]],
+    cut: Callable[[pa.Table, str], Iterator[pa.Table]],
+    work: Callable[[pa.ChunkedArray], list[pa.Array]],
 ) -> DataFrame:
     """``docs`` with the columns that ``work`` makes of one column, slice by slice."""
     kept = docs.drop(*results)
@@ -460,9 +530,7 @@ def _mapped(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = words.slices(batch, used) if not pa.types.is_list(batch.column(place).type) else [
-                pa.Table.from_batches([batch])
-            ]
+            parts = cut(pa.Table.from_batches([batch]), used)
             for part in parts:
                 made = work(part.column(place))
                 for (name, (_, kind)), values in zip(results.items(), made):
@@ -483,7 +551,7 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text") -> DataFram
         return [pa.ListArray.from_arrays(offsets, pa.array(p, pa.int32())) for p in parts]
 
     kinds = {name: (T.ArrayType(T.IntegerType()), _INTS) for name in RESULTS}
-    return _mapped(docs, text_col, kinds, work)
+    return _mapped(docs, text_col, kinds, words.slices, work)
 
 
 def decode(
@@ -494,7 +562,13 @@ def decode(
 
     def work(ids: pa.ChunkedArray) -> list[pa.Array]:
         model = model_of(shared.value)
-        found = [None if i is None else model.decode(i) for i in ids.to_pylist()]
+        lists = ids.combine_chunks()
+        sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy().astype(np.int64)
+        flat = pc.fill_null(lists.flatten(), -1).to_numpy()
+        found = model.decoded(flat, np.concatenate([[0], np.cumsum(sizes)]))
+        known = lists.is_valid().to_pylist()
+        found = [text if valid else None for text, valid in zip(found, known)]
         return [pa.array(found, pa.string())]
 
-    return _mapped(docs, ids_col, {text_col: (T.StringType(), pa.string())}, work)
+    kinds = {text_col: (T.StringType(), pa.string())}
+    return _mapped(docs, ids_col, kinds, _id_slices, work)
