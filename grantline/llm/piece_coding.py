@@ -25,8 +25,9 @@ from __future__ import annotations
 import heapq
 import re
 import struct
+from array import array
 from collections.abc import Callable, Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from itertools import chain
 
 import numpy as np
@@ -35,10 +36,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from grantline.llm import words
-
 #: Units that a worker remembers before it starts afresh; about 300 bytes each.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 #: Units of more symbols are merged with a heap.
 SHORT = 48
 RESULTS = ("token_ids", "starts", "ends")
@@ -52,9 +51,9 @@ CHARACTER_MAP, DUMMY_PREFIX, REMOVE_SPACES, ESCAPE_SPACES = 2, 3, 4, 5
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 BPE = 2
 
-#: Units merged together, and ids decoded together, about.
+#: Units merged together, and bytes of text or ids worked on together, about.
 _TOGETHER = 16_384
-_IDS = 1 << 20
+_SLICE = 1 << 20
 _NO_RANK = 1 << 60
 _INTS = pa.list_(pa.int32())
 
@@ -179,7 +178,6 @@ class Model:
         self.ranks = {self.texts[i]: ranks[scores[i]] for i in normal}
         self.marks = np.array([t.count(MARK) for t in self.texts])
         self.lengths = np.array([len(t.encode()) for t in self.texts])
-        self._tabulate()
         self.bytes = {int(self.texts[i][1:-1], 16): i for i, k in enumerate(self.kinds) if k == BYTE}
         self.unknown = self.kinds.index(UNKNOWN)
         self.map = CharacterMap(normalizer.get(CHARACTER_MAP, b""))
@@ -199,27 +197,34 @@ class Model:
         self.remembered = remembered
         self.units: dict[str, bytes] = {}
 
-    def _tabulate(self) -> None:
-        """Every pair of symbols that makes a piece, sorted, with its rank and what it makes."""
-        count = len(self.texts)
-        self.of_point = np.arange(0x110000, dtype=np.int64) + count
+    @cached_property
+    def of_point(self) -> np.ndarray:
+        """The symbol of each character: its piece, or a number past the pieces."""
+        symbols = np.arange(0x110000, dtype=np.int32) + len(self.texts)
         for text, number in self.numbers.items():
             if len(text) == 1:
-                self.of_point[ord(text)] = number
+                symbols[ord(text)] = number
+        return symbols
+
+    @cached_property
+    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Every pair of symbols that makes a piece, sorted, with its rank and what it makes."""
+        count = len(self.texts)
 
         def number(symbol: str) -> int | None:
             plain = count + ord(symbol) if len(symbol) == 1 else None
             return self.numbers.get(symbol, plain)
 
-        table = []
+        table = array("q")
         for text, made in self.numbers.items():
             for cut in range(1, len(text)):
                 left, right = number(text[:cut]), number(text[cut:])
                 if left is not None and right is not None:
-                    table.append(((left << 32) | right, self.ranks[text], made))
-        table.sort()
-        last = (np.iinfo(np.int64).max, _NO_RANK, 0)
-        self.pair_keys, self.pair_ranks, self.pair_makes = np.array([*table, last], np.int64).T.copy()
+                    table.extend(((left << 32) | right, self.ranks[text], made))
+        table.extend((np.iinfo(np.int64).max, _NO_RANK, 0))
+        rows = np.frombuffer(table, np.int64).reshape(-1, 3)
+        keys, ranks, makes = rows[np.argsort(rows[:, 0])].T.copy()
+        return keys, ranks, makes
 
     @property
     def plain(self) -> bool:
@@ -268,15 +273,14 @@ class Model:
         return out.decode(), np.array([*source, end], np.int64)
 
     def _symbols(self, text: str) -> np.ndarray:
-        """Numbers of characters: that of the piece, or one past the pieces without one."""
-        points = np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.int64)
-        return self.of_point[points]
+        return self.of_point[np.frombuffer(text.encode("utf-32-le"), "<u4")]
 
     def _pairs(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Places of pairs in the table; the last place stands for pairs that don't merge."""
+        keys = self.pairs[0]
         wanted = (left << 32) | right
-        place = np.searchsorted(self.pair_keys, wanted)
-        return np.where(self.pair_keys[place] == wanted, place, len(self.pair_keys) - 1)
+        place = np.searchsorted(keys, wanted)
+        return np.where(keys[place] == wanted, place, len(keys) - 1)
 
     def _merged_together(
         self, units: list[str], width: int
@@ -292,7 +296,7 @@ class Model:
         pairs = self._pairs(symbols[:, :-1], symbols[:, 1:])
         rows = np.arange(len(units))
         while len(rows):
-            ranks = self.pair_ranks[pairs]
+            ranks = self.pairs[1][pairs]
             at = ranks.argmin(axis=1)
             every = np.arange(len(rows))
             open_ = ranks[every, at] < _NO_RANK
@@ -302,7 +306,7 @@ class Model:
                 x[open_] for x in (rows, symbols, pairs, at, sizes)
             )
             every = np.arange(len(rows))
-            made = self.pair_makes[pairs[every, at]]
+            made = self.pairs[2][pairs[every, at]]
             columns = np.arange(width)
             symbols[:, :-1] = np.take_along_axis(
                 symbols, columns + (columns > at[:, None]), axis=1
@@ -312,7 +316,7 @@ class Model:
             pairs[:, :-1] = np.take_along_axis(
                 pairs, columns[:-1] + (columns[:-1] >= at[:, None]), axis=1
             )
-            pairs[:, -1] = len(self.pair_keys) - 1
+            pairs[:, -1] = len(self.pairs[0]) - 1
             pairs[every, at] = self._pairs(made, symbols[every, at + 1])
             inner = np.flatnonzero(at)
             ahead = at[inner] - 1
@@ -350,6 +354,10 @@ class Model:
                 offer(before[left])
         return [s for s in symbols if s]
 
+    def release(self) -> None:
+        """Give the memory back: workers live on, and other stages run in them."""
+        self.units.clear()
+
     def _packed(self, symbols: list[int]) -> bytes:
         """Pairs of id and normalised byte length of symbols, as 32-bit integers."""
         found: list[int] = []
@@ -505,13 +513,15 @@ def encoded(model: Model, texts: list[str]) -> tuple[np.ndarray, list[np.ndarray
     return counts, [x.astype(np.int32) for x in (ids, starts, ends)]
 
 
-def _id_slices(table: pa.Table, column: str) -> Iterator[pa.Table]:
-    """Runs of rows with about ``_IDS`` ids, one row at least."""
-    sizes = pc.fill_null(pc.list_value_length(table[column]), 0).to_numpy().astype(np.int64)
+def _slices(table: pa.Table, column: str) -> Iterator[pa.Table]:
+    """Runs of rows with about ``_SLICE`` bytes of text or ids, one row at least."""
+    values = table[column]
+    length = pc.list_value_length if pa.types.is_list(values.type) else pc.binary_length
+    sizes = pc.fill_null(length(values), 0).to_numpy().astype(np.int64)
     filled, begin = np.cumsum(sizes), 0
     while begin < len(sizes):
         done = filled[begin - 1] if begin else 0
-        end = max(begin + 1, int(np.searchsorted(filled, done + _IDS, side="right")))
+        end = max(begin + 1, int(np.searchsorted(filled, done + _SLICE, side="right")))
         yield table.slice(begin, end - begin)
         begin = end
 
@@ -520,8 +530,8 @@ def _mapped(
     docs: DataFrame,
     used: str,
     results: dict[str, tuple[T.DataType, pa.DataType]],
-    cut: Callable[[pa.Table, str], Iterator[pa.Table]],
     work: Callable[[pa.ChunkedArray], list[pa.Array]],
+    done: Callable[[], None] | None = None,
 ) -> DataFrame:
     """``docs`` with the columns that ``work`` makes of one column, slice by slice."""
     kept = docs.drop(*results)
@@ -530,12 +540,13 @@ def _mapped(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = cut(pa.Table.from_batches([batch]), used)
-            for part in parts:
+            for part in _slices(pa.Table.from_batches([batch]), used):
                 made = work(part.column(place))
                 for (name, (_, kind)), values in zip(results.items(), made):
                     part = part.append_column(pa.field(name, kind), values)
                 yield from part.combine_chunks().to_batches()
+        if done:
+            done()
 
     return kept.mapInArrow(run, T.StructType([*kept.schema.fields, *fields]))
 
@@ -551,7 +562,7 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text") -> DataFram
         return [pa.ListArray.from_arrays(offsets, pa.array(p, pa.int32())) for p in parts]
 
     kinds = {name: (T.ArrayType(T.IntegerType()), _INTS) for name in RESULTS}
-    return _mapped(docs, text_col, kinds, words.slices, work)
+    return _mapped(docs, text_col, kinds, work, lambda: model_of(shared.value).release())
 
 
 def decode(
@@ -571,4 +582,4 @@ def decode(
         return [pa.array(found, pa.string())]
 
     kinds = {text_col: (T.StringType(), pa.string())}
-    return _mapped(docs, ids_col, kinds, _id_slices, work)
+    return _mapped(docs, ids_col, kinds, work)
