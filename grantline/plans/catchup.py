@@ -43,11 +43,10 @@ def settle_approvals(
     settings: Settings,
     run_id: str,
     execute: Execute,
+    live: bool = False,
 ) -> DataFrame:
     """Metrics, statements, journal, errors and mails of written decisions."""
-    stored = store.earlier("quarantine", run_id)
-    fresh = quarantine.not_stored(quarantine.quarantined(decided), stored)
-    store.write("quarantine", fresh, run_id, "approval")
+    quarantine_decided(store, decided, settings, run_id, live)
     store.write("metrics", metrics.decision_counts(decided, settings), run_id, "approval")
     planned = store.write("statements", approval.plan(decided, settings), run_id, "approval")
     done = store.write(
@@ -56,13 +55,35 @@ def settle_approvals(
         run_id,
         "approval",
     )
+    return record_approvals(store, done, settings, run_id, "approval")
+
+
+def record_approvals(
+    store: StateStore, done: DataFrame, settings: Settings, run_id: str, step: str
+) -> DataFrame:
+    """Journal, errors and mails of requests with their outcome; returns the journal rows."""
     settled = approval.settle(done, settings, run_id)
-    written = store.write("journal", settled.journal, run_id, "approval")
-    store.write("provisioning_errors", settled.errors, run_id, "approval")
-    store.write("notifications", settled.notifications, run_id, "approval")
+    dry = settings.dry_run
+    written = store.write("journal", settled.journal, run_id, step)
+    store.write("provisioning_errors", settled.errors, run_id, step, dry)
+    store.write("notifications", settled.notifications, run_id, step, dry)
     return with_run(written, run_id)
 
 
+def quarantine_decided(
+    store: StateStore, decided: DataFrame, settings: Settings, run_id: str, live: bool = False
+) -> None:
+    """Store what needs a look once, however many runs meet it."""
+    found = quarantine.quarantined(decided)
+    include_dry = settings.count_dry_runs or settings.dry_run
+    if live:
+        stored = store.matching("quarantine", decided, "urn", run_id, include_dry)
+    else:
+        stored = store.earlier("quarantine", run_id, include_dry)
+    fresh = quarantine.not_stored(found, stored)
+    store.write("quarantine", fresh, run_id, "approval", settings.dry_run)
+
+
 def executed(planned: DataFrame, settings: Settings, execute: Execute) -> DataFrame:
     """Outcomes of the statements; a dry run executes none and takes all for done."""
     return outcomes.all_ok(planned) if settings.dry_run else execute(planned)
@@ -86,9 +107,16 @@ def expiries(
     planned = store.write("statements", expiry.plan(due, settings), run_id, "expiry")
     outcome_rows = executed(planned, settings, execute)
     done = store.write("results", expiry.results(due, outcome_rows), run_id, "expiry")
+    return record_revokes(store, done, settings, run_id, "expiry")
+
+
+def record_revokes(
+    store: StateStore, done: DataFrame, settings: Settings, run_id: str, step: str
+) -> DataFrame:
+    """Journal and mails of grants to revoke with their outcome; returns the journal rows."""
     revoked = expiry.settle(done, settings, run_id)
-    written = store.write("journal", revoked.journal, run_id, "expiry")
-    store.write("notifications", revoked.notifications, run_id, "expiry")
+    written = store.write("journal", revoked.journal, run_id, step)
+    store.write("notifications", revoked.notifications, run_id, step, settings.dry_run)
     return with_run(written, run_id)
 
 
@@ -100,8 +128,8 @@ def sla_notices(
         "breaches", sla.due(flat, state.sla_notifications, settings), run_id, "sla"
     )
     notified = sla.settle(breaches, settings)
-    store.write("sla_notifications", notified.records, run_id, "sla")
-    store.write("notifications", notified.notifications, run_id, "sla")
+    store.write("sla_notifications", notified.records, run_id, "sla", settings.dry_run)
+    store.write("notifications", notified.notifications, run_id, "sla", settings.dry_run)
     return breaches
 
 
@@ -118,7 +146,8 @@ def run(
     Returns the state after the run. In a dry run nothing is executed and the rows
     written are marked, so that a later live run does not count them.
     """
-    state = store.ensure().state(run_id, settings.count_dry_runs)
+    store.ensure().fold(run_id)
+    state = store.state(run_id, settings.count_dry_runs)
     granted = approvals(store, state, flat, user_properties, settings, run_id, execute)
     expiries(store, state.journal.unionByName(granted), settings, run_id, execute)
     sla_notices(store, state, flat, settings, run_id)

@@ -71,14 +71,21 @@ USER_PROPERTIES = T.StructType(
     ]
 )
 
+# What became of a statement of the outbox: its place there, the result, and when it came.
 STATEMENT_OUTCOMES = T.StructType(
     [
+        T.StructField("planned_run", T.StringType()),
+        T.StructField("action", T.StringType()),
         T.StructField("urn", T.StringType()),
+        T.StructField("snowflake_role", T.StringType()),
+        T.StructField("snowflake_database", T.StringType()),
+        T.StructField("snowflake_schema", T.StringType()),
         T.StructField("stmt_no", T.IntegerType()),
         T.StructField("statement", T.StringType()),
         T.StructField("ok", T.BooleanType()),
         T.StructField("errno", T.IntegerType()),
         T.StructField("message", T.StringType()),
+        T.StructField("at", T.TimestampType()),
     ]
 )
 
@@ -112,6 +119,38 @@ PROVISIONING_ERRORS = T.StructType(
     ]
 )
 
+# A request to grant or a grant to revoke whose statements are out: what is known of them so
+# far (a bit per statement that succeeded, the first one that failed), and what to record then.
+OPEN_UNITS = T.StructType(
+    [
+        T.StructField("planned_run", T.StringType()),
+        T.StructField("action", T.StringType()),
+        T.StructField("urn", T.StringType()),
+        T.StructField("snowflake_role", T.StringType()),
+        T.StructField("snowflake_database", T.StringType()),
+        T.StructField("snowflake_schema", T.StringType()),
+        T.StructField("statements", T.IntegerType()),
+        T.StructField("planned_at", T.TimestampType()),
+        T.StructField("ok_bits", T.LongType()),
+        T.StructField("failed_stmt", T.IntegerType()),
+        T.StructField("errno", T.IntegerType()),
+        T.StructField("message", T.StringType()),
+        T.StructField("seq", T.LongType()),
+        T.StructField("note", T.StringType()),
+        T.StructField("resource", T.StringType()),
+        T.StructField("form_role", T.StringType()),
+        T.StructField("form_schema", T.StringType()),
+        T.StructField("form_email", T.StringType()),
+        T.StructField("resolved_email", T.StringType()),
+        T.StructField("access_duration_days", T.IntegerType()),
+        T.StructField("failed", T.BooleanType()),
+        T.StructField("granted_at", T.TimestampType()),
+        T.StructField("expires_at", T.TimestampType()),
+    ]
+)
+
+DENIALS = T.StructType([T.StructField("urn", T.StringType())])
+
 # One row per change of a grant; the table of grants is the latest row per key.
 JOURNAL = T.StructType(
     [
@@ -128,6 +167,8 @@ JOURNAL = T.StructType(
         T.StructField("phase", T.IntegerType()),
         T.StructField("seq", T.LongType()),
         T.StructField("dry_run", T.BooleanType()),
+        # The run that planned the change, where another one recorded it.
+        T.StructField("planned_run", T.StringType()),
         T.StructField("run_id", T.StringType()),
     ]
 )

@@ -3,14 +3,15 @@
 Plain files know no MERGE or UPDATE. Each change of a grant is one appended row;
 the grants table is the latest row per access key. Inside a run approvals come
 before revocations (``phase``), and requests in listing order (``seq``). Runs are
-told apart by their clock (``at``, to the millisecond) and, at one instant, by run id.
+told apart by their clock (``at``, to the millisecond) and, at one instant, by run id. A change
+that is recorded after the run that planned it has that run's clock and id in the order.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from grantline import schemas
@@ -29,9 +30,18 @@ def _shaped(rows: DataFrame) -> DataFrame:
     return rows.to(schemas.JOURNAL)
 
 
+def _planned(rows: DataFrame, settings: Settings) -> tuple[Column, Column]:
+    """Clock and id of the run that planned a change; the id is null if it also records it."""
+    now = clock.as_of_exact(settings.as_of_ms)
+    if "planned_run" not in rows.columns:
+        return now, F.lit(None).cast("string")
+    return F.coalesce("planned_at", now), F.col("planned_run")
+
+
 def grant_rows(granted: DataFrame, settings: Settings, run_id: str) -> DataFrame:
     """Upserts of an approval pass: one row per granted request."""
     now = clock.as_of(settings.as_of_ms)
+    at, planned_run = _planned(granted, settings)
     return _shaped(
         granted.select(
             F.col("resolved_role").alias("snowflake_role"),
@@ -43,7 +53,8 @@ def grant_rows(granted: DataFrame, settings: Settings, run_id: str) -> DataFrame
             now.alias("granted_at"),
             clock.seconds_timestamp(F.col("expires_at_ms")).alias("expires_at"),
             F.lit(None).cast("timestamp").alias("revoked_at"),
-            clock.as_of_exact(settings.as_of_ms).alias("at"),
+            at.alias("at"),
+            planned_run.alias("planned_run"),
             F.lit(APPROVAL_PHASE).alias("phase"),
             "seq",
             F.lit(settings.dry_run).alias("dry_run"),
@@ -54,6 +65,7 @@ def grant_rows(granted: DataFrame, settings: Settings, run_id: str) -> DataFrame
 
 def revoke_rows(revoked: DataFrame, settings: Settings, run_id: str) -> DataFrame:
     """Revocations: the row being revoked, copied, with the time of revocation."""
+    at, planned_run = _planned(revoked, settings)
     return _shaped(
         revoked.select(
             *KEY,
@@ -63,7 +75,8 @@ def revoke_rows(revoked: DataFrame, settings: Settings, run_id: str) -> DataFram
             "granted_at",
             "expires_at",
             clock.as_of(settings.as_of_ms).alias("revoked_at"),
-            clock.as_of_exact(settings.as_of_ms).alias("at"),
+            at.alias("at"),
+            planned_run.alias("planned_run"),
             F.lit(EXPIRY_PHASE).alias("phase"),
             F.lit(0).cast("bigint").alias("seq"),
             F.lit(settings.dry_run).alias("dry_run"),
@@ -96,7 +109,7 @@ def journal_of(grants: DataFrame, run_id: str = "") -> DataFrame:
 
 def in_force(rows: DataFrame, include_dry: bool = False) -> DataFrame:
     """Rows that count: those of dry runs do not, unless asked for."""
-    return rows if include_dry else rows.filter(~F.col("dry_run"))
+    return rows if include_dry else rows.filter(~F.coalesce("dry_run", F.lit(False)))
 
 
 def latest_rows(journal: DataFrame, also_by: Sequence[str] = ()) -> DataFrame:
@@ -106,8 +119,9 @@ def latest_rows(journal: DataFrame, also_by: Sequence[str] = ()) -> DataFrame:
     """
     keys = [*KEY, *also_by]
     rest = [name for name in schemas.JOURNAL.names if name not in keys]
+    run = F.coalesce("planned_run", "run_id").alias("run")
     latest = journal.groupBy(*keys).agg(
-        F.max_by(F.struct(*rest), F.struct("at", "run_id", "phase", "seq")).alias("_row")
+        F.max_by(F.struct(*rest), F.struct("at", run, "phase", "seq")).alias("_row")
     )
     return latest.select(*keys, "_row.*").select(*schemas.JOURNAL.names)
 

@@ -1,9 +1,12 @@
 """State and outbox tables under one root folder.
 
-Every table is a folder of ``run_id=.../step=...`` folders. A step writes its folder
-in overwrite mode, so a repeated run replaces what an interrupted one left behind,
-and a run never reads its own rows of an earlier attempt. Runs follow one another:
-one writer at a time.
+An outbox is a folder of ``run_id=.../step=...`` folders, which passes write and do not read. A
+step writes its folder in overwrite mode, so a repeated run replaces what an interrupted
+one left behind. Keyed tables, which later passes look into, are :class:`KeySet` tiers.
+A run never reads its own rows of an earlier attempt. Runs follow one another: one writer
+at a time.
+
+Rows of dry runs are marked in every table and count as state only where that is asked for.
 """
 
 from __future__ import annotations
@@ -18,24 +21,39 @@ from pyspark.sql import types as T
 from grantline import schemas
 from grantline.settings import Settings
 from grantline.state import journal as j
+from grantline.state.tiers import KEYS_A_BLOCK, Carried, KeySet, maybe_in, sketch
 
 _URNS = T.StructType(
     [T.StructField("urn", T.StringType()), T.StructField("dry_run", T.BooleanType())]
 )
-_SNAPSHOTS = T.StructType([T.StructField("gen", T.IntegerType())])
+_SNAPSHOTS = T.StructType(
+    [T.StructField("gen", T.IntegerType()), T.StructField("blocks", T.LongType())]
+)
+_DRY_RUN = T.StructField("dry_run", T.BooleanType())
 #: What every file system takes as a folder name.
 _RUN_ID = "[A-Za-z0-9_.-]+"
 _RUN = [T.StructField("run_id", T.StringType()), T.StructField("step", T.StringType())]
 
+
+def _marked(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, _DRY_RUN])
+
+
 TABLES: dict[str, T.StructType] = {
-    "sla_notifications": schemas.SLA_NOTIFICATIONS,
-    "provisioning_errors": schemas.PROVISIONING_ERRORS,
     "statements": schemas.STATEMENTS,
-    "notifications": schemas.NOTIFICATIONS,
-    "quarantine": schemas.QUARANTINE,
+    "notifications": _marked(schemas.NOTIFICATIONS),
     "metrics": schemas.METRICS,
     "snapshots": _SNAPSHOTS,
 }
+#: Tables that later passes look into: their columns and their key.
+KEYED: dict[str, tuple[T.StructType, list[str]]] = {
+    "sla_notifications": (
+        _marked(schemas.SLA_NOTIFICATIONS), ["action_request_urn", "notification_type"]
+    ),
+    "provisioning_errors": (_marked(schemas.PROVISIONING_ERRORS), ["action_request_urn"]),
+    "quarantine": (_marked(schemas.QUARANTINE), ["urn", "reason"]),
+    "denials": (_marked(schemas.DENIALS), ["urn"]),
+}
 
 
 @dataclass(frozen=True)
@@ -63,6 +81,8 @@ class StateStore:
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
+        self.open_units = Carried(spark, self.path("open_units"), schemas.OPEN_UNITS)
+        self._key_sets: dict[str, KeySet] = {}
         self._ready = False
         self._generation: int | None = None
 
@@ -87,25 +107,45 @@ class StateStore:
         row = self.read("snapshots").agg(F.max("gen").alias("gen")).first()
         return (row and row["gen"]) or 0
 
-    def write(self, table: str, rows: DataFrame, run_id: str, step: str) -> DataFrame:
+    def _key_set(self, table: str) -> KeySet:
+        if table not in self._key_sets:
+            self._key_sets[table] = KeySet(self.spark, self.path(table), *KEYED[table])
+        return self._key_sets[table]
+
+    def write(
+        self, table: str, rows: DataFrame, run_id: str, step: str, dry_run: bool = False
+    ) -> DataFrame:
         """Write one step of a run and return it as read back, its lineage cut."""
+        if not re.fullmatch(_RUN_ID, run_id):
+            raise ValueError(f"a run id is a folder name of {_RUN_ID}, not {run_id!r}")
+        schema = KEYED[table][0] if table in KEYED else TABLES.get(table)
+        if schema and "dry_run" in schema.names and "dry_run" not in rows.columns:
+            rows = rows.withColumn("dry_run", F.lit(dry_run))
+        if table in KEYED:
+            added = self._key_set(table).add(rows, run_id, step)
+            return added.select(*KEYED[table][0].names)
         folder = self.path(table)
         if table == "journal":
             if self._generation is None:
                 self._generation = self.generation()
             folder = f"{folder}/gen={self._generation}"
-        if not re.fullmatch(_RUN_ID, run_id):
-            raise ValueError(f"a run id is a folder name of {_RUN_ID}, not {run_id!r}")
         target = f"{folder}/run_id={run_id}/step={step}"
         kept = rows.drop("run_id") if "run_id" in rows.columns else rows
         kept.write.mode("overwrite").parquet(target)
         return self.spark.read.schema(kept.schema).parquet(target)
 
     def read(self, table: str) -> DataFrame:
-        """All rows of a table, with ``run_id`` and ``step``."""
+        """All rows of a table, those of dry runs too, with ``run_id`` and ``step``."""
+        if table in KEYED:
+            return self._key_set(table).read()
         schema = T.StructType([*TABLES[table].fields, *_RUN])
         return self.spark.read.schema(schema).parquet(self.path(table))
 
+    def fold(self, run_id: str | None = None) -> None:
+        """Fold the keyed tables where a tier is full; reads a manifest each otherwise."""
+        for table in KEYED:
+            self._key_set(table).fold(run_id)
+
     def import_state(
         self,
         grants: DataFrame,
@@ -145,15 +185,39 @@ class StateStore:
         return State(
             journal=j.in_force(journal, include_dry),
             granted_urns=j.in_force(urns, include_dry).select("urn"),
-            sla_notifications=self.earlier("sla_notifications", run_id),
-            provisioning_errors=self.earlier("provisioning_errors", run_id),
+            sla_notifications=self.earlier("sla_notifications", run_id, include_dry),
+            provisioning_errors=self.earlier("provisioning_errors", run_id, include_dry),
         )
 
-    def earlier(self, table: str, run_id: str | None, step: str | None = None) -> DataFrame:
-        """Rows of a table that other runs wrote, of one step or all; steps are folders."""
-        rows = _others(self.read(table), run_id)
-        rows = rows.filter(F.col("step") == step) if step else rows
-        return rows.select(*TABLES[table].names)
+    def earlier(self, table: str, run_id: str | None, include_dry: bool = False) -> DataFrame:
+        """Rows of a keyed table that other runs wrote."""
+        return _counted(self._key_set(table).read(run_id), include_dry)
+
+    def matching(
+        self,
+        table: str,
+        wanted: DataFrame,
+        key: str,
+        run_id: str | None,
+        include_dry: bool = False,
+    ) -> DataFrame:
+        """The same for the keys of a small batch; parts that a sketch rules out are not opened."""
+        return _counted(self._key_set(table).matching(wanted, key, run_id), include_dry)
+
+    def granted_among(
+        self, wanted: DataFrame, run_id: str | None, include_dry: bool = False
+    ) -> DataFrame:
+        """Those URNs of a small batch that were granted before; the snapshot is opened only if its
+        sketch lets one through."""
+        asked = wanted.select("urn").distinct()
+        row = self.read("snapshots").agg(F.max_by(F.struct("gen", "blocks"), "gen").alias("s")).first()
+        gen, blocks = (row["s"]["gen"], row["s"]["blocks"]) if row["s"] else (0, None)
+        found = self._journal(run_id, gen).select("urn", "dry_run")
+        if gen:
+            sketched = self.spark.read.parquet(f"{self.path('snapshot_sketch')}/gen={gen}")
+            if not maybe_in(asked, "urn", sketched, blocks).isEmpty():
+                found = found.unionByName(self._snapshot("snapshot_urns", gen, _URNS))
+        return j.in_force(found, include_dry).join(asked, "urn", "left_semi").select("urn")
 
     def compact(self) -> None:
         """Fold the journal into a snapshot: latest row per key, and the granted URNs.
@@ -169,12 +233,19 @@ class StateStore:
         urns.distinct().write.mode("overwrite").parquet(
             f"{self.path('snapshot_urns')}/gen={gen + 1}"
         )
+        folded = self._snapshot("snapshot_urns", gen + 1, _URNS)
+        blocks = max(1, -(-folded.count() // KEYS_A_BLOCK))
+        sketch(folded.where("urn IS NOT NULL"), "urn", blocks).write.mode("overwrite").parquet(
+            f"{self.path('snapshot_sketch')}/gen={gen + 1}"
+        )
         fresh = self.spark.createDataFrame([], schemas.JOURNAL).drop("run_id")
         fresh.write.mode("overwrite").parquet(
             f"{self.path('journal')}/gen={gen + 1}/run_id=none/step=none"
         )
         self._generation = None
-        marker = self.spark.range(1).select(F.lit(gen + 1).alias("gen"))
+        marker = self.spark.range(1).select(
+            F.lit(gen + 1).alias("gen"), F.lit(blocks).cast("long").alias("blocks")
+        )
         self.write("snapshots", marker, f"snapshot-{gen + 1:06d}", "compact")
 
 
@@ -186,7 +257,7 @@ class StateStore:
         current = self.generation()
         hadoop = self.spark._jvm.org.apache.hadoop.fs.Path
         configuration = self.spark._jsc.hadoopConfiguration()
-        for table in ("journal", "snapshot_rows", "snapshot_urns"):
+        for table in ("journal", "snapshot_rows", "snapshot_urns", "snapshot_sketch"):
             folder = hadoop(self.path(table))
             files = folder.getFileSystem(configuration)
             for entry in files.listStatus(folder) if files.exists(folder) else ():
@@ -195,6 +266,10 @@ class StateStore:
                     files.delete(entry.getPath(), True)
 
 
+def _counted(rows: DataFrame, include_dry: bool) -> DataFrame:
+    return j.in_force(rows, include_dry).drop("dry_run", "run_id", "step")
+
+
 def _others(rows: DataFrame, run_id: str | None) -> DataFrame:
     return rows if run_id is None else rows.filter(F.col("run_id") != run_id)
 

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from grantline.operators.events import routed_events
 from grantline.plans import catchup, live
 from grantline.settings import Settings
-from grantline.state.store import StateStore
+from grantline.state.store import State, StateStore
 
 
 def batch_run_id(prefix: str, batch_id: int) -> str:
@@ -33,17 +35,37 @@ def handle_batch(
     """
     # Written first: the micro-batch is computed once, whatever is done with it.
     changed = store.write("changes", live.changes(batch), run_id, "live")
-    state = store.state(run_id, settings.count_dry_runs)
-    sent = store.earlier("notifications", run_id, "denial")
+    state = _state_of(store, changed, settings, run_id)
     decided = store.write(
         "decisions",
         live.decide(changed, find(changed), state, user_properties, settings),
         run_id,
         "live",
     )
-    catchup.settle_approvals(store, decided, settings, run_id, execute)
-    mails = live.denials(decided, sent, settings)
-    store.write("notifications", mails, run_id, "denial")
+    catchup.settle_approvals(store, decided, settings, run_id, execute, live=True)
+    sent = store.matching("denials", changed, "urn", run_id, settings.count_dry_runs)
+    mails = store.write(
+        "notifications",
+        live.denials(decided, sent.withColumn("type", F.lit("denial")), settings),
+        run_id,
+        "denial",
+        settings.dry_run,
+    )
+    store.write("denials", mails.select("urn").distinct(), run_id, "denial", settings.dry_run)
+
+
+def _state_of(store: StateStore, changed: DataFrame, settings: Settings, run_id: str) -> State:
+    """The state that matters to a batch: errors and granted URNs of its requests only."""
+    store.fold(run_id)
+    dry = settings.count_dry_runs
+    keys = changed.select(F.col("urn").alias("action_request_urn"))
+    return replace(
+        store.state(run_id, dry),
+        provisioning_errors=store.matching(
+            "provisioning_errors", keys, "action_request_urn", run_id, dry
+        ),
+        granted_urns=store.granted_among(changed, run_id, dry),
+    )
 
 
 def start(
