@@ -171,11 +171,16 @@ from merged
 """
 
 _SWITCHES = """
-select 'dry_run' as switch, 0 as granted, 0 as revoked, 0 as mails
-union all select 'expiry_off', (select count(*) from granted), 0, 0
-union all select 'mail_off', (select count(*) from granted),
-  (select count(*) from merged where expires_ms <= 996624000000 and revoked_ms is null
-    and (snowflake_schema = '' or cast(split_part(urn, ':', 4) as bigint) % 31 <> 0)), 0
+, ended as (
+  select count(*) as n from merged where expires_ms <= 996624000000 and revoked_ms is null
+    and (snowflake_schema = '' or cast(split_part(urn, ':', 4) as bigint) % 31 <> 0)),
+counted as (
+  select (select count(*) from granted) as g, (select n from ended) as r,
+    (select count(*) from due) as s)
+select 'dry_run' as switch, 0 as granted, 0 as revoked, 0 as mails, 0 as sla
+union all select 'dry_then_live', g, r, r, s from counted
+union all select 'expiry_off', g, 0, 0, s from counted
+union all select 'mail_off', g, r, 0, s from counted
 """
 
 _MAIL = """'{kind}' as type, urn, coalesce(nullif(requestor_email, ''), '') as recipients,
@@ -315,6 +320,11 @@ select urn, outcome, outcome <> 'granted' as partial,
   case outcome when 'permanent' then 2003 when 'transient' then 604 end as errno,
   case outcome when 'permanent' then 'object does not exist'
                when 'transient' then 'statement timed out' end as message
+from outcomes""",
+    "q48_later_outcomes": """
+select urn, case outcome when 'transient' then 'open' else outcome end as state,
+  case when outcome = 'transient' or seq % 2 = 1 then 'run-3' else 'run-2' end as run_id,
+  case when outcome = 'transient' then 0 else 1 end as mails
 from outcomes""",
     "q52_sla_state": """
 select action_request_urn, notification_type, 996537600000 as sent_ms from sla_notifications

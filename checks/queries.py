@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import fixtures as fx
+from grantline import schemas
 from grantline.checkpoints import scratch_path
 from grantline.functions import clock, forms, identity
 from grantline.functions import statements as texts
@@ -29,7 +31,7 @@ from grantline.operators import (
     sla,
     statements,
 )
-from grantline.plans import approval, catchup, expiry, live
+from grantline.plans import approval, catchup, deferred, expiry, live
 from grantline.plans import sla as sla_plan
 from grantline.settings import Settings
 from grantline.sources import events as event_source
@@ -340,6 +342,55 @@ def q45_outcomes(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _arrivals(store: StateStore, run_id: str, arrived: Column) -> DataFrame:
+    """What has become of a run's statements, of those that ``arrived``; each comes twice, the
+    second time, later, with the opposite result."""
+    planned = store.read("statements").filter(F.col("run_id") == run_id)
+    told = fx.execute(planned).filter(arrived).withColumn("planned_run", F.col("run_id"))
+    at = F.timestamp_millis(F.lit(fx.AS_OF_MS))
+    first = told.withColumn("at", at)
+    second = told.withColumns({"ok": ~F.col("ok"), "at": at + F.expr("interval 1 hour")})
+    return first.unionByName(second).select(*schemas.STATEMENT_OUTCOMES.names)
+
+
+def q48_later_outcomes(spark: SparkSession, d: str) -> DataFrame:
+    """Requests after three runs to which the outcomes come in late, in part and repeatedly.
+
+    By the request's number, all outcomes come before the second run, or the first statement's
+    only, or none; everything comes (again) before the third one.
+    """
+    store = state_store(spark, d, "later")
+    number = F.substring_index("urn", ":", -1).cast("bigint") % 4
+    early = (number % 2 == 0) | ((number == 1) & (F.col("stmt_no") == 1))
+    flat, properties = fx.flat_requests(spark, d), _properties(spark, d)
+    nothing = spark.createDataFrame([], schemas.STATEMENT_OUTCOMES)
+    deferred.run(store, flat, properties, S, "run-1", nothing)
+    deferred.run(store, flat, properties, S, "run-2", _arrivals(store, "run-1", early))
+    again = _arrivals(store, "run-1", F.lit(True))
+    state = deferred.run(store, flat, properties, S, "run-3", again)
+    granted = state.journal.filter("op = 'grant' and run_id <> 'import'")
+    failed = store.read("provisioning_errors").filter("run_id <> 'import'")
+    waiting = store.open_units.read().filter("action = 'grant'")
+    rows = (
+        granted.select("urn", F.lit("granted").alias("state"), "run_id")
+        .unionByName(
+            failed.select(
+                F.col("action_request_urn").alias("urn"), F.lit("permanent").alias("state"), "run_id"
+            )
+        )
+        .unionByName(
+            waiting.select("urn", F.lit("open").alias("state"), F.col("planned_run").alias("run_id"))
+        )
+    )
+    mails = (
+        store.read("notifications")
+        .filter("type in ('approval', 'failure')")
+        .groupBy("urn")
+        .agg(F.count("*").alias("mails"))
+    )
+    return rows.join(mails, "urn", "left").withColumn("mails", F.coalesce("mails", F.lit(0)))
+
+
 def q49_state_after(spark: SparkSession, d: str) -> DataFrame:
     state = _state(spark, d)
     journal = state.journal.unionByName(_settled(spark, d, state).journal)
@@ -532,23 +583,33 @@ def q33_switches(spark: SparkSession, d: str) -> DataFrame:
         "expiry_off": (replace(S, expiry_enabled=False), fx.execute),
         "mail_off": (replace(S, revocation_notification=False), fx.execute),
     }
+    flat, properties = fx.flat_requests(spark, d), _properties(spark, d)
     parts = []
     for name, (settings, execute) in cases.items():
         store = state_store(spark, d, name)
-        state = catchup.run(
-            store, fx.flat_requests(spark, d), _properties(spark, d), settings, RUN, execute
-        )
-        of_run = state.journal.filter(F.col("run_id") == RUN)
-        mails = store.read("notifications").filter("type = 'revocation'")
-        rows = of_run.select(F.col("op")).unionByName(mails.select(F.lit("mail").alias("op")))
-        parts.append(
-            rows.agg(
-                F.count_if(F.col("op") == j.GRANT).alias("granted"),
-                F.count_if(F.col("op") == j.REVOKE).alias("revoked"),
-                F.count_if((F.col("op") == "mail") & F.lit(not settings.dry_run)).alias("mails"),
-            ).select(F.lit(name).alias("switch"), "*")
-        )
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+        catchup.run(store, flat, properties, settings, RUN, execute)
+        parts.append(_left_by_run(store, name))
+        if settings.dry_run:
+            # A live run after the dry one does all that it would have done without it.
+            catchup.run(store, flat, properties, S, RUN + "-live", fx.execute)
+            parts.append(_left_by_run(store, "dry_then_live"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _left_by_run(store: StateStore, name: str) -> DataFrame:
+    """Counts of the rows in force that the runs of a store left."""
+    changes = store.state().journal.filter("run_id <> 'import'").select("op")
+    mails = store.read("notifications").filter("type = 'revocation' and not dry_run")
+    warned = store.read("sla_notifications").filter("run_id <> 'import' and not dry_run")
+    rows = changes.unionByName(mails.select(F.lit("mail").alias("op"))).unionByName(
+        warned.select(F.lit("sla").alias("op"))
+    )
+    return rows.agg(
+        F.count_if(F.col("op") == j.GRANT).alias("granted"),
+        F.count_if(F.col("op") == j.REVOKE).alias("revoked"),
+        F.count_if(F.col("op") == "mail").alias("mails"),
+        F.count_if(F.col("op") == "sla").alias("sla"),
+    ).select(F.lit(name).alias("switch"), "*")
 
 
 def _stream(spark: SparkSession, d: str, again: int) -> DataFrame:
