@@ -69,6 +69,47 @@ def test_chain_of_moved_requests(spark):
     assert guarded(spark, [(requests[1:], state)]) == loop(requests[1:], state)
 
 
+def test_long_chains_take_logarithmic_rounds(spark, monkeypatch):
+    """A chain of 1,000 requests, one that a later request breaks, and many that join."""
+    n = 1000
+    state = {f"k{i}": (f"u{i}", True) for i in range(1, n)}
+    whole = [("new", 0, "k1", True)] + [(f"u{i}", i, f"k{i + 1}", True) for i in range(1, n)]
+    # The request in the middle comes before the one that would free it.
+    broken = [(f"b-{u}", -5 if u == "u500" else s, f"b-{k}", r) for u, s, k, r in whole]
+    broken_state = {f"b-{k}": (f"b-{u}", on) for k, (u, on) in state.items()}
+    joining = [(f"j{i}", i, "hub", True) for i in range(50)] + [("hub-u", 60, "end", True), ("end-u", 70, "x", True)]
+    joining_state = {f"j-home{i}": (f"j{i}", True) for i in range(50)} | {
+        "hub": ("hub-u", True), "end": ("end-u", True)
+    }
+    joining.append(("starts", 30, "j-home41", True))
+    worlds = [(whole, state), (broken, broken_state), (joining, joining_state)]
+    rounds = []
+    keep = sequence.written
+
+    def counted(frame, name):
+        rounds.append(name)
+        return keep(frame, name)
+
+    monkeypatch.setattr(sequence, "written", counted)
+    expected = set().union(*(loop(sorted(rs, key=lambda r: r[1]), st) for rs, st in worlds))
+    assert guarded(spark, worlds) == expected
+    assert {"hub-u", "end-u"}.isdisjoint(expected) and len(expected) > 500
+    assert len(rounds) <= 14
+
+
+def test_requests_with_several_rows_need_all_of_them(spark):
+    """Behind a request of two rows the chain goes on only when both are overwritten."""
+    state = {"a": ("two", True), "b": ("two", True), "c": ("after", True), "d": ("last", True)}
+    both = [("x", 0, "a", True), ("y", 1, "b", True), ("two", 2, "c", True),
+            ("after", 3, "d", True), ("last", 4, "e", True)]
+    worlds = [(both, state)]
+    one = [(f"1{u}", s, f"1{k}", r) for u, s, k, r in both if u != "y"]
+    worlds.append((one, {f"1{k}": (f"1{u}", on) for k, (u, on) in state.items()}))
+    expected = set().union(*(loop(rs, st) for rs, st in worlds))
+    assert expected == {"1two", "1after", "1last"}
+    assert guarded(spark, worlds) == expected
+
+
 def test_last_per_key(spark):
     frame = spark.createDataFrame(
         [("R", "D", None, 1), ("R", "D", "", 5), ("R", "D", "S", 2), ("r", "D", "", 9)],
