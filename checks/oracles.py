@@ -204,6 +204,12 @@ select urn, decision as action from live where decision in ('provision', 'deny')
 # Both stream queries end with the decisions of one batch.
 _SELECTS: dict[str, str] = {
     "q01_approved_scan": "select seq, urn, created_ms, requestor_urn from approved",
+    "q01_json_catchup": """
+select line as seq, urn, decision
+from (select seq as place, row_number() over (order by seq) - 1 as line from requests)
+join decided on seq = place where place % 40 not in (1, 4)
+union all select count(*), null, 'malformed_json' from requests where seq % 40 = 1 having count(*) > 0
+union all select count(*), null, 'missing:status' from requests where seq % 40 = 4 having count(*) > 0""",
     "q02_pending_scan": """
 select urn, created_ms, requestor_urn, requestor_email, resource,
   case when owner_urn is null then '' else owner_urn || ',urn:li:corpuser:deputy' end as assigned_users,

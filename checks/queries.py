@@ -31,7 +31,7 @@ from grantline.operators import (
     sla,
     statements,
 )
-from grantline.plans import approval, catchup, deferred, expiry, live
+from grantline.plans import approval, catchup, deferred, expiry, intake, live
 from grantline.plans import sla as sla_plan
 from grantline.settings import Settings
 from grantline.sources import events as event_source
@@ -128,6 +128,30 @@ def q01_approved_scan(spark: SparkSession, d: str) -> DataFrame:
     return _approved(spark, d).select("seq", "urn", "created_ms", "requestor_urn")
 
 
+def q01_json_catchup(spark: SparkSession, d: str) -> DataFrame:
+    """Decisions on a listing of JSON files, by line number; damaged lines with their reason."""
+    rows = fx.nested_requests(spark, d)
+    text = F.to_json(F.struct(*[c for c in rows.columns if c != "seq"]))
+    kind = F.col("seq") % 40
+    damaged = (
+        F.when(kind == 1, F.substring(text, 1, 40))
+        .when(kind == 4, F.regexp_replace(text, '"status":"[A-Z]+",', ""))
+        .otherwise(text)
+    )
+    store = state_store(spark, d, "json")
+    path = f"{store.root}/listing"
+    lines = rows.select("seq", damaged.alias("value")).repartitionByRange(5, "seq")
+    lines.sortWithinPartitions("seq").select("value").write.text(path)
+    flat = intake.json_listing(store, path, S, RUN)
+    decided = approval.decide(flat, store.state(RUN), _properties(spark, d), S)
+    rejected = store.read("quarantine").filter(F.col("step") == "listing")
+    return decided.select("seq", "urn", "decision").unionByName(
+        rejected.groupBy(F.col("reason").alias("decision")).agg(
+            F.count("*").alias("seq"), F.lit(None).cast("string").alias("urn")
+        )
+    )
+
+
 def q02_pending_scan(spark: SparkSession, d: str) -> DataFrame:
     pending = requests.pending_requests(fx.flat_requests(spark, d))
     return pending.select(

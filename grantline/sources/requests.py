@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from grantline import schemas
+from grantline.checkpoints import written
 from grantline.operators.requests import first_per_urn
 
 BUCKET = "urn_bucket"
@@ -20,10 +21,43 @@ def read_requests(spark: SparkSession, path: str, source: str = "parquet") -> Da
 def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
     """Raw listing for :func:`checked`: ``seq`` and ``value``, a JSON document per line.
 
-    ``seq`` follows the lines within a file; files come in the order in which Spark
-    plans them. A listing with an order of its own brings its own ``seq``.
+    ``seq`` numbers the lines from 0 without gaps, files in the order of their paths and lines
+    in the order of the file, however Spark splits and plans the files. Lines are written once,
+    numbered within their split; the splits' counts are summed up in order and added.
     """
-    return spark.read.text(path).select(F.monotonically_increasing_id().alias("seq"), "value")
+    split = ["path", "block"]
+    lines = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("id"),
+    )
+    lines = written(lines, "lines")
+    counts = lines.groupBy(*split).agg(F.count("*").alias("n"), F.min("id").alias("first"))
+    bases = _running_totals(counts, split, "n")
+    # A task reads a split in one go: its lines have consecutive ids.
+    return lines.join(bases, split).select(
+        (F.col("before") + F.col("id") - F.col("first")).alias("seq"), "value"
+    )
+
+
+def _running_totals(rows: DataFrame, order: list[str], number: str) -> DataFrame:
+    """``rows`` with ``before``: the sum of ``number`` over all rows that come earlier.
+
+    Rows are range-partitioned, summed within each part, and the totals of the parts added: no
+    task sees more than its part and one row per part.
+    """
+    ranged = rows.repartitionByRange(*order).withColumn("part", F.spark_partition_id())
+    parts = written(ranged, "totals")
+    within = Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    totals = parts.groupBy("part").agg(F.sum(number).alias("total"))
+    # One row per part, of which there are as many as shuffle partitions.
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = totals.select("part", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
+    summed = parts.withColumn("inside", F.coalesce(F.sum(number).over(within), F.lit(0)))
+    return summed.join(bases, "part").select(
+        *rows.columns, (F.col("inside") + F.col("base")).alias("before")
+    )
 
 
 # The wire shape with untyped leaves, so that each leaf's own type can be checked.

@@ -51,7 +51,7 @@ KEYED: dict[str, tuple[T.StructType, list[str]]] = {
         _marked(schemas.SLA_NOTIFICATIONS), ["action_request_urn", "notification_type"]
     ),
     "provisioning_errors": (_marked(schemas.PROVISIONING_ERRORS), ["action_request_urn"]),
-    "quarantine": (_marked(schemas.QUARANTINE), ["urn", "reason"]),
+    "quarantine": (_marked(schemas.QUARANTINE), ["urn", "reason", "detail"]),
     "denials": (_marked(schemas.DENIALS), ["urn"]),
 }
 

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from grantline.operators.events import routed_events
-from grantline.plans import catchup, live
+from grantline.plans import catchup, intake, live
 from grantline.settings import Settings
+from grantline.sources.events import good_events, rejected_envelopes
 from grantline.state.store import State, StateStore
 
 
@@ -30,11 +31,17 @@ def handle_batch(
 ) -> None:
     """One micro-batch under one run id: a repeated batch replaces what it wrote.
 
-    ``find`` gives the requests of the changed URNs as they are now, for example by
+    A batch of parsed envelopes (with a column ``problem``) has its rejects quarantined. ``find`` gives the requests of the changed URNs as they are now, for example by
     :func:`grantline.sources.requests.bucket_lookup`.
     """
     # Written first: the micro-batch is computed once, whatever is done with it.
-    changed = store.write("changes", live.changes(batch), run_id, "live")
+    events = batch
+    if "problem" in batch.columns:
+        events = good_events(batch)
+        intake.quarantine_rejected(
+            store, rejected_envelopes(batch), run_id, "envelopes", settings.dry_run
+        )
+    changed = store.write("changes", live.changes(events), run_id, "live")
     state = _state_of(store, changed, settings, run_id)
     decided = store.write(
         "decisions",
@@ -80,8 +87,9 @@ def start(
 ) -> StreamingQuery:
     """Handle everything that has arrived, then stop: one scheduled invocation.
 
-    Redelivered and late events do no harm and none is dropped: the state guards against
-    them in every batch.
+    ``stream`` has events, or envelopes as :func:`grantline.sources.events.from_envelopes` parses
+    them. Redelivered and late events do no harm and none is dropped: the state guards
+    against them in every batch.
     ``prefix`` names the runs of this stream: one for each checkpoint folder.
     ``settings`` may be a function, so that each batch gets the clock of its start.
     """
@@ -99,9 +107,9 @@ def start(
             execute,
         )
 
+    wanted = stream if "problem" in stream.columns else routed_events(stream)
     return (
-        routed_events(stream)
-        .writeStream.foreachBatch(on_batch)
+        wanted.writeStream.foreachBatch(on_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

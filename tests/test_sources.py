@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,6 +9,8 @@ from grantline.settings import Settings
 from grantline.sources.events import read_events
 from grantline.sources.properties import read_user_properties
 from grantline.operators.requests import flatten
+from grantline.plans import intake
+from grantline.sources import requests
 from grantline.sources.requests import (
     bad_rows,
     checked,
@@ -14,6 +18,7 @@ from grantline.sources.requests import (
     read_json_lines,
     read_requests,
 )
+from grantline.state.store import StateStore
 from tests.builders import properties, rows_of
 from tests.conftest import AS_OF_MS
 from tests.test_forms import nested
@@ -91,3 +96,39 @@ def test_settings_are_checked():
         Settings(as_of_ms=AS_OF_MS, guard="none")
     with pytest.raises(ValueError, match="username_format"):
         Settings(as_of_ms=AS_OF_MS, username_format="x")
+
+
+def test_lines_are_numbered_in_the_order_of_paths(spark, tmp_path):
+    """Files of rising and of falling size, empty ones, and files that are split."""
+    rng = random.Random(3)
+    expected = []
+    for name, lines in (("a", 3), ("b", 400), ("c", 0), ("d", 5000), ("e", 1), ("f", 90)):
+        made = [f"{name}{i}-" + "x" * rng.randint(0, 60) for i in range(lines)]
+        (tmp_path / f"{name}.json").write_text("".join(f"{line}\n" for line in made))
+        expected += made
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        rows = requests.read_json_lines(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [r.value for r in sorted(rows, key=lambda r: r.seq)] == expected
+    assert sorted(r.seq for r in rows) == list(range(len(expected)))
+
+
+def test_an_empty_listing(spark, tmp_path):
+    (tmp_path / "a.json").write_text("")
+    assert requests.read_json_lines(spark, str(tmp_path)).collect() == []
+
+
+def test_rejected_lines_are_on_record_once(spark, settings, tmp_path):
+    store = StateStore(spark, str(tmp_path / "state")).ensure()
+    listing = tmp_path / "listing"
+    listing.mkdir()
+    (listing / "p1.json").write_text('{"urn":"u1"}\n{"broken\n{"urn":"u2","type":"T"}\n{"broken 2\n')
+    for run in ("r1", "r2"):
+        assert intake.json_listing(store, str(listing), settings, run).count() == 0
+    found = store.read("quarantine").collect()
+    assert sorted((r.urn or "", r.reason, r.run_id) for r in found) == [
+        ("", "malformed_json", "r1"), ("", "malformed_json", "r1"),
+        ("u1", "missing:type", "r1"), ("u2", "missing:status", "r1"),
+    ]

@@ -251,3 +251,23 @@ def test_history_is_filtered_to_the_batch_before_anything_else(spark, settings,
 
     assert "LeftSemi" in plan(decided.filter("provisioned"))
     assert "LeftSemi" in plan(mails)
+
+
+def test_a_stream_of_envelopes(spark, settings, store, tmp_path):
+    """Text lines to decisions; envelopes that can't be read are quarantined, each once."""
+    folder = tmp_path / "lines"
+    event = '"event":{"entityType":"actionRequest","aspectName":"actionRequestStatus","entityUrn":"%s"}'
+    lines = [f'{{"event_type":"{CHANGE}",{event % urn}}}' for urn in ("approved", "denied", "open")]
+    frame = spark.createDataFrame([(x,) for x in [*lines, '{"event_type":', "[]"]], "value string")
+    for _ in range(2):
+        frame.coalesce(1).write.mode("append").text(str(folder))
+    raw = spark.readStream.option("maxFilesPerTrigger", 1).text(str(folder))
+    parsed = from_envelopes(raw, F.xxhash64("value"), F.timestamp_seconds(F.lit(1_700_000_000)))
+    stream.start(
+        parsed, store, lambda changed: requests(spark), props(spark), settings,
+        str(tmp_path / "checkpoint"), "live", outcomes.all_ok,
+    ).awaitTermination()
+    assert actions(store) == EXPECTED[:2]
+    assert rows_of(store.read("quarantine"), "reason", "detail") == [
+        ("malformed_envelope", "[]"), ("malformed_envelope", '{"event_type":'),
+    ]
