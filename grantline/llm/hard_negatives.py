@@ -35,6 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from grantline.checkpoints import written
+from grantline.llm.cells import met_in_cells
 
 SCALE = 256
 POSITIVES = 5
@@ -62,6 +63,10 @@ _FOUND = ("block", "anchor", "anchor_id", "positive_id", "positive_score")
 _MINED = ("block", "anchor", "positive_rank", "negative_id", "negative_score")
 
 
+def _longs(names: tuple[str, ...]) -> str:
+    return ", ".join(f"{n} long" for n in names)
+
+
 def _usable(rows: DataFrame, id_col: str, vector_col: str, label: Column, scale: int) -> DataFrame:
     """Rows ``id, label, vector`` that take part; components are scaled doubles."""
     # Spark's floor gives a long; beyond its range a double has no fraction to cut.
@@ -358,31 +363,6 @@ def _blocks(anchors: DataFrame, parts: int) -> DataFrame:
     )
 
 
-def _in_cells(
-    blocks: DataFrame, shards: DataFrame, across: int, down: int, work, names: tuple[str, ...]
-) -> DataFrame:
-    """What ``work`` finds for every block with every shard: ``across`` groups of shards meet
-    ``down`` groups of blocks, each two groups in a cell of their own."""
-
-    def dealt(number: Column, groups: int) -> Column:
-        return F.pmod(F.xxhash64(number), F.lit(groups))
-
-    def every(groups: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))
-
-    left = blocks.withColumn("other_", every(across)).withColumn(
-        "cell", dealt(F.col("block"), down) * across + F.col("other_")
-    )
-    right = shards.withColumn("other_", every(down)).withColumn(
-        "cell", F.col("other_") * across + dealt(F.col("ids"), across)
-    )
-    return (
-        left.groupBy("cell")
-        .cogroup(right.groupBy("cell"))
-        .applyInArrow(work, ", ".join(f"{n} long" for n in names))
-    )
-
-
 def mine(
     vectors: DataFrame,
     anchors: Column,
@@ -406,7 +386,9 @@ def mine(
     across = max(1, -(-candidates // (SHARD * SHARDS_A_CELL)))
     blocks = _blocks(asking, max(1, -(-asked // (4 * BLOCK))))
     shards = usable.mapInArrow(_to_shards, _VECTORS)
-    found = _in_cells(blocks, shards, across, down, _positive_rows(positives), _FOUND)
+    found = met_in_cells(
+        blocks, shards, across, down, _positive_rows(positives), _longs(_FOUND)
+    )
     order = Window.partitionBy("block", "anchor").orderBy(F.desc("positive_score"), "positive_id")
     best = written(
         found.withColumn("positive_rank", F.row_number().over(order).cast("long")).where(
@@ -418,7 +400,9 @@ def mine(
         F.collect_list(F.struct("anchor", F.col("positive_rank").alias("rank"), "positive_score")).alias("asked")
     )
     asked_blocks = blocks.join(questions, "block")
-    mined = _in_cells(asked_blocks, shards, across, down, _negative_rows(negatives), _MINED)
+    mined = met_in_cells(
+        asked_blocks, shards, across, down, _negative_rows(negatives), _longs(_MINED)
+    )
     key = ["block", "anchor", "positive_rank"]
     nearest = Window.partitionBy(*key).orderBy(F.desc("negative_score"), "negative_id")
     ranked = mined.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= negatives)

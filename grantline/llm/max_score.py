@@ -7,15 +7,16 @@ the rest can't lift a vector over the current k-th score. Their postings are tra
 all vectors of the shard; the other terms are probed, some at a time, only for vectors that
 are still competitive. Tops of the shards are merged by a window.
 
-Components become ``floor(SCALE * x)``; scores are exact integers. How it runs: shards are
-Arrow batches of the vectors; queries are dealt into blocks, and each shard meets each block
-by a join on the block's number, so neither side is broadcast or collected.
-
-Defined results: vectors that are null or hold null or non-finite components take no part.
-Vectors of different lengths are padded with zeros. Scaled components are clipped to plus
-or minus 2**26, which keeps every score of up to 2,000 dimensions a long. A query never
-matches rows of its own id; rows that repeat a candidate's id are candidates each. Only the
-id and vector columns are read.
+Components become ``floor(SCALE * x)``; scores are exact integers. How it runs: shards and blocks
+of queries are cut from Arrow batches, whatever their ids; groups of both meet in the cells
+of a grid, so no key grows with the data and nothing is broadcast or collected.
+
+Defined results: vectors that are null or hold null or non-finite components, also once
+scaled, take no part. Vectors of different lengths are padded with zeros. Where a score
+might leave the range of a long, whole numbers of any size are used; a score beyond a long counts
+as the nearest long. A query never matches rows of its own id; rows that repeat a candidate's
+id are candidates each, and rows that repeat a query's id are queries each, with a ranking of
+their own. Only the id and vector columns are read.
 """
 
 from __future__ import annotations
@@ -28,14 +29,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from grantline.checkpoints import written
+from grantline.llm.cells import met_in_cells
 
 TOP = 10
 SCALE = 1024
-#: Queries that a shard answers at a time.
-QUERY_BLOCK = 2048
+#: Queries of a block, vectors of a shard, and how many of either share a cell.
+QUERY_BLOCK, SHARD = 512, 4096
+BLOCKS_A_CELL, SHARDS_A_CELL = 8, 2
 #: Vectors scored completely to get a first k-th score, and terms probed at a time.
 _FIRST, _PROBE = 256, 8
-_CLIP = 1 << 26
+_LONG = 1 << 63
+#: Sums of products below this stay within a long, whatever is added on the way.
+_SAFE = float(1 << 60)
 
 
 def _valid(vector: Column) -> Column:
@@ -46,54 +51,84 @@ def _valid(vector: Column) -> Column:
     return vector.isNotNull() & ~odd
 
 
-def _packed(ids: pa.Array, vectors: pa.Array) -> tuple[bytes, int, bytes]:
-    """Ids, dimensions and scaled components (a row for each vector) as bytes."""
-    lists = vectors.to_numpy(zero_copy_only=False)
+def _scaled(x: Column) -> Column:
+    """Spark's floor gives a long; a double beyond 2**52 has no fraction to cut."""
+    return F.when(F.abs(x) < 2.0**52, F.floor(x * SCALE).cast("double")).otherwise(x * SCALE)
+
+
+def _packed(ids: pa.ChunkedArray, vectors: pa.ChunkedArray) -> dict:
+    """Ids and scaled components (a row for each vector) as bytes, short where they are small;
+    ``width`` is negative where components are doubles."""
+    lists = vectors.to_pylist()
     width = max(map(len, lists))
     values = np.zeros((len(lists), width), np.float64)
     for row, vector in zip(values, lists):
         row[: len(vector)] = vector
-    scaled = np.clip(np.floor(values * SCALE), -_CLIP, _CLIP).astype(np.int32)
-    return ids.to_numpy().astype(np.int64).tobytes(), width, scaled.tobytes()
+    small = not values.size or np.abs(values).max() < 2**31
+    return {
+        "ids": ids.to_numpy().astype(np.int64).tobytes(),
+        "width": width if small else -width,
+        "data": values.astype(np.int32).tobytes() if small else values.tobytes(),
+    }
+
 
+def _unpacked(row: dict) -> tuple[np.ndarray, np.ndarray]:
+    ids = np.frombuffer(row["ids"], np.int64)
+    kind = np.int32 if row["width"] >= 0 else np.float64
+    return ids, np.frombuffer(row["data"], kind).reshape(len(ids), abs(row["width"]))
+
+
+def _cutter(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            for at in range(0, len(table), size):
+                part = table.slice(at, size)
+                yield pa.RecordBatch.from_pylist([_packed(part["id"], part["vector"])], _BLOCK)
 
-def _to_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        if batch.num_rows:
-            row = _packed(batch["id"], batch["vector"])
-            yield pa.RecordBatch.from_pylist([dict(zip(("ids", "width", "data"), row))], _BLOCK)
+    return run
 
 
 _BLOCK = pa.schema([("ids", pa.binary()), ("width", pa.int64()), ("data", pa.binary())])
+_ROW = "ids binary, width long, data binary"
 
 
-def _to_queries(table: pa.Table) -> pa.Table:
-    table = table.sort_by("id").combine_chunks()
-    ids, width, data = _packed(
-        table["id"].combine_chunks(), table["vector"].combine_chunks()
-    )
-    return pa.table(
-        {
-            "block": table["block"][:1],
-            "q_ids": pa.array([ids], pa.binary()),
-            "q_width": pa.array([width], pa.int64()),
-            "q_data": pa.array([data], pa.binary()),
-        }
-    )
+def _whole(values: np.ndarray, wide: bool) -> np.ndarray:
+    """Whole numbers: of any size where ``wide``."""
+    if not wide:
+        return values.astype(np.int64)
+    return np.array([[int(x) for x in row] for row in values], object).reshape(values.shape)
+
+
+def _kth(scores: np.ndarray, k: int):
+    """The k-th highest score."""
+    if scores.dtype == object:
+        return sorted(scores, reverse=True)[k - 1]
+    return np.partition(scores, len(scores) - k)[len(scores) - k]
+
+
+def _in_long(scores):
+    """Scores beyond a long count as the nearest long."""
+    if isinstance(scores, np.ndarray):
+        return np.minimum(np.maximum(scores, -_LONG), _LONG - 1)
+    return min(max(scores, -_LONG), _LONG - 1)
 
 
 class Shard:
     """Postings of a shard: for each term its value in every vector."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
+        """``vectors`` are whole numbers, 64-bit ones or objects."""
         self.ids = ids
-        self.postings = np.ascontiguousarray(vectors.T.astype(np.int64))
+        self.wide = vectors.dtype == object
+        self.postings = np.ascontiguousarray(vectors.T)
         self.high = self.postings.max(axis=1)
         self.low = self.postings.min(axis=1)
 
     def top(self, own: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and scores of the ``k`` best vectors but ``own``; ties to the smaller id."""
-        weights = np.zeros(len(self.postings), np.int64)
+        bounded = _in_long if self.wide else (lambda scores: scores)
+        weights = np.zeros(len(self.postings), self.postings.dtype)
         weights[: len(query)] = query[: len(weights)]
         bound = np.maximum(weights * self.high, weights * self.low)
         least = np.minimum(weights * self.high, weights * self.low)
@@ -104,16 +139,13 @@ class Shard:
         others = self.ids != own
         first = np.flatnonzero(others)[:_FIRST]
         sample = weights @ self.postings[:, first]
-        if len(sample) < k:
-            bar = np.iinfo(np.int64).min
-        else:
-            bar = np.partition(sample, len(sample) - k)[len(sample) - k]
+        bar = bounded(_kth(sample, k)) if len(sample) >= k else np.iinfo(np.int64).min
         # Essential terms: a vector that gets the least from them all can't reach the bar.
-        useless = sure[0] - sure + rest < bar
+        useless = bounded(sure[0] - sure + rest) < bar
         essential = int(np.argmax(useless)) if useless.any() else len(order)
         head = order[:essential]
         scores = weights[head] @ self.postings[head]
-        live = np.flatnonzero((scores + rest[essential] >= bar) & others)
+        live = np.flatnonzero((bounded(scores + rest[essential]) >= bar).astype(bool) & others)
         scores = scores[live]
         at = essential
         while at < len(order):
@@ -121,37 +153,46 @@ class Shard:
             scores = scores + weights[terms] @ self.postings[np.ix_(terms, live)]
             at += len(terms)
             if len(live) > k:
-                kth = np.partition(scores, len(scores) - k)[len(scores) - k]
-                bar = max(bar, kth + sure[at])
-            good = scores + rest[at] >= bar
+                bar = max(bar, bounded(_kth(scores, k) + sure[at]))
+            good = (bounded(scores + rest[at]) >= bar).astype(bool)
             live, scores = live[good], scores[good]
-        best = np.lexsort((self.ids[live], -scores))[:k]
-        return self.ids[live[best]], scores[best]
+        if self.wide:
+            scores = _in_long(scores)
+            best = np.array(sorted(range(len(live)), key=lambda i: (-scores[i], self.ids[live[i]])), int)
+        else:
+            best = np.lexsort((self.ids[live], -scores))
+        return self.ids[live[best[:k]]], scores[best[:k]].astype(np.int64)
 
 
 def _searcher(k: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                ids = np.frombuffer(row["ids"], np.int64)
-                vectors = np.frombuffer(row["data"], np.int32).reshape(len(ids), row["width"])
-                own = np.frombuffer(row["q_ids"], np.int64)
-                queries = np.frombuffer(row["q_data"], np.int32).reshape(len(own), row["q_width"])
-                shard = Shard(ids, vectors)
-                found = [shard.top(o, q.astype(np.int64), k) for o, q in zip(own, queries)]
-                sizes = [len(f[0]) for f in found]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.repeat(own, sizes), pa.int64()),
-                        pa.array(np.concatenate([f[0] for f in found]), pa.int64()),
-                        pa.array(np.concatenate([f[1] for f in found]), pa.int64()),
-                    ],
-                    ["query_id", "vec_id", "score"],
-                )
+    def run(blocks: pa.Table, shards: pa.Table) -> pa.Table:
+        asked = [(row["block"], *_unpacked(row)) for row in blocks.to_pylist()]
+        found: list[tuple[int, int, int, np.ndarray, np.ndarray]] = []
+        for at in range(len(shards)):
+            (row,) = shards.slice(at, 1).to_pylist()
+            ids, vectors = _unpacked(row)
+            most = np.abs(vectors).max(axis=0, initial=0).sum()
+            shard = {}
+            for block, own, queries in asked:
+                for place, query in enumerate(queries):
+                    wide = bool(float(most) * np.abs(query).max(initial=0) >= _SAFE)
+                    if wide not in shard:
+                        shard[wide] = Shard(ids, _whole(vectors, wide))
+                    weights = _whole(query[None], wide)[0]
+                    best = shard[wide].top(int(own[place]), weights, k)
+                    found.append((block, place, int(own[place]), *best))
+        sizes = [len(f[3]) for f in found]
+        empty = [np.zeros(0, np.int64)]
+        columns = [np.repeat(np.array([f[i] for f in found], np.int64), sizes) for i in range(3)]
+        columns += [np.concatenate(empty + [f[i] for f in found]) for i in (3, 4)]
+        return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(_FOUND, columns)})
 
     return run
 
 
+_FOUND = ("block", "place", "query_id", "vec_id", "score")
+
+
 def top_k(
     vectors: DataFrame,
     queries: DataFrame,
@@ -160,27 +201,22 @@ def top_k(
     k: int = TOP,
 ) -> DataFrame:
     """The ``k`` best of ``vectors`` for each of ``queries``: ``query_id, rank, vec_id, score``."""
-    valid = _valid(F.col(vector_col)) & F.col(id_col).isNotNull()
-    columns = F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector")
-    asked = queries.where(valid).select(*columns)
-    number = max(1, -(-asked.count() // QUERY_BLOCK))
-    asked = asked.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(number)))
-    blocks = written(
-        asked.groupBy("block").applyInArrow(
-            _to_queries, "block long, q_ids binary, q_width long, q_data binary"
-        ),
-        "queries",
-    )
-    shards = vectors.where(valid).select(*columns).mapInArrow(
-        _to_shards, "ids binary, width long, data binary"
-    )
-    numbered = shards.withColumn(
-        "block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(number - 1).cast("long")))
-    )
-    found = numbered.join(blocks, "block").mapInArrow(
-        _searcher(k), "query_id long, vec_id long, score long"
+
+    def usable(rows: DataFrame) -> DataFrame:
+        scaled = F.transform(F.col(vector_col), lambda x: _scaled(x.cast("double")))
+        named = rows.select(F.col(id_col).cast("long").alias("id"), scaled.alias("vector"))
+        return named.where(F.col("id").isNotNull() & _valid(F.col("vector")))
+
+    asked, candidates = queries.count(), vectors.count()
+    down = max(1, -(-asked // (QUERY_BLOCK * BLOCKS_A_CELL)))
+    across = max(1, -(-candidates // (SHARD * SHARDS_A_CELL)))
+    blocks = usable(queries).mapInArrow(_cutter(QUERY_BLOCK), _ROW)
+    blocks = written(blocks.withColumn("block", F.monotonically_increasing_id()), "queries")
+    shards = usable(vectors).mapInArrow(_cutter(SHARD), _ROW)
+    found = met_in_cells(
+        blocks, shards, across, down, _searcher(k), ", ".join(f"{n} long" for n in _FOUND)
     )
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = Window.partitionBy("block", "place").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score"
     )

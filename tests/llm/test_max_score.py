@@ -8,6 +8,10 @@ from grantline.llm import max_score as ms
 SCHEMA = "vec_id long, embedding array<float>, label int, id string, block string"
 
 
+def in_long(score):
+    return max(-(2**63), min(2**63 - 1, score))
+
+
 def brute(rows, k):
     """The contract, pair by pair."""
     valid = []
@@ -19,7 +23,7 @@ def brute(rows, k):
     for q, a in valid:
         if q % 100:
             continue
-        scored = [(-sum(x * y for x, y in zip(a, b)), i) for i, b in valid if i != q]
+        scored = [(-in_long(sum(x * y for x, y in zip(a, b))), i) for i, b in valid if i != q]
         result += [(q, n + 1, i, -s) for n, (s, i) in enumerate(sorted(scored)[:k])]
     return sorted(result)
 
@@ -58,6 +62,36 @@ def test_odd_vectors(spark):
     assert found(spark, rows) == brute(rows, 10)
 
 
+@pytest.mark.parametrize("size", [1e5, 7e6, 1e9, 1e30])
+def test_large_components_are_exact(spark, size):
+    """Scores past the floats' whole numbers, and past a long, which count as the nearest long."""
+    random = np.random.default_rng(3)
+    rows = [
+        (i, [float(x) * size for x in random.integers(-3, 4, 3)] + [float(random.integers(9))], 0, "x", "y")
+        for i in range(250)
+    ]
+    rows += [(400 + i, [0.25 * i, 1.0, 2.0, 3.0], 0, "x", "y") for i in range(20)]
+    assert found(spark, rows) == brute(rows, 10)
+
+
+def test_the_probe_of_scores_that_were_clipped(spark):
+    rows = [(0, [100000.0], 0, "", ""), (1, [100000.0], 0, "", ""), (2, [70000.0], 0, "", ""), (3, [1.0], 0, "", "")]
+    assert [r[3] for r in found(spark, rows)] == [10485760000000000, 7340032000000000, 104857600000]
+
+
+def test_repeated_ids_are_queries_and_candidates_each(spark):
+    rows = vectors(230, 4, 8)
+    rows += [rows[0], rows[100], (200, rows[3][1], 0, "x", "y"), rows[7], rows[7]]
+    assert found(spark, rows) == brute(rows, 10)
+
+
+def test_small_blocks_and_cells_change_nothing(spark, monkeypatch):
+    for name, value in (("QUERY_BLOCK", 2), ("SHARD", 60), ("BLOCKS_A_CELL", 1), ("SHARDS_A_CELL", 1)):
+        monkeypatch.setattr(ms, name, value)
+    rows = vectors(700, 5, 9)
+    assert found(spark, rows) == brute(rows, 10)
+
+
 def test_few_candidates_and_no_rows(spark):
     rows = vectors(3, 4, 2)
     assert found(spark, rows) == brute(rows, 10)
