@@ -89,7 +89,7 @@ def _captures(pages: DataFrame) -> DataFrame:
 
 
 def op2_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = _captures(_table(spark, sf_dir, "pages").where("page_id IS NOT NULL"))
+    records = _captures(_table(spark, sf_dir, "pages"))
     pairs = F.transform(
         F.map_entries("headers"), lambda e: F.concat(e["key"], F.lit("="), e["value"])
     )
@@ -238,17 +238,19 @@ ORACLES = {
             1700000000 + page_id % 1000 * 3600 + page_id AS t,
             CASE WHEN page_id % 5 <> 0 THEN 'day ' || (page_id % 365) END AS day,
             split_part(trim(url), '#', 1) AS bare
-          FROM pages WHERE page_id IS NOT NULL
+          FROM pages
         ), u AS (
           SELECT *, lower(split_part(bare, '://', 1)) AS scheme,
-            lower(regexp_extract(bare, '^[^:/?]+://([^/?]*)', 1)) AS h,
+            regexp_extract(bare, '^[^:/?]+://([^/?]*)', 1) AS authority,
+            regexp_extract(authority, '^([\\s\\S]*@)', 1) AS userinfo,
+            lower(regexp_extract(authority, '([^@]*)$', 1)) AS h,
             regexp_extract(bare, '^[^:/?]+://[^/?]*([^?]*)', 1) AS path,
             array_to_string(list_sort(list_filter(
               string_split(regexp_extract(bare, '\\?([\\s\\S]*)$', 1), '&'),
               lambda k: k <> '' AND NOT regexp_matches(k, '^utm_'))), '&') AS query
           FROM p
         ), k AS (
-          SELECT *, scheme || '://'
+          SELECT *, scheme || '://' || userinfo
             || regexp_replace(h, CASE WHEN scheme = 'https' THEN ':443$' ELSE ':80$' END, '')
             || CASE WHEN path = '' THEN '/' ELSE path END
             || CASE WHEN query = '' THEN '' ELSE '?' || query END AS url_key

@@ -9,8 +9,9 @@ else the payload digest agrees), ``changed`` (the first of these that both have
 ``unverified`` (they share none) and ``orphan`` (no earlier response). Headers are merged for
 all but orphans.
 
-How it runs. Only keys, times and validators enter the as-of join; headers are joined by
-record id afterwards, payloads never. A URL with a third of all records is split into
+How it runs. Only keys, times, validators and a hash of the headers enter the as-of join; the
+headers of what was found are joined afterwards by URL, time, id and hash, payloads never.
+Orphans, which may be most of the revisits, take no part in that join. A URL with a third of all records is split into
 periods of ``PERIOD`` seconds: a period's own responses are looked up in a window of that
 period, what came before is one row per period, carried forward by a second window.
 
@@ -45,10 +46,12 @@ CAMPAIGN = r"^utm_"
 
 def canonical_url(url: Column) -> Column:
     """Scheme and host in lower case, no default port, fragment or campaign keys, query keys
-    sorted, at least a slash as path."""
+    sorted, at least a slash as path. User and password stay as they are."""
     bare = F.substring_index(F.trim(url), "#", 1)
     scheme = F.lower(F.substring_index(bare, "://", 1))
-    host = F.lower(F.regexp_extract(bare, r"^[^:/?]+://([^/?]*)", 1))
+    authority = F.regexp_extract(bare, r"^[^:/?]+://([^/?]*)", 1)
+    user = F.regexp_extract(authority, r"^([\s\S]*@)", 1)
+    host = F.lower(F.regexp_extract(authority, r"([^@]*)$", 1))
     host = F.regexp_replace(host, F.when(scheme == "https", r":443$").otherwise(r":80$"), F.lit(""))
     path = F.regexp_extract(bare, r"^[^:/?]+://[^/?]*([^?]*)", 1)
     query = F.regexp_extract(bare, r"\?([\s\S]*)$", 1)
@@ -57,6 +60,7 @@ def canonical_url(url: Column) -> Column:
     return F.concat(
         scheme,
         F.lit("://"),
+        user,
         host,
         F.when(path == "", "/").otherwise(path),
         F.when(ordered == "", "").otherwise(F.concat(F.lit("?"), ordered)),
@@ -99,6 +103,10 @@ def merged_headers(old: Column, new: Column) -> Column:
     return F.map_concat(rest, updates)
 
 
+def _hash(headers: Column) -> Column:
+    return F.xxhash64(F.array_sort(F.map_entries(headers)))
+
+
 def resolve(records: DataFrame) -> DataFrame:
     """One row per revisit: ``record_id, url_key, response_id, outcome, headers``.
 
@@ -114,10 +122,11 @@ def resolve(records: DataFrame) -> DataFrame:
         "last_modified",
         "digest",
         F.when(F.col("revisit"), F.col("headers")).alias("new_"),
+        F.when(~F.col("revisit"), _hash(F.col("headers"))).alias("hash_"),
         F.floor(F.col("time") / PERIOD).alias("period"),
     )
     response = F.when(
-        ~F.col("revisit"), F.struct("time", "record_id", "etag", "last_modified", "digest")
+        ~F.col("revisit"), F.struct("time", "record_id", "etag", "last_modified", "digest", "hash_")
     )
     dated = keyed.where("url_key IS NOT NULL AND time IS NOT NULL")
     earlier = Window.partitionBy("url_key", "period").orderBy("time")
@@ -132,28 +141,40 @@ def resolve(records: DataFrame) -> DataFrame:
         .join(carried, ["url_key", "period"])
         .withColumn("found", F.coalesce("own", "carried"))
     )
+    none = F.lit(None)
     undated = keyed.where("revisit AND (url_key IS NULL OR time IS NULL)")
-    decided = found.select(
+    orphans = undated.select("record_id", "url_key").unionByName(
+        found.where("found IS NULL").select("record_id", "url_key")
+    )
+    decided = found.where("found IS NOT NULL").select(
+        "record_id", "url_key", "found", _outcome().alias("outcome"), "new_"
+    )
+    full = records.where("NOT revisit").select(
+        canonical_url(F.col("url")).alias("their_url"),
+        F.col("time").alias("their_time"),
+        F.col("record_id").alias("response_id"),
+        _hash(F.col("headers")).alias("their_hash"),
+        F.col("headers").alias("old_"),
+    ).dropDuplicates(["their_url", "their_time", "response_id", "their_hash"])
+    same = (
+        (F.col("url_key") == F.col("their_url"))
+        & (F.col("found.time") == F.col("their_time"))
+        & (F.col("found.hash_") == F.col("their_hash"))
+        & F.col("found.record_id").eqNullSafe(F.col("response_id"))
+    )
+    answered = decided.join(full, same).select(
         "record_id",
         "url_key",
-        F.col("found.record_id").alias("response_id"),
-        _outcome().alias("outcome"),
-        "new_",
-    ).unionByName(
-        undated.select(
+        "response_id",
+        "outcome",
+        merged_headers(F.col("old_"), F.col("new_")).alias("headers"),
+    )
+    return answered.unionByName(
+        orphans.select(
             "record_id",
             "url_key",
-            F.lit(None).cast("long").alias("response_id"),
+            none.cast("long").alias("response_id"),
             F.lit("orphan").alias("outcome"),
-            "new_",
+            none.cast("map<string,string>").alias("headers"),
         )
     )
-    full = (
-        records.where("NOT revisit")
-        .select(F.col("record_id").alias("response_id"), F.col("headers").alias("old_"))
-        .dropDuplicates(["response_id"])
-    )
-    merged = F.when(F.col("outcome") != "orphan", merged_headers(F.col("old_"), F.col("new_")))
-    return decided.join(full, "response_id", "left").select(
-        "record_id", "url_key", "response_id", "outcome", merged.alias("headers")
-    )

@@ -29,6 +29,7 @@ def resolved(spark, records):
         ("https://h.net:443/A?b=2&a=1#x", "https://h.net/A?a=1&b=2"),
         ("https://h.net:80/?utm_source=f&&", "https://h.net:80/"),
         (" http://h.net/a?utm_x=1&k=v ", "http://h.net/a?k=v"),
+        ("HTTP://User:PassWord@Host.NET:80/x", "http://User:PassWord@host.net/x"),
         (None, None),
     ],
 )
@@ -85,6 +86,26 @@ def test_merged_headers(spark):
     assert found == {2: {**lowered, "cache-control": "b", "date": "d"}, 3: lowered, 4: None}
 
 
+def test_headers_are_those_of_the_response_that_was_found(spark):
+    """Ids that occur on several URLs, or several times on one, are told apart."""
+    records = [
+        record(1, "http://a.com/", 5, False, etag='"x"', headers={"etag": '"x"', "who": "a"}),
+        record(1, "http://b.com/", 5, False, etag='"y"', headers={"etag": '"y"', "who": "b"}),
+        record(2, "http://b.com/", 9, True, etag='"y"', headers={}),
+        record(3, "http://c.com/", 5, False, etag='"1"', headers={"who": "first"}),
+        record(3, "http://c.com/", 5, False, etag='"2"', headers={"who": "second"}),
+        record(4, "http://c.com/", 6, True, etag='"2"', headers=None),
+        record(None, "http://d.com/", 5, False, etag='"n"', headers={"who": "none"}),
+        record(5, "http://d.com/", 6, True, etag='"n"', headers=None),
+    ]
+    found = resolved(spark, records)
+    assert found == {
+        2: (1, "resolved", {"etag": '"y"', "who": "b"}),
+        4: (3, "resolved", {"who": "second"}),
+        5: (None, "resolved", {"who": "none"}),
+    }
+
+
 def test_odd_records(spark):
     records = [
         record(1, "http://a.net/", 5, False),
