@@ -380,6 +380,26 @@ union all select latest_action_request_urn, 2, 'REVOKE USAGE ON SCHEMA ' || {_SC
 from active_expired where snowflake_schema <> ''
 union all select latest_action_request_urn, case when snowflake_schema = '' then 1 else 3 end, {_DB_REVOKE}
 from active_expired""",
+    "q65s_shared_revokes": f"""
+select latest_action_request_urn as urn, stmt_no, statement from (
+  select *, row_number() over (
+    partition by snowflake_role, snowflake_database, snowflake_schema order by place) as stmt_no
+  from (
+    select e.*, 1 as place, 'REVOKE SELECT ON ALL TABLES IN SCHEMA ' || {_SCHEMA_NAME} as statement
+    from active_expired e where snowflake_schema <> ''
+    union all select *, 2, 'REVOKE SELECT ON FUTURE TABLES IN SCHEMA ' || {_SCHEMA_NAME}
+    from active_expired where snowflake_schema <> ''
+    union all select *, 3, 'REVOKE USAGE ON SCHEMA ' || {_SCHEMA_NAME}
+    from active_expired e where snowflake_schema <> '' and not exists (
+      select 1 from grants g where g.snowflake_role = e.snowflake_role
+        and g.snowflake_database = e.snowflake_database and g.snowflake_schema = ''
+        and revoked_at_ms is null and (expires_at_ms is null or expires_at_ms > 996624000000))
+    union all select *, 4, {_DB_REVOKE}
+    from active_expired e where not exists (
+      select 1 from grants g where g.snowflake_role = e.snowflake_role
+        and g.snowflake_database = e.snowflake_database
+        and revoked_at_ms is null and (expires_at_ms is null or expires_at_ms > 996624000000))))
+union all select latest_action_request_urn, 0, 'revoked' from active_expired""",
     "q66_role_grant": """
 select urn, 'GRANT ROLE ' || snowflake_role || ' TO ROLE ' || r.default_role as statement
 from forms f join default_roles r on r.username = f.username where f.snowflake_role <> ''""",

@@ -44,6 +44,7 @@ from grantline.streaming import live as live_stream
 
 S = fx.SETTINGS
 LATEST = replace(S, guard="latest")
+SHARED = replace(S, keep_shared_privileges=True)
 RUN = "run-1"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -419,7 +420,7 @@ def q49_state_after(spark: SparkSession, d: str) -> DataFrame:
     state = _state(spark, d)
     journal = state.journal.unionByName(_settled(spark, d, state).journal)
     due = expiry.expired(j.current_grants(journal), S)
-    done = expiry.results(due, fx.execute(expiry.plan(due, S)))
+    done = expiry.results(due, fx.execute(expiry.plan(due, S)), S)
     revoked = expiry.settle(done, S, RUN)
     return _grant_columns(j.current_grants(journal.unionByName(revoked.journal)))
 
@@ -472,6 +473,17 @@ def q65_revoke_plan(spark: SparkSession, d: str) -> DataFrame:
     return _statement_columns(expiry.plan(due, S))
 
 
+def q65s_shared_revokes(spark: SparkSession, d: str) -> DataFrame:
+    """Revokes that take nothing another active grant of the role needs."""
+    due = expiry.expired(_state(spark, d).grants, SHARED)
+    done = expiry.results(due, outcomes.all_ok(expiry.plan(due, SHARED)), SHARED)
+    planned = _statement_columns(expiry.plan(due, SHARED))
+    freed = expiry.settle(done, SHARED, RUN).journal
+    return planned.unionByName(
+        freed.select("urn", F.lit(0).alias("stmt_no"), F.lit("revoked").alias("statement"))
+    )
+
+
 def q65r_revoke_reported(spark: SparkSession, d: str) -> DataFrame:
     due = expiry.expired(_state(spark, d).grants, S)
     return _statement_columns(statements.revoke_report_rows(due, S))
@@ -535,7 +547,7 @@ def q71_failure_mail(spark: SparkSession, d: str) -> DataFrame:
 
 def q72_revocation_mail(spark: SparkSession, d: str) -> DataFrame:
     due = expiry.expired(_state(spark, d).grants, S)
-    done = expiry.results(due, fx.execute(expiry.plan(due, S)))
+    done = expiry.results(due, fx.execute(expiry.plan(due, S)), S)
     mails = expiry.settle(done, S, RUN).notifications
     return _notice_columns(mails, "database", "schema", "role", "request")
 
@@ -561,7 +573,7 @@ def q73_approval_pass(spark: SparkSession, d: str) -> DataFrame:
 
 def q74_expiry_pass(spark: SparkSession, d: str) -> DataFrame:
     due = expiry.expired(_state(spark, d).grants, S)
-    done = expiry.results(due, fx.execute(expiry.plan(due, S)))
+    done = expiry.results(due, fx.execute(expiry.plan(due, S)), S)
     return _journal_columns(expiry.settle(done, S, RUN).journal)
 
 

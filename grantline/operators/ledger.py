@@ -60,7 +60,7 @@ def grant_units(provisioned: DataFrame, settings: Settings, run_id: str) -> Data
 
 def revoke_units(due: DataFrame, settings: Settings, run_id: str) -> DataFrame:
     """Open units of grants whose revokes go out."""
-    sized = due.withColumn("size_", F.size(statements.revoke_plan()))
+    sized = due.withColumn("size_", F.size(statements.revoke_plan(settings)))
     rows = sized.select(
         F.col("latest_action_request_urn").alias("urn"),
         "snowflake_role",

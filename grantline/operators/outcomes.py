@@ -73,11 +73,14 @@ def with_outcomes(
     """Joins the roll-up to what was planned.
 
     A row with no outcome, or with fewer successes than statements, was cut short
-    and is tried again.
+    and is tried again. A row that needs no statement is done.
     """
     cut_short = F.col("outcome").isNull() | (
         (F.col("outcome") == GRANTED) & (F.col("succeeded") < expected)
     )
     return planned.join(roll_up(outcomes, by), list(by), "left").withColumn(
-        "outcome", F.when(cut_short, F.lit(TRANSIENT)).otherwise(F.col("outcome"))
+        "outcome",
+        F.when(expected == 0, F.lit(GRANTED))
+        .when(cut_short, F.lit(TRANSIENT))
+        .otherwise(F.col("outcome")),
     )

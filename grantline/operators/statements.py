@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from grantline.functions import statements as texts
+from grantline.operators.privileges import unshared
 from grantline.operators.sequence import schema_key
 from grantline.settings import Settings
 
@@ -47,8 +48,9 @@ def _revoke_parts() -> tuple[Column, Column, Column]:
     return F.col("snowflake_role"), F.col("snowflake_database"), F.col("snowflake_schema")
 
 
-def revoke_plan() -> Column:
-    return texts.revoke_statements(*_revoke_parts())
+def revoke_plan(settings: Settings) -> Column:
+    plan = texts.revoke_statements(*_revoke_parts())
+    return unshared(plan) if settings.keep_shared_privileges else plan
 
 
 def revoke_report() -> Column:
@@ -71,7 +73,7 @@ def grant_report_rows(provisioned: DataFrame, settings: Settings) -> DataFrame:
 def revoke_rows(expired: DataFrame, settings: Settings) -> DataFrame:
     """Numbered statements of grants to revoke."""
     named = expired.withColumnRenamed("latest_action_request_urn", "urn")
-    return _numbered(named, "revoke", "snowflake_role", revoke_plan(), settings.dry_run)
+    return _numbered(named, "revoke", "snowflake_role", revoke_plan(settings), settings.dry_run)
 
 
 def revoke_report_rows(expired: DataFrame, settings: Settings) -> DataFrame:

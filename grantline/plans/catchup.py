@@ -106,7 +106,7 @@ def expiries(
     )
     planned = store.write("statements", expiry.plan(due, settings), run_id, "expiry")
     outcome_rows = executed(planned, settings, execute)
-    done = store.write("results", expiry.results(due, outcome_rows), run_id, "expiry")
+    done = store.write("results", expiry.results(due, outcome_rows, settings), run_id, "expiry")
     return record_revokes(store, done, settings, run_id, "expiry")
 
 

@@ -80,6 +80,9 @@ class Settings:
       other on every pass.
 
     ``count_dry_runs`` makes the state rows of dry runs count like real ones.
+
+    ``keep_shared_privileges`` leaves a privilege in force that another active grant of the role
+    still needs; otherwise a revoke takes its own statements, whoever shares them.
     """
 
     as_of_ms: int
@@ -97,6 +100,7 @@ class Settings:
     dedup_denials: bool = True
     check_failures_live: bool = False
     check_identifiers: bool = False
+    keep_shared_privileges: bool = False
     catalog_name: str = "data catalog"
     target_name: str = "warehouse"
     hot_key_rows: int = 1_000_000

@@ -149,6 +149,12 @@ def expired_grants(grants: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
+def staying_grants(grants: DataFrame, settings: Settings) -> DataFrame:
+    """Active grants whose time is not over."""
+    over = F.col("expires_at") <= clock.as_of_exact(settings.as_of_ms)
+    return grants.filter(F.col("revoked_at").isNull() & ~F.coalesce(over, F.lit(False)))
+
+
 def sla_rows(notified: DataFrame, settings: Settings) -> DataFrame:
     """Records of SLA notifications."""
     return notified.select(

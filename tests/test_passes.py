@@ -327,3 +327,40 @@ def test_folded_generations_are_neither_listed_nor_kept(spark, settings, store):
 def test_run_ids_are_folder_names(spark, settings, store):
     with pytest.raises(ValueError, match="run id"):
         store.write("metrics", store.read("metrics"), "2024-01-01T00:30", "approval")
+
+
+def test_shared_privileges_stay(spark, settings, store):
+    """A revoke takes only what no other active grant of the role needs."""
+    old = AS_OF_MS - DAY
+    store.import_state(
+        grants(
+            spark,
+            ("A", "D1", "S", "alone", None, 0, old, None),
+            ("B", "D2", "S", "beside", None, 0, old, None),
+            ("B", "D2", "T", "stays", None, 0, None, None),
+            ("C", "D3", "S", "under", None, 0, old, None),
+            ("C", "D3", "", "wide", None, 0, AS_OF_MS + DAY, None),
+            ("D", "D4", "", "bare", None, 0, old, None),
+            ("D", "D4", "S", "holds", None, 0, None, None),
+            ("E", "D5", "S", "one", None, 0, old, None),
+            ("E", "D5", "T", "two", None, 0, old, None),
+            ("F", "D6", "S", "last", None, 0, old, None),
+            ("F", "D6", "T", "gone", None, 0, None, old),
+        ),
+        no_sla(spark),
+        no_errors(spark),
+    )
+    config = replace(settings, keep_shared_privileges=True)
+    state = run(store, flat(spark), config, "r1")
+    planned = store.read("statements").groupBy("urn").agg(
+        F.count("*").alias("n"), F.max("stmt_no").alias("last")
+    )
+    assert rows_of(planned, "urn", "n", "last") == [
+        ("alone", 4, 4), ("beside", 3, 3), ("last", 4, 4), ("one", 4, 4), ("two", 4, 4),
+        ("under", 2, 2),
+    ]
+    revoked = state.grants.where("revoked_at is not null")
+    # The one that shares everything needs no statement and is revoked, too.
+    assert [r[0] for r in rows_of(revoked, "latest_action_request_urn")] == [
+        "alone", "bare", "beside", "gone", "last", "one", "two", "under",
+    ]
