@@ -240,6 +240,8 @@ def test_envelopes(spark):
 
 def test_history_is_filtered_to_the_batch_before_anything_else(spark, settings, store):
     """Semi-joins with the batch cut the history."""
+    known = spark.createDataFrame([("someone",)], "urn string")
+    store.write("denials", known, "b0", "denial")
     batch = event_rows(spark, "approved")
     changed = live.changes(batch)
     decided = live.decide(changed, requests(spark), store.state(), props(spark), settings)
