@@ -216,20 +216,25 @@ def all_queries() -> dict[str, Query]:
 
 #: Reference SQL on the given tables, where SQL can express the query.
 _TOKENS = """
-    list_sort(list_filter([
+    list_sort(list_distinct(list_filter(list_concat([
       'scheme:' || split_part(url, '://', 1),
-      'domain:' || array_to_string(list_slice(string_split(host, '.'), -2, -1), '.'),
-      CASE WHEN len(string_split(host, '.')) > 2 THEN 'sub:' || split_part(host, '.', 1) END,
-      CASE WHEN NOT regexp_matches(seg[1], '^[0-9]') THEN 'first:' || seg[1] END,
       'depth:' || least(len(seg), 5),
       CASE WHEN regexp_matches(path, '[0-9]') THEN 'number' END,
       'ending:' || nullif(regexp_extract(path, '\\.(\\w+)$', 1), ''),
-      'key:' || nullif(regexp_extract(url, '\\?(\\w+)=', 1), ''),
-      CASE WHEN contains(url, '#') THEN 'fragment' END
-    ], lambda t: t IS NOT NULL))"""
+      CASE WHEN contains(url, '#') THEN 'fragment' END],
+      list_transform(part, lambda s: 'label:' || s),
+      CASE WHEN length(host) <= 253 THEN list_transform(range(1, len(part)),
+        lambda i: 'domain:' || array_to_string(list_slice(part, i, len(part)), '.')) END,
+      list_transform(list_filter(seg, lambda s: regexp_matches(s, '[^0-9]')),
+        lambda s: 'segment:' || s),
+      list_transform(list_filter(list_transform(
+          string_split(regexp_extract(url, '^[\\s\\S]*?://[^?#]*\\?([^#]*)', 1), '&'),
+          lambda k: split_part(k, '=', 1)),
+        lambda k: k <> ''), lambda k: 'key:' || k)
+    ), lambda t: t IS NOT NULL)))"""
 _SUBSETS = """
-    list_transform(range(1, CAST(1 << len(tokens) AS BIGINT)),
-      lambda m: list_filter(tokens, lambda t, i: (m >> (i - 1)) & 1 = 1))"""
+    list_transform(range(1, CAST(1 << len(common) AS BIGINT)),
+      lambda m: list_filter(common, lambda t, i: (m >> (i - 1)) & 1 = 1))"""
 
 ORACLES = {
     "op2_warc_revisits": """
@@ -286,25 +291,38 @@ ORACLES = {
             coalesce(regexp_extract(url, '^[\\s\\S]*?://[^/?#]*([^?#]*)', 1), '') AS path
           FROM pages
         ), t AS (
-          SELECT *, list_filter(string_split(path, '/'), lambda x: x <> '') AS seg FROM s
+          SELECT *, list_filter(string_split(path, '/'), lambda x: x <> '') AS seg,
+            list_filter(string_split(host, '.'), lambda x: x <> '') AS part FROM s
         ), u AS (
           SELECT *, CASE WHEN host <> '' THEN {_TOKENS} END AS tokens FROM t
         ), l AS (
           SELECT doc_id, max(quality = 0 OR coalesce(toxic = 1, false)) AS bad FROM labels
           WHERE quality IS NOT NULL GROUP BY doc_id
         ), b AS (
-          SELECT tokens, bad FROM u JOIN l ON doc_id =
+          SELECT page_id, tokens, bad FROM u JOIN l ON doc_id =
             try_cast(regexp_extract(path, '/([0-9]{{1,18}})(?:/|\\.\\w+)?$', 1) AS BIGINT)
           WHERE tokens IS NOT NULL
-        ), c AS (
-          SELECT unnest({_SUBSETS}) AS part, bad FROM b
+        ), m AS (
+          SELECT greatest(1, ceil(count(*) * {url_rules.SUPPORT})) AS needed FROM b
+        ), g AS (
+          SELECT list(token) AS known FROM (
+            SELECT token FROM (SELECT unnest(tokens) AS token, bad FROM b) GROUP BY token
+            HAVING count(*) FILTER (bad) >= (SELECT needed FROM m))
+        ), h AS (
+          SELECT tokens, list_sort(list_intersect(tokens, known)) AS common
+          FROM (SELECT DISTINCT tokens FROM u), g
+        ), n AS (
+          SELECT common, bad, count(*) AS n FROM b JOIN h USING (tokens) GROUP BY common, bad
         ), r AS (
-          SELECT part FROM c GROUP BY part
-          HAVING count(*) FILTER (bad) >= ceil((SELECT count(*) FROM b) * {url_rules.SUPPORT})
-            AND count(*) FILTER (bad) >= {url_rules.CONFIDENCE} * count(*)
-        ), x AS (
-          SELECT DISTINCT page_id FROM (SELECT page_id, unnest({_SUBSETS}) AS part FROM u)
+          SELECT part FROM (SELECT unnest({_SUBSETS}) AS part, bad, n FROM n) GROUP BY part
+          HAVING coalesce(sum(n) FILTER (bad), 0) >= (SELECT needed FROM m)
+            AND coalesce(sum(n) FILTER (bad), 0) >= {url_rules.CONFIDENCE} * sum(n)
+        ), o AS (
+          SELECT DISTINCT common FROM (
+            SELECT common, unnest({_SUBSETS}) AS part FROM (SELECT DISTINCT common FROM h))
           JOIN r USING (part)
+        ), x AS (
+          SELECT page_id FROM u JOIN h USING (tokens) JOIN o USING (common)
         ), f AS (
           SELECT u.*, CASE
             WHEN (host = 'example.org' OR ends_with(host, '.example.org'))

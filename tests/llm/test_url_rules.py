@@ -1,5 +1,5 @@
 import re
-from itertools import combinations
+from itertools import combinations, product
 
 import pytest
 
@@ -54,7 +54,7 @@ def pages(spark, urls=URLS):
 
 
 def no_rules(spark):
-    return spark.createDataFrame([], "tokens array<string>, confidence double")
+    return spark.createDataFrame([], "tokens array<array<string>>, confidence double")
 
 
 def test_hosts_paths_and_listed_rules(spark):
@@ -79,7 +79,11 @@ def labelled(spark):
 
 def test_mined_rules_match_all_token_combinations(spark):
     urls, frame = labelled(spark)
-    rules = {tuple(r.tokens): r.confidence for r in ur.mine(frame).collect()}
+    rules = {
+        tuple(sorted(part)): r.confidence
+        for r in ur.mine(frame).collect()
+        for part in product(*r.tokens)
+    }
     tokens = {r.url: r.tokens_ for r in ur.parsed(frame).collect()}
     total, bad = {}, {}
     for url, is_bad in urls:
@@ -105,9 +109,74 @@ def test_mined_rules_match_all_token_combinations(spark):
         assert r.verdict == ("block" if hit else "allow")
 
 
-def test_one_token_of_a_kind_whatever_the_url(spark):
-    for r in ur.parsed(pages(spark)).collect():
-        assert r.tokens_ is None or len(r.tokens_) <= 9
+def tokens(url):
+    """The distinct tokens of a URL, by plain loops."""
+    host, path = split(url)
+    if not host:
+        return None
+    labels = [x for x in host.split(".") if x]
+    found = {"scheme:" + url.split("://", 1)[0]} | {f"label:{x}" for x in labels}
+    if len(host) <= ur.LONGEST_HOST:
+        found |= {"domain:" + ".".join(labels[i:]) for i in range(len(labels) - 1)}
+    segments = [x for x in path.split("/") if x]
+    found |= {f"segment:{x}" for x in segments if re.search("[^0-9]", x)}
+    found.add(f"depth:{min(len(segments), 5)}")
+    rest = url.split("://", 1)[1].split("#", 1)[0]
+    if "?" in rest:
+        keys = [part.split("=", 1)[0] for part in rest.split("?", 1)[1].split("&")]
+        found |= {f"key:{k}" for k in keys if k}
+    ending = re.search(r"\.(\w+)$", path, re.ASCII)
+    found |= {f"ending:{ending.group(1)}"} if ending else set()
+    found |= {"number"} if re.search("[0-9]", path) else set()
+    return sorted(found | ({"fragment"} if "#" in url else set()))
+
+
+MANY = [
+    "https://www.spam-farm.example.com/en/casino/123?a=1&b=2&&=x&c#f?z=1",
+    "https://m.casino-win.example.com/12/a1//a1/",
+    "https://localhost/",
+    "https://..a..b./",
+    "https://" + "x." * 20_000 + "com/p?" + "k=1&" * 20_000,
+    "https://h.net/" + "".join(f"s{i}/" for i in range(20_000)),
+]
+
+
+def test_tokens_of_every_part(spark):
+    for r in ur.parsed(pages(spark, URLS + MANY)).collect():
+        assert r.tokens_ == (None if r.url is None else tokens(r.url)), r.url
+    first = tokens(MANY[0])
+    assert {"label:spam-farm", "domain:spam-farm.example.com", "segment:casino", "key:b"} <= set(first)
+
+
+def test_middle_labels_are_mined(spark):
+    """Only a middle label, a late segment or a late key tells the bad URLs apart."""
+    rows = []
+    for i in range(300):
+        label = "casino" if i % 10 == 0 else f"site{i % 7}"
+        segment = "win" if i % 10 == 3 else f"part{i % 5}"
+        key = "spam" if i % 10 == 6 else f"k{i % 6}"
+        url = f"https://www.{label}.co{i % 3}.net/en/{segment}/{i}?page=1&{key}=2"
+        rows.append((url, i % 10 in (0, 3, 6)))
+    rules = ur.mine(spark.createDataFrame(rows, "url string, bad boolean"))
+    named = [{t for c in r.tokens for t in c} for r in rules.collect()]
+    for token in ("label:casino", "segment:win", "key:spam"):
+        assert any(token in tokens for tokens in named)
+    unseen = [
+        ("https://a.casino.org.net/x", "block"),
+        ("https://b.net/q/win/q", "block"),
+        ("https://c.net/?z=1&spam=5", "block"),
+        ("https://d.net/casinos/?q=win", "allow"),
+    ]
+    found = ur.judge(pages(spark, [u for u, _ in unseen]), rules).collect()
+    assert sorted((r.url, r.verdict) for r in found) == sorted(unseen)
+
+
+def test_copies_of_a_long_url_are_mined(spark):
+    """Forty tokens that always come together are one class, not two to the fortieth sets."""
+    long_url = "https://a.b.c.net/" + "".join(f"s{i}/" for i in range(40))
+    rows = [(long_url, True)] * 200 + [(f"https://h{i}.org/", False) for i in range(400)]
+    rules = ur.mine(spark.createDataFrame(rows, "url string, bad boolean")).collect()
+    assert any("segment:s39" in c and "label:a" in c for r in rules for c in r.tokens)
 
 
 def test_labels_of_pages(spark):
