@@ -460,6 +460,23 @@ select problem, event_id, entity_urn from (
 where problem is not null or is_routed""",
     "q77_stream_live": _LIVE_ACTIONS,
     "q79_stream_redelivery": _LIVE_ACTIONS,
+    "q81_event_fates": """
+select concat('run-', run) as run_id, count(*) as received,
+  count(*) filter (fate = 'fresh') as fresh, count(*) filter (fate = 'redelivered') as redelivered,
+  count(*) filter (fate = 'late') as late, 0::bigint as untracked, 0::bigint as lost
+from (
+  select run, case
+    when us < max(us) over (order by run range between unbounded preceding and 1 preceding)
+              // 1000 * 1000 - 48 * 3600000000
+      and us < 1706500000000000 - 48 * 3600000000 then 'late'
+    when row_number() over (partition by event_id, us order by run) > 1 then 'redelivered'
+    else 'fresh' end as fate
+  from (
+    select 0 as run, event_id, epoch_us(event_ts) as us from routed where event_id % 4 <> 0
+    union all select 1, event_id, epoch_us(event_ts) from routed
+    union all select 1, event_id, epoch_us(event_ts) from routed where event_id % 3 = 0
+    union all select 2, event_id, epoch_us(event_ts) from routed))
+group by run""",
     "q65p_residual_privileges": """
 select snowflake_role, snowflake_database, snowflake_schema,
   unnest(case when snowflake_schema = '' then [

@@ -41,6 +41,8 @@ from grantline.sources.events import stream_events
 from grantline.state import journal as j
 from grantline.state.store import State, StateStore
 from grantline.streaming import live as live_stream
+from grantline.streaming import redelivery
+from grantline.streaming.redelivery import Deliveries, Memory
 
 S = fx.SETTINGS
 LATEST = replace(S, guard="latest")
@@ -687,6 +689,21 @@ def q79_stream_redelivery(spark: SparkSession, d: str) -> DataFrame:
     return _stream(spark, d, 2)
 
 
+def q81_event_fates(spark: SparkSession, d: str) -> DataFrame:
+    """What becomes of all events over three runs with a memory of two days: most events first, all of
+    them with every third a second time, and all of them again. The second run is repeated under
+    its id; the clock stands within the range of the events."""
+    settings = replace(S, as_of_ms=1_706_500_000_000)
+    found = events.routed_events(fx.change_events(spark, d))
+    third = found.filter("event_id % 3 = 0")
+    runs = [found.filter("event_id % 4 <> 0"), found.unionByName(third), found]
+    deliveries = Deliveries(state_store(spark, d, "fates"), Memory(keep_hours=48))
+    for number in (0, 1, 1, 2):
+        deliveries.receive(runs[number], f"run-{number}", settings)
+    rows = deliveries.store.spark.read.parquet(deliveries.store.path("delivery_counts"))
+    return rows.select("run_id", *redelivery.COUNTS)
+
+
 def q65p_residual_privileges(spark: SparkSession, d: str) -> DataFrame:
     revoked = _state(spark, d).grants.filter("revoked_at is not null")
     return privileges.residual_privileges(revoked, S)

@@ -14,6 +14,7 @@ from grantline.plans import catchup, intake, live
 from grantline.settings import Settings
 from grantline.sources.events import good_events, rejected_envelopes
 from grantline.state.store import State, StateStore
+from grantline.streaming.redelivery import Deliveries, Memory
 
 
 def batch_run_id(prefix: str, batch_id: int) -> str:
@@ -28,11 +29,14 @@ def handle_batch(
     settings: Settings,
     run_id: str,
     execute: Callable[[DataFrame], DataFrame],
+    memory: Memory | None = None,
 ) -> None:
     """One micro-batch under one run id: a repeated batch replaces what it wrote.
 
-    A batch of parsed envelopes (with a column ``problem``) has its rejects quarantined. ``find`` gives the requests of the changed URNs as they are now, for example by
-    :func:`grantline.sources.requests.bucket_lookup`.
+    A batch of parsed envelopes (with a column ``problem``) has its rejects quarantined. ``find`` gives
+    the requests of the changed URNs as they are now, for example by
+    :func:`grantline.sources.requests.bucket_lookup`. With a ``memory``, events that an earlier run
+    handled are left out and late ones quarantined.
     """
     # Written first: the micro-batch is computed once, whatever is done with it.
     events = batch
@@ -41,6 +45,8 @@ def handle_batch(
         intake.quarantine_rejected(
             store, rejected_envelopes(batch), run_id, "envelopes", settings.dry_run
         )
+    if memory:
+        events = Deliveries(store, memory).receive(routed_events(events), run_id, settings)
     changed = store.write("changes", live.changes(events), run_id, "live")
     state = _state_of(store, changed, settings, run_id)
     decided = store.write(
@@ -84,12 +90,14 @@ def start(
     checkpoint: str,
     prefix: str,
     execute: Callable[[DataFrame], DataFrame],
+    memory: Memory | None = None,
 ) -> StreamingQuery:
     """Handle everything that has arrived, then stop: one scheduled invocation.
 
     ``stream`` has events, or envelopes as :func:`grantline.sources.events.from_envelopes` parses
     them. Redelivered and late events do no harm and none is dropped: the state guards
-    against them in every batch.
+    against them in every batch. With a ``memory`` they are told apart and counted, see
+    :mod:`grantline.streaming.redelivery`.
     ``prefix`` names the runs of this stream: one for each checkpoint folder.
     ``settings`` may be a function, so that each batch gets the clock of its start.
     """
@@ -105,6 +113,7 @@ def start(
             now,
             batch_run_id(prefix, batch_id),
             execute,
+            memory,
         )
 
     wanted = stream if "problem" in stream.columns else routed_events(stream)
