@@ -172,10 +172,12 @@ def mine(
 
     ``tokens`` lists classes of tokens; a URL matches if it holds one of each class.
     """
-    known = (
+    # Written first: pages and labels are read and joined once.
+    known = written(
         parsed(labelled.where("bad IS NOT NULL"), url_col)
         .where("tokens_ IS NOT NULL")
-        .select("tokens_", "bad")
+        .select("tokens_", "bad"),
+        "url-labelled",
     )
     grouped = written(classes(known, support), "url-classes")
     firsts = [r[0] for r in grouped.select(F.get("members", F.lit(0))).collect()]
