@@ -494,5 +494,7 @@ def all_oracles() -> dict[str, str]:
     after = f"{head},\n{_STATE_AFTER.strip()}\n{_AFTER_EXPIRY.strip()}"
     found["q49_state_after"] = after
     found["q76_full_pass"] = after
+    found["q76_compacted_pass"] = after
+    found["q30_due_calendar"] = found["q30_expired"]
     found["q33_switches"] = f"{head},\n{_STATE_AFTER.strip()}\n{_SWITCHES.strip()}"
     return dict(sorted(found.items()))

@@ -292,6 +292,15 @@ def q30_expired(spark: SparkSession, d: str) -> DataFrame:
     return _grant_columns(expiry.expired(_state(spark, d).grants, S)).drop("revoked_ms")
 
 
+def q30_due_calendar(spark: SparkSession, d: str) -> DataFrame:
+    """The same from the hours of a snapshot's calendar that are over, and nothing else of it."""
+    store = state_store(spark, d, "calendar")
+    store.compact()
+    store.drop_folded()
+    ended = expiry.expired(j.current_grants(store.due_rows(S, RUN)), S)
+    return _grant_columns(ended).drop("revoked_ms")
+
+
 def q34_not_provisioned(spark: SparkSession, d: str) -> DataFrame:
     return guards.not_provisioned(_approved(spark, d), _state(spark, d).grants).select(
         "seq", "urn"
@@ -610,6 +619,18 @@ def q76_full_pass(spark: SparkSession, d: str) -> DataFrame:
     return _grant_columns(state.grants)
 
 
+def q76_compacted_pass(spark: SparkSession, d: str) -> DataFrame:
+    """The same with the journal folded before each run."""
+    store = state_store(spark, d, "compacted")
+    for run_id in ("run-1", "run-2"):
+        store.compact()
+        store.drop_folded()
+        state = catchup.run(
+            store, fx.flat_requests(spark, d), _properties(spark, d), S, run_id, fx.execute
+        )
+    return _grant_columns(state.grants)
+
+
 def q33_switches(spark: SparkSession, d: str) -> DataFrame:
     """What a written run leaves under each switch; a dry run must not execute anything."""
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from grantline.functions import clock
-from grantline.settings import ESCALATION, WARNING, Settings
+from grantline.settings import ESCALATION, HOUR_MS, WARNING, Settings
 
 
 def classify(pending: DataFrame, settings: Settings) -> DataFrame:
@@ -29,4 +31,9 @@ def classify(pending: DataFrame, settings: Settings) -> DataFrame:
 
 
 def breaches(pending: DataFrame, settings: Settings) -> DataFrame:
-    return classify(pending, settings).filter(F.col("sla_class").isNotNull())
+    """Requests past a bound. The scan reads those created early enough only."""
+    shortest = min(settings.warning_after_hours, settings.escalation_after_hours)
+    # A millisecond more than needed: the class itself decides on fractions of hours.
+    latest = math.floor(settings.as_of_ms - shortest * HOUR_MS) + 1
+    old = pending.filter(F.col("created_ms") <= latest)
+    return classify(old, settings).filter(F.col("sla_class").isNotNull())

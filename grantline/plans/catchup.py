@@ -8,6 +8,7 @@ its id after an interruption at any point.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -93,6 +94,18 @@ def with_run(rows: DataFrame, run_id: str) -> DataFrame:
     return rows.withColumn("run_id", F.lit(run_id))
 
 
+def may_end(
+    store: StateStore, state: State, settings: Settings, run_id: str, *fresh: DataFrame
+) -> DataFrame:
+    """Journal rows that an expiry step needs, with those that this run has added.
+
+    The calendar's, unless what stays in force has a say in what is revoked.
+    """
+    if settings.keep_shared_privileges:
+        return reduce(DataFrame.unionByName, fresh, state.journal)
+    return store.due_rows(settings, run_id, *fresh)
+
+
 def expiries(
     store: StateStore,
     journal: DataFrame,
@@ -100,7 +113,7 @@ def expiries(
     run_id: str,
     execute: Execute,
 ) -> DataFrame:
-    """Expiry step on a journal that holds this run's approvals already."""
+    """Expiry step on journal rows that hold this run's approvals already."""
     due = store.write(
         "expired", expiry.expired(j.current_grants(journal), settings), run_id, "expiry"
     )
@@ -149,6 +162,6 @@ def run(
     store.ensure().fold(run_id)
     state = store.state(run_id, settings.count_dry_runs)
     granted = approvals(store, state, flat, user_properties, settings, run_id, execute)
-    expiries(store, state.journal.unionByName(granted), settings, run_id, execute)
+    expiries(store, may_end(store, state, settings, run_id, granted), settings, run_id, execute)
     sla_notices(store, state, flat, settings, run_id)
     return store.state(None, settings.count_dry_runs)

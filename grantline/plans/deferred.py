@@ -28,8 +28,9 @@ def settle_arrived(
     settings: Settings,
     run_id: str,
     wait_hours: int | None = None,
-) -> tuple[DataFrame, State]:
-    """Record what the outcomes decide; what stays open, and the state after it."""
+) -> tuple[DataFrame, State, list[DataFrame]]:
+    """Record what the outcomes decide; what stays open, the state after it, and the journal rows
+    it added."""
     open_ = store.open_units.read(run_id)
     judged = store.write(
         "judged", ledger.progress(open_, arrived, settings, wait_hours), run_id, "ledger"
@@ -50,7 +51,7 @@ def settle_arrived(
             approval.settle(done, settings, run_id).errors
         ),
     )
-    return judged.where(F.col("outcome").isNull()).drop("outcome"), after
+    return judged.where(F.col("outcome").isNull()).drop("outcome"), after, [granted, revoked]
 
 
 def run(
@@ -71,7 +72,7 @@ def run(
         raise ValueError("a dry run sends nothing out; use plans.catchup.run")
     store.ensure().fold(run_id)
     before = store.state(run_id, settings.count_dry_runs)
-    open_, state = settle_arrived(store, before, arrived, settings, run_id, wait_hours)
+    open_, state, added = settle_arrived(store, before, arrived, settings, run_id, wait_hours)
     decided = store.write(
         "decisions",
         ledger.hold_requests(approval.decide(flat, state, user_properties, settings), open_),
@@ -83,7 +84,8 @@ def run(
     store.write("statements", approval.plan(decided, settings), run_id, "approval")
     asked = ledger.grant_units(approval.to_provision(decided), settings, run_id)
     busy = open_.unionByName(asked)
-    expired = expiry.expired(j.current_grants(state.journal), settings)
+    ends = catchup.may_end(store, before, settings, run_id, *added)
+    expired = expiry.expired(j.current_grants(ends), settings)
     due = store.write("expired", ledger.hold_grants(expired, busy), run_id, "expiry")
     store.write("statements", expiry.plan(due, settings), run_id, "expiry")
     store.open_units.write(

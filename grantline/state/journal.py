@@ -11,14 +11,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from grantline import schemas
 from grantline.functions import clock
 from grantline.functions.identity import non_empty
 from grantline.operators.sequence import KEY, schema_key
-from grantline.settings import Settings
+from grantline.settings import HOUR_MS, Settings
 
 GRANT = "grant"
 REVOKE = "revoke"
@@ -138,6 +138,24 @@ def current_grants(journal: DataFrame) -> DataFrame:
     )
 
 
+def calendar(folded: DataFrame) -> DataFrame:
+    """Active grants with an end of a snapshot, which has one row per key and ``dry_run``.
+
+    ``due_hour`` is the hour of the end. ``last`` tells whether the row is the latest of its key
+    when dry runs count as well.
+    """
+    run = F.coalesce("planned_run", "run_id")
+    newest_first = [F.desc("at"), run.desc(), F.desc("phase"), F.desc("seq")]
+    # Two rows a key at most, so no partition of the window is large.
+    place = F.row_number().over(Window.partitionBy(*KEY).orderBy(*newest_first))
+    hour = F.floor(F.unix_millis("expires_at") / HOUR_MS)
+    return (
+        folded.withColumn("last", place == 1)
+        .where("revoked_at IS NULL AND expires_at IS NOT NULL")
+        .withColumn("due_hour", hour)
+    )
+
+
 def expired_grants(grants: DataFrame, settings: Settings) -> DataFrame:
     """Active grants whose time is over; "all schemas" is null again."""
     return (

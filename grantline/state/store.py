@@ -13,21 +13,36 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from grantline import schemas
-from grantline.settings import Settings
+from grantline.operators.sequence import KEY
+from grantline.settings import HOUR_MS, Settings
 from grantline.state import journal as j
 from grantline.state.tiers import KEYS_A_BLOCK, Carried, KeySet, maybe_in, sketch
 
 _URNS = T.StructType(
     [T.StructField("urn", T.StringType()), T.StructField("dry_run", T.BooleanType())]
 )
+#: ``newest_ms`` is the latest clock in a snapshot; null where it was written without a calendar.
 _SNAPSHOTS = T.StructType(
-    [T.StructField("gen", T.IntegerType()), T.StructField("blocks", T.LongType())]
+    [
+        T.StructField("gen", T.IntegerType()),
+        T.StructField("blocks", T.LongType()),
+        T.StructField("newest_ms", T.LongType()),
+    ]
+)
+#: Active grants with an end, by the hour of it; ``last`` if dry runs changed nothing since.
+_CALENDAR = T.StructType(
+    [
+        *schemas.JOURNAL.fields,
+        T.StructField("last", T.BooleanType()),
+        T.StructField("due_hour", T.LongType()),
+    ]
 )
 _DRY_RUN = T.StructField("dry_run", T.BooleanType())
 #: What every file system takes as a folder name.
@@ -75,7 +90,8 @@ class StateStore:
 
     The journal has a further level ``gen=N``: compaction folds generation N into a
     snapshot and later runs write to N + 1, so a reader takes one snapshot and the
-    journal folders of one generation, however long the history is.
+    journal folders of one generation, however long the history is. A snapshot has a calendar:
+    its active grants in folders by the hour they end, so that an expiry pass opens what is over.
     """
 
     def __init__(self, spark: SparkSession, root: str) -> None:
@@ -189,6 +205,33 @@ class StateStore:
             provisioning_errors=self.earlier("provisioning_errors", run_id, include_dry),
         )
 
+    def due_rows(self, settings: Settings, run_id: str | None, *fresh: DataFrame) -> DataFrame:
+        """Journal rows that tell which grants are over at the clock: the hours of the calendar up
+        to it, and what changed since the snapshot. ``fresh`` are journal rows of this run.
+
+        A change recorded after the snapshot may have been planned before it; for the keys of
+        such changes the snapshot is read as well.
+        """
+        include_dry = settings.count_dry_runs
+        row = self.read("snapshots").agg(F.max_by(F.struct("gen", "newest_ms"), "gen").alias("s")).first()
+        gen, newest = (row["s"]["gen"], row["s"]["newest_ms"]) if row["s"] else (0, None)
+        earlier = j.in_force(self._journal(run_id, gen), include_dry)
+        since = reduce(DataFrame.unionByName, fresh, earlier)
+        if not gen:
+            return since
+        folded = j.in_force(self._snapshot("snapshot_rows", gen, schemas.JOURNAL), include_dry)
+        if newest is None:
+            return folded.unionByName(since)
+        calendar = self._snapshot("calendar", gen, _CALENDAR)
+        over = calendar.where(F.col("due_hour") <= settings.as_of_ms // HOUR_MS)
+        over = over.where("last") if include_dry else j.in_force(over)
+        rows = over.select(*schemas.JOURNAL.names).unionByName(since)
+        behind = since.where(F.unix_millis("at") <= newest).select(*KEY).distinct()
+        if behind.isEmpty():
+            return rows
+        same = reduce(Column.__and__, [folded[c].eqNullSafe(behind[c]) for c in KEY])
+        return rows.unionByName(folded.join(behind, same, "left_semi"))
+
     def earlier(self, table: str, run_id: str | None, include_dry: bool = False) -> DataFrame:
         """Rows of a keyed table that other runs wrote."""
         return _counted(self._key_set(table).read(run_id), include_dry)
@@ -230,6 +273,11 @@ class StateStore:
         j.latest_rows(journal, ["dry_run"]).write.mode("overwrite").parquet(
             f"{self.path('snapshot_rows')}/gen={gen + 1}"
         )
+        rows = self._snapshot("snapshot_rows", gen + 1, schemas.JOURNAL)
+        newest = rows.agg(F.max(F.unix_millis("at")).alias("newest")).first()["newest"]
+        j.calendar(rows).repartitionByRange("due_hour", F.xxhash64(*KEY)).write.mode(
+            "overwrite"
+        ).partitionBy("due_hour").parquet(f"{self.path('calendar')}/gen={gen + 1}")
         urns.distinct().write.mode("overwrite").parquet(
             f"{self.path('snapshot_urns')}/gen={gen + 1}"
         )
@@ -244,11 +292,13 @@ class StateStore:
         )
         self._generation = None
         marker = self.spark.range(1).select(
-            F.lit(gen + 1).alias("gen"), F.lit(blocks).cast("long").alias("blocks")
+            F.lit(gen + 1).alias("gen"),
+            F.lit(blocks).cast("long").alias("blocks"),
+            # An empty snapshot has no clock; any will do, as nothing of it can be newer.
+            F.lit(newest or 0).cast("long").alias("newest_ms"),
         )
         self.write("snapshots", marker, f"snapshot-{gen + 1:06d}", "compact")
 
-
     def drop_folded(self) -> None:
         """Remove journal folders and snapshots of generations before the current one.
 
@@ -257,7 +307,7 @@ class StateStore:
         current = self.generation()
         hadoop = self.spark._jvm.org.apache.hadoop.fs.Path
         configuration = self.spark._jsc.hadoopConfiguration()
-        for table in ("journal", "snapshot_rows", "snapshot_urns", "snapshot_sketch"):
+        for table in ("journal", "snapshot_rows", "snapshot_urns", "snapshot_sketch", "calendar"):
             folder = hadoop(self.path(table))
             files = folder.getFileSystem(configuration)
             for entry in files.listStatus(folder) if files.exists(folder) else ():
