@@ -4,12 +4,16 @@ Method: two bigram models, the target model from the documents labelled good, th
 model from all documents, of the same order and smoothing. The score of a document is its
 loss per token under the target model less that under the background model; the lower, the
 more it reads like the target. Every word (A to Z lower-cased) is one of its own, however
-rare: nothing is capped or put into classes. ``lm_difference`` is the variant of fixed size.
+rare: nothing is capped or put into classes.
 
 A word's base probability is its share of all tokens. A model mixes it into its unigrams with
-the weight ``PRIOR``, and the unigrams into its bigrams with the same weight.
+the weight ``PRIOR``, and the unigrams into its bigrams with the same weight. No document is
+scored by what it added itself: its own counts are taken out of the background and, if it is
+labelled good, out of the target. They stay in the base distribution, so that no word is
+impossible.
 
-How it runs. Documents are dealt into blocks by a hash of id and text; the ids labelled good
+How it runs. Documents are dealt into blocks by a hash of id and text; equal rows of a batch
+go as one with their number, so that a much repeated row is a few in its block. The ids labelled good
 are looked up by a join of ids and blocks alone and go to the blocks as marks, so texts are
 shuffled once. A block sums its words,
 contexts and bigrams and sends each distinct one once to a bucket, a range of 64-bit hashes;
@@ -19,12 +23,14 @@ table is broadcast or collected, and the number of buckets follows the data. Wor
 meet if their 64-bit hashes agree.
 
 Defined results: null or empty texts have no tokens, losses of 0 and a score of 0. Rows that
-repeat are counted and scored each. A null id is never trusted. Without a target the target
-model is the base distribution. Only the id and text columns are read.
+repeat are counted and scored each; a row's own counts are those of one copy. A null id is
+never trusted. Without a target the target model is the base distribution. Only the id and text columns are read.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -34,8 +40,9 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from grantline.llm import blocks, words
-from grantline.llm.lm_difference import PRIOR
 
+#: Weight of the coarser distribution in the finer one.
+PRIOR = 20.0
 #: Text of one block; a block and its counts are held by one task.
 BLOCK_BYTES = 8 << 20
 #: Stands for what is before the first word of a document.
@@ -52,11 +59,30 @@ _ANSWERED = (
 )
 
 
-def _counted(keys: np.ndarray, masks: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys, the entry of each key, and a row of counts for each mask."""
+def _counted(keys: np.ndarray, weights: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys, the entry of each key, and a row of summed weights for each of ``weights``."""
     distinct, entry = np.unique(keys, return_inverse=True)
-    counts = [np.bincount(entry[mask], minlength=len(distinct)) for mask in masks]
-    return distinct, entry, np.array(counts, np.int64).reshape(len(masks), len(distinct))
+    counts = np.zeros((len(weights), len(distinct)), np.int64)
+    for row, weight in zip(counts, weights):
+        np.add.at(row, entry, weight)
+    return distinct, entry, counts
+
+
+def _own(owners: np.ndarray, entry: np.ndarray) -> np.ndarray:
+    """For each place: how often its entry occurs in its document."""
+    if not len(entry):
+        return entry
+    _, place, counts = np.unique(
+        owners * (int(entry.max()) + 1) + entry, return_inverse=True, return_counts=True
+    )
+    return counts[place]
+
+
+def _collapse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Equal rows of a batch as one, with their number."""
+    for batch in batches:
+        rows = pa.Table.from_batches([batch]).group_by(batch.schema.names).aggregate([([], "count_all")])
+        yield from rows.rename_columns([*batch.schema.names, "copies"]).to_batches()
 
 
 class _Block:
@@ -69,18 +95,24 @@ class _Block:
         scan = words.scan(table["text"], lower=True)
         self.sizes, self.owners = scan.counts, scan.owners()
         current = words.word_hashes(scan)
-        self.tokens = n = len(current)
+        n = len(current)
         previous = np.empty_like(current)
         previous[1:] = current[:-1]
         previous[scan.first[:-1][self.sizes > 0]] = _BEGIN
-        trusted = pc.is_in(self.ids, value_set=marked).to_numpy().astype(bool)[self.owners]
-        self.trusted_tokens = int(trusted.sum())
-        first, second = np.arange(n), np.arange(n) + n
-        masks = [first, first[trusted], second, second[trusted]]
-        self.words, entry, self.word_counts = _counted(np.concatenate([current, previous]), masks)
+        self.copies = table["copies"].to_numpy().astype(np.int64)
+        times = self.copies[self.owners]
+        self.trusted = pc.is_in(self.ids, value_set=marked).to_numpy().astype(bool)[self.owners]
+        trusted, none = times * self.trusted, np.zeros(n, np.int64)
+        self.tokens, self.trusted_tokens = int(times.sum()), int(trusted.sum())
+        of_words, of_contexts = [times, trusted], [none, none]
+        weights = [
+            *(np.concatenate([a, b]) for a, b in zip(of_words, of_contexts)),
+            *(np.concatenate([a, b]) for a, b in zip(of_contexts, of_words)),
+        ]
+        self.words, entry, self.word_counts = _counted(np.concatenate([current, previous]), weights)
         self.word, self.context = entry[:n], entry[n:]
         pairs = words.pair_hashes(previous, current)
-        self.pairs, self.pair, self.pair_counts = _counted(pairs, [first, first[trusted]])
+        self.pairs, self.pair, self.pair_counts = _counted(pairs, of_words)
         edges = [-(-(b << 64) // buckets) for b in range(buckets)]
         self.word_bounds, self.pair_bounds = (
             np.append(np.searchsorted(keys, np.array(edges, np.uint64)), len(keys))
@@ -167,19 +199,23 @@ def _scorer(buckets: int, schema: pa.Schema):
             of_words[:, at : at + n] = _unpacked_counts(a["word_counts"], _OF_WORD, n)
             at, n = found.pair_bounds[a["bucket"]], a["n_pairs"]
             of_pairs[:, at : at + n] = _unpacked_counts(a["pair_counts"], _OF_PAIR, n)
-        base, size = of_words[0] / tokens[0], np.maximum(found.sizes, 1)
+        base, size = of_words[0][found.word] / tokens[0], np.maximum(found.sizes, 1)
+        own = [_own(found.owners, e) for e in (found.word, found.context, found.pair)]
         means = []
-        for which in (1, 0):  # the target, the background
-            unigrams = (of_words[which] + PRIOR * base) / (tokens[which] + PRIOR)
-            context = of_words[2 + which] + PRIOR
-            likely = of_pairs[which][found.pair] + PRIOR * unigrams[found.word]
-            losses = np.log(context[found.context]) - np.log(likely)
+        for which, counted in ((1, found.trusted), (0, True)):  # the target, the background
+            word, context, pair = (o * counted for o in own)
+            others = tokens[which] - found.sizes[found.owners] * counted
+            unigrams = (of_words[which][found.word] - word + PRIOR * base) / (others + PRIOR)
+            likely = of_pairs[which][found.pair] - pair + PRIOR * unigrams
+            before = of_words[2 + which][found.context] - context + PRIOR
+            losses = np.log(before) - np.log(likely)
             means.append(np.bincount(found.owners, losses, len(size)) / size)
         return pa.table(
             [
                 found.ids.combine_chunks().cast(schema.field("id").type),
                 pa.array(found.sizes, pa.int64()),
                 *[pa.array(m, pa.float64()) for m in (*means, means[0] - means[1])],
+                pa.array(found.copies, pa.int64()),
             ],
             schema=schema,
         )
@@ -202,15 +238,23 @@ def score(
         F.col(id_col).alias("id"),
         F.col(text_col).alias("text"),
     )
+    counted = T.StructType([*rows.schema.fields, T.StructField("copies", T.LongType())])
     good = labels.where("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
     marks = (
         rows.select("block", "id")
         .where("id IS NOT NULL")
         .join(good, F.col("id") == F.col("doc_id"), "left_semi")
         .distinct()
-        .select("block", "id", F.lit(None).cast("string").alias("text"), F.lit(True).alias("mark"))
+        .select(
+            "block",
+            "id",
+            F.lit(None).cast("string").alias("text"),
+            F.lit(0).cast("long").alias("copies"),
+            F.lit(True).alias("mark"),
+        )
     )
-    dealt = rows.withColumn("mark", F.lit(False)).unionByName(marks)
+    texts = rows.mapInArrow(_collapse, counted).withColumn("mark", F.lit(False))
+    dealt = texts.unionByName(marks)
     sent = dealt.groupBy("block").applyInArrow(_sender(buckets), _SENT)
     answers = sent.groupBy("bucket").applyInArrow(_answerer(), _ANSWERED)
     result = T.StructType(
@@ -220,6 +264,7 @@ def score(
             T.StructField("target_loss", T.DoubleType()),
             T.StructField("background_loss", T.DoubleType()),
             T.StructField("score", T.DoubleType()),
+            T.StructField("copies", T.LongType()),
         ]
     )
     scored = (
@@ -227,4 +272,6 @@ def score(
         .cogroup(answers.groupBy("block"))
         .applyInArrow(_scorer(buckets, to_arrow_schema(result)), result)
     )
-    return scored.withColumnRenamed("id", id_col)
+    each = F.sequence(F.lit(1).cast("long"), F.col("copies"))
+    again = scored.withColumn("copies", F.explode(each)).drop("copies")
+    return again.withColumnRenamed("id", id_col)
