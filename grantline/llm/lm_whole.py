@@ -59,23 +59,22 @@ _ANSWERED = (
 )
 
 
-def _counted(keys: np.ndarray, weights: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys, the entry of each key, and a row of summed weights for each of ``weights``."""
-    distinct, entry = np.unique(keys, return_inverse=True)
-    counts = np.zeros((len(weights), len(distinct)), np.int64)
-    for row, weight in zip(counts, weights):
-        np.add.at(row, entry, weight)
-    return distinct, entry, counts
+def _summed(entry: np.ndarray, size: int, weights: np.ndarray) -> np.ndarray:
+    """Summed weights of each of ``size`` entries; exact, as no block holds 2 ** 53 tokens."""
+    return np.bincount(entry, weights, size).astype(np.int64)
 
 
 def _own(owners: np.ndarray, entry: np.ndarray) -> np.ndarray:
     """For each place: how often its entry occurs in its document."""
+    own = np.empty(len(entry), np.int32)
     if not len(entry):
-        return entry
-    _, place, counts = np.unique(
-        owners * (int(entry.max()) + 1) + entry, return_inverse=True, return_counts=True
-    )
-    return counts[place]
+        return own
+    order = np.argsort(owners * (int(entry.max()) + 1) + entry)
+    fresh = np.ones(len(order), bool)
+    fresh[1:] = (np.diff(owners[order]) != 0) | (np.diff(entry[order]) != 0)
+    firsts = np.flatnonzero(fresh)
+    own[order] = np.repeat(np.diff(firsts, append=len(order)), np.diff(firsts, append=len(order)))
+    return own
 
 
 def _collapse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,17 +101,19 @@ class _Block:
         self.copies = table["copies"].to_numpy().astype(np.int64)
         times = self.copies[self.owners]
         self.trusted = pc.is_in(self.ids, value_set=marked).to_numpy().astype(bool)[self.owners]
-        trusted, none = times * self.trusted, np.zeros(n, np.int64)
+        trusted = times * self.trusted
         self.tokens, self.trusted_tokens = int(times.sum()), int(trusted.sum())
-        of_words, of_contexts = [times, trusted], [none, none]
-        weights = [
-            *(np.concatenate([a, b]) for a, b in zip(of_words, of_contexts)),
-            *(np.concatenate([a, b]) for a, b in zip(of_contexts, of_words)),
-        ]
-        self.words, entry, self.word_counts = _counted(np.concatenate([current, previous]), weights)
+        self.words, entry = np.unique(np.concatenate([current, previous]), return_inverse=True)
         self.word, self.context = entry[:n], entry[n:]
-        pairs = words.pair_hashes(previous, current)
-        self.pairs, self.pair, self.pair_counts = _counted(pairs, of_words)
+        self.pairs, self.pair = np.unique(words.pair_hashes(previous, current), return_inverse=True)
+        del current, previous
+        self.word_counts, self.pair_counts = (
+            np.array([_summed(e, len(keys), w) for e in entries for w in (times, trusted)])
+            for keys, entries in (
+                (self.words, (self.word, self.context)),
+                (self.pairs, (self.pair,)),
+            )
+        )
         edges = [-(-(b << 64) // buckets) for b in range(buckets)]
         self.word_bounds, self.pair_bounds = (
             np.append(np.searchsorted(keys, np.array(edges, np.uint64)), len(keys))
@@ -200,16 +201,19 @@ def _scorer(buckets: int, schema: pa.Schema):
             at, n = found.pair_bounds[a["bucket"]], a["n_pairs"]
             of_pairs[:, at : at + n] = _unpacked_counts(a["pair_counts"], _OF_PAIR, n)
         base, size = of_words[0][found.word] / tokens[0], np.maximum(found.sizes, 1)
-        own = [_own(found.owners, e) for e in (found.word, found.context, found.pair)]
+        own_word, own_context, own_pair = (
+            _own(found.owners, e) for e in (found.word, found.context, found.pair)
+        )
         means = []
         for which, counted in ((1, found.trusted), (0, True)):  # the target, the background
-            word, context, pair = (o * counted for o in own)
             others = tokens[which] - found.sizes[found.owners] * counted
-            unigrams = (of_words[which][found.word] - word + PRIOR * base) / (others + PRIOR)
-            likely = of_pairs[which][found.pair] - pair + PRIOR * unigrams
-            before = of_words[2 + which][found.context] - context + PRIOR
-            losses = np.log(before) - np.log(likely)
+            likely = of_words[which][found.word] - own_word * counted + PRIOR * base
+            likely *= PRIOR / (others + PRIOR)
+            likely += of_pairs[which][found.pair] - own_pair * counted
+            losses = np.log(of_words[2 + which][found.context] - own_context * counted + PRIOR)
+            losses -= np.log(likely)
             means.append(np.bincount(found.owners, losses, len(size)) / size)
+            del others, likely, losses
         return pa.table(
             [
                 found.ids.combine_chunks().cast(schema.field("id").type),
