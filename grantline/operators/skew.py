@@ -10,6 +10,12 @@ from pyspark.sql import functions as F
 MOST_HOT_KEYS = 10_000
 
 
+def by_shuffle(rows: DataFrame) -> DataFrame:
+    """``rows`` of a table that grows with the users or the history: joins with it are shuffled, so
+    that it never goes through the driver as a broadcast, even while it is small enough for one."""
+    return rows.hint("merge")
+
+
 def hot_keys(keys: DataFrame, hot_key_rows: int) -> DataFrame:
     """The most frequent keys with at least ``hot_key_rows`` rows, ``MOST_HOT_KEYS`` at most."""
     return (
@@ -42,7 +48,7 @@ def lookup_join(
     """
     keyed = left.withColumn("_key", key)
     counts = counted if counted is not None else keyed.select(F.col("_key").alias("key"))
-    table = right.select(F.col("key"), F.col(value))
+    table = by_shuffle(right.select(F.col("key"), F.col(value)))
     hot = (
         hot_keys(counts, hot_key_rows)
         .join(table, "key", "left")
@@ -57,7 +63,9 @@ def lookup_join(
         F.col("_key").isNull() | F.col("_is_hot"),
         F.concat(F.lit("\x00"), spread_by.cast("string")),
     ).otherwise(F.col("_key"))
-    cold = table.select(F.col("key").alias("_cold_key"), F.col(value).alias("_cold_value"))
+    cold = by_shuffle(
+        right.select(F.col("key").alias("_cold_key"), F.col(value).alias("_cold_value"))
+    )
     joined = marked.withColumn("_spread", spread).join(
         cold, F.col("_spread") == F.col("_cold_key"), "left"
     )
