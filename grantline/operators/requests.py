@@ -125,12 +125,14 @@ def lookup(requests: DataFrame, urns: DataFrame) -> DataFrame:
     return requests.join(urns.select("urn").distinct(), "urn", "left_semi")
 
 
-def first_per_urn(requests: DataFrame) -> DataFrame:
+def first_per_urn(requests: DataFrame, *with_: str) -> DataFrame:
     """One row per URN, the one listed first; rows without a place come last.
 
-    An aggregate, so that copies of one request collapse before the shuffle.
+    An aggregate, so that copies of one request collapse before the shuffle. Columns ``with_`` follow
+    from the URN; with them, rows that are dealt out by both need no further shuffle.
     """
-    rest = [c for c in requests.columns if c != "urn"]
+    keys = [*with_, "urn"]
+    rest = [c for c in requests.columns if c not in keys]
     place = F.coalesce(F.col("seq"), F.lit(2**63 - 1))
-    kept = requests.groupBy("urn").agg(F.min_by(F.struct(*rest), place).alias("_row"))
-    return kept.select("urn", "_row.*")
+    kept = requests.groupBy(*keys).agg(F.min_by(F.struct(*rest), place).alias("_row"))
+    return kept.select(*keys, "_row.*")

@@ -9,8 +9,11 @@ from pyspark.sql import types as T
 from grantline import schemas
 from grantline.checkpoints import written
 from grantline.operators.requests import first_per_urn
+from grantline.operators.skew import hot_keys
 
 BUCKET = "urn_bucket"
+#: Copies of one URN from which they collapse before they are laid out.
+MANY_COPIES = 10_000
 
 
 def read_requests(spark: SparkSession, path: str, source: str = "parquet") -> DataFrame:
@@ -235,18 +238,32 @@ def bucket_of(urn: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(urn), F.lit(buckets)).cast("int")
 
 
+def _few_copies(requests: DataFrame) -> DataFrame:
+    """Requests with one row for a URN of which there are very many."""
+    key = F.coalesce("urn", F.lit(""))
+    many = written(hot_keys(requests.select(key.alias("key")), MANY_COPIES), "many")
+    if many.isEmpty():
+        return requests
+    marked = requests.join(F.broadcast(many), key == many["key"], "left")
+    often = marked.where("key IS NOT NULL").drop("key")
+    return marked.where("key IS NULL").drop("key").unionByName(first_per_urn(often))
+
+
 def write_current_requests(requests: DataFrame, path: str, buckets: int) -> None:
     """Current requests, one row per URN, laid out for look-ups by URN.
 
     Partitioned by a hash of the URN and range-split by URN inside, so that a large
     bucket is written by several tasks, a look-up reads one directory and few row
     groups, and a join with a small set of URNs prunes directories at run time.
+
+    Whole requests are shuffled once, to their place; copies of a URN meet there. Those of a URN
+    with very many collapse before.
     """
+    rows = _few_copies(requests.select(*schemas.ACTION_REQUESTS.names))
+    placed = rows.withColumn(BUCKET, bucket_of(F.col("urn"), buckets))
     (
-        first_per_urn(requests)
-        .select(*schemas.ACTION_REQUESTS.names)
-        .withColumn(BUCKET, bucket_of(F.col("urn"), buckets))
-        .repartitionByRange(BUCKET, "urn")
+        first_per_urn(placed.repartitionByRange(BUCKET, "urn"), BUCKET)
+        .select(*schemas.ACTION_REQUESTS.names, BUCKET)
         .sortWithinPartitions(BUCKET, "urn")
         .write.mode("overwrite")
         .partitionBy(BUCKET)

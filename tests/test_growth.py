@@ -54,3 +54,25 @@ def test_customers_are_not_broadcast(spark, tmp_path):
         spark.createDataFrame([], columns).write.parquet(str(tmp_path / f"{table}.parquet"))
     plan = plan_of(fx.view(spark, str(tmp_path), "requests"))
     assert "c_custkey" in plan and "SortMergeJoin" in plan
+
+
+def test_whole_requests_are_shuffled_once(spark):
+    rows = nested(spark, ["a", "b", "a", None])
+    placed = rows.withColumn(source.BUCKET, source.bucket_of(F.col("urn"), 4))
+    first = requests.first_per_urn(placed.repartitionByRange(source.BUCKET, "urn"), source.BUCKET)
+    assert plan_of(first.sortWithinPartitions(source.BUCKET, "urn")).count("Exchange") == 1
+    assert sorted((str(r["urn"]), r["seq"]) for r in first.collect()) == [("None", 3), ("a", 0), ("b", 1)]
+
+
+def test_many_copies_collapse_before_they_are_laid_out(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(source, "MANY_COPIES", 3)
+    rows = nested(spark, ["a", "b", "a", None, "a", "b", None, None, ""])
+    few = source._few_copies(rows)
+    assert sorted((str(r["urn"]), r["seq"]) for r in few.collect()) == [
+        ("", 8), ("None", 3), ("a", 0), ("b", 1), ("b", 5),
+    ]
+    source.write_current_requests(rows, str(tmp_path / "current"), 4)
+    kept = source.read_current_requests(spark, str(tmp_path / "current"))
+    assert sorted((str(r["urn"]), r["seq"]) for r in kept.collect()) == [
+        ("", 8), ("None", 3), ("a", 0), ("b", 1),
+    ]
