@@ -48,6 +48,8 @@ S = fx.SETTINGS
 LATEST = replace(S, guard="latest")
 SHARED = replace(S, keep_shared_privileges=True)
 RUN = "run-1"
+#: Lines of one file of a listing, from some hundred thousand requests on.
+LISTING_ROWS = 100_000
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -131,6 +133,13 @@ def q01_approved_scan(spark: SparkSession, d: str) -> DataFrame:
     return _approved(spark, d).select("seq", "urn", "created_ms", "requestor_urn")
 
 
+def _write_listing(lines: DataFrame, path: str, rows: int) -> None:
+    """Lines in listing order, in five files or more: a file is sorted by one task, so their number
+    follows that of the ``rows``."""
+    dealt = lines.repartitionByRange(max(5, rows // LISTING_ROWS), "seq")
+    dealt.sortWithinPartitions("seq").select("value").write.text(path)
+
+
 def q01_json_catchup(spark: SparkSession, d: str) -> DataFrame:
     """Decisions on a listing of JSON files, by line number; damaged lines with their reason."""
     rows = fx.nested_requests(spark, d)
@@ -143,8 +152,7 @@ def q01_json_catchup(spark: SparkSession, d: str) -> DataFrame:
     )
     store = state_store(spark, d, "json")
     path = f"{store.root}/listing"
-    lines = rows.select("seq", damaged.alias("value")).repartitionByRange(5, "seq")
-    lines.sortWithinPartitions("seq").select("value").write.text(path)
+    _write_listing(rows.select("seq", damaged.alias("value")), path, rows.count())
     flat = intake.json_listing(store, path, S, RUN)
     decided = approval.decide(flat, store.state(RUN), _properties(spark, d), S)
     rejected = store.read("quarantine").filter(F.col("step") == "listing")

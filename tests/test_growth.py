@@ -21,6 +21,18 @@ def nested(spark, urns):
     return spark.createDataFrame(rows, schemas.ACTION_REQUESTS)
 
 
+def test_the_files_of_a_listing_follow_its_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "LISTING_ROWS", 50)
+    lines = spark.range(1000).select(
+        (F.lit(999) - F.col("id")).alias("seq"), (F.lit(999) - F.col("id")).cast("string").alias("value")
+    )
+    path = str(tmp_path / "listing")
+    queries._write_listing(lines, path, 1000)
+    assert len(glob.glob(f"{path}/part-*")) == 20
+    read = source.read_json_lines(spark, path)
+    assert read.filter("value <> cast(seq as string)").count() == 0 and read.count() == 1000
+
+
 def test_state_tables_and_users_are_not_broadcast(spark):
     rows = spark.createDataFrame([("u1", "a", "warning")], "urn string, user string, sla_class string")
     urns = spark.createDataFrame([("u1",), (None,)], "urn string")
