@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from grantline.operators.skew import by_shuffle
 from grantline.settings import PERMANENT_ERRNOS
 
 GRANTED = "granted"
@@ -78,7 +79,7 @@ def with_outcomes(
     cut_short = F.col("outcome").isNull() | (
         (F.col("outcome") == GRANTED) & (F.col("succeeded") < expected)
     )
-    return planned.join(roll_up(outcomes, by), list(by), "left").withColumn(
+    return planned.join(by_shuffle(roll_up(outcomes, by)), list(by), "left").withColumn(
         "outcome",
         F.when(expected == 0, F.lit(GRANTED))
         .when(cut_short, F.lit(TRANSIENT))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from checks import fixtures as fx
 from checks import queries
 from grantline import schemas
-from grantline.operators import guards, requests
+from grantline.operators import guards, ledger, requests
 from grantline.operators.skew import lookup_join
 from grantline.sources import requests as source
 
@@ -88,3 +88,11 @@ def test_many_copies_collapse_before_they_are_laid_out(spark, tmp_path, monkeypa
     assert sorted((str(r["urn"]), r["seq"]) for r in kept.collect()) == [
         ("", 8), ("None", 3), ("a", 0), ("b", 1),
     ]
+
+
+def test_open_units_are_not_broadcast(spark, tmp_path, settings):
+    for name, schema in (("units", schemas.OPEN_UNITS), ("told", schemas.STATEMENT_OUTCOMES)):
+        spark.createDataFrame([], schema).write.parquet(str(tmp_path / name))
+    units, told = (spark.read.parquet(str(tmp_path / n)) for n in ("units", "told"))
+    found = [ledger.progress(units, told, settings), ledger.not_open(units, told)]
+    assert all("SortMergeJoin" in plan_of(f) and "Broadcast" not in plan_of(f) for f in found)
