@@ -3,8 +3,8 @@
 Method: a segment tree over the ranks of adjacent pairs. Each leaf holds the rank of the
 pair that starts at a symbol, joined with its position, so the root is the leftmost
 lowest-rank merge. A merge updates three leaves and their paths, until the root says that
-no pair can merge. Short words share one array of trees, a step of all words at a time;
-long words have a tree of their own, so a run of a million letters costs n log n.
+no pair can merge. Short words of like length share arrays of trees, a step of all words of an
+array at a time; long words have a tree of their own, so a run of a million letters costs n log n.
 
 The text model is the file's: special tokens are cut out of the raw text, the rest is
 normalised (NFC, white space, lower case), split by the file's pattern and mapped to byte
@@ -22,7 +22,7 @@ import json
 import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import chain, filterfalse
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +38,13 @@ from grantline.llm import words
 REMEMBERED = 500_000
 #: Words of more symbols get a tree of their own.
 SHORT = 64
+#: Words whose trees make up one array, so that it stays in a core's cache.
+TOGETHER = 4096
+#: Children of a node in the trees of short words.
+FAN = 8
 _NONE = np.int64(np.iinfo(np.int64).max)
+#: Odd multiplier that spreads pairs over their table.
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 #: Runs with other characters go to the library's own splitter. U+0130 is among them: its
 #: lower case is a letter and a mark.
 _UNUSUAL = re.compile(r"[^\t-\r !-~\u00a1-\u012f\u0131-\u024f]")
@@ -78,8 +84,7 @@ class Vocabulary:
         pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
         keys = np.array([(vocab[a] << 32) | vocab[b] for a, b in pairs], np.int64)
         self.merged = np.array([vocab[a + b] for a, b in pairs], np.int64)
-        order = np.argsort(keys)
-        self.keys, self.ranks = np.append(keys[order], _NONE), np.append(order, _NONE)
+        self._lay_out(keys)
         split = next(
             p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"
         )
@@ -87,11 +92,39 @@ class Vocabulary:
         self.pattern_or_line = regex.compile(split["pattern"]["Regex"] + r"|\n")
         self.specials = re.compile("|".join(f"({re.escape(s)})" for s in self.special) or "(?!)")
 
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * _MIX) >> np.uint64(64 - self.bits)).view(np.int64)
+
+    def _lay_out(self, keys: np.ndarray) -> None:
+        """Put the pairs, given by rank, into a table of four slots or more for each; a pair whose
+        slot is taken goes to the next free one."""
+        self.bits = max(4, (4 * len(keys)).bit_length())
+        self.keys = np.full(1 << self.bits, -1, np.int64)
+        self.ranks = np.full(1 << self.bits, _NONE)
+        keys, ranks = np.unique(keys, return_index=True)
+        slots = self._slots(keys)
+        while keys.size:
+            free = self.keys[slots] < 0
+            self.keys[slots[free]] = keys[free]
+            placed = self.keys[slots] == keys
+            self.ranks[slots[placed]] = ranks[placed]
+            keys, ranks = keys[~placed], ranks[~placed]
+            slots = (slots[~placed] + 1) & (len(self.keys) - 1)
+
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair of symbols; ``_NONE`` where the pair has no merge."""
         wanted = (left << 32) | right
-        place = np.searchsorted(self.keys, wanted)
-        return np.where(self.keys[place] == wanted, self.ranks[place], _NONE)
+        slots = self._slots(wanted)
+        seen = self.keys[slots]
+        ranks = np.where(seen == wanted, self.ranks[slots], _NONE)
+        rest = np.flatnonzero((seen != wanted) & (seen >= 0))
+        while rest.size:
+            slots[rest] = (slots[rest] + 1) & (len(self.keys) - 1)
+            seen = self.keys[slots[rest]]
+            same = seen == wanted[rest]
+            ranks[rest[same]] = self.ranks[slots[rest[same]]]
+            rest = rest[~same & (seen >= 0)]
+        return ranks
 
     def pieces(self, run: str) -> list[bytes | str]:
         """Words of a run without white space as UTF-8, special tokens as they are."""
@@ -111,66 +144,64 @@ class Vocabulary:
 
 
 def _merge_short(vocabulary: Vocabulary, texts: list[bytes], size: int) -> list[bytes]:
-    """Ids of words of at most ``size + 1`` bytes; one tree of ``size`` leaves for each."""
-    count = len(texts)
+    """Ids of words of at most ``size + 1`` bytes; one tree of ``size`` leaves for each, its nodes
+    the least of up to ``FAN`` children."""
+    count, width = len(texts), size + 2
     lengths = np.array([len(t) for t in texts])
     flat = np.frombuffer(b"".join(texts), np.uint8)
-    row = np.repeat(np.arange(count), lengths)
+    first = np.arange(count) * width
     column = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    ids = np.zeros((count, size + 2), np.int64)
-    ids[row, column] = vocabulary.inner[flat]
+    place = np.repeat(first, lengths) + column
+    ids = np.zeros(count * width, np.int64)
+    ids[place] = vocabulary.inner[flat]
     final = np.cumsum(lengths) - 1
-    ids[np.arange(count), lengths - 1] = vocabulary.last[flat[final]]
-    alive = np.zeros((count, size + 2), bool)
-    alive[row, column] = True
+    ids[first + lengths - 1] = vocabulary.last[flat[final]]
+    alive = np.zeros(count * width, bool)
+    alive[place] = True
     # Column ``size + 1`` stands for "no neighbour".
-    after = np.tile(np.minimum(np.arange(1, size + 3), size + 1), (count, 1))
-    after[np.arange(count), lengths - 1] = size + 1
-    before = np.tile(np.arange(-1, size + 1), (count, 1))
-    before[:, 0] = size + 1
-    tree = np.full((count, 2 * size), _NONE)
-    positions = np.arange(size)
-    paired = positions < (lengths - 1)[:, None]
-    ranks = vocabulary.rank(ids[:, :size][paired], ids[:, 1 : size + 1][paired])
-    where = np.nonzero(paired)[1]
-    tree[:, size:][paired] = np.where(ranks == _NONE, _NONE, ranks * size + where)
-    level = size
-    while level > 1:
-        level //= 2
-        tree[:, level : 2 * level] = np.minimum(
-            tree[:, 2 * level : 4 * level : 2], tree[:, 2 * level + 1 : 4 * level : 2]
-        )
-    rows = np.flatnonzero(tree[:, 1] != _NONE)
+    after = np.tile(np.minimum(np.arange(1, size + 3), size + 1), count)
+    after[first + lengths - 1] = size + 1
+    before = np.tile(np.arange(-1, size + 1), count)
+    before[first] = size + 1
+    leaves = np.full(count * size, _NONE)
+    paired = np.delete(place, final)
+    where = np.delete(column, final)
+    ranks = vocabulary.rank(ids[paired], ids[paired + 1])
+    # A row has two columns more than leaves.
+    leaves[paired - paired // width * 2] = np.where(ranks == _NONE, _NONE, ranks * size + where)
+    span = min(size, FAN)
+    children = leaves.reshape(-1, span)
+    nodes = children.min(axis=1).reshape(count, -1)
+    root = nodes.min(axis=1)
+    rows = np.flatnonzero(root != _NONE)
     while rows.size:
-        best = tree[rows, 1]
-        at = best % size
-        gone = after[rows, at]
-        beyond = after[rows, gone]
-        ahead = before[rows, at]
-        ids[rows, at] = vocabulary.merged[best // size]
-        alive[rows, gone] = False
-        after[rows, at] = beyond
-        before[rows, beyond] = at
-        tree[rows, size + np.minimum(gone, size - 1)] = np.where(
-            gone < size, _NONE, tree[rows, 2 * size - 1]
-        )
-        leaves = [np.minimum(gone, size - 1)]
+        best, at = np.divmod(root[rows], size)
+        base, tree = rows * width, rows * size
+        gone = after[base + at]
+        beyond = after[base + gone]
+        ahead = before[base + at]
+        ids[base + at] = vocabulary.merged[best]
+        alive[base + gone] = False
+        after[base + at] = beyond
+        before[base + beyond] = at
+        changed = [tree + at, (tree + gone)[gone < size]]
+        for leaf in changed:
+            leaves[leaf] = _NONE
         for left, right in ((at, beyond), (ahead, at)):
-            ranks = vocabulary.rank(ids[rows, left], ids[rows, right])
-            ranks[(left > size) | (right > size)] = _NONE
-            value = np.where(ranks == _NONE, _NONE, ranks * size + left)
-            leaf = np.minimum(left, size - 1)
-            valid = left <= size - 1
-            tree[rows[valid], size + leaf[valid]] = value[valid]
-            leaves.append(np.where(valid, leaf, at.clip(max=size - 1)))
-        node = np.concatenate(leaves) + size
-        of = np.concatenate([rows] * len(leaves))
-        while node[0] > 1:
-            node = node // 2
-            tree[of, node] = np.minimum(tree[of, 2 * node], tree[of, 2 * node + 1])
-        rows = rows[tree[rows, 1] != _NONE]
+            there = np.flatnonzero((left < size) & (right <= size))
+            start, leaf = left[there], tree[there] + left[there]
+            ranks = vocabulary.rank(ids[base[there] + start], ids[base[there] + right[there]])
+            leaves[leaf] = np.where(ranks == _NONE, _NONE, ranks * size + start)
+            changed.append(leaf)
+        if size == span:
+            root[rows] = children[rows].min(axis=1)
+        else:
+            node = np.concatenate(changed) // span
+            nodes.reshape(-1)[node] = children[node].min(axis=1)
+            root[rows] = nodes[rows].min(axis=1)
+        rows = rows[root[rows] != _NONE]
     flat_ids = ids[alive].astype("<u4").tobytes()
-    bounds = 4 * np.concatenate([[0], np.cumsum(alive.sum(axis=1))])
+    bounds = [0, *(4 * np.cumsum(alive.reshape(count, width).sum(axis=1))).tolist()]
     return [flat_ids[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
 
 
@@ -232,15 +263,19 @@ def _merge_long(vocabulary: Vocabulary, text: bytes) -> bytes:
 def merge_words(vocabulary: Vocabulary, texts: list[bytes]) -> list[bytes]:
     """Ids of each word, as little-endian unsigned 32-bit integers."""
     result: list[bytes] = [b""] * len(texts)
-    classes: dict[int, list[int]] = {}
-    for i, text in enumerate(texts):
-        if len(text) > SHORT:
-            result[i] = _merge_long(vocabulary, text)
-        else:
-            classes.setdefault(1 << max(1, (len(text) - 1).bit_length()), []).append(i)
-    for size, members in classes.items():
-        for i, ids in zip(members, _merge_short(vocabulary, [texts[i] for i in members], size)):
+    lengths = np.array([len(t) for t in texts], np.int64)
+    order = np.argsort(lengths, kind="stable")
+    short = int(np.searchsorted(lengths[order], SHORT, side="right"))
+    by_length = order.tolist()
+    for first in range(0, short, TOGETHER):
+        alike = by_length[first : min(short, first + TOGETHER)]
+        leaves = max(2, len(texts[alike[-1]]) - 1)
+        size = leaves if leaves <= FAN else -(-leaves // FAN) * FAN
+        found = _merge_short(vocabulary, [texts[i] for i in alike], size)
+        for i, ids in zip(alike, found):
             result[i] = ids
+    for i in by_length[short:]:
+        result[i] = _merge_long(vocabulary, texts[i])
     return result
 
 
@@ -269,13 +304,9 @@ class Encoder:
         together = "\n".join(runs)
         if _UNUSUAL.search(together) or any(s in together for s in self.vocabulary.special):
             return [self.vocabulary.pieces(run) for run in runs]
-        found: list[list[bytes | str]] = [[]]
-        for word in self.vocabulary.pattern_or_line.findall(together.lower()):
-            if word == "\n":
-                found.append([])
-            else:
-                found[-1].append(word.encode())
-        return found if runs else []
+        # Runs with this separator are unusual.
+        found = "\x1f".join(self.vocabulary.pattern_or_line.findall(together.lower())).encode()
+        return [run.split(b"\x1f") for run in found.split(b"\x1f\n\x1f")] if runs else []
 
     def _learn(self, runs: set[str]) -> None:
         letters = [run for run in runs if run.isalpha()]
@@ -297,11 +328,15 @@ class Encoder:
         if len(self.runs) > self.remembered // 2:
             self.runs.clear()
         split = [_SPACE.split(t) if _ODD_SPACE.search(t) else t.split() for t in texts]
-        needed = set(filterfalse(self.runs.__contains__, chain.from_iterable(split)))
-        if needed:
-            self._learn(needed)
-        look = self.runs.__getitem__
-        return [b"".join(map(look, runs)) for runs in split]
+        runs = list(chain.from_iterable(split))
+        ids = list(map(self.runs.get, runs))
+        unknown = [i for i, known in enumerate(ids) if known is None]
+        if unknown:
+            self._learn({runs[i] for i in unknown})
+            for i in unknown:
+                ids[i] = self.runs[runs[i]]
+        ends = list(accumulate(map(len, split), initial=0))
+        return [b"".join(ids[a:b]) for a, b in zip(ends[:-1], ends[1:])]
 
 
 @lru_cache(maxsize=2)

@@ -68,6 +68,32 @@ def test_what_is_remembered_is_bounded():
         assert len(encoder.runs) <= 50
 
 
+def test_ranks_of_pairs_that_share_a_slot():
+    """A table of few bits, so that most pairs are not in their own slot."""
+    vocabulary = bpe.Vocabulary(bpe.read_vocabulary(PATH))
+    random = np.random.default_rng(5)
+    left, right = random.permutation(400)[:200], random.integers(0, 400, 200)
+    vocabulary._lay_out((left << 32) | right)
+    assert vocabulary.rank(left, right).tolist() == list(range(200))
+    assert (vocabulary.rank(left, right + 1000) == bpe._NONE).all()
+
+
+def test_short_words_are_merged_in_arrays_of_bounded_size(monkeypatch):
+    arrays, merged = [], bpe._merge_short
+
+    def noted(vocabulary, texts, size):
+        arrays.append(len(texts))
+        return merged(vocabulary, texts, size)
+
+    monkeypatch.setattr(bpe, "_merge_short", noted)
+    monkeypatch.setattr(bpe, "TOGETHER", 64, raising=False)
+    letters = np.random.default_rng(6).integers(97, 123, (500, 70), np.uint8)
+    text = " ".join(bytes(word[: 1 + i % 70]).decode() for i, word in enumerate(letters))
+    found = bpe.Encoder(bpe.Vocabulary(bpe.read_vocabulary(PATH))).encode([text, "", text[:900]])
+    assert [np.frombuffer(f, "<u4").tolist() for f in found] == [ids(text), [], ids(text[:900])]
+    assert max(arrays) <= 64 and sum(arrays) > 400
+
+
 def test_digests_are_native_and_agree(spark):
     found = bpe.encode(data.frame(spark), PATH).select("text", F.sha2("token_ids", 256).alias("h"))
     for row in found.collect():
